@@ -20,8 +20,8 @@ def encode_value(value: Column, depth: int = DEFAULT_DEPTH) -> Column:
     deeper than ``depth``."""
     text = F.try_variant_get(value, "$", "string")
 
-    def by_kind(kind: Column) -> Column:
-        out = (
+    def scalar(kind: Column) -> Column:
+        return (
             F.when(kind == "STRING", _tagged("S", text))
             .when(kind == "BIGINT", _tagged("N", text))
             .when(kind == "DOUBLE", _tagged("N", plain_double(F.try_variant_get(value, "$", "double"))))
@@ -29,24 +29,30 @@ def encode_value(value: Column, depth: int = DEFAULT_DEPTH) -> Column:
             .when(kind == "BOOLEAN", _tagged("BOOL", F.try_variant_get(value, "$", "boolean")))
             .when(kind == "VOID", _tagged("NULL", F.lit(True)))
         )
-        if depth > 0:
-            elements = F.transform(
-                F.try_variant_get(value, "$", "array<variant>"), lambda v: encode_value(v, depth - 1)
-            )
-            fields = encode_map(F.try_variant_get(value, "$", VARIANT_MAP), depth - 1)
-            out = out.when(
-                kind.startswith("ARRAY"),
-                bind(elements, lambda es: F.when(has_null(es), no_value()).otherwise(_tagged("L", es))),
-            ).when(
-                kind.startswith("OBJECT"),
-                bind(
-                    fields,
-                    lambda m: F.when(has_null(F.map_values(m)), no_value()).otherwise(_tagged("M", m)),
-                ),
-            )
-        return out
-
-    return bind(F.schema_of_variant(value), by_kind)
+
+    if depth == 0:
+        return bind(F.schema_of_variant(value), scalar)
+
+    # Elements and field values take one shared branch: two would double per level.
+    def container(fields: Column) -> Column:
+        children = F.transform(
+            F.coalesce(F.map_values(fields), F.try_variant_get(value, "$", "array<variant>")),
+            lambda child: encode_value(child, depth - 1),
+        )
+        return bind(
+            children,
+            lambda kids: F.when(has_null(kids), no_value())
+            .when(fields.isNotNull(), _tagged("M", F.map_from_arrays(F.map_keys(fields), kids)))
+            .otherwise(_tagged("L", kids)),
+        )
+
+    return bind(
+        F.schema_of_variant(value),
+        lambda kind: F.when(
+            kind.startswith("ARRAY") | kind.startswith("OBJECT"),
+            bind(F.try_variant_get(value, "$", VARIANT_MAP), container),
+        ).otherwise(scalar(kind)),
+    )
 
 
 def encode_map(fields: Column, depth: int = DEFAULT_DEPTH) -> Column:

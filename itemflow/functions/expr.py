@@ -19,6 +19,16 @@ def bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def once(value: Column) -> Column:
+    """Keep ``value`` in its own projection.
+
+    Catalyst pushes a filter below the projection that computes its columns by copying their
+    expressions, which would parse and convert every record twice. It leaves projections with
+    a nondeterministic part where they are; the partition number is the cheapest such part.
+    """
+    return F.when(F.spark_partition_id() >= 0, value)
+
+
 def null_variant() -> Column:
     """An explicit null value, distinct from SQL NULL."""
     return F.parse_json(F.lit("null"))

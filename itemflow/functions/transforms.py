@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from itemflow.functions.expr import bind
 from itemflow.functions.numbers import float64, int64
-from itemflow.functions.paths import update_paths
+from itemflow.functions.paths import as_map, update_paths
 
 # The accepted date-time spellings; zone-less text is UTC.
 RFC3339 = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.,][0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})$"
@@ -21,6 +21,8 @@ BLANK_SEPARATED = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}([.,][
 DATE_ONLY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 # Fixed value: the largest second count that a microsecond timestamp holds.
 MAX_SECONDS = 9223372036854
+# Fixed value: name of the field behind a text that is read as JSON.
+AFTER = "after the value"
 
 
 def text_to_timestamp(text: Column) -> Column:
@@ -92,7 +94,8 @@ def parse_json_text(text: Column) -> Column:
 
     Escaped quotes and backslashes are spelled as ``\\u`` escapes first, so that the pieces
     between quotes alternate between outside and inside a string; numbers outside get an
-    exponent, which makes the parser read them as doubles.
+    exponent, which makes the parser read them as doubles. The parser ignores what follows
+    a complete value, so the text is read as one field of an object with a field behind it.
     """
     plain = F.replace(
         F.replace(text, F.lit("\\\\"), F.lit("\\u005c")), F.lit('\\"'), F.lit("\\u0022")
@@ -106,7 +109,14 @@ def parse_json_text(text: Column) -> Column:
             ),
         ).otherwise(piece),
     )
-    return F.try_parse_json(F.array_join(pieces, '"'))
+    framed = F.concat(F.lit('{"v":'), F.array_join(pieces, '"'), F.lit(f',"{AFTER}":0}}'))
+    return bind(
+        as_map(F.try_parse_json(framed)),
+        lambda m: F.when(
+            (F.size(m) == 2) & F.try_element_at(m, F.lit(AFTER)).isNotNull(),
+            F.try_element_at(m, F.lit("v")),
+        ),
+    )
 
 
 def to_array(value: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from itemflow.functions.deep import decode_deep
-from itemflow.functions.expr import VARIANT_MAP, bind
+from itemflow.functions.expr import VARIANT_MAP, bind, once
 from itemflow.functions.keys import composite_key, variant_key
 from itemflow.functions.naming import rename_keys, rename_text
 from itemflow.functions.paths import as_object
@@ -149,7 +149,7 @@ def to_documents(
         "raw",
         "failed",
         F.col("attrs").isNotNull().alias("_decoded"),
-        F.when(F.col("attrs").isNotNull(), bind(F.col("attrs"), document)).alias("_made"),
+        once(F.when(F.col("attrs").isNotNull(), bind(F.col("attrs"), document))).alias("_made"),
     )
     ok = F.col("_made.doc").isNotNull()
     return rows.select(

@@ -7,17 +7,19 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from itemflow.functions.expr import once
 from itemflow.functions.keys import sequence_key
 from itemflow.functions.wire import DEFAULT_DEPTH, av_map_type
 
 
-def change_type(depth: int = DEFAULT_DEPTH) -> str:
-    """DDL of one change record line."""
+def change_type(depth: int = DEFAULT_DEPTH, old_images: bool = True) -> str:
+    """DDL of one change record line. Keys are scalars and need no depth."""
     image = av_map_type(depth)
+    old = f"OldImage: {image}, " if old_images else ""
     return (
         "struct<eventName: string, eventSource: string, awsRegion: string, shardId: string, "
         "dynamodb: struct<ApproximateCreationDateTime: double, "
-        f"Keys: {image}, NewImage: {image}, OldImage: {image}, "
+        f"Keys: {av_map_type(0)}, NewImage: {image}, {old}"
         "SequenceNumber: string, SizeBytes: bigint, StreamViewType: string>>"
     )
 
@@ -39,41 +41,48 @@ def read_change_lines(
     return reader.load(path).select(F.col("value").alias("raw"))
 
 
-def parse_changes(lines: DataFrame, depth: int = DEFAULT_DEPTH) -> DataFrame:
+def parse_changes(
+    lines: DataFrame, depth: int = DEFAULT_DEPTH, old_images: bool = True
+) -> DataFrame:
     """Flat change records next to ``raw``; ``seq_key`` orders them within a key.
 
-    Columns a caller does not use (old images, sizes) are pruned inside the JSON reader.
+    Without ``old_images`` the JSON reader skips them; replication does not use them.
     """
-    record = lines.withColumn("_record", F.from_json("raw", change_type(depth)))
-    data = "_record.dynamodb"
-    return record.select(
-        *lines.columns,
-        F.col("_record.eventName").alias("event_name"),
-        F.col("_record.eventSource").alias("event_source"),
-        F.col("_record.awsRegion").alias("aws_region"),
-        F.col("_record.shardId").alias("shard_id"),
-        F.timestamp_millis(F.round(F.col(f"{data}.ApproximateCreationDateTime") * 1000).cast("bigint")).alias(
-            "approx_ts"
-        ),
-        F.col(f"{data}.SequenceNumber").alias("seq"),
-        sequence_key(F.col(f"{data}.SequenceNumber")).alias("seq_key"),
-        F.col(f"{data}.SizeBytes").alias("size_bytes"),
-        F.col(f"{data}.StreamViewType").alias("view_type"),
-        F.col(f"{data}.Keys").alias("keys"),
-        F.col(f"{data}.NewImage").alias("new_image"),
-        F.col(f"{data}.OldImage").alias("old_image"),
-    )
-
-
-def since(changes: DataFrame, start: dt.datetime | Column | None) -> DataFrame:
+    record_type = change_type(depth, old_images)
+    record = lines.withColumn("_record", once(F.from_json("raw", record_type)))
+    data = F.col("_record.dynamodb")
+    millis = F.round(data["ApproximateCreationDateTime"] * 1000).cast("bigint")
+    columns = {
+        "event_name": F.col("_record.eventName"),
+        "event_source": F.col("_record.eventSource"),
+        "aws_region": F.col("_record.awsRegion"),
+        "shard_id": F.col("_record.shardId"),
+        "approx_ts": F.timestamp_millis(millis),
+        "seq": data["SequenceNumber"],
+        "seq_key": sequence_key(data["SequenceNumber"]),
+        "size_bytes": data["SizeBytes"],
+        "view_type": data["StreamViewType"],
+        "keys": data["Keys"],
+        "new_image": data["NewImage"],
+    }
+    if old_images:
+        columns["old_image"] = data["OldImage"]
+    return record.select(*lines.columns, *[c.alias(name) for name, c in columns.items()])
+
+
+def since(
+    changes: DataFrame, start: dt.datetime | Column | None, keep_malformed: bool = False
+) -> DataFrame:
     """Records created at or after ``start``, compared in milliseconds.
 
     Records without a time go once there is a start; without a start all stay.
+    ``keep_malformed`` keeps lines that are no records at all, for the quarantine.
     """
     if start is None:
         return changes
     bound = start if isinstance(start, Column) else F.lit(start).cast("timestamp")
-    return changes.filter(F.unix_millis("approx_ts") >= F.unix_millis(bound))
+    recent = F.unix_millis("approx_ts") >= F.unix_millis(bound)
+    return changes.filter(recent | F.col("event_name").isNull() if keep_malformed else recent)
 
 
 def from_sequence(changes: DataFrame, sequence: str, after: bool = False) -> DataFrame:

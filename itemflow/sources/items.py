@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from itemflow.functions.expr import bind
+from itemflow.functions.expr import bind, once
 from itemflow.functions.typed import misfit, typed_value, wire_type
 from itemflow.functions.wire import DEFAULT_DEPTH, av_map_type, av_type
 from itemflow.plans.pair import Scan
@@ -66,7 +66,8 @@ def filter_items(items: DataFrame, scan: Scan) -> DataFrame:
         value = typed_value(F.try_element_at("item", F.lit(name)), dtype)
         typed.append(value.alias(name))
         text = re.sub(rf"(?<![\w`.:']){re.escape(name)}(?![\w`'])", f"_attr.`{name}`", text)
-    candidates = items.withColumn("_attr", F.struct(*typed))
+    parsed = items.withColumn("item", once(F.col("item")))
+    candidates = parsed.withColumn("_attr", F.struct(*typed))
     kept = items.sparkSession.sql(
         f"SELECT * FROM {{candidates}} WHERE item IS NULL OR ({text})",
         args={k.lstrip(":"): v for k, v in scan.values.items()} or None,
@@ -116,7 +117,7 @@ def typed_items(lines: DataFrame, schema: str | T.StructType) -> DataFrame:
         return F.when(wire.isNotNull(), bind(values, checked))
 
     item = F.from_json("raw", f"struct<Item: struct<{inner}>>")["Item"]
-    rows = lines.select(*lines.columns, bind(item, decoded).alias("_typed"))
+    rows = lines.select(*lines.columns, once(bind(item, decoded)).alias("_typed"))
     return rows.select(
         *lines.columns,
         F.col("_typed.fields").alias("fields"),
