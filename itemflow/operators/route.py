@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from itemflow.functions.keys import composite_key, variant_key
 from itemflow.functions.naming import rename_keys
-from itemflow.functions.wire import decode_map, is_complete
+from itemflow.functions.wire import av_map_type, decode_map, is_complete
 from itemflow.operators.convert import BAD, to_documents
 from itemflow.plans.pair import Mapping
 
@@ -60,19 +60,16 @@ def to_operations(
         "seq_key",
         "approx_ts",
         F.when(event == "REMOVE", keys).alias("_keys"),
-        F.when(event.isin("INSERT", "MODIFY"), image).alias("item"),
+        # A delete has no image: the empty item converts to an empty document at no cost.
+        F.when(event.isin("INSERT", "MODIFY"), image)
+        .when(event == "REMOVE", F.create_map().cast(av_map_type(mapping.depth)))
+        .alias("item"),
     )
     if not strict:
         routed = routed.filter(F.col("op").isNotNull() | (F.col("_problem") == "malformed record"))
-    # A delete has no image: the empty item converts to an empty document at no cost.
-    routed = routed.withColumn(
-        "item",
-        F.when(F.col("op") == DELETE, F.map_filter("_keys", lambda k, _: F.lit(False))).otherwise(
-            F.col("item")
-        ),
-    ).withColumn("_delete_key", F.when(F.col("op") == DELETE, delete_key(F.col("_keys"), mapping)))
-    rows = to_documents(routed.drop("_keys"), mapping, path=("dynamodb", "NewImage"), deep=deep)
     is_delete = F.col("op") == DELETE
+    routed = routed.withColumn("_delete_key", F.when(is_delete, delete_key(F.col("_keys"), mapping)))
+    rows = to_documents(routed.drop("_keys"), mapping, path=("dynamodb", "NewImage"), deep=deep)
     lost_key = is_delete & F.col("_delete_key").isNull()
     reason = F.when(lost_key, "keys cannot be decoded").otherwise(F.coalesce("_problem", "reason"))
     return rows.select(

@@ -42,20 +42,21 @@ def _settings(pair: Pair, settings: RunSettings | None) -> RunSettings:
     return (settings or RunSettings()).override(pair.settings)
 
 
-def _run_all(tasks: dict[str, Callable[[], object]], workers: int, what: str) -> dict[str, object]:
-    """Submit Spark jobs from a few driver threads; every task runs, then all errors are raised."""
+def _run_all(
+    spark: SparkSession, tasks: dict[str, Callable[[], object]], workers: int
+) -> tuple[dict[str, object], dict[str, Exception]]:
+    """Submit Spark jobs from a few driver threads; one failure does not stop the others."""
     results: dict[str, object] = {}
     errors: dict[str, Exception] = {}
     with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
-        futures = {name: pool.submit(inheritable_thread_target(task)) for name, task in tasks.items()}
+        in_session = inheritable_thread_target(spark)
+        futures = {name: pool.submit(in_session(task)) for name, task in tasks.items()}
         for name, future in futures.items():
             try:
                 results[name] = future.result()
             except Exception as error:
                 errors[name] = error
-    if errors:
-        raise JobError(what, errors)
-    return results
+    return results, errors
 
 
 def documents(spark: SparkSession, pair: Pair, segments: int | None = None) -> DataFrame:
@@ -98,7 +99,9 @@ def migrate(
         return job
 
     todo = {f"segment {s}": copy(s) for s in range(segments) if s not in done}
-    _run_all(todo, size.parallel_readers, "migration")
+    _, errors = _run_all(spark, todo, size.parallel_readers)
+    if errors:
+        raise JobError("migration", errors)
     version = table.version()
     if version is None or version["base"] != run_id:
         table.commit_version(run_id)
@@ -160,7 +163,10 @@ def migrate_all(
     chosen = select_pairs(check_pairs(pairs), names)
     size = settings or RunSettings()
     tasks = {p.name: (lambda p=p: migrate(spark, p, resume, settings)) for p in chosen}
-    return _run_all(tasks, size.max_concurrent_pairs, "migration of pairs")
+    results, errors = _run_all(spark, tasks, size.max_concurrent_pairs)
+    if errors:
+        raise JobError("migration of pairs", errors)
+    return results
 
 
 def replicate_all(
@@ -175,16 +181,7 @@ def replicate_all(
     chosen = select_pairs(check_pairs(pairs), names)
     size = settings or RunSettings()
     tasks = {p.name: (lambda p=p: replicate(spark, p, trigger, settings, start)) for p in chosen}
-    queries: dict[str, StreamingQuery] = {}
-    errors: dict[str, Exception] = {}
-    with ThreadPoolExecutor(max_workers=max(1, size.max_concurrent_pairs)) as pool:
-        futures = {n: pool.submit(inheritable_thread_target(t)) for n, t in tasks.items()}
-        for name, future in futures.items():
-            try:
-                queries[name] = future.result()
-            except Exception as error:
-                errors[name] = error
-    return queries, errors
+    return _run_all(spark, tasks, size.max_concurrent_pairs)
 
 
 CHECK = "pair string, check string, ok boolean, detail string"

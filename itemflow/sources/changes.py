@@ -51,13 +51,13 @@ def parse_changes(
     record_type = change_type(depth, old_images)
     record = lines.withColumn("_record", once(F.from_json("raw", record_type)))
     data = F.col("_record.dynamodb")
-    millis = F.round(data["ApproximateCreationDateTime"] * 1000).cast("bigint")
+    micros = F.round(data["ApproximateCreationDateTime"] * 1000000).cast("bigint")
     columns = {
         "event_name": F.col("_record.eventName"),
         "event_source": F.col("_record.eventSource"),
         "aws_region": F.col("_record.awsRegion"),
         "shard_id": F.col("_record.shardId"),
-        "approx_ts": F.timestamp_millis(millis),
+        "approx_ts": F.timestamp_micros(micros),
         "seq": data["SequenceNumber"],
         "seq_key": sequence_key(data["SequenceNumber"]),
         "size_bytes": data["SizeBytes"],
