@@ -6,106 +6,114 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from itemflow.functions.expr import VARIANT_MAP, bind, has_null, no_value
+from itemflow.functions.expr import (
+    NO_VALUE,
+    VARIANT_MAP,
+    bind,
+    case,
+    fn,
+    get,
+    has_null,
+    lit,
+    name,
+)
 from itemflow.functions.numbers import plain_double
 from itemflow.functions.wire import DEFAULT_DEPTH
 
 
-def _tagged(tag: str, value: Column) -> Column:
-    return F.to_variant_object(F.struct(value.alias(tag)))
+def _tagged(tag: str, value: str) -> str:
+    return f"to_variant_object(struct({value} as `{tag}`))"
 
 
-def encode_value(value: Column, depth: int = DEFAULT_DEPTH) -> Column:
+def encode_value(value: str, depth: int = DEFAULT_DEPTH) -> str:
     """VARIANT attribute value of a VARIANT; SQL NULL for a type that has no tag or lies
     deeper than ``depth``."""
-    text = F.try_variant_get(value, "$", "string")
-
-    def scalar(kind: Column) -> Column:
-        return (
-            F.when(kind == "STRING", _tagged("S", text))
-            .when(kind == "BIGINT", _tagged("N", text))
-            .when(kind == "DOUBLE", _tagged("N", plain_double(F.try_variant_get(value, "$", "double"))))
-            .when(kind.startswith("DECIMAL"), _tagged("N", text))
-            .when(kind == "BOOLEAN", _tagged("BOOL", F.try_variant_get(value, "$", "boolean")))
-            .when(kind == "VOID", _tagged("NULL", F.lit(True)))
-        )
-
-    if depth == 0:
-        return bind(F.schema_of_variant(value), scalar)
+    text = get(value, "string")
 
     # Elements and field values take one shared branch: two would double per level.
-    def container(fields: Column) -> Column:
-        children = F.transform(
-            F.coalesce(F.map_values(fields), F.try_variant_get(value, "$", "array<variant>")),
-            lambda child: encode_value(child, depth - 1),
-        )
+    def container(fields: str) -> str:
+        children = f"coalesce(map_values({fields}), {get(value, 'array<variant>')})"
+        encoded = f"transform({children}, {fn(lambda child: encode_value(child, depth - 1))})"
         return bind(
-            children,
-            lambda kids: F.when(has_null(kids), no_value())
-            .when(fields.isNotNull(), _tagged("M", F.map_from_arrays(F.map_keys(fields), kids)))
-            .otherwise(_tagged("L", kids)),
+            encoded,
+            lambda kids: case(
+                (has_null(kids), NO_VALUE),
+                (f"{fields} is not null", _tagged("M", f"map_from_arrays(map_keys({fields}), {kids})")),
+                default=_tagged("L", kids),
+            ),
         )
 
-    return bind(
-        F.schema_of_variant(value),
-        lambda kind: F.when(
-            kind.startswith("ARRAY") | kind.startswith("OBJECT"),
-            bind(F.try_variant_get(value, "$", VARIANT_MAP), container),
-        ).otherwise(scalar(kind)),
-    )
+    def of_kind(kind: str) -> str:
+        branches = [
+            (f"{kind} = 'STRING'", _tagged("S", text)),
+            (f"{kind} = 'BIGINT'", _tagged("N", text)),
+            (f"{kind} = 'DOUBLE'", _tagged("N", bind(get(value, "double"), plain_double))),
+            (f"{kind} like 'DECIMAL%'", _tagged("N", text)),
+            (f"{kind} = 'BOOLEAN'", _tagged("BOOL", get(value, "boolean"))),
+            (f"{kind} = 'VOID'", _tagged("NULL", "true")),
+        ]
+        if depth > 0:
+            nested = f"{kind} like 'ARRAY%' or {kind} like 'OBJECT%'"
+            branches.append((nested, bind(get(value, VARIANT_MAP), container)))
+        return case(*branches)
+
+    return bind(f"schema_of_variant({value})", of_kind)
 
 
-def encode_map(fields: Column, depth: int = DEFAULT_DEPTH) -> Column:
-    return F.transform_values(fields, lambda _, v: encode_value(v, depth))
+def encode_map(fields: str, depth: int = DEFAULT_DEPTH) -> str:
+    return f"transform_values({fields}, {fn(lambda _, v: encode_value(v, depth), 2)})"
 
 
 def encode_documents(df: DataFrame, doc: str = "doc", depth: int = DEFAULT_DEPTH) -> DataFrame:
     """Add ``line``: the export line of a document, NULL if a value cannot be encoded."""
-    encoded = df.withColumn("_item", encode_map(F.try_variant_get(doc, "$", VARIANT_MAP), depth))
-    return encoded.withColumn(
-        "line",
-        F.when(
-            F.col("_item").isNotNull() & ~has_null(F.map_values("_item")),
-            F.to_json(F.struct(F.col("_item").alias("Item"))),
+    line = bind(
+        encode_map(get(name(doc), VARIANT_MAP), depth),
+        lambda m: case(
+            (f"not {has_null(f'map_values({m})')}", f"to_json(named_struct('Item', {m}))")
         ),
-    ).drop("_item")
+    )
+    return df.withColumn("line", F.expr(line))
 
 
-def encode_column(value: Column, dtype: T.DataType) -> Column:
+def encode_column(value: str, dtype: T.DataType) -> str:
     """Attribute value STRUCT of a typed column; the tag is chosen from the type."""
 
-    def tagged(tag: str, body: Column) -> Column:
-        return F.struct(body.alias(tag), F.when(value.isNull(), True).alias("NULL"))
+    def tagged(tag: str, body: str) -> str:
+        return f"named_struct('{tag}', {body}, 'NULL', {case((f'{value} is null', 'true'))})"
 
     if isinstance(dtype, T.BooleanType):
         return tagged("BOOL", value)
-    if isinstance(dtype, T.FractionalType) and not isinstance(dtype, T.DecimalType):
-        return tagged("N", plain_double(value.cast("string").cast("double")))
+    if isinstance(dtype, T.FloatType | T.DoubleType):
+        # The short text of a float, not its digits as a double.
+        return tagged("N", bind(f"cast(cast({value} as string) as double)", plain_double))
     if isinstance(dtype, T.NumericType):
-        return tagged("N", value.cast("string"))
+        return tagged("N", f"cast({value} as string)")
     if isinstance(dtype, T.BinaryType):
-        return tagged("B", F.base64(value))
-    if isinstance(dtype, T.DateType):
-        return tagged("S", value.cast("string"))
+        return tagged("B", f"base64({value})")
     if isinstance(dtype, T.TimestampType | T.TimestampNTZType):
-        text = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-        return tagged("S", F.regexp_replace(text, "[.]000000Z$", "Z"))
+        text = f"""date_format({value}, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")"""
+        return tagged("S", f"regexp_replace({text}, '[.]000000Z$', 'Z')")
     if isinstance(dtype, T.ArrayType):
-        return tagged("L", F.transform(value, lambda v: encode_column(v, dtype.elementType)))
+        element = fn(lambda v: encode_column(v, dtype.elementType))
+        return tagged("L", f"transform({value}, {element})")
     if isinstance(dtype, T.MapType):
-        return tagged("M", F.transform_values(value, lambda _, v: encode_column(v, dtype.valueType)))
+        entry = fn(lambda _, v: encode_column(v, dtype.valueType), 2)
+        return tagged("M", f"transform_values({value}, {entry})")
     if isinstance(dtype, T.StructType):
-        fields = [encode_column(value[f.name], f.dataType).alias(f.name) for f in dtype.fields]
-        return tagged("M", F.when(value.isNotNull(), F.struct(*fields)))
+        fields = [
+            f"{lit(f.name)}, {encode_column(f'{value}.{name(f.name)}', f.dataType)}" for f in dtype
+        ]
+        return tagged("M", case((f"{value} is not null", f"named_struct({', '.join(fields)})")))
     if isinstance(dtype, T.VariantType):
         return encode_value(value)
-    return tagged("S", value.cast("string"))
+    return tagged("S", f"cast({value} as string)")
 
 
 def encode_struct(df: DataFrame, columns: list[str] | None = None) -> Column:
     """STRUCT of attribute values, one field per column of ``df``."""
     chosen = columns or df.columns
-    return F.struct(*[encode_column(F.col(c), df.schema[c].dataType).alias(c) for c in chosen])
+    fields = [f"{lit(c)}, {encode_column(name(c), df.schema[c].dataType)}" for c in chosen]
+    return F.expr(f"named_struct({', '.join(fields)})")
 
 
 def encode_columns(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

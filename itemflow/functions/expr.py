@@ -1,47 +1,79 @@
-"""Small expression helpers shared by the function modules."""
+"""Small pieces of Spark SQL shared by the function modules.
+
+The functions of this package take and return Spark SQL expression text; ``F.expr`` turns a
+finished text into a Column. A decode expression has some thousand nodes, and one text costs
+one call into the JVM where Column objects would cost one per node.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import count
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 VARIANT_MAP = "map<string,variant>"
+NULL_VARIANT = "parse_json('null')"  # an explicit null value, distinct from SQL NULL
+NO_VALUE = "cast(null as variant)"  # SQL NULL: the error marker in decode and transforms
+
+_fresh = count()
+
+
+def lit(text: str) -> str:
+    """String literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
 
+def name(identifier: str) -> str:
+    """Quoted identifier."""
+    return "`" + identifier.replace("`", "``") + "`"
 
-def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+
+def fn(body: Callable[..., str], arguments: int = 1) -> str:
+    """Lambda with fresh variable names."""
+    variables = [f"v{next(_fresh)}" for _ in range(arguments)]
+    listed = ", ".join(variables)
+    return f"{f'({listed})' if arguments > 1 else listed} -> {body(*variables)}"
+
+
+def bind(value: str, body: Callable[[str], str]) -> str:
     """Evaluate ``value`` once and hand it to ``body``.
 
-    Catalyst inlines a Column wherever it is used; a one-element ``transform``
-    keeps recursive expressions linear in depth instead of doubling per level.
+    A text used twice is computed twice; a one-element ``transform`` keeps recursive
+    expressions linear in depth instead of doubling per level.
     """
-    return F.transform(F.array(value), body)[0]
+    return f"transform(array({value}), {fn(body)})[0]"
 
 
-def once(value: Column) -> Column:
-    """Keep ``value`` in its own projection.
+def case(*branches: tuple[str, str], default: str | None = None) -> str:
+    whens = " ".join(f"when {condition} then {value}" for condition, value in branches)
+    return f"(case {whens}{'' if default is None else f' else {default}'} end)"
+
+
+def variant(value: str) -> str:
+    return f"cast({value} as variant)"
 
-    Catalyst pushes a filter below the projection that computes its columns by copying their
-    expressions, which would parse and convert every record twice. It leaves projections with
-    a nondeterministic part where they are; the partition number is the cheapest such part.
-    """
-    return F.when(F.spark_partition_id() >= 0, value)
 
+def get(value: str, ddl: str) -> str:
+    """A VARIANT as a type; NULL when it does not fit."""
+    return f"try_variant_get({value}, '$', '{ddl}')"
 
-def null_variant() -> Column:
-    """An explicit null value, distinct from SQL NULL."""
-    return F.parse_json(F.lit("null"))
 
+def has_null(values: str) -> str:
+    return f"exists({values}, {fn(lambda v: f'{v} is null')})"
 
-def no_value() -> Column:
-    """SQL NULL of type VARIANT: the error marker inside decode and transforms."""
-    return F.lit(None).cast("variant")
 
+def all_distinct(values: str) -> str:
+    return f"size(array_distinct({values})) = size({values})"
 
-def has_null(values: Column) -> Column:
-    return F.exists(values, lambda v: v.isNull())
 
+def once(value: Column | str) -> Column:
+    """Keep ``value`` in its own projection.
 
-def all_distinct(values: Column) -> Column:
-    return F.size(F.array_distinct(values)) == F.size(values)
+    Catalyst pushes a filter below the projection that computes its columns by copying their
+    expressions, which would parse and convert every record twice. It leaves projections with
+    a nondeterministic part where they are; the partition number is the cheapest such part.
+    """
+    column = F.expr(value) if isinstance(value, str) else value
+    return F.when(F.spark_partition_id() >= 0, column)

@@ -6,41 +6,42 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from itemflow.functions.expr import bind
+from itemflow.functions.expr import bind, case, get
 
 # Fixed value: whole doubles up to 2^53 are exact integers.
-EXACT_DOUBLE = float(2**53)
+EXACT_DOUBLE = 2**53
 
 
-def _number_text(value: Column) -> Column:
-    whole = (value == F.floor(value).cast("double")) & (F.abs(value) <= EXACT_DOUBLE)
-    return F.when(whole, value.cast("bigint").cast("string")).otherwise(value.cast("string"))
+def _number_text(value: str) -> str:
+    whole = f"{value} = floor({value}) and abs({value}) <= {EXACT_DOUBLE}"
+    return case(
+        (whole, f"cast(cast({value} as bigint) as string)"), default=f"cast({value} as string)"
+    )
 
 
-def variant_key(value: Column) -> Column:
+def variant_key(value: str) -> str:
     """Key text of a decoded value; SQL NULL for a missing one."""
-    text = F.try_variant_get(value, "$", "string")
+    text, double = get(value, "string"), get(value, "double")
     return bind(
-        F.schema_of_variant(value),
-        lambda kind: F.when(kind == "STRING", F.concat(F.lit("s:"), text))
-        .when(kind == "BIGINT", F.concat(F.lit("n:"), text))
-        .when(
-            kind == "DOUBLE",
-            F.concat(F.lit("n:"), _number_text(F.try_variant_get(value, "$", "double"))),
-        )
-        .when(kind == "BOOLEAN", F.concat(F.lit("b:"), text))
-        .when(kind.isNotNull(), F.concat(F.lit("j:"), F.to_json(value))),
+        f"schema_of_variant({value})",
+        lambda kind: case(
+            (f"{kind} = 'STRING'", f"concat('s:', {text})"),
+            (f"{kind} = 'BIGINT'", f"concat('n:', {text})"),
+            (f"{kind} = 'DOUBLE'", f"concat('n:', {bind(double, _number_text)})"),
+            (f"{kind} = 'BOOLEAN'", f"concat('b:', {text})"),
+            (f"{kind} is not null", f"concat('j:', to_json({value}))"),
+        ),
     )
 
 
-def composite_key(parts: list[Column]) -> Column:
+def composite_key(parts: list[str]) -> str:
     """One part as it is; several as a JSON array. NULL when any part is missing."""
     if len(parts) == 1:
         return parts[0]
-    present = parts[0].isNotNull()
-    for part in parts[1:]:
-        present = present & part.isNotNull()
-    return F.when(present, F.concat(F.lit("c:"), F.to_json(F.array(*parts))))
+    return bind(
+        f"array({', '.join(parts)})",
+        lambda ps: case((f"array_size(array_compact({ps})) = {len(parts)}", f"concat('c:', to_json({ps}))")),
+    )
 
 
 def sequence_key(sequence: Column) -> Column:

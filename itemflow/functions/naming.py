@@ -4,73 +4,72 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from itemflow.functions.expr import all_distinct, bind
+from itemflow.functions.expr import all_distinct, bind, case, fn
 
 NAMINGS = ("preserve", "snake_case", "camelCase")
 
 
-def snake_case(name: Column) -> Column:
+def snake_case(text: str) -> str:
     """An underscore before every ASCII capital but a leading one, then lower case."""
-    return F.lower(F.regexp_replace(name, r"(?s)(?<=.)([A-Z])", "_$1"))
+    return f"lower(regexp_replace({text}, r'(?s)(?<=.)([A-Z])', '_$1'))"
 
 
-def camel_case(name: Column) -> Column:
+def camel_case(text: str) -> str:
     """Join the parts between underscores, raising the first letter of all but the first."""
-    parts = F.split(name, "_", -1)
-    tail = F.transform(
-        F.slice(parts, 2, F.size(parts)),
-        lambda p: F.concat(F.upper(F.left(p, F.lit(1))), F.substr(p, F.lit(2))),
-    )
-    return F.concat(parts[0], F.array_join(tail, ""))
+    parts = f"split({text}, '_', -1)"
+    raised = fn(lambda p: f"concat(upper(left({p}, 1)), substr({p}, 2))")
+    return f"concat({parts}[0], array_join(transform(slice({parts}, 2, size({parts})), {raised}), ''))"
 
 
-def rename(name: Column, naming: str) -> Column:
+def rename(text: str, naming: str) -> str:
     if naming == "snake_case":
-        return snake_case(name)
+        return snake_case(text)
     if naming == "camelCase":
-        return camel_case(name)
-    return name
+        return camel_case(text)
+    return text
 
 
-def rename_text(name: str, naming: str) -> str:
+def rename_text(text: str, naming: str) -> str:
     """The same rule for a name known while the plan is built."""
     if naming == "snake_case":
-        return re.sub(r"(?s)(?<=.)([A-Z])", r"_\1", name).lower()
+        return re.sub(r"(?s)(?<=.)([A-Z])", r"_\1", text).lower()
     if naming == "camelCase":
-        first, *tail = name.split("_")
+        first, *tail = text.split("_")
         return first + "".join(p[:1].upper() + p[1:] for p in tail)
-    return name
+    return text
 
 
-def rename_keys(fields: Column, naming: str) -> Column:
+def rename_keys(fields: str, naming: str) -> str:
     """Rename the keys of a map. Of fields meeting in one name the last in source order stays."""
     if naming == "preserve":
         return fields
-    return bind(
-        F.transform(F.map_keys(fields), lambda k: rename(k, naming)),
-        lambda names: F.when(
-            all_distinct(names), F.map_from_arrays(names, F.map_values(fields))
-        ).otherwise(_last_per_name(F.map_keys(fields), names, F.map_values(fields))),
-    )
 
+    def renamed(m: str) -> str:
+        return bind(
+            f"transform(map_keys({m}), {fn(lambda k: rename(k, naming))})",
+            lambda names: case(
+                (all_distinct(names), f"map_from_arrays({names}, map_values({m}))"),
+                default=_last_per_name(f"map_keys({m})", names, f"map_values({m})"),
+            ),
+        )
+
+    return bind(fields, renamed)
 
-def _last_per_name(sources: Column, names: Column, values: Column) -> Column:
+
+def _last_per_name(sources: str, names: str, values: str) -> str:
     """Rare path of ``rename_keys``: order positions by source name, keep the last per new name."""
-    order = F.array_sort(F.transform(sources, lambda s, i: F.struct(s.alias("s"), i.alias("i"))))
-    ordered = F.transform(order, lambda o: F.struct(F.get(names, o["i"]).alias("n"), o["i"].alias("i")))
-    kept = bind(
-        ordered,
-        lambda es: F.filter(
-            es,
-            lambda e, j: ~F.exists(F.slice(es, j + 2, F.size(es)), lambda later: later["n"] == e["n"]),
-        ),
-    )
-    return bind(
-        kept,
-        lambda es: F.map_from_arrays(
-            F.transform(es, lambda e: e["n"]), F.transform(es, lambda e: F.get(values, e["i"]))
-        ),
-    )
+    order = f"array_sort(transform({sources}, {fn(lambda s, i: f'struct({s} as s, {i} as i)', 2)}))"
+    ordered = f"transform({order}, {fn(lambda o: f'struct(get({names}, {o}.i) as n, {o}.i as i)')})"
+
+    def kept(es: str) -> str:
+        def is_last(e: str, j: str) -> str:
+            later = f"slice({es}, {j} + 2, size({es}))"
+            return f"not exists({later}, {fn(lambda x: f'{x}.n = {e}.n')})"
+
+        return f"filter({es}, {fn(is_last, 2)})"
+
+    def rebuilt(es: str) -> str:
+        keys = f"transform({es}, {fn(lambda e: f'{e}.n')})"
+        return f"map_from_arrays({keys}, transform({es}, {fn(lambda e: f'get({values}, {e}.i)')}))"
+
+    return bind(bind(ordered, kept), rebuilt)

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from itemflow.functions.expr import case, variant
 
 # The spellings of integers and floats that count as numbers.
 INTEGER = r"^[+-]?[0-9]+$"
@@ -14,56 +13,49 @@ FLOAT = (
 SPECIAL = r"(?i)^(?:[+-]?inf(?:inity)?|nan)$"
 
 
-def int64(text: Column) -> Column:
+def int64(text: str) -> str:
     """BIGINT of an integer literal in range, else NULL (casts alone also trim blanks)."""
-    return F.when(text.rlike(INTEGER), text.try_cast("bigint"))
+    return case((f"{text} rlike r'{INTEGER}'", f"try_cast({text} as bigint)"))
 
 
-def float64(text: Column) -> Column:
+def float64(text: str) -> str:
     """DOUBLE of a float literal, else NULL; a literal too large for float64 is NULL too."""
-    value = text.try_cast("double")
-    finite = F.when(~F.abs(value).isin(float("inf")), value)
-    return F.when(text.rlike(FLOAT), finite).when(text.rlike(SPECIAL), _special(text))
-
-
-def _special(text: Column) -> Column:
-    low = F.lower(text)
-    return (
-        F.when(low == "nan", F.lit(float("nan")))
-        .when(low.startswith("-"), F.lit(float("-inf")))
-        .otherwise(F.lit(float("inf")))
+    value = f"try_cast({text} as double)"
+    finite = case((f"abs({value}) < double('infinity')", value))
+    special = case(
+        (f"lower({text}) = 'nan'", "double('nan')"),
+        (f"{text} like '-%'", "double('-infinity')"),
+        default="double('infinity')",
     )
+    return case((f"{text} rlike r'{FLOAT}'", finite), (f"{text} rlike r'{SPECIAL}'", special))
 
 
-def number(text: Column, wide_numbers: str = "double") -> Column:
+def number(text: str, wide_numbers: str = "double") -> str:
     """VARIANT of a number text: BIGINT, else DOUBLE, else the text itself.
 
     ``wide_numbers='decimal'`` keeps integers beyond int64 exact, up to 38 digits.
     """
-    ways = [int64(text).cast("variant")]
+    ways = [variant(int64(text))]
     if wide_numbers == "decimal":
-        wide = F.when(text.rlike(INTEGER), text.try_cast("decimal(38,0)"))
-        ways.append(wide.cast("variant"))
-    return F.coalesce(*ways, float64(text).cast("variant"), text.cast("variant"))
+        wide = case((f"{text} rlike r'{INTEGER}'", f"try_cast({text} as decimal(38,0))"))
+        ways.append(variant(wide))
+    return f"coalesce({', '.join(ways)}, {variant(float64(text))}, {variant(text)})"
 
 
-def plain_double(value: Column) -> Column:
+def plain_double(value: str) -> str:
     """Decimal text of a double without an exponent: ``1.0E22`` becomes 22 zeros after a 1."""
-    text = F.abs(value).cast("string")
-    digits = F.replace(F.split_part(text, F.lit("E"), F.lit(1)), F.lit("."), F.lit(""))
-    point = F.split_part(text, F.lit("E"), F.lit(2)).try_cast("int") + 1
-    moved = (
-        F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
-        .when(
-            point >= F.length(digits),
-            F.concat(digits, F.repeat(F.lit("0"), point - F.length(digits))),
-        )
-        .otherwise(
-            F.concat(digits.substr(F.lit(1), point), F.lit("."), F.substr(digits, point + 1))
-        )
+    text = f"cast(abs({value}) as string)"
+    digits = f"replace(split_part({text}, 'E', 1), '.', '')"
+    point = f"(try_cast(split_part({text}, 'E', 2) as int) + 1)"
+    moved = case(
+        (f"{point} <= 0", f"concat('0.', repeat('0', -{point}), {digits})"),
+        (f"{point} >= length({digits})", f"concat({digits}, repeat('0', {point} - length({digits})))"),
+        default=f"concat(substr({digits}, 1, {point}), '.', substr({digits}, {point} + 1))",
     )
-    unsigned = F.when(text.contains("E"), moved).otherwise(text)
-    trimmed = F.regexp_replace(unsigned, r"([.][0-9]*?)0+$", "$1")
-    return F.when(F.isnan(value) | F.abs(value).isin(float("inf")), value.cast("string")).otherwise(
-        F.concat(F.when(value < 0, F.lit("-")).otherwise(F.lit("")), F.rtrim(trimmed, F.lit(".")))
+    unsigned = case((f"contains({text}, 'E')", moved), default=text)
+    trimmed = f"trim(trailing '.' from regexp_replace({unsigned}, r'([.][0-9]*?)0+$', '$1'))"
+    return case(
+        (f"isnan({value}) or abs({value}) = double('infinity')", f"cast({value} as string)"),
+        (f"{value} < 0", f"concat('-', {trimmed})"),
+        default=trimmed,
     )

@@ -4,32 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from itemflow.functions.expr import NO_VALUE, VARIANT_MAP, bind, case, fn, get, has_null, lit
 
-from itemflow.functions.expr import VARIANT_MAP, bind, has_null, no_value
 
-
-def as_map(value: Column) -> Column:
+def as_map(value: str) -> str:
     """The fields of an object; NULL for anything else."""
-    return F.try_variant_get(value, "$", VARIANT_MAP)
+    return get(value, VARIANT_MAP)
 
 
-def as_object(fields: Column) -> Column:
+def as_object(fields: str) -> str:
     """The object of a field map; SQL NULL (error) if one of its values is SQL NULL."""
-    return F.when(has_null(F.map_values(fields)), no_value()).otherwise(F.to_variant_object(fields))
+    return case((has_null(f"map_values({fields})"), NO_VALUE), default=f"to_variant_object({fields})")
+
 
+def field(fields: str, key: str) -> str:
+    return f"try_element_at({fields}, {lit(key)})"
 
-def get_path(fields: Column, path: str) -> Column:
+
+def get_path(fields: str, path: str) -> str:
     """Value at a dotted path, SQL NULL when there is none."""
     first, *rest = path.split(".")
-    value = F.try_element_at(fields, F.lit(first))
-    for name in rest:
-        value = F.try_element_at(as_map(value), F.lit(name))
+    value = field(fields, first)
+    for key in rest:
+        value = field(as_map(value), key)
     return value
 
 
-def update_paths(fields: Column, changes: dict[str, Callable[[Column], Column]]) -> Column:
+def update_paths(fields: str, changes: dict[str, Callable[[str], str]]) -> str:
     """Replace the values at existing paths; absent paths are left alone.
 
     No path may be a prefix of another. A change that returns SQL NULL makes every object
@@ -39,45 +40,48 @@ def update_paths(fields: Column, changes: dict[str, Callable[[Column], Column]])
     for path, change in changes.items():
         node = tree
         *parents, last = path.split(".")
-        for name in parents:
-            node = node.setdefault(name, {})
+        for key in parents:
+            node = node.setdefault(key, {})
         node[last] = change
     return _update(fields, tree)
 
 
-def _update(fields: Column, tree: dict) -> Column:
-    def value_of(name: Column, value: Column) -> Column:
-        out = None
-        for key, node in tree.items():
-            new = node(value) if callable(node) else _inside(value, node)
-            out = F.when(name == key, new) if out is None else out.when(name == key, new)
-        return out.otherwise(value)
+def _update(fields: str, tree: dict) -> str:
+    def value_of(key: str, value: str) -> str:
+        branches = [
+            (f"{key} = {lit(part)}", node(value) if callable(node) else _inside(value, node))
+            for part, node in tree.items()
+        ]
+        return case(*branches, default=value)
 
-    return F.transform_values(fields, value_of)
+    return f"transform_values({fields}, {fn(value_of, 2)})"
 
 
-def _inside(value: Column, tree: dict) -> Column:
+def _inside(value: str, tree: dict) -> str:
     return bind(
         as_map(value),
-        lambda inner: F.when(inner.isNull(), value).otherwise(
-            bind(_update(inner, tree), as_object)
+        lambda inner: case(
+            (f"{inner} is null", value), default=bind(_update(inner, tree), as_object)
         ),
     )
 
 
-def set_path(fields: Column, path: str, value: Column) -> Column:
+def set_path(fields: str, path: str, value: str) -> str:
     """Set the value at a dotted path, making missing parents.
 
     NULL when a parent exists but is no object.
     """
     first, *rest = path.split(".")
-    if rest:
-        child = F.try_element_at(fields, F.lit(first))
-        inner = F.when(child.isNull(), F.create_map().cast(VARIANT_MAP)).otherwise(as_map(child))
-        value = bind(inner, lambda m: F.when(m.isNotNull(), _object_or_none(set_path(m, ".".join(rest), value))))
-    others = F.map_filter(fields, lambda k, _: k != first)
-    return F.when(value.isNotNull(), F.map_concat(others, F.create_map(F.lit(first), value)))
 
+    def put(new: str) -> str:
+        others = f"map_filter({fields}, {fn(lambda k, _: f'{k} <> {lit(first)}', 2)})"
+        return case((f"{new} is not null", f"map_concat({others}, map({lit(first)}, {new}))"))
 
-def _object_or_none(fields: Column) -> Column:
-    return bind(fields, lambda m: F.when(m.isNotNull(), F.to_variant_object(m)))
+    if not rest:
+        return bind(value, put)
+    child = field(fields, first)
+    inner = case(
+        (f"{child} is null", f"cast(map() as {VARIANT_MAP})"), default=as_map(child)
+    )
+    changed = bind(inner, lambda m: set_path(m, ".".join(rest), value))
+    return bind(bind(changed, lambda m: case((f"{m} is not null", f"to_variant_object({m})"))), put)

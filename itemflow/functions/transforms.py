@@ -8,12 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from itemflow.functions.expr import bind
+from itemflow.functions.expr import bind, case, fn, get, variant
 from itemflow.functions.numbers import float64, int64
-from itemflow.functions.paths import as_map, update_paths
+from itemflow.functions.paths import as_map, field, update_paths
 
 # The accepted date-time spellings; zone-less text is UTC.
 RFC3339 = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.,][0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})$"
@@ -23,139 +20,123 @@ DATE_ONLY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 MAX_SECONDS = 9223372036854
 # Fixed value: name of the field behind a text that is read as JSON.
 AFTER = "after the value"
+# An escaped backslash and quote, and their spelling by code point.
+BACKSLASH = ("r'\\\\'", "r'\\u005c'")
+QUOTE = ("r'\\\"'", "r'\\u0022'")
+
 
+def in_range(seconds: str) -> str:
+    return f"{seconds} between -{MAX_SECONDS} and {MAX_SECONDS}"
 
-def text_to_timestamp(text: Column) -> Column:
+
+def text_to_timestamp(text: str) -> str:
     """TIMESTAMP of date-time text or of integer Unix seconds; NULL for anything else."""
-    dotted = F.replace(text, F.lit(","), F.lit("."))
+    dotted = f"replace({text}, ',', '.')"
     seconds = int64(text)
-    return (
-        F.when(text.rlike(RFC3339), dotted.try_cast("timestamp"))
-        .when(
-            text.rlike(BLANK_SEPARATED) | text.rlike(DATE_ONLY),
-            F.concat(
-                F.when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00"))).otherwise(dotted),
-                F.lit("Z"),
-            ).try_cast("timestamp"),
-        )
-        .when(seconds.between(-MAX_SECONDS, MAX_SECONDS), F.timestamp_seconds(seconds))
+    return case(
+        (f"{text} rlike r'{RFC3339}'", f"try_cast({dotted} as timestamp)"),
+        (f"{text} rlike r'{BLANK_SEPARATED}'", f"try_cast(concat({dotted}, 'Z') as timestamp)"),
+        (f"{text} rlike r'{DATE_ONLY}'", f"try_cast(concat({text}, 'T00:00:00Z') as timestamp)"),
+        (in_range(seconds), f"timestamp_seconds({seconds})"),
     )
 
 
-def text_to_double(text: Column) -> Column:
+def text_to_double(text: str) -> str:
     """DOUBLE of numeric text, integers included."""
     return float64(text)
 
 
-def _is(kind: Column, name: str) -> Column:
-    return kind == name
+def by_kind(value: str, body: Callable[[str], str]) -> str:
+    return bind(f"schema_of_variant({value})", body)
 
 
-def _string(value: Column) -> Column:
-    return F.try_variant_get(value, "$", "string")
-
-
-def to_datetime(value: Column) -> Column:
-    seconds = F.try_variant_get(value, "$", "bigint")
-    fraction = F.try_variant_get(value, "$", "double")
-    return bind(
-        F.schema_of_variant(value),
-        lambda kind: F.when(_is(kind, "VOID"), value)
-        .when(_is(kind, "STRING"), text_to_timestamp(_string(value)).cast("variant"))
-        .when(
-            _is(kind, "BIGINT") & seconds.between(-MAX_SECONDS, MAX_SECONDS),
-            F.timestamp_seconds(seconds).cast("variant"),
-        )
-        .when(
-            _is(kind, "DOUBLE") & fraction.between(-MAX_SECONDS, MAX_SECONDS),
-            F.timestamp_seconds(fraction).cast("variant"),
+def to_datetime(value: str) -> str:
+    seconds, fraction = get(value, "bigint"), get(value, "double")
+    return by_kind(
+        value,
+        lambda kind: case(
+            (f"{kind} = 'VOID'", value),
+            (f"{kind} = 'STRING'", variant(bind(get(value, "string"), text_to_timestamp))),
+            (f"{kind} = 'BIGINT' and {in_range(seconds)}", variant(f"timestamp_seconds({seconds})")),
+            (f"{kind} = 'DOUBLE' and {in_range(fraction)}", variant(f"timestamp_seconds({fraction})")),
         ),
     )
 
 
-def to_decimal(value: Column, exact: bool = False) -> Column:
+def to_decimal(value: str, exact: bool = False) -> str:
     """Numeric text becomes DOUBLE (DECIMAL(38,18) when ``exact``); numbers stay as they are."""
-    text = _string(value)
-    parsed = (
-        F.when(text_to_double(text).isNotNull(), text.try_cast("decimal(38,18)"))
-        if exact
-        else text_to_double(text)
-    )
-    return bind(
-        F.schema_of_variant(value),
-        lambda kind: F.when(_is(kind, "STRING"), parsed.cast("variant")).when(
-            kind.isin("VOID", "BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL"), value
+
+    def parsed(text: str) -> str:
+        if exact:
+            return case((f"{float64(text)} is not null", f"try_cast({text} as decimal(38,18))"))
+        return float64(text)
+
+    return by_kind(
+        value,
+        lambda kind: case(
+            (f"{kind} = 'STRING'", variant(bind(get(value, "string"), parsed))),
+            (f"{kind} in ('VOID', 'BIGINT', 'DOUBLE', 'FLOAT') or {kind} like 'DECIMAL%'", value),
         ),
     )
 
 
-def parse_json_text(text: Column) -> Column:
+def parse_json_text(text: str) -> str:
     """VARIANT of JSON text in which every number is a DOUBLE; NULL if it is not JSON.
 
-    Escaped quotes and backslashes are spelled as ``\\u`` escapes first, so that the pieces
+    Escaped quotes and backslashes are spelled by code point first, so that the pieces
     between quotes alternate between outside and inside a string; numbers outside get an
     exponent, which makes the parser read them as doubles. The parser ignores what follows
     a complete value, so the text is read as one field of an object with a field behind it.
     """
-    plain = F.replace(
-        F.replace(text, F.lit("\\\\"), F.lit("\\u005c")), F.lit('\\"'), F.lit("\\u0022")
-    )
-    pieces = F.transform(
-        F.split(plain, '"', -1),
-        lambda piece, i: F.when(
-            i % 2 == 0,
-            F.regexp_replace(
-                piece, r"(?<![0-9.eE+-])(-?[0-9]+(?:[.][0-9]+)?)(?![0-9.eE])", "$1E0"
-            ),
-        ).otherwise(piece),
-    )
-    framed = F.concat(F.lit('{"v":'), F.array_join(pieces, '"'), F.lit(f',"{AFTER}":0}}'))
+    plain = f"replace(replace({text}, {BACKSLASH[0]}, {BACKSLASH[1]}), {QUOTE[0]}, {QUOTE[1]})"
+
+    def piece(part: str, i: str) -> str:
+        number = r"(?<![0-9.eE+-])(-?[0-9]+(?:[.][0-9]+)?)(?![0-9.eE])"
+        return case((f"{i} % 2 = 0", f"regexp_replace({part}, r'{number}', '$1E0')"), default=part)
+
+    pieces = f"transform(split({plain}, '\"', -1), {fn(piece, 2)})"
+    framed = f"""concat('{{"v":', array_join({pieces}, '"'), ',"{AFTER}":0}}')"""
     return bind(
-        as_map(F.try_parse_json(framed)),
-        lambda m: F.when(
-            (F.size(m) == 2) & F.try_element_at(m, F.lit(AFTER)).isNotNull(),
-            F.try_element_at(m, F.lit("v")),
-        ),
+        as_map(f"try_parse_json({framed})"),
+        lambda m: case((f"size({m}) = 2 and {field(m, AFTER)} is not null", field(m, "v"))),
     )
 
 
-def to_array(value: Column) -> Column:
+def to_array(value: str) -> str:
     """Arrays stay, JSON array text is parsed, anything else is wrapped."""
-    wrapped = F.array(value).cast("variant")
-    from_text = bind(
-        parse_json_text(_string(value)),
-        lambda parsed: F.when(
-            F.schema_of_variant(parsed).startswith("ARRAY") | (F.schema_of_variant(parsed) == "VOID"),
-            parsed,
-        ).otherwise(wrapped),
-    )
-    return bind(
-        F.schema_of_variant(value),
-        lambda kind: F.when(kind.startswith("ARRAY") | _is(kind, "VOID"), value)
-        .when(_is(kind, "STRING"), from_text)
-        .when(kind.isNotNull(), wrapped),
+    wrapped = variant(f"array({value})")
+
+    def from_text(parsed: str) -> str:
+        kind = f"schema_of_variant({parsed})"
+        return case((f"{kind} like 'ARRAY%' or {kind} = 'VOID'", parsed), default=wrapped)
+
+    return by_kind(
+        value,
+        lambda kind: case(
+            (f"{kind} like 'ARRAY%' or {kind} = 'VOID'", value),
+            (f"{kind} = 'STRING'", bind(parse_json_text(get(value, "string")), from_text)),
+            (f"{kind} is not null", wrapped),
+        ),
     )
 
 
-def to_object(value: Column) -> Column:
+def to_object(value: str) -> str:
     """Objects stay, JSON object text is parsed, anything else cannot be converted."""
-    from_text = bind(
-        parse_json_text(_string(value)),
-        lambda parsed: F.when(
-            F.schema_of_variant(parsed).startswith("OBJECT")
-            | (F.schema_of_variant(parsed) == "VOID"),
-            parsed,
-        ),
-    )
-    return bind(
-        F.schema_of_variant(value),
-        lambda kind: F.when(kind.startswith("OBJECT") | _is(kind, "VOID"), value).when(
-            _is(kind, "STRING"), from_text
+
+    def from_text(parsed: str) -> str:
+        kind = f"schema_of_variant({parsed})"
+        return case((f"{kind} like 'OBJECT%' or {kind} = 'VOID'", parsed))
+
+    return by_kind(
+        value,
+        lambda kind: case(
+            (f"{kind} like 'OBJECT%' or {kind} = 'VOID'", value),
+            (f"{kind} = 'STRING'", bind(parse_json_text(get(value, "string")), from_text)),
         ),
     )
 
 
-TRANSFORMS: dict[str, Callable[[Column], Column]] = {
+TRANSFORMS: dict[str, Callable[[str], str]] = {
     "datetime": to_datetime,
     "decimal128": to_decimal,
     "array": to_array,
@@ -163,7 +144,7 @@ TRANSFORMS: dict[str, Callable[[Column], Column]] = {
 }
 
 
-def transform_value(value: Column, kind: str, exact_decimals: bool = False) -> Column:
+def transform_value(value: str, kind: str, exact_decimals: bool = False) -> str:
     if kind == "decimal128":
         return to_decimal(value, exact_decimals)
     return TRANSFORMS[kind](value)
@@ -186,7 +167,7 @@ def passes(transforms: Sequence[tuple[str, str]]) -> list[dict[str, str]]:
     return groups
 
 
-def apply_transforms(fields: Column, group: dict[str, str], exact_decimals: bool = False) -> Column:
+def apply_transforms(fields: str, group: dict[str, str], exact_decimals: bool = False) -> str:
     """One group of ``passes`` applied to a MAP<STRING, VARIANT>; failed fields become SQL NULL."""
     return update_paths(
         fields,

@@ -8,13 +8,11 @@ seconds, DOUBLE reads numeric text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from itemflow.functions.expr import bind
+from itemflow.functions.expr import bind, case, fn, lit, name
 from itemflow.functions.numbers import int64
-from itemflow.functions.transforms import MAX_SECONDS, text_to_double, text_to_timestamp
+from itemflow.functions.transforms import in_range, text_to_double, text_to_timestamp
 from itemflow.functions.wire import av_type, decode_value
 
 _SMALL = (T.ByteType, T.ShortType, T.IntegerType)
@@ -47,66 +45,62 @@ def wire_type(dtype: T.DataType) -> str:
     return f"struct<{', '.join(tags)}>"
 
 
-def _number(text: Column, dtype: T.DataType) -> Column:
+def _number(text: str, dtype: T.DataType) -> str:
     if isinstance(dtype, T.LongType):
         return int64(text)
     if isinstance(dtype, _SMALL):
-        return int64(text).try_cast(dtype)
+        return f"try_cast({int64(text)} as {dtype.simpleString()})"
     if isinstance(dtype, T.DecimalType):
-        return F.when(text_to_double(text).isNotNull(), text.try_cast(dtype))
-    return text_to_double(text).cast(dtype)
+        exact = f"try_cast({text} as {dtype.simpleString()})"
+        return case((f"{text_to_double(text)} is not null", exact))
+    return f"cast({text_to_double(text)} as {dtype.simpleString()})"
 
 
-def typed_value(av: Column, dtype: T.DataType) -> Column:
+def typed_value(av: str, dtype: T.DataType) -> str:
     if isinstance(dtype, T.VariantType):
         return decode_value(av)
     if isinstance(dtype, T.StructType):
-        fields = [typed_value(av["M"][f.name], f.dataType).alias(f.name) for f in dtype.fields]
-        return F.when(av["M"].isNotNull(), F.struct(*fields))
+        fields = [f"{lit(f.name)}, {typed_value(f'{av}.M.{name(f.name)}', f.dataType)}" for f in dtype]
+        return case((f"{av}.M is not null", f"named_struct({', '.join(fields)})"))
     if isinstance(dtype, T.MapType):
-        return F.transform_values(av["M"], lambda _, v: typed_value(v, dtype.valueType))
+        return f"transform_values({av}.M, {fn(lambda _, v: typed_value(v, dtype.valueType), 2)})"
     if isinstance(dtype, T.ArrayType):
-        out = F.transform(av["L"], lambda v: typed_value(v, dtype.elementType))
-        if isinstance(dtype.elementType, T.StringType):
-            return F.coalesce(out, av["SS"], av["BS"])
-        if isinstance(dtype.elementType, T.NumericType):
-            return F.coalesce(out, F.transform(av["NS"], lambda n: _number(n, dtype.elementType)))
+        element = dtype.elementType
+        out = f"transform({av}.L, {fn(lambda v: typed_value(v, element))})"
+        if isinstance(element, T.StringType):
+            return f"coalesce({out}, {av}.SS, {av}.BS)"
+        if isinstance(element, T.NumericType):
+            return f"coalesce({out}, transform({av}.NS, {fn(lambda n: _number(n, element))}))"
         return out
     if isinstance(dtype, T.BooleanType):
-        return av["BOOL"]
+        return f"{av}.BOOL"
     if isinstance(dtype, T.NumericType):
-        return _number(F.coalesce(av["N"], av["S"]), dtype)
+        return bind(f"coalesce({av}.N, {av}.S)", lambda text: _number(text, dtype))
     if isinstance(dtype, T.TimestampType):
         from_number = bind(
-            text_to_double(av["N"]),
-            lambda s: F.when(s.between(-MAX_SECONDS, MAX_SECONDS), F.timestamp_seconds(s)),
+            text_to_double(f"{av}.N"), lambda s: case((in_range(s), f"timestamp_seconds({s})"))
         )
-        return F.coalesce(text_to_timestamp(av["S"]), from_number)
-    text = F.coalesce(av["S"], av["B"])
-    return text if isinstance(dtype, T.StringType) else text.try_cast(dtype)
+        return f"coalesce({bind(f'{av}.S', text_to_timestamp)}, {from_number})"
+    text = f"coalesce({av}.S, {av}.B)"
+    return text if isinstance(dtype, T.StringType) else f"try_cast({text} as {dtype.simpleString()})"
 
 
-def misfit(av: Column, value: Column, dtype: T.DataType) -> Column:
+def misfit(av: str, value: str, dtype: T.DataType) -> str:
     """True when an attribute is there, is no explicit null, and does not fit the type.
 
     ``value`` is the decoded attribute, so that nothing is converted twice.
     """
-    own = av.isNotNull() & av["NULL"].isNull() & value.isNull()
-    inside = F.lit(False)
+    any_of = [f"({av} is not null and {av}.`NULL` is null and {value} is null)"]
     if isinstance(dtype, T.StructType):
-        for f in dtype.fields:
-            inside = inside | misfit(av["M"][f.name], value[f.name], f.dataType)
+        for f in dtype:
+            any_of.append(misfit(f"{av}.M.{name(f.name)}", f"{value}.{name(f.name)}", f.dataType))
     elif isinstance(dtype, T.MapType):
-        pairs = F.zip_with(
-            F.map_values(av["M"]),
-            F.map_values(value),
-            lambda a, v: misfit(a, v, dtype.valueType),
-        )
-        inside = F.array_contains(pairs, True)
+        pair = fn(lambda a, v: misfit(a, v, dtype.valueType), 2)
+        any_of.append(f"array_contains(zip_with(map_values({av}.M), map_values({value}), {pair}), true)")
     elif isinstance(dtype, T.ArrayType):
-        pairs = F.zip_with(av["L"], value, lambda a, v: misfit(a, v, dtype.elementType))
-        inside = F.array_contains(pairs, True)
+        pair = fn(lambda a, v: misfit(a, v, dtype.elementType), 2)
+        any_of.append(f"array_contains(zip_with({av}.L, {value}, {pair}), true)")
         if isinstance(dtype.elementType, T.NumericType):
-            lost = av["NS"].isNotNull() & F.exists(value, lambda v: v.isNull())
-            inside = F.coalesce(inside, F.lit(False)) | lost
-    return own | F.coalesce(inside, F.lit(False))
+            any_of.append(f"({av}.NS is not null and exists({value}, {fn(lambda v: f'{v} is null')}))")
+    return "(" + " or ".join(f"coalesce({part}, false)" for part in any_of) + ")"
+

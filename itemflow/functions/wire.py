@@ -9,10 +9,16 @@ values below the declared depth all surface at the top of the item without a sec
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-from itemflow.functions.expr import all_distinct, bind, has_null, no_value, null_variant
+from itemflow.functions.expr import (
+    NO_VALUE,
+    NULL_VARIANT,
+    all_distinct,
+    bind,
+    case,
+    fn,
+    has_null,
+    variant,
+)
 from itemflow.functions.naming import rename
 from itemflow.functions.numbers import number
 
@@ -38,65 +44,67 @@ def av_map_type(depth: int = DEFAULT_DEPTH) -> str:
 
 
 def decode_value(
-    av: Column,
+    av: str,
     depth: int = DEFAULT_DEPTH,
     naming: str = "preserve",
     binary: str = "base64",
     wide_numbers: str = "double",
-) -> Column:
+) -> str:
     """VARIANT of an attribute value; SQL NULL when it cannot be decoded natively."""
 
-    def numeric(text: Column) -> Column:
+    def numeric(text: str) -> str:
         return number(text, wide_numbers)
 
-    def blob(text: Column) -> Column:
+    def blob(text: str) -> str:
         # Exports hold Base64 text; utf8 gives the bytes themselves as a string.
-        return text if binary == "base64" else F.decode(F.unbase64(text), "UTF-8")
+        return text if binary == "base64" else f"decode(unbase64({text}), 'UTF-8')"
 
-    def level(av: Column, depth: int) -> Column:
-        value = F.when(av["S"].isNotNull(), av["S"].cast("variant")).when(
-            av["N"].isNotNull(), numeric(av["N"])
-        )
+    def level(av: str, depth: int) -> str:
+        branches = [
+            (f"{av}.S is not null", variant(f"{av}.S")),
+            (f"{av}.N is not null", numeric(f"{av}.N")),
+        ]
         if depth > 0:
-            children = F.transform(
-                F.coalesce(F.map_values(av["M"]), av["L"]), lambda child: level(child, depth - 1)
-            )
-            value = value.when(
-                av["M"].isNotNull() | av["L"].isNotNull(),
-                bind(children, lambda kids: _container(av, kids, naming)),
+            children = f"coalesce(map_values({av}.M), {av}.L)"
+            decoded = f"transform({children}, {fn(lambda child: level(child, depth - 1))})"
+            branches.append(
+                (
+                    f"{av}.M is not null or {av}.L is not null",
+                    bind(decoded, lambda kids: _container(av, kids, naming)),
+                )
             )
-        return (
-            value.when(av["BOOL"].isNotNull(), av["BOOL"].cast("variant"))
-            .when(av["NULL"].isNotNull(), null_variant())
-            .when(av["SS"].isNotNull(), av["SS"].cast("variant"))
-            .when(av["NS"].isNotNull(), F.transform(av["NS"], numeric).cast("variant"))
-            .when(av["B"].isNotNull(), blob(av["B"]).cast("variant"))
-            .when(av["BS"].isNotNull(), F.transform(av["BS"], blob).cast("variant"))
-        )
+        branches += [
+            (f"{av}.BOOL is not null", variant(f"{av}.BOOL")),
+            (f"{av}.`NULL` is not null", NULL_VARIANT),
+            (f"{av}.SS is not null", variant(f"{av}.SS")),
+            (f"{av}.NS is not null", variant(f"transform({av}.NS, {fn(numeric)})")),
+            (f"{av}.B is not null", variant(blob(f"{av}.B"))),
+            (f"{av}.BS is not null", variant(f"transform({av}.BS, {fn(blob)})")),
+        ]
+        return case(*branches)
 
     return level(av, depth)
 
 
-def _container(av: Column, kids: Column, naming: str) -> Column:
-    names = F.map_keys(av["M"])
+def _container(av: str, kids: str, naming: str) -> str:
+    names = f"map_keys({av}.M)"
     if naming != "preserve":
-        names = F.transform(names, lambda n: rename(n, naming))
+        names = f"transform({names}, {fn(lambda n: rename(n, naming))})"
     # Names that meet after renaming are left to the Arrow path, like values nested too deep.
     as_object = bind(
-        names, lambda ns: F.when(all_distinct(ns), F.to_variant_object(F.map_from_arrays(ns, kids)))
+        names,
+        lambda ns: case((all_distinct(ns), f"to_variant_object(map_from_arrays({ns}, {kids}))")),
     )
-    return (
-        F.when(has_null(kids), no_value())
-        .when(av["M"].isNotNull(), as_object)
-        .otherwise(kids.cast("variant"))
+    return case(
+        (has_null(kids), NO_VALUE), (f"{av}.M is not null", as_object), default=variant(kids)
     )
 
 
-def decode_map(item: Column, depth: int = DEFAULT_DEPTH, **options: str) -> Column:
+def decode_map(item: str, depth: int = DEFAULT_DEPTH, **options: str) -> str:
     """MAP<STRING, VARIANT> of an item; attributes that cannot be decoded hold SQL NULL."""
-    return F.transform_values(item, lambda _, av: decode_value(av, depth, **options))
+    return f"transform_values({item}, {fn(lambda _, av: decode_value(av, depth, **options), 2)})"
 
 
-def is_complete(item: Column, decoded: Column) -> Column:
+def is_complete(item: str, decoded: str) -> str:
     """True when every attribute was decoded and no attribute name repeats."""
-    return ~has_null(F.map_values(decoded)) & all_distinct(F.map_keys(item))
+    return f"(not {has_null(f'map_values({decoded})')} and {all_distinct(f'map_keys({item})')})"

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from itemflow.functions.deep import decode_deep
-from itemflow.functions.expr import VARIANT_MAP, bind, once
+from itemflow.functions.expr import bind, case, fn, lit, name, once
 from itemflow.functions.keys import composite_key, variant_key
 from itemflow.functions.naming import rename_keys, rename_text
-from itemflow.functions.paths import as_object
+from itemflow.functions.paths import as_object, field
 from itemflow.functions.transforms import apply_transforms, passes
 from itemflow.functions.wire import decode_map, is_complete
 from itemflow.plans.pair import Mapping
@@ -23,8 +23,9 @@ from itemflow.sources.items import typed_items
 GOOD, BAD = "good", "quarantine"
 
 
-def _failing(fields: Column) -> Column:
-    return F.array_join(F.array_sort(F.map_keys(F.map_filter(fields, lambda _, v: v.isNull()))), ",")
+def _failing(fields: str) -> str:
+    bad = f"map_filter({fields}, {fn(lambda _, v: f'{v} is null', 2)})"
+    return f"array_join(array_sort(map_keys({bad})), ',')"
 
 
 def decode_items(
@@ -48,20 +49,21 @@ def decode_items(
 
     # ``item`` is used once, so its parser runs inside this one expression and neither the
     # wire form nor the partly decoded map is ever written out as a row.
-    def decoded(wire: Column) -> Column:
-        native = bind(
-            decode_map(wire, mapping.depth, **options),
-            lambda m: bind(
-                F.when(is_complete(wire, m), m),
-                lambda attrs: F.struct(
-                    attrs.alias("attrs"), F.when(attrs.isNull(), _failing(m)).alias("failed")
+    def decoded(wire: str) -> str:
+        def checked(native: str) -> str:
+            return bind(
+                case((is_complete(wire, native), native)),
+                lambda attrs: (
+                    f"struct({attrs} as attrs, "
+                    f"{case((f'{attrs} is null', _failing(native)))} as failed)"
                 ),
-            ),
-        )
-        return F.when(wire.isNotNull(), native)
+            )
+
+        native = bind(decode_map(wire, mapping.depth, **options), checked)
+        return case((f"{wire} is not null", native))
 
     passed = [F.col(c) for c in items.columns if c != item]
-    rows = items.select(*passed, bind(F.col(item), decoded).alias("_decoded")).select(
+    rows = items.select(*passed, F.expr(bind(name(item), decoded)).alias("_decoded")).select(
         *passed,
         F.col("_decoded.attrs").alias("attrs"),
         F.when(F.col("_decoded").isNull(), "*").otherwise(F.col("_decoded.failed")).alias("failed"),
@@ -73,41 +75,71 @@ def decode_items(
     return rows.withColumn("attrs", F.coalesce("attrs", "_deep")).drop("_deep")
 
 
-def _key_value(attrs: Column, mapping: Mapping) -> Column:
-    values = [F.try_element_at(attrs, F.lit(f)) for f in mapping.key_fields]
+def _key_value(attrs: str, mapping: Mapping) -> str:
+    values = [field(attrs, f) for f in mapping.key_fields]
     if len(values) == 1:
         return values[0]
-    present = values[0].isNotNull()
-    for value in values[1:]:
-        present = present & value.isNotNull()
-    names = [rename_text(f, mapping.naming) for f in mapping.key_fields]
-    parts = F.struct(*[v.alias(n) for v, n in zip(values, names, strict=True)])
-    return F.when(present, F.to_variant_object(parts))
+    present = " and ".join(f"{v} is not null" for v in values)
+    parts = [
+        f"{v} as {name(rename_text(f, mapping.naming))}"
+        for f, v in zip(mapping.key_fields, values, strict=True)
+    ]
+    return case((present, f"to_variant_object(struct({', '.join(parts)}))"))
 
 
-def document_fields(attrs: Column, mapping: Mapping) -> Column:
+def document_fields(attrs: str, mapping: Mapping) -> str:
     """Renamed fields with the key under its target name, which wins over a field of that name."""
-    target = mapping.key_target
     if mapping.key_source is None:
         return rename_keys(attrs, mapping.naming)
-    sources = list(mapping.key_fields)
-    key = _key_value(attrs, mapping)
-    rest = rename_keys(F.map_filter(attrs, lambda k, _: ~k.isin(sources)), mapping.naming)
-    with_key = F.map_concat(
-        F.create_map(F.lit(target), key), F.map_filter(rest, lambda k, _: k != target)
-    )
-    missing = rest if len(sources) == 1 else rename_keys(attrs, mapping.naming)
-    return F.when(key.isNotNull(), with_key).otherwise(missing)
+    sources = ", ".join(lit(f) for f in mapping.key_fields)
+    target = lit(mapping.key_target)
+    others = f"map_filter({attrs}, {fn(lambda k, _: f'{k} not in ({sources})', 2)})"
+
+    def keyed(key: str) -> str:
+        rest = rename_keys(others, mapping.naming)
+        free = f"map_filter({rest}, {fn(lambda k, _: f'{k} <> {target}', 2)})"
+        return case(
+            (f"{key} is not null", f"map_concat(map({target}, {key}), {free})"),
+            default=rename_keys(attrs, mapping.naming),
+        )
+
+    return bind(_key_value(attrs, mapping), keyed)
 
 
-def document_key(attrs: Column, fields: Column, mapping: Mapping) -> Column:
+def document_key(attrs: str, fields: str, mapping: Mapping) -> str:
     """Canonical key: the mapped attributes before any transform, so that a change record's
     keys give the same text; else the field already called like the key."""
-    own = variant_key(F.try_element_at(fields, F.lit(mapping.key_target)))
+    own = variant_key(field(fields, mapping.key_target))
     if mapping.key_source is None:
         return own
-    parts = [variant_key(F.try_element_at(attrs, F.lit(f))) for f in mapping.key_fields]
-    return F.coalesce(composite_key(parts), own)
+    parts = [variant_key(field(attrs, f)) for f in mapping.key_fields]
+    return f"coalesce({composite_key(parts)}, {own})"
+
+
+def _document(attrs: str, mapping: Mapping) -> str:
+    """STRUCT<key, doc, failed> of decoded attributes."""
+
+    def finish(fields: str, key: str) -> str:
+        return bind(
+            as_object(fields),
+            lambda doc: (
+                f"struct({key} as key, {doc} as doc, "
+                f"{case((f'{doc} is null', _failing(fields)))} as failed)"
+            ),
+        )
+
+    def transformed(fields: str, key: str, todo: list) -> str:
+        if not todo:
+            return finish(fields, key)
+        changed = apply_transforms(fields, todo[0], mapping.exact_decimals)
+        return bind(changed, lambda m: transformed(m, key, todo[1:]))
+
+    return bind(
+        document_fields(attrs, mapping),
+        lambda fields: transformed(
+            fields, document_key(attrs, fields, mapping), passes(mapping.transforms)
+        ),
+    )
 
 
 def to_documents(
@@ -120,36 +152,13 @@ def to_documents(
     """Document rows of parsed items (``raw`` and ``item``); other columns pass through."""
     passed = [F.col(c) for c in items.columns if c not in ("raw", item)]
     rows = decode_items(items, mapping, item, path, deep)
-    groups = passes(mapping.transforms)
-
-    def document(attrs: Column) -> Column:
-        def finish(fields: Column, key: Column) -> Column:
-            return bind(
-                as_object(fields),
-                lambda doc: F.struct(
-                    key.alias("key"),
-                    doc.alias("doc"),
-                    F.when(doc.isNull(), _failing(fields)).alias("failed"),
-                ),
-            )
-
-        def transformed(fields: Column, key: Column, todo: list) -> Column:
-            if not todo:
-                return finish(fields, key)
-            changed = apply_transforms(fields, todo[0], mapping.exact_decimals)
-            return bind(changed, lambda m: transformed(m, key, todo[1:]))
-
-        return bind(
-            document_fields(attrs, mapping),
-            lambda fields: transformed(fields, document_key(attrs, fields, mapping), groups),
-        )
-
+    made = bind("attrs", lambda a: case((f"{a} is not null", _document(a, mapping))))
     rows = rows.select(
         *passed,
         "raw",
         "failed",
         F.col("attrs").isNotNull().alias("_decoded"),
-        once(F.when(F.col("attrs").isNotNull(), bind(F.col("attrs"), document))).alias("_made"),
+        once(made).alias("_made"),
     )
     ok = F.col("_made.doc").isNotNull()
     return rows.select(
@@ -205,6 +214,3 @@ def good(rows: DataFrame) -> DataFrame:
 def quarantined(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("status") == BAD).select("raw", "field", "reason")
 
-
-def fields_of(rows: DataFrame, doc: str = "doc") -> Column:
-    return F.try_variant_get(F.col(doc), "$", VARIANT_MAP)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from itemflow.functions.expr import bind, case
 from itemflow.functions.keys import composite_key, variant_key
 from itemflow.functions.naming import rename_keys
+from itemflow.functions.paths import field
 from itemflow.functions.wire import av_map_type, decode_map, is_complete
 from itemflow.operators.convert import BAD, to_documents
 from itemflow.plans.pair import Mapping
@@ -31,17 +33,23 @@ def problem(event_name: Column, new_image: Column, keys: Column) -> Column:
     )
 
 
-def delete_key(keys: Column, mapping: Mapping) -> Column:
+def delete_key(keys: str, mapping: Mapping) -> str:
     """Canonical key of a delete: the mapped key if it is there, else all keys, converted."""
-    decoded = decode_map(keys, 0, binary=mapping.binary, wide_numbers=mapping.wide_numbers)
-    fields = rename_keys(decoded, mapping.naming)
-    own = variant_key(F.try_element_at(fields, F.lit(mapping.key_target)))
-    whole = F.concat(F.lit("k:"), F.to_json(F.to_variant_object(fields)))
-    fallback = F.coalesce(own, F.when(is_complete(keys, decoded), whole))
-    if mapping.key_source is None:
-        return fallback
-    parts = [variant_key(F.try_element_at(decoded, F.lit(f))) for f in mapping.key_fields]
-    return F.coalesce(composite_key(parts), fallback)
+
+    def of_decoded(decoded: str) -> str:
+        def fallback(fields: str) -> str:
+            own = variant_key(field(fields, mapping.key_target))
+            whole = f"concat('k:', to_json(to_variant_object({fields})))"
+            return f"coalesce({own}, {case((is_complete(keys, decoded), whole))})"
+
+        unmapped = bind(rename_keys(decoded, mapping.naming), fallback)
+        if mapping.key_source is None:
+            return unmapped
+        parts = [variant_key(field(decoded, f)) for f in mapping.key_fields]
+        return f"coalesce({composite_key(parts)}, {unmapped})"
+
+    options = {"binary": mapping.binary, "wide_numbers": mapping.wide_numbers}
+    return bind(decode_map(keys, 0, **options), of_decoded)
 
 
 def to_operations(
@@ -68,7 +76,7 @@ def to_operations(
     if not strict:
         routed = routed.filter(F.col("op").isNotNull() | (F.col("_problem") == "malformed record"))
     is_delete = F.col("op") == DELETE
-    routed = routed.withColumn("_delete_key", F.when(is_delete, delete_key(F.col("_keys"), mapping)))
+    routed = routed.withColumn("_delete_key", F.when(is_delete, F.expr(delete_key("_keys", mapping))))
     rows = to_documents(routed.drop("_keys"), mapping, path=("dynamodb", "NewImage"), deep=deep)
     lost_key = is_delete & F.col("_delete_key").isNull()
     reason = F.when(lost_key, "keys cannot be decoded").otherwise(F.coalesce("_problem", "reason"))

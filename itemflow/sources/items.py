@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from itemflow.functions.expr import bind, once
+from itemflow.functions.expr import bind, case, lit, name, once
+from itemflow.functions.paths import field
 from itemflow.functions.typed import misfit, typed_value, wire_type
 from itemflow.functions.wire import DEFAULT_DEPTH, av_map_type, av_type
 from itemflow.plans.pair import Scan
@@ -61,11 +62,11 @@ def filter_items(items: DataFrame, scan: Scan) -> DataFrame:
     for alias in sorted(scan.names, key=len, reverse=True):
         text = re.sub(re.escape(alias) + r"\b", f"_attr.`{scan.names[alias]}`", text)
     typed = []
-    for name, ddl in scan.attributes.items():
+    for attribute, ddl in scan.attributes.items():
         dtype = T._parse_datatype_string(ddl)
-        value = typed_value(F.try_element_at("item", F.lit(name)), dtype)
-        typed.append(value.alias(name))
-        text = re.sub(rf"(?<![\w`.:']){re.escape(name)}(?![\w`'])", f"_attr.`{name}`", text)
+        value = bind(field("item", attribute), lambda av: typed_value(av, dtype))
+        typed.append(F.expr(value).alias(attribute))
+        text = re.sub(rf"(?<![\w`.:']){re.escape(attribute)}(?![\w`'])", f"_attr.`{attribute}`", text)
     parsed = items.withColumn("item", once(F.col("item")))
     candidates = parsed.withColumn("_attr", F.struct(*typed))
     kept = items.sparkSession.sql(
@@ -104,19 +105,20 @@ def typed_items(lines: DataFrame, schema: str | T.StructType) -> DataFrame:
     struct = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     inner = ", ".join(f"`{f.name}` {wire_type(f.dataType)}" for f in struct.fields)
 
-    def decoded(wire: Column) -> Column:
-        values = F.struct(*[typed_value(wire[f.name], f.dataType).alias(f.name) for f in struct])
+    def decoded(wire: str) -> str:
+        attrs = {f.name: f"{wire}.{name(f.name)}" for f in struct}
+        values = [f"{typed_value(attrs[f.name], f.dataType)} as {name(f.name)}" for f in struct]
 
-        def checked(fields: Column) -> Column:
+        def checked(fields: str) -> str:
             names = [
-                F.when(misfit(wire[f.name], fields[f.name], f.dataType), F.lit(f.name))
+                case((misfit(attrs[f.name], f"{fields}.{name(f.name)}", f.dataType), lit(f.name)))
                 for f in struct
             ]
-            return F.struct(fields.alias("fields"), F.concat_ws(",", *names).alias("misfits"))
+            return f"struct({fields} as fields, concat_ws(',', {', '.join(names)}) as misfits)"
 
-        return F.when(wire.isNotNull(), bind(values, checked))
+        return case((f"{wire} is not null", bind(f"struct({', '.join(values)})", checked)))
 
-    item = F.from_json("raw", f"struct<Item: struct<{inner}>>")["Item"]
+    item = f"from_json(raw, {lit(f'struct<Item: struct<{inner}>>')}).Item"
     rows = lines.select(*lines.columns, once(bind(item, decoded)).alias("_typed"))
     return rows.select(
         *lines.columns,

@@ -99,13 +99,13 @@ def decode_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snake_case_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     name = F.concat(F.col("p_type"), F.lit("_"), F.col("p_brand"), F.initcap("p_name"))
-    return part.select("p_partkey", snake_case(name).alias("name"))
+    return part.select("p_partkey", name.alias("n")).select("p_partkey", F.expr(snake_case("n")).alias("name"))
 
 
 def camel_case_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     name = F.concat(F.lower("p_type"), F.lit("__"), F.replace("p_name", F.lit(" "), F.lit("_")), F.lit("_"))
-    return part.select("p_partkey", camel_case(name).alias("name"))
+    return part.select("p_partkey", name.alias("n")).select("p_partkey", F.expr(camel_case("n")).alias("name"))
 
 
 def number_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +117,7 @@ def number_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("o_orderkey") % 5 == 3, F.concat(F.lit("9223372036854775808"), F.col("o_custkey")))
         .otherwise(F.col("o_totalprice").cast("string"))
     )
-    value = orders.select("o_orderkey", number(text).alias("n"))
+    value = orders.withColumn("text", text).select("o_orderkey", F.expr(number("text")).alias("n"))
     kind = F.schema_of_variant("n")
     return value.select(
         "o_orderkey", kind.alias("kind"),
@@ -128,7 +128,9 @@ def number_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decimal_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.concat(F.when(F.col("c_custkey") % 9 == 0, F.lit("x")).otherwise(F.lit("")), F.col("c_acctbal"))
-    value = table(spark, sf_dir, "customer").select("c_custkey", to_decimal(text.cast("variant")).alias("d"))
+    value = table(spark, sf_dir, "customer").withColumn("text", text.cast("variant")).select(
+        "c_custkey", F.expr(to_decimal("text")).alias("d")
+    )
     return value.select("c_custkey", F.try_variant_get("d", "$", "double").alias("acctbal"))
 
 
@@ -144,14 +146,13 @@ def to_datetime(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("o_orderkey") % 7 == 5, F.concat(F.lit("on "), day))
         .otherwise(F.date_format("o_orderdate", "yyyy/MM/dd"))
     )
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.unix_millis(text_to_timestamp(text)).alias("ms")
-    )
+    dates = table(spark, sf_dir, "orders").withColumn("text", text)
+    return dates.select("o_orderkey", F.unix_millis(F.expr(text_to_timestamp("text"))).alias("ms"))
 
 
 def object_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select(
-        "event_id", to_object(F.col("props").cast("variant")).alias("doc")
+        "event_id", F.expr(to_object("cast(props as variant)")).alias("doc")
     )
     return events.select(
         "event_id", F.try_variant_get("doc", "$.k", "double").alias("k"),
@@ -164,8 +165,9 @@ def array_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(
         F.col("o_orderkey") % 2 == 0, F.concat(F.lit("["), F.col("o_custkey"), F.lit(", "), F.col("o_totalprice"), F.lit("]"))
     ).otherwise(F.col("o_orderpriority"))
-    arrays = table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.try_variant_get(to_array(text.cast("variant")), "$", "array<variant>").alias("a")
+    texts = table(spark, sf_dir, "orders").withColumn("text", text.cast("variant"))
+    arrays = texts.select(
+        "o_orderkey", F.try_variant_get(F.expr(to_array("text")), "$", "array<variant>").alias("a")
     )
     first = F.get("a", F.lit(0))
     return arrays.select(
@@ -247,14 +249,15 @@ def keyless_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def set_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set a field in a new nested object, and find that a parent is no object."""
-    docs = order_documents(spark, sf_dir)
-    fields = F.try_variant_get("doc", "$", VARIANT_MAP)
-    status = get_path(fields, "order_info.order_priority")
-    made = set_path(fields, "extra.flags.priority", status)
-    clash = set_path(fields, "cust_key.x", status)
-    return docs.select(
-        field("_id", "bigint").alias("_id"), as_object(made).alias("made"), clash.isNull().alias("clash")
-    ).select(
+    fields = F.try_variant_get("doc", "$", VARIANT_MAP).alias("fields")
+    docs = order_documents(spark, sf_dir).select(fields)
+    priority = get_path("fields", "order_info.order_priority")
+    made = docs.select(
+        F.expr(get_path("fields", "_id")).try_cast("bigint").alias("_id"),
+        F.expr(as_object(set_path("fields", "extra.flags.priority", priority))).alias("made"),
+        F.expr(f"{set_path('fields', 'cust_key.x', priority)} is null").alias("clash"),
+    )
+    return made.select(
         "_id", F.try_variant_get("made", "$.extra.flags.priority", "string").alias("priority"),
         F.try_variant_get("made", "$.order_info.total_price", "double").alias("total_price"), "clash",
     )
