@@ -59,9 +59,14 @@ def _run_all(
     return results, errors
 
 
-def documents(spark: SparkSession, pair: Pair, segments: int | None = None) -> DataFrame:
-    """Document rows of a pair's source: the plan behind migrate, bootstrap and dry run."""
-    items = scan_items(spark, pair.source, pair.scan, pair.mapping.depth, segments)
+def documents(
+    spark: SparkSession, pair: Pair, segments: int | None = None, segment: int | None = None
+) -> DataFrame:
+    """Document rows of a pair's source: the plan behind migrate, bootstrap and dry run.
+
+    The segment is chosen at the scan, where it prunes files.
+    """
+    items = scan_items(spark, pair.source, pair.scan, pair.mapping.depth, segments, segment)
     return to_documents(items, pair.mapping)
 
 
@@ -92,7 +97,7 @@ def migrate(
 
     def copy(segment: int) -> Callable[[], None]:
         def job() -> None:
-            rows = documents(spark, pair, segments).filter(F.col("segment") == segment).drop("segment")
+            rows = documents(spark, pair, segments, segment)
             counts = table.write_base(rows, run_id, segment, pair.mapping.cluster)
             ledger.segment_done(run_id, pair.name, segment, counts)
 

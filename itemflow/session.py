@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -24,6 +24,16 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/itemflow-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A plain scan with fewer splits than the session has cores, dealt out over all of them.
+
+    Decoding costs far more than reading, so one small or unsplittable file (gzip) must not
+    hold it to one core. A scan with enough splits, as any large one, is left alone.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def local_session(cpus: str = "*", partitions: int = 8) -> SparkSession:
     """A session for tests and benchmarks."""
     return (

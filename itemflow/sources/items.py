@@ -15,18 +15,18 @@ from itemflow.functions.wire import DEFAULT_DEPTH, av_map_type, av_type
 from itemflow.plans.pair import Scan
 
 
-def read_lines(spark: SparkSession, path: str, segments: int | None = None) -> DataFrame:
-    """Raw lines as ``raw``; with ``segments``, each file belongs to one of that many segments.
+def read_lines(
+    spark: SparkSession, path: str, segments: int | None = None, segment: int | None = None
+) -> DataFrame:
+    """Raw lines as ``raw``; with ``segments``, only those of one of that many segments.
 
-    The segment is a function of the file name, so a filter on it prunes whole files at
-    planning time and a resumed run never reads what is already done.
+    Each file belongs to one segment by its name, so the choice prunes whole files while the
+    plan is made, and a resumed run never reads what is already done.
     """
     lines = spark.read.text(path, recursiveFileLookup=True)
-    if segments is None:
-        return lines.select(F.col("value").alias("raw"))
-    return lines.select(
-        F.col("value").alias("raw"), file_segment(F.col("_metadata.file_path"), segments).alias("segment")
-    )
+    if segments is not None:
+        lines = lines.filter(file_segment(F.col("_metadata.file_path"), segments) == segment)
+    return lines.select(F.col("value").alias("raw"))
 
 
 def file_segment(file_path: Column, segments: int) -> Column:
@@ -83,13 +83,14 @@ def scan_items(
     scan: Scan | None = None,
     depth: int = DEFAULT_DEPTH,
     segments: int | None = None,
+    segment: int | None = None,
 ) -> DataFrame:
-    """Parsed items with ``raw`` (and ``segment``), filtered and projected as ``scan`` says."""
+    """Parsed items with ``raw``, filtered and projected as ``scan`` says."""
     scan = scan or Scan()
     wanted = scan.columns
     if wanted is not None:
         wanted = tuple(dict.fromkeys((*wanted, *scan.attributes)))
-    items = filter_items(parse_items(read_lines(spark, path, segments), depth, wanted), scan)
+    items = filter_items(parse_items(read_lines(spark, path, segments, segment), depth, wanted), scan)
     if scan.columns is not None and wanted != scan.columns:
         keep = list(scan.columns)
         items = items.withColumn("item", F.map_filter("item", lambda k, _: k.isin(keep)))

@@ -230,7 +230,8 @@ def composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def key_collision_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    rows = to_documents(parse_items(lines_of(source)), Mapping(key_source=("l_orderkey", "l_linenumber")))
+    key = ("l_orderkey", "l_linenumber")
+    rows = to_documents(parse_items(lines_of(source), columns=key), Mapping(key_source=key))
     return key_collisions(rows)
 
 

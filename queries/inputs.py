@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from itemflow.functions.encode import encode_columns, encode_struct
-from itemflow.session import work_folder
+from itemflow.session import spread, work_folder
 
 EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 START = "2024-01-15 00:00:00"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def micros(column: str) -> Column:

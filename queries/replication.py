@@ -141,7 +141,7 @@ def resume_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, ledger = open_pair(spark, pair, RunSettings())
     ledger.start_migrate("stopped", pair.name, 4)
     for segment in (0, 2):
-        rows = documents(spark, pair, 4).filter(F.col("segment") == segment).drop("segment")
+        rows = documents(spark, pair, 4, segment)
         ledger.segment_done("stopped", pair.name, segment, target.write_base(rows, "stopped", segment))
     migrate(spark, pair, resume=True)
     return flat_orders(good(target.base()))
@@ -192,7 +192,7 @@ def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     for arrivals in ((2, 0), (1,)):
         for n in arrivals:
             change_lines(events.filter(F.col("event_id") % 3 == n)).write.text(f"{folder}/part={n}")
-        query = follow(spark, folder, target, ledger, USERS, "main", "users", None, STOP_WHEN_READ, max_files=1)
+        query = follow(spark, folder, target, ledger, USERS, "main", "users", None, STOP_WHEN_READ, max_files=8)
         query.awaitTermination()
     return user_state(target.current())
 
