@@ -109,7 +109,7 @@ def migrate(
         raise JobError("migration", errors)
     version = table.version()
     if version is None or version["base"] != run_id:
-        table.commit_version(run_id)
+        table.commit_version(run_id, cluster=pair.mapping.cluster)
     return run_id
 
 
@@ -117,7 +117,7 @@ def bootstrap(spark: SparkSession, pair: Pair, run_id: str, settings: RunSetting
     """One full copy without progress rows, made visible when complete."""
     table, _ = open_pair(spark, pair, _settings(pair, settings))
     table.write_base(documents(spark, pair), run_id, cluster=pair.mapping.cluster)
-    table.commit_version(run_id, run_id)
+    table.commit_version(run_id, run_id, cluster=pair.mapping.cluster)
 
 
 def replicate(

@@ -29,7 +29,7 @@ ROW = (
 )
 VERSION = (
     "version bigint, base string, run_id string, covers_batch bigint, one_row_per_key boolean, "
-    "committed_at timestamp"
+    "buckets int, committed_at timestamp"
 )
 DEFAULT_RUN = "main"
 
@@ -91,12 +91,19 @@ class DocTable:
         )
 
     def commit_version(
-        self, base: str, run_id: str = DEFAULT_RUN, covers_batch: int = -1, one_row_per_key: bool = False
+        self,
+        base: str,
+        run_id: str = DEFAULT_RUN,
+        covers_batch: int = -1,
+        one_row_per_key: bool = False,
+        cluster: bool = False,
     ) -> int:
         """Make a finished base the one that readers see, with the log of ``run_id`` on top."""
         newest = self.version()
         number = newest["version"] + 1 if newest else 0
-        row = (number, base, run_id, covers_batch, one_row_per_key, dt.datetime.now(dt.timezone.utc))
+        buckets = self.buckets if cluster else None
+        now = dt.datetime.now(dt.timezone.utc)
+        row = (number, base, run_id, covers_batch, one_row_per_key, buckets, now)
         (
             self.spark.createDataFrame([row], VERSION)
             .coalesce(1)
@@ -191,12 +198,12 @@ class DocTable:
 
     def lookup(self, keys: list[str]) -> DataFrame:
         """Documents of a few keys; a clustered base is read in their buckets only."""
-        base = self.base()
-        return live(latest_per_key(
-            base.filter(F.col("key").isin(keys) & (F.col("status") == GOOD)).select(*STATE).unionByName(
-                self.log().filter(F.col("key").isin(keys) & (F.col("status") == GOOD)).select(*STATE)
-            )
-        )).select("key", "doc")
+        version, base = self.version(), self.base()
+        if version and version["buckets"]:
+            base = base.filter(F.col("bucket").isin(*[bucket_of(F.lit(k), version["buckets"]) for k in keys]))
+        wanted = F.col("key").isin(keys) & (F.col("status") == GOOD)
+        rows = base.filter(wanted).select(*STATE).unionByName(self.log().filter(wanted).select(*STATE))
+        return live(latest_per_key(rows)).select("key", "doc")
 
     # -- maintenance ---------------------------------------------------------------------
 
@@ -219,4 +226,4 @@ class DocTable:
         rows = states.withColumn("status", F.lit(GOOD)).unionByName(rejected, allowMissingColumns=True)
         name = f"{run_id}-compact-{version['version'] + 1 if version else 0}"
         self.write_base(rows, name, cluster=cluster)
-        return self.commit_version(name, run_id, covered, one_row_per_key=True)
+        return self.commit_version(name, run_id, covered, one_row_per_key=True, cluster=cluster)
