@@ -33,13 +33,12 @@ def decode_items(
     mapping: Mapping,
     item: str = "item",
     path: tuple[str, ...] = ("Item",),
-    deep: bool = True,
 ) -> DataFrame:
     """Replace ``item`` by ``attrs MAP<STRING, VARIANT>`` (source names), NULL when anything
     failed, and ``failed``: the names that cannot be decoded, ``*`` for a line that is no item.
 
-    With ``deep`` the rows the native decode leaves get a second try over Arrow; all other
-    rows pass that step as NULLs.
+    The rows that the native decode leaves get a second try over Arrow, if the mapping
+    allows it; all other rows pass that step as NULLs.
     """
     options = {
         "naming": mapping.naming,
@@ -68,7 +67,7 @@ def decode_items(
         F.col("_decoded.attrs").alias("attrs"),
         F.when(F.col("_decoded").isNull(), "*").otherwise(F.col("_decoded.failed")).alias("failed"),
     )
-    if not deep:
+    if not mapping.deep:
         return rows
     leftover = F.when(F.col("failed") != "*", F.col("raw"))
     rows = rows.withColumn("_deep", decode_deep(leftover, path, **options))
@@ -147,11 +146,10 @@ def to_documents(
     mapping: Mapping,
     item: str = "item",
     path: tuple[str, ...] = ("Item",),
-    deep: bool = True,
 ) -> DataFrame:
     """Document rows of parsed items (``raw`` and ``item``); other columns pass through."""
     passed = [F.col(c) for c in items.columns if c not in ("raw", item)]
-    rows = decode_items(items, mapping, item, path, deep)
+    rows = decode_items(items, mapping, item, path)
     made = bind("attrs", lambda a: case((f"{a} is not null", _document(a, mapping))))
     rows = rows.select(
         *passed,

@@ -90,11 +90,19 @@ def key_collisions(rows: DataFrame) -> DataFrame:
 
 
 def difference(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Documents that differ between two states: key and side."""
-    a = left.select("key", comparable(F.col("doc")).alias("json"))
-    b = right.select("key", comparable(F.col("doc")).alias("json"))
-    return (
-        a.exceptAll(b)
-        .select("key", F.lit("left").alias("side"))
-        .unionByName(b.exceptAll(a).select("key", F.lit("right").alias("side")))
+    """Documents that differ between two states: key and side, with multiplicity.
+
+    Both sides count into one aggregation over key and digest: one shuffle of short rows,
+    combined on the map side, and no document leaves its task.
+    """
+
+    def counted(rows: DataFrame, sign: int) -> DataFrame:
+        digest = F.sha2(comparable(F.col("doc")), 256)
+        return rows.select("key", digest.alias("digest"), F.lit(sign).alias("n"))
+
+    net = counted(left, 1).unionByName(counted(right, -1)).groupBy("key", "digest").agg(
+        F.sum("n").alias("n")
     )
+    copies = F.explode(F.sequence(F.lit(1), F.abs("n").cast("int")))
+    side = F.when(F.col("n") > 0, "left").otherwise("right")
+    return net.filter(F.col("n") != 0).select("key", side.alias("side"), copies.alias("_copy")).drop("_copy")

@@ -52,9 +52,7 @@ def delete_key(keys: str, mapping: Mapping) -> str:
     return bind(decode_map(keys, 0, **options), of_decoded)
 
 
-def to_operations(
-    changes: DataFrame, mapping: Mapping, strict: bool = False, deep: bool = True
-) -> DataFrame:
+def to_operations(changes: DataFrame, mapping: Mapping, strict: bool = False) -> DataFrame:
     """Operation rows ``(op, key, seq_key, approx_ts, doc, status, raw, field, reason)``.
 
     Records that yield no operation are skipped; with ``strict`` they go to the quarantine.
@@ -77,7 +75,7 @@ def to_operations(
         routed = routed.filter(F.col("op").isNotNull() | (F.col("_problem") == "malformed record"))
     is_delete = F.col("op") == DELETE
     routed = routed.withColumn("_delete_key", F.when(is_delete, F.expr(delete_key("_keys", mapping))))
-    rows = to_documents(routed.drop("_keys"), mapping, path=("dynamodb", "NewImage"), deep=deep)
+    rows = to_documents(routed.drop("_keys"), mapping, path=("dynamodb", "NewImage"))
     lost_key = is_delete & F.col("_delete_key").isNull()
     reason = F.when(lost_key, "keys cannot be decoded").otherwise(F.coalesce("_problem", "reason"))
     return rows.select(

@@ -70,6 +70,12 @@ def documents(
     return to_documents(items, pair.mapping)
 
 
+def _publish(table: DocTable, pair: Pair, run_id: str) -> None:
+    table.commit_version(
+        run_id, run_id, one_row_per_key=pair.mapping.unique_keys, cluster=pair.mapping.cluster
+    )
+
+
 def migrate(
     spark: SparkSession,
     pair: Pair,
@@ -109,7 +115,7 @@ def migrate(
         raise JobError("migration", errors)
     version = table.version()
     if version is None or version["base"] != run_id:
-        table.commit_version(run_id, cluster=pair.mapping.cluster)
+        _publish(table, pair, run_id)
     return run_id
 
 
@@ -117,7 +123,7 @@ def bootstrap(spark: SparkSession, pair: Pair, run_id: str, settings: RunSetting
     """One full copy without progress rows, made visible when complete."""
     table, _ = open_pair(spark, pair, _settings(pair, settings))
     table.write_base(documents(spark, pair), run_id, cluster=pair.mapping.cluster)
-    table.commit_version(run_id, run_id, cluster=pair.mapping.cluster)
+    _publish(table, pair, run_id)
 
 
 def replicate(

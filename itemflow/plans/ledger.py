@@ -1,4 +1,4 @@
-"""Progress ledger: small append-only parquet rows, never updated in place.
+"""Progress ledger: small parquet rows.
 
 Every write goes to a directory of its own name and overwrites only that, so a repeated
 write of the same fact changes nothing, and a half-written one is not seen.
@@ -74,6 +74,35 @@ class Ledger:
         )
         self.append_rows(f"{run_id}/segment={segment}", row)
 
+    def batch_done(self, run_id: str, table: str, batch_id: int, counts: DataFrame) -> None:
+        """Progress of a stream up to a batch: running counts and the highest change time.
+
+        ``counts``: one row (processed, quarantined, high_water) of the batch. Two slots take
+        turns, each computed from the other, so the ledger of a stream stays two rows and a
+        replayed batch is counted once.
+        """
+        sums = ["processed", "quarantined"]
+        try:
+            before = self.spark.read.schema(SCHEMA).parquet(f"{self.root}/{run_id}/slot={(batch_id + 1) % 2}")
+            before = before.filter(F.col("batch_id") < batch_id).select(*sums, "high_water")
+        except Exception as error:
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
+            before = counts.select(*sums, "high_water").limit(0)
+        row = (
+            counts.select(*sums, "high_water")
+            .unionByName(before)
+            .agg(*[F.sum(c).alias(c) for c in sums], F.max("high_water").alias("high_water"))
+            .select(
+                "*",
+                F.lit(run_id).alias("run_id"), F.lit(table).alias("table"),
+                F.lit("live").alias("mode"), F.lit("batch").alias("event"),
+                F.lit(batch_id).cast("bigint").alias("batch_id"),
+                F.current_timestamp().alias("updated"),
+            )
+        )
+        self.append_rows(f"{run_id}/slot={batch_id % 2}", row)
+
     def delete(self, table: str) -> None:
         """Forget a table's progress: later reads start after this row."""
         now = dt.datetime.now(dt.timezone.utc)

@@ -20,6 +20,9 @@ class Mapping:
     ``key_target`` the document field that holds it. Without ``key_source`` a document is
     identified by an attribute already called ``key_target``, or not at all.
     ``transforms`` is an ordered list of (dotted path in renamed fields, type).
+    ``unique_keys`` declares that no two items share a key (it is the whole primary key of
+    the source): reading the copy then needs no shuffle of it. ``deep`` allows the Arrow
+    step for items nested deeper than ``depth``; without it they go to the quarantine.
     """
 
     key_source: str | tuple[str, ...] | None = None
@@ -32,6 +35,8 @@ class Mapping:
     wide_numbers: str = "double"
     exact_decimals: bool = False
     depth: int = DEFAULT_DEPTH
+    deep: bool = True
+    unique_keys: bool = False
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "transforms", tuple((p, t) for p, t in self.transforms))

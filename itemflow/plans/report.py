@@ -42,9 +42,16 @@ def pair_status(spark: SparkSession, pair: Pair, table: DocTable, ledger: Ledger
     seen = ledger.read().filter(
         (F.col("run_id") == run.get("run_id", "")) & F.col("event").isin("segment", "batch")
     )
+
+    # Segment rows add up; the newest row of a stream holds running counts.
+    def total(column: str) -> Column:
+        segments = F.sum(F.when(F.col("event") == "segment", F.col(column)))
+        stream = F.max_by(column, F.when(F.col("event") == "batch", F.col("batch_id")))
+        return F.coalesce(segments, stream, F.lit(0)).alias(column)
+
     done = seen.agg(
-        F.coalesce(F.sum("processed"), F.lit(0)).alias("processed"),
-        F.coalesce(F.sum("quarantined"), F.lit(0)).alias("quarantined"),
+        total("processed"),
+        total("quarantined"),
         F.max("high_water").alias("high_water"),
         F.max("updated").alias("last_updated"),
     ).select(

@@ -30,20 +30,12 @@ def apply_batch(table: DocTable, ledger: Ledger, run_id: str, name: str):
     def apply(ops: DataFrame, batch_id: int) -> None:
         path = table.append_batch(ops, batch_id, run_id)
         written = table.spark.read.schema(ROW).parquet(path)
-        mark = written.agg(
+        counts = written.agg(
             F.count(F.lit(1)).alias("processed"),
             F.count_if(F.col("status") != GOOD).alias("quarantined"),
             F.max("approx_ts").alias("high_water"),
-        ).select(
-            "*",
-            F.lit(run_id).alias("run_id"),
-            F.lit(name).alias("table"),
-            F.lit("live").alias("mode"),
-            F.lit("batch").alias("event"),
-            F.lit(batch_id).cast("bigint").alias("batch_id"),
-            F.current_timestamp().alias("updated"),
         )
-        ledger.append_rows(f"{run_id}/batch={batch_id}", mark)
+        ledger.batch_done(run_id, name, batch_id, counts)
 
     return apply
 

@@ -14,14 +14,14 @@ from itemflow.plans.pair import Mapping, Scan
 from itemflow.sources.items import filter_items, parse_items
 
 
-def convert(lines, mapping=Mapping(), deep=True):
-    rows = to_documents(parse_items(lines, mapping.depth), mapping, deep=deep)
+def convert(lines, mapping=Mapping()):
+    rows = to_documents(parse_items(lines, mapping.depth), mapping)
     out = rows.select("key", F.to_json("doc").alias("doc"), "status", "raw", "field", "reason")
     return [r.asDict() | {"doc": r.doc and json.loads(r.doc)} for r in out.collect()]
 
 
-def docs(lines, mapping=Mapping(), deep=True):
-    return [r["doc"] for r in convert(lines, mapping, deep)]
+def docs(lines, mapping=Mapping()):
+    return [r["doc"] for r in convert(lines, mapping)]
 
 
 ALL_TAGS = {
@@ -95,7 +95,7 @@ def plain(levels):
 def test_deeper_than_declared(lines):
     df = lines(nested(3), nested(4), nested(32))
     assert docs(df, Mapping(depth=3)) == [plain(3), plain(4), plain(32)]
-    rows = convert(df, Mapping(depth=3), deep=False)
+    rows = convert(df, Mapping(depth=3, deep=False))
     assert [r["status"] for r in rows] == ["good", "quarantine", "quarantine"]
     assert rows[1]["field"] == "a" and json.loads(rows[1]["raw"])["Item"] == nested(4)
 

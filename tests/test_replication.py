@@ -25,7 +25,7 @@ from itemflow import (
     status,
     to_operations,
 )
-from itemflow.operators.latest import latest_per_key, live, merge_latest, write_counts
+from itemflow.operators.latest import difference, latest_per_key, live, merge_latest, write_counts
 from itemflow.plans import jobs
 from itemflow.plans.jobs import JobError, open_pair
 from itemflow.plans.pair import check_pairs, select_pairs
@@ -309,6 +309,35 @@ def test_live_copies_then_follows_and_resumes(spark, monkeypatch):
     assert "s:u1" not in current(spark, pair)
 
 
+def test_unique_keys_leave_the_copy_unshuffled(spark):
+    changes = write_lines(spark, work_folder(spark, "changes"), CHANGES)
+    source = write_lines(spark, work_folder(spark, "src"), ITEMS, 3)
+    pair = Pair(name="uniq", source=source, target_root=work_folder(spark, "uniq"), collection="c",
+                mapping=Mapping(key_source="id", unique_keys=True, deep=False, cluster=True), changes=changes)
+    replicate(spark, pair, ONCE, start=T0).awaitTermination()
+    assert current(spark, pair) == AFTER
+    docs = open_pair(spark, pair, RunSettings())[0].current()
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [key" in plan and "SortMergeJoin" not in plan
+
+
+def test_stream_progress_is_two_rows_and_counts_replays_once(spark):
+    ledger = Ledger(spark, work_folder(spark, "l"))
+    one = spark.sql("select 5L processed, 1L quarantined, timestamp'2024-01-02' high_water")
+    old = spark.sql("select 2L processed, 0L quarantined, timestamp'2024-01-01' high_water")
+    for batch, counts in ((0, one), (1, old), (1, old), (2, one), (2, one)):
+        ledger.batch_done("r", "t", batch, counts)
+    rows = {r.batch_id: (r.processed, r.quarantined, r.high_water.day) for r in ledger.read().collect()}
+    assert rows == {1: (7, 1, 2), 2: (12, 2, 2)}
+
+
+def test_difference(spark):
+    left = ops_frame(spark, [("UPSERT", "s:a", 1, 1), ("UPSERT", "s:b", 1, 2), ("UPSERT", "s:c", 1, 3), ("UPSERT", "s:c", 1, 3)])
+    right = ops_frame(spark, [("UPSERT", "s:a", 9, 1), ("UPSERT", "s:b", 1, 5)])
+    got = sorted((r.key, r.side) for r in difference(left, right).collect())
+    assert got == [("s:b", "left"), ("s:b", "right"), ("s:c", "left"), ("s:c", "left")]
+
+
 def test_live_after_migrate_starts_a_new_run(spark):
     changes = write_lines(spark, work_folder(spark, "changes"), CHANGES)
     pair = pair_of(spark, "switch", ITEMS, changes=changes)
