@@ -74,8 +74,10 @@ def pair_status(spark: SparkSession, pair: Pair, table: DocTable, ledger: Ledger
         )
     target = table.count().select(name, "documents")
     joined = done.join(source, "pair").join(target, "pair")
+    started = F.lit(run.get("started")).cast("timestamp")
+    seconds = (F.unix_micros("last_updated") - F.unix_micros(started)) / 1000000
     return joined.select(
         "*",
         F.lit(pair.changes is not None).alias("stream_enabled"),
-        progress(F.col("processed"), F.col("items"), F.lit(None).cast("double"))[0],
+        *progress(F.col("processed"), F.col("items"), seconds),
     )

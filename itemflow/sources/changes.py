@@ -85,6 +85,17 @@ def since(
     return changes.filter(recent | F.col("event_name").isNull() if keep_malformed else recent)
 
 
+def since_counts(changes: DataFrame, start: dt.datetime) -> DataFrame:
+    """One row: records that ``since`` keeps, drops as older, and drops for want of a time."""
+    bound = F.unix_millis(F.lit(start).cast("timestamp"))
+    at = F.unix_millis("approx_ts")
+    return changes.agg(
+        F.count_if(at >= bound).alias("kept"),
+        F.count_if(at < bound).alias("older"),
+        F.count_if(at.isNull()).alias("untimed"),
+    )
+
+
 def from_sequence(changes: DataFrame, sequence: str, after: bool = False) -> DataFrame:
     """Start at (or just after) a sequence number."""
     bound = sequence_key(F.lit(sequence))

@@ -15,7 +15,9 @@ from itemflow.operators.convert import to_documents, typed_documents
 from itemflow.operators.latest import difference, key_collisions
 from itemflow.plans.pair import Mapping, Scan
 from itemflow.plans.report import scan_counts
-from itemflow.sources.items import filter_items, parse_items
+from itemflow.session import work_folder
+from itemflow.sinks.export import write_items
+from itemflow.sources.items import filter_items, parse_items, scan_items
 from queries.inputs import field, lines_of, micros, order_columns, order_lines, table
 
 ORDERS = Mapping(key_source="orderKey", naming="snake_case", transforms=(("order_date", "datetime"),))
@@ -273,6 +275,14 @@ def round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_orders(again)
 
 
+def export_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents written as an export and scanned again."""
+    docs = order_documents(spark, sf_dir, Mapping(key_source="orderKey", naming="snake_case"))
+    folder = write_items(docs, work_folder(spark, "export"))
+    items = scan_items(spark, folder)
+    return flat_orders(to_documents(items, Mapping(transforms=(("order_date", "datetime"),))))
+
+
 def naming_collision(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two attributes that rename to one field: the last in source order wins."""
     source = table(spark, sf_dir, "orders").select(
@@ -350,6 +360,7 @@ QUERIES = {
     "keyless_insert": keyless_insert,
     "set_nested": set_nested,
     "round_trip": round_trip,
+    "export_items": export_items,
     "naming_collision": naming_collision,
     "nulls_kept": nulls_kept,
     "quarantine_split": quarantine_split,

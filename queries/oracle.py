@@ -87,6 +87,7 @@ FROM customer GROUP BY ALL""",
     "set_nested": """
 SELECT o_orderkey AS _id, o_orderpriority AS priority, o_totalprice AS total_price, true AS clash FROM orders""",
     "round_trip": FLAT_ORDERS,
+    "export_items": FLAT_ORDERS,
     "naming_collision": """
 SELECT o_orderkey AS _id, o_orderkey * 2 AS a_b, CAST(2 AS BIGINT) AS fields FROM orders""",
     "nulls_kept": """
@@ -110,6 +111,10 @@ SELECT event_id, {NAME} AS event_name, 'us-west-2' AS aws_region, 'shard-' || us
        CAST(1 AS BIGINT) AS keys, CASE WHEN event_type <> 'error' THEN CAST(5 AS BIGINT) END AS fields
 FROM events""",
     "time_filter": f"SELECT event_id, {NAME} AS event_name FROM events WHERE ts >= {START}",
+    "time_filter_counts": f"""
+SELECT count(*) FILTER (event_id % 9 <> 0 AND ts >= {START}) AS kept,
+       count(*) FILTER (event_id % 9 <> 0 AND ts < {START}) AS older,
+       count(*) FILTER (event_id % 9 = 0) AS untimed FROM events""",
     "sequence_filter": """
 SELECT 'shard-' || user_id % 4 AS shard_id, count(*) AS records, min(event_id) AS first_seq
 FROM events WHERE event_id >= 777 GROUP BY 1""",

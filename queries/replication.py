@@ -14,7 +14,7 @@ from itemflow.plans.jobs import dry_run, migrate, open_pair, replicate, status
 from itemflow.plans.ledger import Ledger
 from itemflow.plans.pair import Mapping, Pair, RunSettings
 from itemflow.session import work_folder
-from itemflow.sources.changes import from_sequence, list_shards, parse_changes, since
+from itemflow.sources.changes import from_sequence, list_shards, parse_changes, since, since_counts
 from itemflow.streaming.live import change_operations, follow
 from queries.batch import ORDERS, bad_dates, flat_orders
 from queries.inputs import (
@@ -63,6 +63,14 @@ def time_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select(F.col("seq").cast("bigint").alias("event_id"), "event_name")
 
 
+def time_filter_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every ninth record has no time: it is dropped, but counted."""
+    seq = F.regexp_extract("raw", '"SequenceNumber":"([0-9]+)"', 1).cast("bigint")
+    untimed = F.when(seq % 9 == 0, F.replace("raw", F.lit("ApproximateCreationDateTime"), F.lit("Unknown")))
+    lines = event_changes(spark, sf_dir).select(F.coalesce(untimed, F.col("raw")).alias("raw"))
+    return since_counts(parse_changes(lines, old_images=False), START_TIME)
+
+
 def sequence_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = from_sequence(records(spark, sf_dir), "777")
     return kept.groupBy("shard_id").agg(
@@ -218,6 +226,7 @@ def live_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "change_records": change_records,
     "time_filter": time_filter,
+    "time_filter_counts": time_filter_counts,
     "sequence_filter": sequence_filter,
     "event_route": event_route,
     "strict_route": strict_route,

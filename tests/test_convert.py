@@ -11,6 +11,8 @@ from itemflow.functions.deep import item_json
 from itemflow.functions.encode import encode_columns, encode_documents
 from itemflow.operators.convert import good, quarantined, to_documents, typed_documents
 from itemflow.plans.pair import Mapping, Scan
+from itemflow.session import work_folder
+from itemflow.sinks.export import write_items
 from itemflow.sources.items import filter_items, parse_items
 
 
@@ -191,6 +193,14 @@ def test_encode_columns(spark, lines):
     }}
 
 
+def test_write_items_sets_unencodable_documents_apart(spark, lines):
+    mapping = Mapping(transforms=[("when", "datetime")])
+    rows = to_documents(parse_items(lines({"a": {"S": "1"}}, {"when": {"S": "2024-01-02"}})), mapping)
+    path = work_folder(spark, "export")
+    assert [json.loads(r.value) for r in spark.read.text(write_items(rows, path)).collect()] == [{"Item": {"a": {"S": "1"}}}]
+    assert "2024-01-02" in spark.read.text(f"{path}/status=quarantine").first().value
+
+
 JSON = st.recursive(
     st.none() | st.booleans() | st.integers(-(2**63), 2**63 - 1)
     | st.floats(allow_nan=False, allow_infinity=False) | st.text(st.characters(exclude_categories=["Cs"]), max_size=8),
