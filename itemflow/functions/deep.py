@@ -5,40 +5,50 @@ from __future__ import annotations
 import base64
 import json
 import re
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from itemflow.functions.expr import VARIANT_MAP
-from itemflow.functions.naming import rename_text
+from itemflow.functions.naming import renamer
 from itemflow.functions.numbers import FLOAT, INTEGER
 
-_INT, _FLOAT = re.compile(INTEGER), re.compile(FLOAT)
-_INT64 = range(-(2**63), 2**63)
-_INF = float("inf")
 
+def item_decoder(naming: str, binary: str, wide_numbers: str) -> Callable[[dict], str]:
+    """Function from a map of attribute values to the JSON text of its decoded form.
 
-def _number_json(text: str, wide: bool) -> str:
-    if _INT.match(text) and text.isascii():
-        if int(text) in _INT64 or (wide and len(text.lstrip("+-0")) <= 38):
-            return str(int(text))
-    if _FLOAT.match(text) and text.isascii():
-        value = float.fromhex(text) if "x" in text.lower() else float(text)
-        if abs(value) != _INF:
-            shown = repr(value)
-            return shown if "e" in shown else shown + "E0"
-    return json.dumps(text)
-
-
-def item_json(value: dict, naming: str, binary: str, wide: bool, top: bool = True) -> str:
-    """JSON text of a decoded map of attribute values; raises on an unknown tag."""
+    It raises on an unknown tag. Everything it uses is local to it, so that it travels to the
+    tasks whole and they need not have this package.
+    """
+    is_int, is_float = re.compile(INTEGER), re.compile(FLOAT)
+    int64, infinity = range(-(2**63), 2**63), float("inf")
+    rename, wide = renamer(naming), wide_numbers == "decimal"
+
+    def number(text: str) -> str:
+        text = str(text)
+        if is_int.match(text) and text.isascii():
+            if int(text) in int64 or (wide and len(text.lstrip("+-0")) <= 38):
+                return str(int(text))
+        if is_float.match(text) and text.isascii():
+            value = float.fromhex(text) if "x" in text.lower() else float(text)
+            if abs(value) != infinity:
+                shown = repr(value)
+                return shown if "e" in shown else shown + "E0"
+        return json.dumps(text)
 
     def blob(text: str) -> str:
         if binary == "base64":
             return json.dumps(text)
         return json.dumps(base64.b64decode(text).decode("utf-8", "replace"))
 
+    def fields(value: dict, top: bool = False) -> str:
+        out = {}
+        for key in sorted(value):
+            out[key if top else rename(key)] = one(value[key])
+        return "{" + ",".join(f"{json.dumps(k)}:{v}" for k, v in out.items()) + "}"
+
     def one(av: dict) -> str:
         (tag, body), *more = av.items()
         if more:
@@ -46,7 +56,7 @@ def item_json(value: dict, naming: str, binary: str, wide: bool, top: bool = Tru
         if tag == "S":
             return json.dumps(str(body))
         if tag == "N":
-            return _number_json(str(body), wide)
+            return number(body)
         if tag == "BOOL" and isinstance(body, bool):
             return json.dumps(body)
         if tag == "NULL":
@@ -54,14 +64,11 @@ def item_json(value: dict, naming: str, binary: str, wide: bool, top: bool = Tru
         if tag == "B":
             return blob(body)
         if tag == "M":
-            return item_json(body, naming, binary, wide, top=False)
-        each = {"L": one, "SS": json.dumps, "NS": lambda n: _number_json(str(n), wide), "BS": blob}
+            return fields(body)
+        each = {"L": one, "SS": json.dumps, "NS": number, "BS": blob}
         return "[" + ",".join(each[tag](b) for b in body) + "]"
 
-    fields = {}
-    for name in sorted(value):
-        fields[name if top else rename_text(name, naming)] = one(value[name])
-    return "{" + ",".join(f"{json.dumps(k)}:{v}" for k, v in fields.items()) + "}"
+    return lambda item: fields(item, top=True)
 
 
 def decode_deep(
@@ -75,6 +82,7 @@ def decode_deep(
 
     ``path`` leads from the record to the item inside it.
     """
+    decode_item = item_decoder(naming, binary, wide_numbers)
 
     @F.pandas_udf("string")
     def decode(texts: pd.Series) -> pd.Series:
@@ -85,7 +93,7 @@ def decode_deep(
                 value = json.loads(text)
                 for name in path:
                     value = value[name]
-                return item_json(value, naming, binary, wide_numbers == "decimal")
+                return decode_item(value)
             except (ValueError, KeyError, TypeError, AttributeError, RecursionError):
                 return None
 

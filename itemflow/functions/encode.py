@@ -91,7 +91,10 @@ def encode_column(value: str, dtype: T.DataType) -> str:
     if isinstance(dtype, T.BinaryType):
         return tagged("B", f"base64({value})")
     if isinstance(dtype, T.TimestampType | T.TimestampNTZType):
-        text = f"""date_format({value}, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")"""
+        utc = value
+        if isinstance(dtype, T.TimestampType):
+            utc = f"to_utc_timestamp({value}, current_timezone())"
+        text = f"""date_format({utc}, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")"""
         return tagged("S", f"regexp_replace({text}, '[.]000000Z$', 'Z')")
     if isinstance(dtype, T.ArrayType):
         element = fn(lambda v: encode_column(v, dtype.elementType))

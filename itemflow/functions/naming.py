@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from itemflow.functions.expr import all_distinct, bind, case, fn
 
@@ -29,14 +30,26 @@ def rename(text: str, naming: str) -> str:
     return text
 
 
-def rename_text(text: str, naming: str) -> str:
-    """The same rule for a name known while the plan is built."""
-    if naming == "snake_case":
-        return re.sub(r"(?s)(?<=.)([A-Z])", r"_\1", text).lower()
-    if naming == "camelCase":
+def renamer(naming: str) -> Callable[[str], str]:
+    """The same rule as a Python function that carries all it needs, so tasks can run it."""
+    capital = re.compile(r"(?s)(?<=.)([A-Z])")
+
+    def snake(text: str) -> str:
+        return capital.sub(r"_\1", text).lower()
+
+    def camel(text: str) -> str:
         first, *tail = text.split("_")
         return first + "".join(p[:1].upper() + p[1:] for p in tail)
-    return text
+
+    def preserve(text: str) -> str:
+        return text
+
+    return {"snake_case": snake, "camelCase": camel}.get(naming, preserve)
+
+
+def rename_text(text: str, naming: str) -> str:
+    """Rename a name known while the plan is built."""
+    return renamer(naming)(text)
 
 
 def rename_keys(fields: str, naming: str) -> str:

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from itemflow.functions.keys import bucket_of
@@ -59,6 +59,11 @@ class DocTable:
                 filled.append(F.col(name))
         return rows.select(*filled)
 
+    @staticmethod
+    def _writer(rows: DataFrame) -> DataFrameWriter:
+        # Replace the whole directory, whatever the session's overwrite mode.
+        return rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+
     def base_path(self, name: str, segment: int | None = None) -> str:
         path = f"{self.root}/base/{name}"
         return path if segment is None else f"{path}/segment={segment}"
@@ -79,7 +84,7 @@ class DocTable:
             out = out.hint("rebalance", F.col("bucket")).sortWithinPartitions("status", "bucket", "key")
             parts.append("bucket")
         path = self.base_path(name, segment)
-        out.write.mode("overwrite").partitionBy(*parts).parquet(path)
+        self._writer(out).partitionBy(*parts).parquet(path)
         return self.written_counts(path)
 
     def written_counts(self, path: str) -> DataFrame:
@@ -115,7 +120,7 @@ class DocTable:
     def append_batch(self, ops: DataFrame, batch_id: int, run_id: str = DEFAULT_RUN) -> str:
         """Append one micro-batch. Nothing is shuffled; a replay overwrites its own directory."""
         path = f"{self.root}/log/{run_id}/batch_id={batch_id}"
-        self._rows(ops).write.mode("overwrite").partitionBy("status").parquet(path)
+        self._writer(self._rows(ops)).partitionBy("status").parquet(path)
         return path
 
     def delete(

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from itemflow.functions.deep import item_json
+from itemflow.functions.deep import item_decoder
 from itemflow.functions.encode import encode_columns, encode_documents
 from itemflow.operators.convert import good, quarantined, to_documents, typed_documents
 from itemflow.plans.pair import Mapping, Scan
@@ -41,7 +41,7 @@ DECODED = {
 
 def test_every_tag(lines):
     assert docs(lines(ALL_TAGS)) == [DECODED]
-    assert json.loads(item_json(ALL_TAGS, "preserve", "base64", False)) == DECODED
+    assert json.loads(item_decoder("preserve", "base64", "double")(ALL_TAGS)) == DECODED
 
 
 def test_binary_as_text(lines):
@@ -193,6 +193,16 @@ def test_encode_columns(spark, lines):
     }}
 
 
+def test_encoded_timestamps_are_utc_in_any_session_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        line = encode_columns(spark.sql("select timestamp'2024-01-02 03:04:05.25Z' as t")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert json.loads(line)["Item"]["t"] == {"S": "2024-01-02T03:04:05.250000Z"}
+
+
 def test_write_items_sets_unencodable_documents_apart(spark, lines):
     mapping = Mapping(transforms=[("when", "datetime")])
     rows = to_documents(parse_items(lines({"a": {"S": "1"}}, {"when": {"S": "2024-01-02"}})), mapping)
