@@ -60,21 +60,20 @@ def filter_items(items: DataFrame, scan: Scan) -> DataFrame:
         return items
     text = scan.where
     for alias in sorted(scan.names, key=len, reverse=True):
-        text = re.sub(re.escape(alias) + r"\b", f"_attr.`{scan.names[alias]}`", text)
+        text = re.sub(re.escape(alias) + r"\b", name(scan.names[alias]), text)
     typed = []
     for attribute, ddl in scan.attributes.items():
         dtype = T._parse_datatype_string(ddl)
         value = bind(field("item", attribute), lambda av: typed_value(av, dtype))
         typed.append(F.expr(value).alias(attribute))
-        text = re.sub(rf"(?<![\w`.:']){re.escape(attribute)}(?![\w`'])", f"_attr.`{attribute}`", text)
+    # The attributes are the only columns the predicate sees, next to the row they come from.
     parsed = items.withColumn("item", once(F.col("item")))
-    candidates = parsed.withColumn("_attr", F.struct(*typed))
-    kept = items.sparkSession.sql(
-        f"SELECT * FROM {{candidates}} WHERE item IS NULL OR ({text})",
+    candidates = parsed.select(F.struct("*").alias("_row"), *typed)
+    return items.sparkSession.sql(
+        f"SELECT _row.* FROM {{candidates}} WHERE _row.item IS NULL OR ({text})",
         args={k.lstrip(":"): v for k, v in scan.values.items()} or None,
         candidates=candidates,
     )
-    return kept.drop("_attr")
 
 
 def scan_items(

@@ -149,7 +149,7 @@ def test_good_and_quarantined_split(lines):
 
 def test_projection_and_filter(lines):
     df = lines({"a": {"S": "1"}, "n": {"N": "5"}}, {"a": {"S": "2"}, "n": {"N": "7"}}, {"a": {"S": "3"}}, "junk")
-    scan = Scan(where="#num > :low AND a <> 'n'", names={"#num": "n"}, values={":low": 5},
+    scan = Scan(where="#num > :low AND a <> 'the n of a'", names={"#num": "n"}, values={":low": 5},
                 attributes={"n": "double", "a": "string"})
     kept = filter_items(parse_items(df, columns=("a", "n")), scan)
     assert docs_of(kept) == [{"a": "2", "n": 7}, None]
