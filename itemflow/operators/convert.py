@@ -187,8 +187,9 @@ def typed_documents(lines: DataFrame, schema: str | T.StructType, mapping: Mappi
     seen: dict[str, str] = {}
     for source in sorted(names, key=lambda s: (s in mapping.key_fields, s)):
         seen[names[source]] = source
+    types = {f.name: f.dataType for f in struct}
     columns = [
-        _renamed(F.col("fields")[seen[new]], next(f.dataType for f in struct if f.name == seen[new]), mapping.naming).alias(new)
+        _renamed(F.col("fields")[seen[new]], types[seen[new]], mapping.naming).alias(new)
         for new in dict.fromkeys(names.values())
     ]
     passed = [F.col(c) for c in lines.columns]
