@@ -138,6 +138,23 @@ def test_latest_and_merge_match_brute_force(spark, seed):
     assert state(live(merge_latest(base, ops_frame(spark, shuffled[250:])))) == brute(ops)
 
 
+def test_merge_without_broadcast(spark):
+    """A log beyond the broadcast threshold takes shuffled joins, hot key included."""
+    ops = random_ops(7)
+    shuffled = random.Random(7).sample(ops, len(ops))
+    settings = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name in settings:
+        spark.conf.set(name, "-1")
+    try:
+        base = latest_per_key(ops_frame(spark, shuffled[:200]))
+        merged = live(merge_latest(base, ops_frame(spark, shuffled[200:])))
+        assert "BroadcastHashJoin" not in merged._jdf.queryExecution().executedPlan().toString()
+        assert state(merged) == brute(ops)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
 def test_table_is_independent_of_batches_and_replays(spark):
     ops = random_ops(3)
     shuffled = random.Random(3).sample(ops, len(ops))
