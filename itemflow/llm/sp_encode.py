@@ -2,8 +2,8 @@
 
 The text is normalised by the longest prefix that the model's compiled character map knows, with the source
 of every normalised character at hand. Byte-pair merges then run on all different words of a few
-megabytes at once; a word starts where an escaped space follows another character, which no
-piece crosses. Models: byte-pair, byte fallback, spaces as prefixes.
+megabytes at once; a word starts where an escaped space follows another character, and around
+characters that no piece has: no piece crosses these places. Models: byte-pair, byte fallback, spaces as prefixes.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from itemflow.llm import textpack
 SPACE = 0x2581
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Longer words are merged one by one with a heap.
-WIDE = 24
+WIDE = 32
 NO_RANK = np.iinfo(np.int32).max
 
 
@@ -342,6 +342,9 @@ def encode_texts(model: PieceModel, texts: textpack.Texts, *, eos: bool = True)
         cut = np.zeros(n, bool)
         cut[1:] = (chars[1:] == SPACE) & (chars[:-1] != SPACE)
         cut[first[:-1][np.diff(first) > 0]] = True
+        alone = model.char_symbol[chars] < 0  # in no piece: such a character merges with nothing
+        cut |= alone
+        cut[1:] |= alone[:-1]
         begin = np.flatnonzero(cut)
         end = np.append(begin[1:], n)
         _, where, which = np.unique(textpack.Hasher(chars)(begin, end), return_index=True, return_inverse=True)
