@@ -49,6 +49,26 @@ def clean_lines(
     equal an earlier one. A null text has no words and a null ``clean_text``. Rows stay
     rows, whatever their ids; other columns are not read.
     """
+    source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    judged = _judged(source, min_words, max_repeated, max_lost)
+    return judged.select(F.col("_id").alias(id_col), *MEASURES, "base_failed", "kept", "clean_text")
+
+
+def clean_documents(
+    docs: DataFrame, *, min_words: int = MIN_WORDS, max_repeated: int = MAX_REPEATED, max_lost: int = MAX_LOST, text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that are kept, with their text cleaned; see ``clean_lines``. Columns keep names and order."""
+    others = {c: f"_c{i}" for i, c in enumerate(docs.columns) if c != text_col}
+    source = docs.select(
+        F.lit(0).alias("_id"), F.col(f"`{text_col}`").cast("string").alias("_text"), *(F.col(f"`{c}`").alias(x) for c, x in others.items())
+    )
+    kept = _judged(source, min_words, max_repeated, max_lost).where("kept")
+    return kept.select(*[F.col("clean_text" if c == text_col else others[c]).alias(c) for c in docs.columns])
+
+
+def _judged(source: DataFrame, min_words: int, max_repeated: int, max_lost: int) -> DataFrame:
+    """``_id``, measures, verdict and cleaned text of ``_text``, then the other columns of ``source``."""
+    extra = [c for c in source.columns if c not in ("_id", "_text")]
     marks = [m.encode() for m in TERMINAL]
     phrases = re.compile(b"|".join(re.escape(p.encode()) for p in (*BOILERPLATE, *NAVIGATION)))
     symbol = np.zeros(256, bool)
@@ -108,15 +128,15 @@ def clean_lines(
                 text = pa.array(cleaned, pa.binary(), mask=null.to_numpy(zero_copy_only=False)).cast(pa.string())
                 columns = [pa.array(m.astype(np.int64)) for m in measures]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[texts.rows], *columns, pa.array(failed), pa.array(kept), text],
-                    ["_id", *MEASURES, "base_failed", "kept", "clean_text"],
+                    [batch.column(0)[texts.rows], *columns, pa.array(failed), pa.array(kept), text,
+                     *(batch.column(2 + k)[texts.rows] for k in range(len(extra)))],
+                    ["_id", *MEASURES, "base_failed", "kept", "clean_text", *extra],
                 )
 
-    source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    fields = [T.StructField("_id", docs.schema[id_col].dataType), *(T.StructField(m, T.LongType()) for m in MEASURES)]
+    fields = [source.schema["_id"], *(T.StructField(m, T.LongType()) for m in MEASURES)]
     fields += [T.StructField("base_failed", T.BooleanType()), T.StructField("kept", T.BooleanType())]
-    fields += [T.StructField("clean_text", T.StringType())]
-    return source.mapInArrow(scan, T.StructType(fields)).withColumnRenamed("_id", id_col)
+    fields += [T.StructField("clean_text", T.StringType()), *(source.schema[c] for c in extra)]
+    return source.mapInArrow(scan, T.StructType(fields))
 
 
 def _ends_with(buf: np.ndarray, stop: np.ndarray, marks: list[bytes]) -> np.ndarray:

@@ -5,16 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import importlib.util
+import os
+
 from itemflow.llm.decontaminate import matched_spans
 from itemflow.llm.jaccard_join import jaccard_components
 from itemflow.llm.line_dedup import dedup_lines
 from itemflow.llm.line_quality import clean_lines
+from itemflow.llm.sp_encode import encode_documents
+from itemflow.llm.token_counts import count_documents
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """A file of the public vocabularies: in the folder ``ITEMFLOW_TOKENIZERS`` names, else of the installed package."""
+    folder = os.environ.get("ITEMFLOW_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
+    if importlib.util.find_spec("public_tokenizers"):
+        import public_tokenizers
+
+        return public_tokenizers.path(name)
+    return os.path.join("/opt/tokenizers", name)
+
+
 def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -31,6 +48,28 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def encoded_digest(encoded: DataFrame) -> DataFrame:
+    return encoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), (F.array_max("stops")).cast("long").alias("n_bytes_spanned"),
+    )
+
+
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return encoded_digest(encode_documents(docs, tokenizer_path("piece_bpe_32k.model")))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select(
+        F.struct("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")).alias("row"), "text"
+    )
+    counted = count_documents(docs, tokenizer_path("word_bpe_49k.json"), id_col="row")
+    last = F.when(F.size("prefix_tokens") > 0, F.element_at("prefix_tokens", -1)).otherwise(0).cast("long")
+    return counted.select("row.doc_id", "row.n_bytes", last.alias("n_tokens"), (last > 2048).alias("over_limit"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     return dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text")).select(
@@ -42,4 +81,4 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_quality, op3_decontamination, op6_line_dedup, op8_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op2_line_quality, op3_decontamination, op5_sentencepiece, op6_line_dedup, op7_token_counts, op8_jaccard_join)}
