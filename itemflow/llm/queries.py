@@ -10,10 +10,12 @@ import os
 
 from itemflow.llm.decontaminate import matched_spans
 from itemflow.llm.jaccard_join import jaccard_components
+from itemflow.llm.language_id import identify, learn_languages
 from itemflow.llm.line_dedup import dedup_lines
 from itemflow.llm.line_quality import clean_lines
 from itemflow.llm.sp_encode import encode_documents
 from itemflow.llm.token_counts import count_documents
+from itemflow.llm.toxicity import learn_toxicity, score_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +50,19 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _held_out():
+    """A quarter of the documents, by id, from which nothing is learned; a null id is in no part."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    learned = learn_languages(docs.where(~_held_out()))
+    return identify(docs.select("doc_id", "text"), learned).select(
+        "doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "lang_pred", "score", "n_grams"
+    )
+
+
 def encoded_digest(encoded: DataFrame) -> DataFrame:
     return encoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
@@ -81,4 +96,12 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_line_quality, op3_decontamination, op5_sentencepiece, op6_line_dedup, op7_token_counts, op8_jaccard_join)}
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = learn_toxicity(docs, _table(spark, sf_dir, "labels").where(~_held_out()))
+    return score_toxicity(docs, model).select(
+        "doc_id", F.coalesce(_held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+QUERIES = {f.__name__: f for f in (op2_line_quality, op3_decontamination, op4_language_id, op5_sentencepiece, op6_line_dedup, op7_token_counts, op8_jaccard_join, op9_toxicity)}

@@ -1,11 +1,14 @@
-"""Intermediate tables in the folder that all executors share."""
+"""What tasks share: intermediate tables in the folder that all executors see, and broadcast values."""
 
 from __future__ import annotations
 
 import os
+import pickle
 import tempfile
 import uuid
+from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -27,3 +30,9 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def shared(spark: SparkSession, value: object) -> Callable[[], object]:
+    """Broadcast a value of bounded size, its class included; tasks call what is returned to get it."""
+    packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(packed.value)

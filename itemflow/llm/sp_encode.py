@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from itemflow.llm import textpack
+from itemflow.llm.scratch import shared
 
 SPACE = 0x2581
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -378,10 +379,10 @@ def encode_documents(
     need no copy. Whole texts are encoded, a few megabytes at a time; other columns are not read.
     """
     with open(model_file, "rb") as f:
-        model = docs.sparkSession.sparkContext.broadcast(PieceModel(f.read()))
+        model = shared(docs.sparkSession, PieceModel(f.read()))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = model.value
+        own = model()
         for batch in batches:
             for texts in textpack.pieces(batch.column(1), 2 << 20):
                 made = encode_texts(own, texts, eos=eos)

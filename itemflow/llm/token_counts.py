@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from itemflow.llm import textpack
+from itemflow.llm.scratch import shared
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 #: The model's pattern of words, and the endings after an apostrophe that it names.
@@ -282,10 +283,10 @@ def count_documents(
     time in proportion to their length.
     """
     with open(tokenizer_file, encoding="utf-8") as f:
-        model = docs.sparkSession.sparkContext.broadcast(WordModel(f.read()))
+        model = shared(docs.sparkSession, WordModel(f.read()))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(model.value)
+        counter = Counter(model())
         for batch in batches:
             for texts in textpack.pieces(batch.column(1), 2 << 20):
                 counts, first = prefix_counts(counter, texts)
