@@ -1,6 +1,6 @@
 """Toxicity by a classifier that answers alike for sentences in which only identity terms differ.
 
-A logistic model over the words of a text. Besides the usual loss, it pays for every labelled sentence
+A logistic model over the words of a text and their stems. Besides the usual loss, it pays for every labelled sentence
 whose score changes when its identity terms are swapped for others of their group, so the mention of a group alone
 moves no score. The model is fitted on a bounded sample of labelled rows; every row is scored.
 """
@@ -22,9 +22,11 @@ from itemflow.llm.decontaminate import WORD
 
 #: At most so many labelled rows are learned from: those with the smallest hashes of their ids.
 MAX_ROWS = 12_000
-#: A word counts if so many rows of the sample have it.
-MIN_ROWS = 5
-RIDGE, FAIRNESS, STEPS = 2e-4, 1.0, 300
+#: A word counts if so many rows of the sample have it, and so many standard deviations lie between their labels and all.
+MIN_ROWS, MIN_ODDS = 5, 4.0
+#: Lengths of the stems of words that are features too.
+STEMS = 4, 5
+RIDGE, FAIRNESS, STEPS, RATE = 1e-3, 1.0, 300, 0.05
 #: Groups of terms that stand for one another; each is swapped for the next of its group.
 IDENTITY_GROUPS = (
     ("women", "men"), ("woman", "man"), ("girls", "boys"), ("female", "male"), ("she", "he"), ("her", "him"),
@@ -51,6 +53,24 @@ def word_hash(word: str) -> int:
     return int(textpack.Hasher(data)(np.array([0]), np.array([len(data)]))[0])
 
 
+def _features(low: textpack.Texts) -> tuple[textpack.Spans, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of lower-cased texts and their hashes; then hash and text of every feature: words and their stems.
+
+    Stems are the first four and five characters of longer words, so that forms of one word are learned together.
+    """
+    words, hasher = low.runs(WORD), low.hasher()
+    hashes, text = hasher(words.start, words.end), words.text
+    chars = np.append(np.flatnonzero((low.buf & 0xC0) != 0x80), [len(low.buf)] * 8)
+    first = np.searchsorted(chars, words.start)
+    values, owners = [hashes], [text]
+    for size in STEMS:
+        stop = chars[np.minimum(first + size, len(chars) - 1)]
+        longer = stop < words.end
+        values.append(textpack.mix(hasher(words.start[longer], stop[longer]) ^ np.uint64(size)))
+        owners.append(text[longer])
+    return words, hashes, np.concatenate(values), np.concatenate(owners)
+
+
 def swaps(groups=IDENTITY_GROUPS) -> dict[int, int]:
     """Each identity term's hash and that of the term put in its place."""
     return {word_hash(a): word_hash(b) for g in groups for a, b in zip(g, (*g[1:], g[0]), strict=True)}
@@ -80,10 +100,8 @@ def _sentences(rows: DataFrame, swapped: dict[int, int]) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in textpack.pieces(batch.column(1)):
-                texts_low = texts.lowered()
-                words = texts_low.runs(WORD)
-                hashes = texts_low.hasher()(words.start, words.end)
-                values, first = textpack.distinct(hashes, words.text, len(texts))
+                words, hashes, values, owners = _features(texts.lowered())
+                values, first = textpack.distinct(values, owners, len(texts))
                 out, into = [[] for _ in range(len(texts))], [[] for _ in range(len(texts))]
                 if len(terms):
                     text = words.text
@@ -103,7 +121,7 @@ def _sentences(rows: DataFrame, swapped: dict[int, int]) -> DataFrame:
 
 
 def _fit(sample: pa.Table, fairness: float) -> ToxicityModel:
-    """Gradient descent with momentum on the logistic loss, a ridge and the squared score changes of swaps."""
+    """Adam on the logistic loss, a ridge and the squared score changes of swaps."""
     sample = sample.combine_chunks()
     y = sample.column("y").to_numpy().astype(float)
     none = ToxicityModel(np.zeros(0, np.uint64), np.zeros(0), float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))))
@@ -114,7 +132,10 @@ def _fit(sample: pa.Table, fairness: float) -> ToxicityModel:
     row = np.repeat(np.arange(len(y)), np.diff(column.offsets.to_numpy()))
     words, at, counts = np.unique(flat, return_inverse=True, return_counts=True)
     extra = np.unique(np.concatenate([sample.column(c).chunk(0).flatten().to_numpy().view(np.uint64) for c in ("out", "into")]))
-    keep = (counts >= MIN_ROWS) | np.isin(words, extra)
+    # a word is kept if its rows have the label more or less often than chance explains
+    share = y.mean()
+    odds = (np.bincount(at, weights=y[row], minlength=len(words)) - counts * share) / np.sqrt(counts * share * (1 - share))
+    keep = ((counts >= MIN_ROWS) & (np.abs(odds) >= MIN_ODDS)) | np.isin(words, extra)
     new = np.cumsum(keep) - 1
     some = keep[at]
     row, at, words = row[some], new[at[some]], words[keep]
@@ -132,22 +153,23 @@ def _fit(sample: pa.Table, fairness: float) -> ToxicityModel:
     swap_row, swap_word, sign = map(np.concatenate, (swap_row, swap_word, sign))
 
     n, w, b = len(y), np.zeros(len(words)), none.intercept
-    size = np.sqrt(np.maximum(np.bincount(at, minlength=len(words)), 1))  # common words learn in smaller steps
-    speed, speed_b = np.zeros(len(words)), 0.0
-    for _ in range(STEPS):
+    mean, square = np.zeros(len(words) + 1), np.zeros(len(words) + 1)
+    for step in range(1, STEPS + 1):
         z = np.bincount(row, weights=w[at], minlength=n) + b
         miss = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) / n
         change = np.bincount(swap_row, weights=sign * w[swap_word], minlength=n)
         slope = np.bincount(at, weights=miss[row], minlength=len(words)) + RIDGE * w
         slope += fairness * 2 / n * np.bincount(swap_word, weights=sign * change[swap_row], minlength=len(words))
-        speed = 0.9 * speed - 40 * slope / size
-        speed_b = 0.9 * speed_b - 0.2 * miss.sum()
-        w, b = w + speed, b + speed_b
+        slope = np.append(slope, miss.sum())
+        mean = 0.9 * mean + 0.1 * slope
+        square = 0.99 * square + 0.01 * slope**2
+        move = RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
+        w, b = w - move[:-1], b - move[-1]
     return ToxicityModel(words, w, float(b))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(<id_col>, score)`` for each row: the probability of the label, of the distinct words of the whole text.
+    """``(<id_col>, score)`` for each row: the probability of the label, of the distinct words and stems of the whole text.
 
     Null and empty texts have no words and get the intercept's probability.
     """
@@ -157,14 +179,12 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, *, id_col: str = "doc_
         own = fitted()
         for batch in batches:
             for texts in textpack.pieces(batch.column(1)):
-                low = texts.lowered()
-                words = low.runs(WORD)
+                _, _, values, owners = _features(texts.lowered())
                 z = np.full(len(texts), own.intercept)
-                if len(words) and len(own.words):
-                    hashes = low.hasher()(words.start, words.end)
-                    place = np.minimum(np.searchsorted(own.words, hashes), len(own.words) - 1)
-                    some = own.words[place] == hashes
-                    pairs = np.unique(words.text[some] * len(own.words) + place[some])
+                if len(values) and len(own.words):
+                    place = np.minimum(np.searchsorted(own.words, values), len(own.words) - 1)
+                    some = own.words[place] == values
+                    pairs = np.unique(owners[some] * len(own.words) + place[some])
                     z += np.bincount(pairs // len(own.words), weights=own.weights[pairs % len(own.words)], minlength=len(texts))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[texts.rows], pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))], ["_id", "score"]
