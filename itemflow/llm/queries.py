@@ -16,6 +16,11 @@ from itemflow.llm.line_quality import clean_lines
 from itemflow.llm.sp_encode import encode_documents
 from itemflow.llm.token_counts import count_documents
 from itemflow.llm.toxicity import learn_toxicity, score_toxicity
+from itemflow.llm.url_rules import judge_urls
+
+URL_RULES = (
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -104,4 +109,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_line_quality, op3_decontamination, op4_language_id, op5_sentencepiece, op6_line_dedup, op7_token_counts, op8_jaccard_join, op9_toxicity)}
+def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+
+
+QUERIES = {f.__name__: f for f in (op2_line_quality, op3_decontamination, op4_language_id, op5_sentencepiece, op6_line_dedup, op7_token_counts, op8_jaccard_join, op9_toxicity, op10_url_rules)}
