@@ -1,8 +1,9 @@
 """Documents joined by the Jaccard similarity of their word n-grams, as T-occurrence search.
 
 Every document is its set of distinct word shingles, ordered from rare to frequent by a sketch
-of fixed size. Linked sets share one of their rarest ``|s| - ceil(t |s|) + 1`` shingles, so only those
-are shuffled, as 64-bit values. The search itself (heap-merged short lists, binary probes of
+of fixed size. Linked sets share ``c`` of their rarest ``|s| - ceil(t |s|) + c`` shingles, so only those
+are shuffled, as 64-bit values, and documents that share fewer, such as those with a passage
+in common, go no further. The search itself (heap-merged short lists, binary probes of
 the long ones) runs in blocks, see ``setlinks``. Equal sets are one node from the first scan on.
 """
 
@@ -21,6 +22,8 @@ from itemflow.llm.scratch import stored
 from itemflow.llm.setlinks import NodeFilter, components
 
 SKETCH_BITS = 16
+#: ``c`` is one and an item more for each so many of the set.
+SPARE = 32
 _LOW = np.uint64(8)
 
 
@@ -46,8 +49,8 @@ def jaccard_components(
     def sets(keep: NodeFilter) -> DataFrame:
         return _kept_sets(source, order, size, keep)
 
-    entries = rare.select(F.explode("items").alias("key"), "node")
-    labels = components(entries, sets, percent, "jaccard")
+    entries = rare.select(F.explode("items").alias("key"), "node", "n")
+    labels = components(entries, sets, percent, "jaccard", SPARE)
     known = seen.where("counts IS NULL")
     known = known.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = known.groupBy("component").agg(F.min("id").alias("component_id")).where("component IS NOT NULL")
@@ -119,7 +122,8 @@ def _rare_items(source: DataFrame, order: np.ndarray, size: int, percent: int) -
             for texts in textpack.pieces(batch.column(0)):
                 values, first = _ordered(texts, order, size)
                 sizes = np.diff(first)
-                take = np.where(sizes > 0, sizes + (-percent * sizes // 100) + 1, 0)
+                take = np.where(sizes > 0, sizes + (-percent * sizes // 100) + 1 + sizes // SPARE, 0)
+                take = np.minimum(take, sizes)
                 nodes = _node_of(texts, size)
                 for i, node in enumerate(nodes.tolist()):
                     if node in done:
@@ -130,9 +134,10 @@ def _rare_items(source: DataFrame, order: np.ndarray, size: int, percent: int) -
                 at = np.repeat(first[some] - np.cumsum(take[some]) + take[some], take[some]) + np.arange(take.sum())
                 offsets = np.concatenate([[0], np.cumsum(take[some])])
                 items = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(textpack.signed(values[at])))
-                yield pa.RecordBatch.from_arrays([pa.array(textpack.signed(nodes[some])), items], ["node", "items"])
+                sizes = pa.array(sizes[some].astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(textpack.signed(nodes[some])), sizes, items], ["node", "n", "items"])
 
-    return source.select("text").mapInArrow(scan, "node long, items array<long>")
+    return source.select("text").mapInArrow(scan, "node long, n int, items array<long>")
 
 
 def _kept_sets(source: DataFrame, order: np.ndarray, size: int, keep: NodeFilter) -> DataFrame:
@@ -149,8 +154,7 @@ def _kept_sets(source: DataFrame, order: np.ndarray, size: int, keep: NodeFilter
                 values, first = _ordered(texts, order, size)
                 sets = [values[first[i] : first[i + 1]] for i in some]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(textpack.signed(nodes[some])), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                    ["node", "n_items", "items"],
+                    [pa.array(textpack.signed(nodes[some])), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "items"]
                 )
 
-    return source.select("text").mapInArrow(scan, "node long, n_items long, items binary")
+    return source.select("text").mapInArrow(scan, "node long, items binary")

@@ -44,7 +44,7 @@ def line_groups(
     def sets(keep: NodeFilter) -> DataFrame:
         return _kept_sets(source, size, min_words, keep)
 
-    entries = lines.where("bands IS NOT NULL").select(F.explode("bands").alias("key"), "node")
+    entries = lines.where("bands IS NOT NULL").select(F.explode("bands").alias("key"), "node", "n")
     labels = components(entries, sets, percent, "lines")
     joined = lines.select("id", "line_no", "node").join(labels, "node", "left")
     joined = joined.select("id", "line_no", F.coalesce("component", "node").alias("component"))
@@ -136,13 +136,15 @@ def _signed_lines(source: DataFrame, id_type: T.DataType, size: int, bands: int,
                         keys[new, b] = textpack.signed(key)
                 offsets = pa.array(np.arange(len(node) + 1) * bands, pa.int32())
                 lists = pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()), mask=pa.array(~new))
+                size = pa.array((end - start).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(text + texts.row)), pa.array(number.astype(np.int32)), pa.array(node), lists],
-                    ["id", "line_no", "node", "bands"],
+                    [batch.column(0).take(pa.array(text + texts.row)), pa.array(number.astype(np.int32)), pa.array(node), size, lists],
+                    ["id", "line_no", "node", "n", "bands"],
                 )
 
     fields = [T.StructField("id", id_type), T.StructField("line_no", T.IntegerType())]
-    fields += [T.StructField("node", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))]
+    fields += [T.StructField("node", T.LongType()), T.StructField("n", T.IntegerType())]
+    fields += [T.StructField("bands", T.ArrayType(T.LongType()))]
     return source.mapInArrow(scan, T.StructType(fields))
 
 
@@ -168,8 +170,7 @@ def _kept_sets(source: DataFrame, size: int, min_words: int, keep: NodeFilter) -
                 values, first = textpack.distinct(values, np.repeat(np.arange(len(some)), np.diff(first)), len(some))
                 sets = [values[first[i] : first[i + 1]].tobytes() for i in range(len(some))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(textpack.signed(node[some])), pa.array(np.diff(first)), pa.array(sets, pa.binary())],
-                    ["node", "n_items", "items"],
+                    [pa.array(textpack.signed(node[some])), pa.array(sets, pa.binary())], ["node", "items"]
                 )
 
-    return source.select("text").mapInArrow(scan, "node long, n_items long, items binary")
+    return source.select("text").mapInArrow(scan, "node long, items binary")

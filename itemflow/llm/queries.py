@@ -13,6 +13,7 @@ from itemflow.llm.jaccard_join import jaccard_components
 from itemflow.llm.language_id import identify, learn_languages
 from itemflow.llm.line_dedup import dedup_lines
 from itemflow.llm.line_quality import clean_lines
+from itemflow.llm.sharding import balanced_shards
 from itemflow.llm.sp_encode import encode_documents
 from itemflow.llm.token_counts import count_documents
 from itemflow.llm.toxicity import learn_toxicity, score_toxicity
@@ -39,6 +40,18 @@ def tokenizer_path(name: str) -> str:
     return os.path.join("/opt/tokenizers", name)
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", (F.length(data) + 16).cast("long").alias("size"), F.crc32(data).alias("text_crc32"), F.md5(data).alias("group")
+    )
+    placed = balanced_shards(docs, 40)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"),
+        F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op2_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -113,4 +126,4 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
 
 
-QUERIES = {f.__name__: f for f in (op2_line_quality, op3_decontamination, op4_language_id, op5_sentencepiece, op6_line_dedup, op7_token_counts, op8_jaccard_join, op9_toxicity, op10_url_rules)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_line_quality, op3_decontamination, op4_language_id, op5_sentencepiece, op6_line_dedup, op7_token_counts, op8_jaccard_join, op9_toxicity, op10_url_rules)}

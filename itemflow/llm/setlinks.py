@@ -24,8 +24,8 @@ from itemflow.llm.scratch import stored
 
 #: A block has about so many sets, and so many items in all of them.
 SETS, ITEMS = 256, 1 << 20
-#: Lists of so many sets are blocks of their own when they are searched again.
-SHORT = 64
+#: Only lists of at most so many sets are ever taken as pairs.
+SHORT = 32
 #: Cost of a probe, times the logarithm of a list's length, against that of a step of the merge.
 MU = 8
 #: So many postings are merged by a heap; more are counted, which gives the same counts sooner.
@@ -34,26 +34,35 @@ BLOOM_BITS = 24
 
 
 def components(
-    entries: DataFrame, sets: Callable[[NodeFilter], DataFrame], percent: int, name: str
+    entries: DataFrame, sets: Callable[[NodeFilter], DataFrame], percent: int, name: str, spare: int = 0
 ) -> DataFrame:
     """``(node, component)`` of the sets that link with another one.
 
-    ``entries``: ``(key, node)``, longs; linked sets share a key. ``sets(keep)`` gives
-    ``(node, n_items, items)`` of all nodes that ``keep`` lets through, items as sorted
-    64-bit values. Two sets link when ``100 * intersection >= percent * union``.
+    ``entries``: ``(key, node, n)``, the set's size as ``n``. With ``spare``, two sets that link share
+    ``1 + n div spare`` keys or more, ``n`` being the smaller one's size, else at least one. ``sets(keep)`` gives ``(node, items)`` of all nodes
+    that ``keep`` lets through, items as sorted 64-bit values; a node may come more than once.
+    Two sets link when ``100 * intersection >= percent * union``.
     """
     hubs = entries.groupBy("key").agg(F.min("node").alias("hub"))
-    others = entries.join(hubs, "key").where("node <> hub").select("key", "node", "hub")
-    members = others.unionByName(others.select("key", F.col("hub").alias("node"), "hub")).distinct()
-    members = stored(members, f"{name}-members")
-    nodes = members.groupBy("node").agg(F.min("hub").alias("hub"))
-    items = sets(NodeFilter.of(members.select("node")))
-    items = items.join(nodes, "node").select("node", "n_items", "items", "hub")
-    items = stored(items.dropDuplicates(["node"]), f"{name}-sets")
-
-    spread = items.groupBy("hub").agg(F.count("*").alias("n"), F.sum("n_items").alias("weight"))
-    spread = spread.select("hub", F.greatest(F.expr(f"ceil(n / {SETS})"), F.expr(f"ceil(weight / {ITEMS})")).alias("parts"))
-    dealt = items.select("node", "hub").join(spread, "hub")
+    others = entries.join(hubs, "key").where("node <> hub").select("key", "node", "n", "hub")
+    shared = others.select("key", "node", "n").unionByName(_hub_rows(others))
+    shared = stored(shared.groupBy("key", "node").agg(F.max("n").alias("n")), f"{name}-shared")
+    sizes = shared.groupBy("node").agg(F.max("n").alias("n"), F.count("*").alias("keys"))
+    # a hub is known by its key alone; its size is that of its own entry, looked up below
+    least = f"1 + ((n * {percent} + 99) div 100) div {spare}" if spare else "1"
+    able = sizes.where(f"n IS NOT NULL AND keys >= {least}").select("node", "n")
+    able = able.unionByName(sizes.where("n IS NULL").select("node", "n"))
+    members = shared.drop("n").join(able, "node")
+    hubs = members.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub <> top")
+    members = stored(members.join(hubs.select("key", "hub"), "key"), f"{name}-members")
+
+    nodes = members.groupBy("node").agg(F.min("hub").alias("hub"), F.max("n").alias("n"))
+    items = stored(sets(NodeFilter.of(nodes.select("node"))), f"{name}-sets")
+    spread = nodes.groupBy("hub").agg(F.count("*").alias("count"), F.sum("n").alias("weight"))
+    spread = spread.select(
+        "hub", F.greatest(F.expr(f"ceil(count / {SETS})"), F.expr(f"ceil(coalesce(weight, 0) / {ITEMS})")).alias("parts")
+    )
+    dealt = nodes.select("node", "hub").join(spread, "hub")
     dealt = stored(
         dealt.select(F.col("hub").alias("block"), F.expr("pmod(xxhash64(node), parts)").alias("part"), "node"), f"{name}-cells"
     )
@@ -62,42 +71,53 @@ def components(
     links = stored(_searched(first, items, percent), f"{name}-links")
 
     labels = connected(links, f"{name}-components")
-    rest = members.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    rest = members.join(labels, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
     rest = _unsettled(rest, name)
     if rest.isEmpty():
         return labels
-    more = _searched(_between(rest, dealt, labels), items, percent)
+    more = _searched(_between(rest, dealt, labels, spare), items, percent)
     return connected(links.unionByName(stored(more, f"{name}-links")), f"{name}-components")
 
 
+def _hub_rows(others: DataFrame) -> DataFrame:
+    return others.select("key", F.col("hub").alias("node"), F.lit(None).cast(dict(others.dtypes)["n"]).alias("n")).distinct()
+
+
 def _unsettled(rest: DataFrame, name: str) -> DataFrame:
-    """The lists that hold more than one component; of lists with the same sets one."""
+    """The lists that hold more than one component, of lists with the same sets one; ``keys`` is how many it stands for."""
     lists = rest.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"),
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"),
         F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
     )
-    once = lists.where("low <> high").groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key")
+    once = lists.where("low <> high").groupBy("size", "x", "y")
+    once = once.agg(F.min("key").alias("key"), F.count("*").alias("keys")).drop("x", "y")
     return stored(rest.join(once, "key"), f"{name}-unsettled")
 
 
-def _between(rest: DataFrame, dealt: DataFrame, labels: DataFrame) -> DataFrame:
-    """What is searched again: short lists as they are; of long ones each two cells that meet in one.
+def _between(rest: DataFrame, dealt: DataFrame, labels: DataFrame, spare: int) -> DataFrame:
+    """What is searched again: of short lists the pairs that share enough keys, of long ones each two cells that meet.
 
     A cell is one block of the first search, so it needs no search of its own. Two cells meet
-    in many lists of a group of copies and are searched once.
+    in many lists of a group of copies and are searched once. A pair that also meets in a long list is found there.
     """
-    counts = rest.groupBy("key").agg(F.count("*").alias("n"))
-    sized = rest.join(counts, "key")
-    short = sized.where(f"n <= {SHORT}").select(F.col("key").alias("block"), F.lit(0).cast("long").alias("part"), "node", "component")
+    short = rest.where(f"size <= {SHORT}")
+    ahead = short.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
+    pairs = short.join(ahead, "key").where("node < b AND component <> other").groupBy(F.col("node").alias("a"), "b")
+    pairs = pairs.agg(F.sum("keys").alias("keys"), F.max(F.expr("if(n IS NULL OR m IS NULL, NULL, least(n, m))")).alias("n"))
+    pairs = pairs.where(f"n IS NULL OR keys >= 1 + n div {spare}" if spare else "keys >= 1").select("a", "b")
+    crowd = pairs.groupBy("a").agg(F.ceil(F.count("*") / SETS).alias("parts"))
+    pairs = pairs.join(crowd, "a").select("a", F.expr("pmod(xxhash64(b), parts)").alias("part"), "b")
+    short = pairs.select(F.col("a").alias("block"), "part", F.explode(F.array("a", "b")).alias("node")).distinct()
     cells = dealt.select("node", F.xxhash64("block", "part").alias("cell"))
-    met = sized.where(f"n > {SHORT}").join(cells, "node").groupBy("key", "cell")
+    met = rest.where(f"size > {SHORT}").join(cells, "node").groupBy("key", "cell")
     met = met.agg(F.min("component").alias("low"), F.max("component").alias("high"))
     ahead = met.select("key", F.col("cell").alias("cell2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
     one = (F.col("low") == F.col("high")) & (F.col("low") == F.col("low2")) & (F.col("low") == F.col("high2"))
     two = met.join(ahead, "key").where((F.col("cell") < F.col("cell2")) & ~one).select("cell", "cell2").distinct()
     two = two.select(F.col("cell").alias("block"), F.col("cell2").alias("part"), F.explode(F.array("cell", "cell2")).alias("cell"))
-    long = two.join(cells, "cell").join(labels, "node", "left")
-    return short.unionByName(long.select("block", "part", "node", F.coalesce("component", "node").alias("component")))
+    long = two.join(cells, "cell").select("block", "part", "node")
+    met = short.unionByName(long).join(labels, "node", "left")
+    return met.select("block", "part", "node", F.coalesce("component", "node").alias("component"))
 
 
 def _searched(blocks: DataFrame, items: DataFrame, percent: int) -> DataFrame:
@@ -107,6 +127,8 @@ def _searched(blocks: DataFrame, items: DataFrame, percent: int) -> DataFrame:
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in whole_groups(batches, 2):
+            nodes = group.column("node").to_numpy()
+            group = group.take(np.flatnonzero(np.append(True, nodes[1:] != nodes[:-1])))
             nodes, comps = group.column("node").to_pylist(), group.column("component").to_pylist()
             if len(nodes) > 1:
                 sets = [np.frombuffer(x.as_buffer(), np.int64) for x in group.column("items")]
