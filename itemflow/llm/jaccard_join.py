@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from itemflow.llm import textpack
 from itemflow.llm.scratch import stored
-from itemflow.llm.setlinks import NodeFilter, components
+from itemflow.llm.setlinks import NodeFilter, components, packed
 
 SKETCH_BITS = 16
 #: ``c`` is one and an item more for each so many of the set.
@@ -154,7 +154,7 @@ def _kept_sets(source: DataFrame, order: np.ndarray, size: int, keep: NodeFilter
                 values, first = _ordered(texts, order, size)
                 sets = [values[first[i] : first[i + 1]] for i in some]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(textpack.signed(nodes[some])), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "items"]
+                    [pa.array(textpack.signed(nodes[some])), pa.array([packed(s) for s in sets], pa.binary())], ["node", "items"]
                 )
 
     return source.select("text").mapInArrow(scan, "node long, items binary")

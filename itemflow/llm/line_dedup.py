@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from itemflow.llm import textpack
 from itemflow.llm.scratch import stored
-from itemflow.llm.setlinks import NodeFilter, components
+from itemflow.llm.setlinks import NodeFilter, components, packed
 
 PERCENT, SHINGLE, BANDS, ROWS, MIN_WORDS = 80, 8, 7, 3, 5
 _SEEN = 1 << 20
@@ -168,7 +168,7 @@ def _kept_sets(source: DataFrame, size: int, min_words: int, keep: NodeFilter) -
                     continue
                 values, first = _line_shingles(texts, hasher, start[some], end[some], size)
                 values, first = textpack.distinct(values, np.repeat(np.arange(len(some)), np.diff(first)), len(some))
-                sets = [values[first[i] : first[i + 1]].tobytes() for i in range(len(some))]
+                sets = [packed(values[first[i] : first[i + 1]]) for i in range(len(some))]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(textpack.signed(node[some])), pa.array(sets, pa.binary())], ["node", "items"]
                 )

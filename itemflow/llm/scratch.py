@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import pickle
 import tempfile
@@ -32,6 +33,12 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def forget_shuffles(df: DataFrame) -> None:
+    """Let executors delete the shuffle files of plans that have ended: the driver tells them when it collects garbage."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+
+
 def shared(spark: SparkSession, value: object) -> Callable[[], object]:
     """Broadcast a value of bounded size, its class included; tasks call what is returned to get it."""
     packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))

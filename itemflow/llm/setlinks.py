@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from itemflow.llm.connect import connected
-from itemflow.llm.scratch import stored
+from itemflow.llm.scratch import forget_shuffles, stored
 
 #: A block has about so many sets, and so many items in all of them.
 SETS, ITEMS = 256, 1 << 20
@@ -40,15 +40,16 @@ def components(
 
     ``entries``: ``(key, node, n)``, the set's size as ``n``. With ``spare``, two sets that link share
     ``1 + n div spare`` keys or more, ``n`` being the smaller one's size, else at least one. ``sets(keep)`` gives ``(node, items)`` of all nodes
-    that ``keep`` lets through, items as sorted 64-bit values; a node may come more than once.
+    that ``keep`` lets through, items as ``packed`` makes them; a node may come more than once.
     Two sets link when ``100 * intersection >= percent * union``.
     """
     hubs = entries.groupBy("key").agg(F.min("node").alias("hub"))
     others = entries.join(hubs, "key").where("node <> hub").select("key", "node", "n", "hub")
-    shared = others.select("key", "node", "n").unionByName(_hub_rows(others))
+    # with each set its hub, whose size stands in its entries under other hubs
+    both = F.array(F.struct("node", "n"), F.struct(F.col("hub").alias("node"), F.expr("CAST(NULL AS INT)").alias("n")))
+    shared = others.select("key", F.explode(both).alias("one")).select("key", "one.node", "one.n")
     shared = stored(shared.groupBy("key", "node").agg(F.max("n").alias("n")), f"{name}-shared")
     sizes = shared.groupBy("node").agg(F.max("n").alias("n"), F.count("*").alias("keys"))
-    # a hub is known by its key alone; its size is that of its own entry, looked up below
     least = f"1 + ((n * {percent} + 99) div 100) div {spare}" if spare else "1"
     able = sizes.where(f"n IS NOT NULL AND keys >= {least}").select("node", "n")
     able = able.unionByName(sizes.where("n IS NULL").select("node", "n"))
@@ -56,6 +57,7 @@ def components(
     hubs = members.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub <> top")
     members = stored(members.join(hubs.select("key", "hub"), "key"), f"{name}-members")
 
+    forget_shuffles(members)
     nodes = members.groupBy("node").agg(F.min("hub").alias("hub"), F.max("n").alias("n"))
     items = stored(sets(NodeFilter.of(nodes.select("node"))), f"{name}-sets")
     spread = nodes.groupBy("hub").agg(F.count("*").alias("count"), F.sum("n").alias("weight"))
@@ -70,28 +72,31 @@ def components(
     first = dealt.unionByName(centres).distinct().withColumn("component", F.col("node"))
     links = stored(_searched(first, items, percent), f"{name}-links")
 
+    forget_shuffles(members)
     labels = connected(links, f"{name}-components")
     rest = members.join(labels, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
-    rest = _unsettled(rest, name)
+    rest = _unsettled(rest, name, least)
     if rest.isEmpty():
         return labels
     more = _searched(_between(rest, dealt, labels, spare), items, percent)
     return connected(links.unionByName(stored(more, f"{name}-links")), f"{name}-components")
 
 
-def _hub_rows(others: DataFrame) -> DataFrame:
-    return others.select("key", F.col("hub").alias("node"), F.lit(None).cast(dict(others.dtypes)["n"]).alias("n")).distinct()
+def _unsettled(rest: DataFrame, name: str, least: str) -> DataFrame:
+    """The lists that hold more than one component, of lists with the same sets one; ``keys`` is how many it stands for.
 
-
-def _unsettled(rest: DataFrame, name: str) -> DataFrame:
-    """The lists that hold more than one component, of lists with the same sets one; ``keys`` is how many it stands for."""
+    A set that links with one of another component shares only such lists with it, so sets in too few of them go.
+    """
     lists = rest.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"),
         F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
     )
     once = lists.where("low <> high").groupBy("size", "x", "y")
     once = once.agg(F.min("key").alias("key"), F.count("*").alias("keys")).drop("x", "y")
-    return stored(rest.join(once, "key"), f"{name}-unsettled")
+    found = stored(rest.join(once, "key"), f"{name}-unsettled")
+    able = found.groupBy("node").agg(F.max("n").alias("n"), F.sum("keys").alias("keys"))
+    able = able.where(f"n IS NULL OR keys >= {least}").select("node")
+    return stored(found.join(able, "node"), f"{name}-unsettled")
 
 
 def _between(rest: DataFrame, dealt: DataFrame, labels: DataFrame, spare: int) -> DataFrame:
@@ -108,7 +113,7 @@ def _between(rest: DataFrame, dealt: DataFrame, labels: DataFrame, spare: int) -
     crowd = pairs.groupBy("a").agg(F.ceil(F.count("*") / SETS).alias("parts"))
     pairs = pairs.join(crowd, "a").select("a", F.expr("pmod(xxhash64(b), parts)").alias("part"), "b")
     short = pairs.select(F.col("a").alias("block"), "part", F.explode(F.array("a", "b")).alias("node")).distinct()
-    cells = dealt.select("node", F.xxhash64("block", "part").alias("cell"))
+    cells = dealt.select("node", F.xxhash64("block", "part").alias("cell")).join(rest.select("node").distinct(), "node", "left_semi")
     met = rest.where(f"size > {SHORT}").join(cells, "node").groupBy("key", "cell")
     met = met.agg(F.min("component").alias("low"), F.max("component").alias("high"))
     ahead = met.select("key", F.col("cell").alias("cell2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
@@ -131,7 +136,7 @@ def _searched(blocks: DataFrame, items: DataFrame, percent: int) -> DataFrame:
             group = group.take(np.flatnonzero(np.append(True, nodes[1:] != nodes[:-1])))
             nodes, comps = group.column("node").to_pylist(), group.column("component").to_pylist()
             if len(nodes) > 1:
-                sets = [np.frombuffer(x.as_buffer(), np.int64) for x in group.column("items")]
+                sets = [unpacked(x.as_buffer()) for x in group.column("items")]
                 found = linked(sets, comps, percent)
                 if found:
                     yield pa.RecordBatch.from_pydict(
@@ -141,6 +146,17 @@ def _searched(blocks: DataFrame, items: DataFrame, percent: int) -> DataFrame:
     return rows.mapInArrow(search, "a long, b long")
 
 
+def packed(values: np.ndarray) -> bytes:
+    """The low six bytes of each 64-bit hash: most of what is shuffled are these."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.reshape(-1).view(np.int64)
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
     """Cut sorted batches into the groups of their first columns; one group is held at a time."""
     held: list[pa.RecordBatch] = []

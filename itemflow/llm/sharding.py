@@ -43,7 +43,8 @@ def balanced_shards(
     state = _fit(state, load, room, n_shards)
     for _ in range(rounds):
         load = _load(state, n_shards)
-        free = [room[s] - load[s] for s in range(n_shards)]
+        # what is nearly full takes no more, so that its pieces can go where there is room
+        free = [f if (f := room[s] - load[s]) > room[s] // 50 else 0 for s in range(n_shards)]
         moved = _round(state, free, n_shards)
         if moved is None:
             break
@@ -112,7 +113,15 @@ def _round(state: DataFrame, free: list[int], n_shards: int) -> DataFrame | None
     # a group's pieces, at most one for each shard, and the best of those shards that have room
     order = F.struct("n", F.xxhash64("g", "shard").alias("h"), "shard")
     open_ = F.when(_lookup(free) > 0, order)
-    best = state.groupBy("g").agg(F.max(open_).alias("best")).where("best IS NOT NULL")
+    best = state.groupBy("g").agg(F.max(open_).alias("best"), F.sum("n").alias("size"), F.count("*").alias("pieces"))
+    # a small group whose shards are all full meets in a shard with room, if it is in pieces
+    some = [s for s in range(n_shards) if free[s] > 0]
+    if not some:
+        return None
+    other = F.element_at(F.array(*map(F.lit, some)), F.pmod(F.xxhash64("g", F.lit(4)), F.lit(len(some))).cast("int") + 1)
+    away = F.struct(F.col("size").alias("n"), F.lit(0).cast("long").alias("h"), other.alias("shard"))
+    small = (F.col("pieces") > 1) & (F.col("size") * 4 <= F.element_at(F.array(*map(F.lit, free)), other + 1))
+    best = best.withColumn("best", F.coalesce("best", F.when(small, away))).where("best IS NOT NULL").select("g", "best")
     # a piece in a full shard gives way to an equal one elsewhere, which could not come to it
     gives = (_lookup(free) <= 0) & (F.col("n") <= F.col("best.n"))
     wish = state.join(best, "g").where((F.col("shard") != F.col("best.shard")) & ((order < F.col("best")) | gives))
