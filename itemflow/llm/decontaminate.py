@@ -177,7 +177,7 @@ def _found(
     return _merge_groups(source, automata, groups)
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
     out = []
     for text, some in zip(texts.to_pylist(), spans.to_pylist(), strict=True):

@@ -72,7 +72,7 @@ def dedup_lines(
     return joined.select(*kept, removed)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _without(texts: pd.Series, gone: pd.Series) -> pd.Series:
     out = []
     for text, numbers in zip(texts, gone, strict=True):
@@ -136,9 +136,9 @@ def _signed_lines(source: DataFrame, id_type: T.DataType, size: int, bands: int,
                         keys[new, b] = textpack.signed(key)
                 offsets = pa.array(np.arange(len(node) + 1) * bands, pa.int32())
                 lists = pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()), mask=pa.array(~new))
-                size = pa.array((end - start).astype(np.int32))
+                length = pa.array((end - start).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(text + texts.row)), pa.array(number.astype(np.int32)), pa.array(node), size, lists],
+                    [batch.column(0).take(pa.array(text + texts.row)), pa.array(number.astype(np.int32)), pa.array(node), length, lists],
                     ["id", "line_no", "node", "n", "bands"],
                 )
 
