@@ -45,8 +45,14 @@ def composite_key(parts: list[str]) -> str:
 
 
 def sequence_key(sequence: Column) -> Column:
-    """Fixed-width text of a sequence number: text order is numeric order."""
-    return F.lpad(F.regexp_replace(sequence, "[^0-9]", ""), 40, "0")
+    """Text of a sequence number whose order is numeric order; NULL for anything but digits.
+
+    Up to 40 digits stand at a fixed width; longer ones come after them, by their length first.
+    """
+    digits = F.regexp_replace(F.when(sequence.rlike("^[0-9]+$"), sequence), "^0+(?=[0-9])", "")
+    size = F.length(digits)
+    long = F.concat(F.lit("~"), F.lpad(size.cast("string"), 10, "0"), digits)
+    return F.when(size <= 40, F.lpad(digits, 40, "0")).otherwise(long)
 
 
 def bucket_of(key: Column, buckets: int) -> Column:

@@ -18,6 +18,8 @@ BLANK_SEPARATED = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}([.,][
 DATE_ONLY = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 # Fixed value: the largest second count that a microsecond timestamp holds.
 MAX_SECONDS = 9223372036854
+# Numbers that DECIMAL(38,18) holds as they are written.
+EXACT = r"^[+-]?(?=[.]?[0-9])[0-9]*(?:[.][0-9]{0,18}0*)?$"
 # Fixed value: name of the field behind a text that is read as JSON.
 AFTER = "after the value"
 # An escaped backslash and quote, and their spelling by code point.
@@ -64,11 +66,15 @@ def to_datetime(value: str) -> str:
 
 
 def to_decimal(value: str, exact: bool = False) -> str:
-    """Numeric text becomes DOUBLE (DECIMAL(38,18) when ``exact``); numbers stay as they are."""
+    """Numeric text becomes DOUBLE (DECIMAL(38,18) when ``exact``); numbers stay as they are.
+
+    ``exact`` never rounds: text with more digits before or after the point than the type holds fails,
+    and so does text with an exponent, whose digits are not all written out.
+    """
 
     def parsed(text: str) -> str:
         if exact:
-            return case((f"{float64(text)} is not null", f"try_cast({text} as decimal(38,18))"))
+            return case((f"{text} rlike r'{EXACT}'", f"try_cast({text} as decimal(38,18))"))
         return float64(text)
 
     return by_kind(

@@ -57,7 +57,8 @@ def decode_value(
 
     def blob(text: str) -> str:
         # Exports hold Base64 text; utf8 gives the bytes themselves as a string.
-        return text if binary == "base64" else f"decode(unbase64({text}), 'UTF-8')"
+        # Bytes that are no UTF-8 become the replacement character, text that is no Base64 fails its row.
+        return text if binary == "base64" else f"make_valid_utf8(cast(try_to_binary({text}, 'base64') as string))"
 
     def level(av: str, depth: int) -> str:
         branches = [
@@ -79,13 +80,17 @@ def decode_value(
             (f"{av}.SS is not null", variant(f"{av}.SS")),
             (f"{av}.NS is not null", variant(f"transform({av}.NS, {fn(numeric)})")),
             (f"{av}.B is not null", variant(blob(f"{av}.B"))),
-            (f"{av}.BS is not null", variant(f"transform({av}.BS, {fn(blob)})")),
+            (f"{av}.BS is not null", bind(f"transform({av}.BS, {fn(blob)})", _all_or_none)),
         ]
         return case(*branches)
 
     return level(av, depth)
 
 
+def _all_or_none(values: str) -> str:
+    return case((has_null(values), NO_VALUE), default=variant(values))
+
+
 def _container(av: str, kids: str, naming: str) -> str:
     names = f"map_keys({av}.M)"
     if naming != "preserve":

@@ -33,6 +33,11 @@ def problem(event_name: Column, new_image: Column, keys: Column) -> Column:
     )
 
 
+def unordered(seq_key: Column) -> Column:
+    """Why an operation cannot be put in order, NULL if it can."""
+    return F.when(seq_key.isNull(), "sequence number missing or not a number")
+
+
 def delete_key(keys: str, mapping: Mapping) -> str:
     """Canonical key of a delete: the mapped key if it is there, else all keys, converted."""
 
@@ -56,31 +61,36 @@ def to_operations(changes: DataFrame, mapping: Mapping, strict: bool = False) ->
     """Operation rows ``(op, key, seq_key, approx_ts, doc, status, raw, field, reason)``.
 
     Records that yield no operation are skipped; with ``strict`` they go to the quarantine.
-    Documents that cannot be converted always do.
+    Documents that cannot be converted and operations without a place in the order always do.
+    Without a mapped key the record's own keys name the document, for upserts and deletes alike.
     """
     event, image, keys = F.col("event_name"), F.col("new_image"), F.col("keys")
+    ordered = F.col("seq_key").isNotNull()
+    own_keys = event == "REMOVE" if mapping.key_source else F.lit(True)
     routed = changes.select(
         "raw",
         operation(event, image, keys).alias("op"),
-        problem(event, image, keys).alias("_problem"),
+        F.coalesce(problem(event, image, keys), unordered(F.col("seq_key"))).alias("_problem"),
         "seq_key",
         "approx_ts",
-        F.when(event == "REMOVE", keys).alias("_keys"),
+        F.when(own_keys, keys).alias("_keys"),
         # A delete has no image: the empty item converts to an empty document at no cost.
-        F.when(event.isin("INSERT", "MODIFY"), image)
-        .when(event == "REMOVE", F.create_map().cast(av_map_type(mapping.depth)))
+        F.when(event.isin("INSERT", "MODIFY") & ordered, image)
+        .when((event == "REMOVE") & ordered, F.create_map().cast(av_map_type(mapping.depth)))
         .alias("item"),
     )
     if not strict:
         routed = routed.filter(F.col("op").isNotNull() | (F.col("_problem") == "malformed record"))
     is_delete = F.col("op") == DELETE
-    routed = routed.withColumn("_delete_key", F.when(is_delete, F.expr(delete_key("_keys", mapping))))
+    by_keys = F.col("_keys").isNotNull()
+    routed = routed.withColumn("_delete_key", F.when(by_keys, F.expr(delete_key("_keys", mapping))))
     rows = to_documents(routed.drop("_keys"), mapping, path=("dynamodb", "NewImage"))
+    by_own = F.lit(None).cast("string") if mapping.key_source else F.col("_delete_key")
     lost_key = is_delete & F.col("_delete_key").isNull()
     reason = F.when(lost_key, "keys cannot be decoded").otherwise(F.coalesce("_problem", "reason"))
     return rows.select(
         "op",
-        F.when(is_delete, F.col("_delete_key")).otherwise(F.col("key")).alias("key"),
+        F.when(is_delete, F.col("_delete_key")).otherwise(F.coalesce(by_own, "key")).alias("key"),
         "seq_key",
         "approx_ts",
         F.when(~is_delete, F.col("doc")).alias("doc"),

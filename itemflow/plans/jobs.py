@@ -16,7 +16,7 @@ from itemflow.operators.convert import GOOD, to_documents
 from itemflow.plans.ledger import Ledger
 from itemflow.plans.pair import Pair, RunSettings, check_pairs, select_pairs
 from itemflow.plans.report import pair_status
-from itemflow.sinks.table import DocTable, is_missing
+from itemflow.sinks.table import DocTable, said
 from itemflow.sources.items import scan_items
 from itemflow.streaming.live import follow
 
@@ -214,13 +214,14 @@ def dry_run(spark: SparkSession, pairs: Iterable[Pair], names: Iterable[str] | N
                 F.lit(True).alias("ok"),
                 F.format_string("%d documents, %d quarantined", "ok", "bad").alias("detail"),
             )
+        except Exception as error:  # the other pairs are still checked
+            counts = spark.createDataFrame([(pair.name, "source", False, said(error))], CHECK)
+        try:
+            version = DocTable(spark, pair.target).version()
+            found = True, "new" if version is None else f"version {version['version']}"
         except Exception as error:
-            if not is_missing(error):
-                raise
-            counts = spark.createDataFrame([(pair.name, "source", False, "not found")], CHECK)
-        version = DocTable(spark, pair.target).version()
-        detail = "new" if version is None else f"version {version['version']}"
-        target = spark.createDataFrame([(pair.name, "target", True, detail)], CHECK)
+            found = False, said(error)
+        target = spark.createDataFrame([(pair.name, "target", *found)], CHECK)
         checks = checks.unionByName(counts).unionByName(target)
     return checks
 

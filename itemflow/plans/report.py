@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from itemflow.plans.ledger import Ledger
 from itemflow.plans.pair import Pair
-from itemflow.sinks.table import DocTable, is_missing
+from itemflow.sinks.table import DocTable, said
 from itemflow.sources.items import read_lines
 
 
@@ -65,11 +65,9 @@ def pair_status(spark: SparkSession, pair: Pair, table: DocTable, ledger: Ledger
         source = source_profile(spark, pair.source).select(
             name, "items", "bytes", F.lit(None).cast("string").alias("source_error")
         )
-    except Exception as error:
-        if not is_missing(error):
-            raise
+    except Exception as error:  # a part that cannot be read says so in its column
         source = spark.createDataFrame(
-            [(pair.name, None, None, "not found")],
+            [(pair.name, None, None, said(error))],
             "pair string, items bigint, bytes bigint, source_error string",
         )
     target = table.count().select(name, "documents")

@@ -13,9 +13,13 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Only a session that names none (a local test) gets a folder of its own.
+    A local session that names none (a test) gets a folder of its own; on a cluster each machine
+    would have another one, so there it is an error.
     """
     named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
+    master = spark.sparkContext.master
+    if not named and (not master.startswith("local") or master.startswith("local-cluster")):
+        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that the driver and all executors share")
     return (named or tempfile.gettempdir()).rstrip("/")
 
 

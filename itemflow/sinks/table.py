@@ -38,6 +38,11 @@ def is_missing(error: Exception) -> bool:
     return "PATH_NOT_FOUND" in str(error)
 
 
+def said(error: Exception) -> str:
+    """An error in one line, for the columns of reports."""
+    return "not found" if is_missing(error) else (str(error).splitlines() or [type(error).__name__])[0]
+
+
 class DocTable:
     def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets

@@ -12,6 +12,10 @@ from itemflow.functions.keys import sequence_key
 from itemflow.functions.wire import DEFAULT_DEPTH, av_map_type
 
 
+# The years 1 to 9999. A time outside is none.
+FIRST_MICROS, LAST_MICROS = -62135596800000000, 253402300799999999
+
+
 def change_type(depth: int = DEFAULT_DEPTH, old_images: bool = True) -> str:
     """DDL of one change record line. Keys are scalars and need no depth."""
     image = av_map_type(depth)
@@ -29,10 +33,12 @@ def read_change_lines(
 ) -> DataFrame:
     """Raw change lines as ``raw``, in batch or as a stream.
 
-    Files trimmed from the directory before they were read are skipped, as a trimmed log is.
+    A stream skips files trimmed from the directory before they were read, as a trimmed log is.
+    In batch a file that vanishes after the listing ends the job: its records would be missing.
     """
-    options = {"recursiveFileLookup": "true", "ignoreMissingFiles": "true"}
+    options = {"recursiveFileLookup": "true"}
     if streaming:
+        options["ignoreMissingFiles"] = "true"
         if max_files:
             options["maxFilesPerTrigger"] = str(max_files)
         reader = spark.readStream.format("text").options(**options)
@@ -46,18 +52,20 @@ def parse_changes(
 ) -> DataFrame:
     """Flat change records next to ``raw``; ``seq_key`` orders them within a key.
 
+    A time that is no number or outside the calendar is NULL, a sequence number that is not all digits has no ``seq_key``.
+
     Without ``old_images`` the JSON reader skips them; replication does not use them.
     """
     record_type = change_type(depth, old_images)
     record = lines.withColumn("_record", once(F.from_json("raw", record_type)))
     data = F.col("_record.dynamodb")
-    micros = F.round(data["ApproximateCreationDateTime"] * 1000000).cast("bigint")
+    micros = F.round(data["ApproximateCreationDateTime"] * 1000000).try_cast("bigint")
     columns = {
         "event_name": F.col("_record.eventName"),
         "event_source": F.col("_record.eventSource"),
         "aws_region": F.col("_record.awsRegion"),
         "shard_id": F.col("_record.shardId"),
-        "approx_ts": F.timestamp_micros(micros),
+        "approx_ts": F.when(micros.between(FIRST_MICROS, LAST_MICROS), F.timestamp_micros(micros)),
         "seq": data["SequenceNumber"],
         "seq_key": sequence_key(data["SequenceNumber"]),
         "size_bytes": data["SizeBytes"],

@@ -336,7 +336,7 @@ def state_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     plain = Mapping(key_source="orderKey")
     left = to_documents(parse_items(lines_of(orders)), plain)
     right = to_documents(parse_items(lines_of(moved)), plain)
-    return difference(left, right).groupBy("side").agg(F.count(F.lit(1)).alias("documents"))
+    return difference(left, right).groupBy("side").agg(F.sum("n").alias("documents"))
 
 
 QUERIES = {

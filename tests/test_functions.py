@@ -172,9 +172,10 @@ def test_set_path(values):
 
 
 def test_sequence_key(values):
-    df = values("99", "100000000000000000001", "100", "x12y")
-    got = column(df, sequence_key(F.col("v")))
-    assert got[0] < got[2] < got[1] and got[3].endswith("12") and {len(g) for g in got} == {40}
+    numbers = ["99", "100000000000000000001", "100", "0" * 50 + "7", "9" * 40, "1" + "0" * 40, "2" + "0" * 40, "1" * 60]
+    got = column(values(*numbers), sequence_key(F.col("v")))
+    assert sorted(numbers, key=int) == [n for _, n in sorted(zip(got, numbers, strict=True))]
+    assert column(values("x12y", "", "1.5", "-1", None), sequence_key(F.col("v"))) == [None] * 5
 
 
 def test_keys(values):

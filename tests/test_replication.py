@@ -351,7 +351,7 @@ def test_stream_progress_is_two_rows_and_counts_replays_once(spark):
 def test_difference(spark):
     left = ops_frame(spark, [("UPSERT", "s:a", 1, 1), ("UPSERT", "s:b", 1, 2), ("UPSERT", "s:c", 1, 3), ("UPSERT", "s:c", 1, 3)])
     right = ops_frame(spark, [("UPSERT", "s:a", 9, 1), ("UPSERT", "s:b", 1, 5)])
-    got = sorted((r.key, r.side) for r in difference(left, right).collect())
+    got = sorted((r.key, r.side) for r in difference(left, right).collect() for _ in range(r.n))
     assert got == [("s:b", "left"), ("s:b", "right"), ("s:c", "left"), ("s:c", "left")]
 
 
@@ -392,3 +392,47 @@ def test_stream_out_of_order_with_restart(spark):
 def test_work_goes_to_the_named_folder(spark):
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert named is None or shared_folder(spark) == named.rstrip("/")
+
+
+def test_bad_records_are_set_aside_and_end_nothing(spark):
+    def change(sequence, time=0, key="a"):
+        data = {"SequenceNumber": sequence, "ApproximateCreationDateTime": time, "Keys": {"id": {"S": key}}}
+        return json.dumps({"eventName": "INSERT", "dynamodb": {**data, "NewImage": {"id": {"S": key}}}})
+
+    lines = [change("1", 1e30), change("9" * 41), change("9" * 40), change(None), change("x1"), change("3", "soon")]
+    records = parse_changes(raw(spark, lines))
+    assert [r.approx_ts is None for r in records.collect()][:2] == [True, False]
+    ops = to_operations(records, MAPPING).collect()
+    assert [r.status for r in ops] == ["good"] * 3 + ["quarantine"] * 2 + [ops[5].status]
+    assert ops[3].reason == ops[4].reason == "sequence number missing or not a number" and ops[3].raw == lines[3]
+    assert ops[2].seq_key < ops[1].seq_key
+
+
+def test_binary_as_text_never_fails_the_job(spark):
+    mapping = Mapping(key_source="id", binary="utf8")
+    blobs = ["aGk=", "/w==", "not base64!"]
+    records = [json.dumps({"Item": {"id": {"S": str(i)}, "b": {"B": b}}}) for i, b in enumerate(blobs)]
+    from itemflow.operators.convert import to_documents
+    from itemflow.sources.items import parse_items
+
+    rows = to_documents(parse_items(raw(spark, records)), mapping).orderBy("key")
+    got = rows.select("status", F.try_variant_get("doc", "$.b", "string").alias("b")).collect()
+    assert sorted(got, key=str) == sorted([("good", "hi"), ("good", "\ufffd"), ("quarantine", None)], key=str)
+
+
+def test_deletes_of_unmapped_pairs_find_their_document(spark):
+    lines = [json.dumps({"eventName": e, "dynamodb": {
+        "SequenceNumber": str(i), "Keys": {"pk": {"S": k}, "sk": {"N": "1"}}, "NewImage": {"pk": {"S": k}, "v": {"N": str(i)}}}})
+        for i, (e, k) in enumerate([("INSERT", "a"), ("INSERT", "b"), ("MODIFY", "b"), ("REMOVE", "a")])]
+    ops = to_operations(parse_changes(raw(spark, lines)), Mapping())
+    assert {k: v for k, v in state(live(latest_per_key(ops))).items()} == {'k:{"pk":"b","sk":1}': 2}
+
+
+def test_exact_decimals_never_round(spark):
+    from itemflow.functions.expr import variant
+    from itemflow.functions.transforms import to_decimal
+
+    texts = ["0.1234567890123456789", "0.123456789012345678000", "12345678901234567890", "1e3", "-.5", "x", "123456789012345678901"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, v string")
+    got = df.select(F.expr(f"cast({to_decimal(variant('v'), exact=True)} as string)").alias("d")).collect()
+    assert [r.d is not None for r in got] == [False, True, True, False, True, False, False]
