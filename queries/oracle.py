@@ -132,6 +132,14 @@ GROUP BY ALL""",
     "delete_keys": """
 SELECT 'n:' || user_id AS key, count(*) AS deletes FROM events WHERE event_type = 'error' GROUP BY 1""",
     "apply_latest": LATEST,
+    "poison_changes": """
+SELECT CASE event_type WHEN 'error' THEN 'DELETE' ELSE 'UPSERT' END AS op,
+       CASE WHEN event_id % 11 = 0 THEN 'quarantine' ELSE 'good' END AS status,
+       CASE WHEN event_id % 11 = 0 THEN 'sequence number missing or not a number' END AS reason,
+       count(*) AS records, count_if(event_id % 11 <> 0 AND event_id % 13 = 0) AS untimed
+FROM events GROUP BY ALL""",
+    "unmapped_apply": f"""
+SELECT 'k:{{"user_id":' || user_id || '}}' AS key, user_id, event_id, event_type, value FROM ({LATEST})""",
     "high_water": """
 SELECT 'shard-' || user_id % 4 AS shard_id, epoch_us(max(ts)) AS high_water_us FROM events GROUP BY 1""",
     "shard_list": """

@@ -105,6 +105,31 @@ def apply_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_state(live(latest_per_key(ops)))
 
 
+def poison_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every eleventh record without a sequence number, every thirteenth with a time beyond all calendars."""
+    seq = F.regexp_extract("raw", '"SequenceNumber":"([0-9]+)"', 1).cast("bigint")
+    late = F.regexp_replace("raw", '"ApproximateCreationDateTime":[0-9.E]+', '"ApproximateCreationDateTime":1e30')
+    damaged = (
+        F.when(seq % 11 == 0, F.replace("raw", F.lit('"SequenceNumber"'), F.lit('"Unknown"')))
+        .when(seq % 13 == 0, late)
+        .otherwise(F.col("raw"))
+    )
+    raw = event_changes(spark, sf_dir).select(damaged.alias("raw"))
+    ops = to_operations(parse_changes(raw, old_images=False), USERS)
+    return ops.groupBy("op", "status", "reason").agg(
+        F.count(F.lit(1)).alias("records"), F.count_if(F.col("approx_ts").isNull()).alias("untimed")
+    )
+
+
+def unmapped_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest document of each user, known by the records' own keys alone."""
+    ops = good(to_operations(records(spark, sf_dir), Mapping(naming="snake_case")))
+    return live(latest_per_key(ops)).select(
+        "key", field("user_id", "bigint").alias("user_id"), field("event_id", "bigint").alias("event_id"),
+        field("event_type", "string").alias("event_type"), field("value", "double").alias("value"),
+    )
+
+
 def high_water(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records(spark, sf_dir).groupBy("shard_id").agg(F.unix_micros(F.max("approx_ts")).alias("high_water_us"))
 
@@ -232,6 +257,8 @@ QUERIES = {
     "strict_route": strict_route,
     "delete_keys": delete_keys,
     "apply_latest": apply_latest,
+    "poison_changes": poison_changes,
+    "unmapped_apply": unmapped_apply,
     "high_water": high_water,
     "shard_list": shard_list,
     "bulk_counts": bulk_counts,
