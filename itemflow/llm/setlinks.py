@@ -23,7 +23,7 @@ from itemflow.llm.connect import connected
 from itemflow.llm.scratch import forget_shuffles, stored
 
 #: A block has about so many sets, and so many items in all of them.
-SETS, ITEMS = 256, 1 << 20
+SETS, ITEMS = 1024, 1 << 21
 #: Only lists of at most so many sets are ever taken as pairs.
 SHORT = 32
 #: Cost of a probe, times the logarithm of a list's length, against that of a step of the merge.
@@ -78,7 +78,7 @@ def components(
     rest = _unsettled(rest, name, least)
     if rest.isEmpty():
         return labels
-    more = _searched(_between(rest, dealt, labels, spare), items, percent)
+    more = _searched(_between(rest, dealt, labels, spare, name), items, percent)
     return connected(links.unionByName(stored(more, f"{name}-links")), f"{name}-components")
 
 
@@ -99,29 +99,44 @@ def _unsettled(rest: DataFrame, name: str, least: str) -> DataFrame:
     return stored(found.join(able, "node"), f"{name}-unsettled")
 
 
-def _between(rest: DataFrame, dealt: DataFrame, labels: DataFrame, spare: int) -> DataFrame:
-    """What is searched again: of short lists the pairs that share enough keys, of long ones each two cells that meet.
+def _between(rest: DataFrame, dealt: DataFrame, labels: DataFrame, spare: int, name: str) -> DataFrame:
+    """What is searched again: families of sets that could link, each as one block if it is small enough.
 
-    A cell is one block of the first search, so it needs no search of its own. Two cells meet
-    in many lists of a group of copies and are searched once. A pair that also meets in a long list is found there.
+    In short lists pairs that share enough keys could link; of a long list all sets could, so its first stands for it.
+    In a larger family the pairs of its short lists are searched, and of its long ones each two cells that meet.
+    A cell is one block of the first search, so it needs no search of its own; a pair that also
+    meets in a long list is found there.
     """
-    short = rest.where(f"size <= {SHORT}")
+    short, long = rest.where(f"size <= {SHORT}"), rest.where(f"size > {SHORT}")
     ahead = short.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
     pairs = short.join(ahead, "key").where("node < b AND component <> other").groupBy(F.col("node").alias("a"), "b")
-    pairs = pairs.agg(F.sum("keys").alias("keys"), F.max(F.expr("if(n IS NULL OR m IS NULL, NULL, least(n, m))")).alias("n"))
+    smaller = F.expr("if(n IS NULL OR m IS NULL, NULL, least(n, m))")
+    pairs = pairs.agg(F.sum("keys").alias("keys"), F.max(smaller).alias("n"))
     pairs = pairs.where(f"n IS NULL OR keys >= 1 + n div {spare}" if spare else "keys >= 1").select("a", "b")
+    pairs = stored(pairs, f"{name}-pairs")
+    firsts = long.groupBy("key").agg(F.min("node").alias("a"))
+    stars = long.join(firsts, "key").select("a", F.col("node").alias("b"))
+    family = connected(pairs.unionByName(stars), f"{name}-families").withColumnRenamed("component", "family")
+    sizes = rest.groupBy("node").agg(F.max("n").alias("n")).join(family, "node")
+    whole = sizes.groupBy("family").agg(F.count("*").alias("count"), F.sum("n").alias("weight"))
+    fits = f"count <= {SETS} AND coalesce(weight, 0) <= {ITEMS}"
+    block = family.join(whole.where(fits).select("family"), "family")
+    block = block.select(F.col("family").alias("block"), F.lit(0).cast("long").alias("part"), "node")
+    large = family.join(whole.where(f"NOT ({fits})").select("family"), "family").select("node")
+
+    pairs = pairs.join(large.withColumnRenamed("node", "a"), "a")
     crowd = pairs.groupBy("a").agg(F.ceil(F.count("*") / SETS).alias("parts"))
     pairs = pairs.join(crowd, "a").select("a", F.expr("pmod(xxhash64(b), parts)").alias("part"), "b")
     short = pairs.select(F.col("a").alias("block"), "part", F.explode(F.array("a", "b")).alias("node")).distinct()
-    cells = dealt.select("node", F.xxhash64("block", "part").alias("cell")).join(rest.select("node").distinct(), "node", "left_semi")
-    met = rest.where(f"size > {SHORT}").join(cells, "node").groupBy("key", "cell")
+    cells = dealt.select("node", F.xxhash64("block", "part").alias("cell")).join(large, "node", "left_semi")
+    met = long.join(cells, "node").groupBy("key", "cell")
     met = met.agg(F.min("component").alias("low"), F.max("component").alias("high"))
     ahead = met.select("key", F.col("cell").alias("cell2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
     one = (F.col("low") == F.col("high")) & (F.col("low") == F.col("low2")) & (F.col("low") == F.col("high2"))
     two = met.join(ahead, "key").where((F.col("cell") < F.col("cell2")) & ~one).select("cell", "cell2").distinct()
     two = two.select(F.col("cell").alias("block"), F.col("cell2").alias("part"), F.explode(F.array("cell", "cell2")).alias("cell"))
     long = two.join(cells, "cell").select("block", "part", "node")
-    met = short.unionByName(long).join(labels, "node", "left")
+    met = block.unionByName(short).unionByName(long).join(labels, "node", "left")
     return met.select("block", "part", "node", F.coalesce("component", "node").alias("component"))
 
 
