@@ -133,8 +133,9 @@ def _round(state: DataFrame, free: list[int], n_shards: int) -> DataFrame | None
     demand = wish.groupBy("to", "gain", "portion").agg(F.sum("n").alias("n")).collect()
     accepted, left = [], dict(enumerate(free))
     for to, gain_, portion_, n in sorted(demand, key=lambda r: (r[0], -r[1], r[2])):
-        share = min(1.0, max(0, left[to]) / n)
-        left[to] -= n if share == 1.0 else max(0, left[to])
+        # large pieces can be divided; portions of small ones that do not fit leave the room to others
+        share = 1.0 if n <= left[to] else left[to] / n if gain_ >= 3 else 0.0
+        left[to] -= min(n, left[to]) if share else 0
         accepted.append((to, gain_, portion_, share))
     if not any(a[3] > 0 for a in accepted):
         return None

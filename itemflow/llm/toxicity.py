@@ -48,11 +48,6 @@ class ToxicityModel:
     intercept: float
 
 
-def word_hash(word: str) -> int:
-    data = np.frombuffer(word.encode(), np.uint8)
-    return int(textpack.Hasher(data)(np.array([0]), np.array([len(data)]))[0])
-
-
 def _features(low: textpack.Texts) -> tuple[textpack.Spans, np.ndarray, np.ndarray, np.ndarray]:
     """Words of lower-cased texts and their hashes; then hash and text of every feature: words and their stems.
 
@@ -71,9 +66,16 @@ def _features(low: textpack.Texts) -> tuple[textpack.Spans, np.ndarray, np.ndarr
     return words, hashes, np.concatenate(values), np.concatenate(owners)
 
 
-def swaps(groups=IDENTITY_GROUPS) -> dict[int, int]:
-    """Each identity term's hash and that of the term put in its place."""
-    return {word_hash(a): word_hash(b) for g in groups for a, b in zip(g, (*g[1:], g[0]), strict=True)}
+def word_features(word: str) -> list[int]:
+    """Hashes of a word and of its stems."""
+    data = np.frombuffer(word.encode(), np.uint8)
+    return _features(textpack.Texts(data, np.array([0]), np.array([len(data)]), 0))[2].tolist()
+
+
+def swaps(groups=IDENTITY_GROUPS) -> dict[int, tuple[list[int], list[int]]]:
+    """By each identity term's hash: its features, and those of the term put in its place."""
+    pairs = [(word_features(a), word_features(b)) for g in groups for a, b in zip(g, (*g[1:], g[0]), strict=True)]
+    return {a[0]: (a, b) for a, b in pairs}
 
 
 def learn_toxicity(
@@ -93,7 +95,7 @@ def learn_toxicity(
     return _fit(_sentences(rows, swaps(groups)).toArrow(), fairness)
 
 
-def _sentences(rows: DataFrame, swapped: dict[int, int]) -> DataFrame:
+def _sentences(rows: DataFrame, swapped: dict[int, tuple[list[int], list[int]]]) -> DataFrame:
     """Each text's distinct words; for each sentence with identity terms those that a swap takes out and puts in."""
     terms = np.array(sorted(swapped), np.uint64)
 
@@ -106,8 +108,9 @@ def _sentences(rows: DataFrame, swapped: dict[int, int]) -> DataFrame:
                 if len(terms):
                     text = words.text
                     for i in np.flatnonzero(np.isin(hashes, terms)).tolist():
-                        out[text[i]].append(int(hashes[i]))
-                        into[text[i]].append(swapped[int(hashes[i])])
+                        gone, put = swapped[int(hashes[i])]
+                        out[text[i]] += gone
+                        into[text[i]] += put
                 as_long = lambda lists: pa.array([[x - (x >> 63 << 64) for x in own] for own in lists], pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -153,13 +156,14 @@ def _fit(sample: pa.Table, fairness: float) -> ToxicityModel:
     swap_row, swap_word, sign = map(np.concatenate, (swap_row, swap_word, sign))
 
     n, w, b = len(y), np.zeros(len(words)), none.intercept
+    swapped = max(1, len(np.unique(swap_row)))
     mean, square = np.zeros(len(words) + 1), np.zeros(len(words) + 1)
     for step in range(1, STEPS + 1):
         z = np.bincount(row, weights=w[at], minlength=n) + b
         miss = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) / n
         change = np.bincount(swap_row, weights=sign * w[swap_word], minlength=n)
         slope = np.bincount(at, weights=miss[row], minlength=len(words)) + RIDGE * w
-        slope += fairness * 2 / n * np.bincount(swap_word, weights=sign * change[swap_row], minlength=len(words))
+        slope += fairness * 2 / swapped * np.bincount(swap_word, weights=sign * change[swap_row], minlength=len(words))
         slope = np.append(slope, miss.sum())
         mean = 0.9 * mean + 0.1 * slope
         square = 0.99 * square + 0.01 * slope**2
