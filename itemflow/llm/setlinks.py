@@ -103,9 +103,9 @@ def _between(rest: DataFrame, dealt: DataFrame, labels: DataFrame, spare: int, n
     """What is searched again: families of sets that could link, each as one block if it is small enough.
 
     In short lists pairs that share enough keys could link; of a long list all sets could, so its first stands for it.
-    In a larger family the pairs of its short lists are searched, and of its long ones each two cells that meet.
-    A cell is one block of the first search, so it needs no search of its own; a pair that also
-    meets in a long list is found there.
+    In a larger family two cells that hold such a pair or meet in a long list are searched, without the
+    sets that share too little with any other there. A cell is one block of the first search, so it needs no
+    search of its own; a pair that also meets in a long list is found there.
     """
     short, long = rest.where(f"size <= {SHORT}"), rest.where(f"size > {SHORT}")
     ahead = short.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
@@ -124,22 +124,74 @@ def _between(rest: DataFrame, dealt: DataFrame, labels: DataFrame, spare: int, n
     block = block.select(F.col("family").alias("block"), F.lit(0).cast("long").alias("part"), "node")
     large = family.join(whole.where(f"NOT ({fits})").select("family"), "family").select("node")
 
-    pairs = pairs.join(large.withColumnRenamed("node", "a"), "a")
-    crowd = pairs.groupBy("a").agg(F.ceil(F.count("*") / SETS).alias("parts"))
-    pairs = pairs.join(crowd, "a").select("a", F.expr("pmod(xxhash64(b), parts)").alias("part"), "b")
-    short = pairs.select(F.col("a").alias("block"), "part", F.explode(F.array("a", "b")).alias("node")).distinct()
     cells = dealt.select("node", F.xxhash64("block", "part").alias("cell")).join(large, "node", "left_semi")
+    cells = stored(cells, f"{name}-large")
+    pairs = pairs.join(cells.select(F.col("node").alias("a"), "cell"), "a")
+    pairs = pairs.join(cells.select(F.col("node").alias("b"), F.col("cell").alias("cell2")), "b").where("cell <> cell2")
+    ends = F.explode(F.array("a", "b")).alias("node")
+    short = pairs.select(F.least("cell", "cell2").alias("block"), F.greatest("cell", "cell2").alias("part"), ends)
     met = long.join(cells, "node").groupBy("key", "cell")
     met = met.agg(F.min("component").alias("low"), F.max("component").alias("high"))
     ahead = met.select("key", F.col("cell").alias("cell2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
     one = (F.col("low") == F.col("high")) & (F.col("low") == F.col("low2")) & (F.col("low") == F.col("high2"))
     two = met.join(ahead, "key").where((F.col("cell") < F.col("cell2")) & ~one).select("cell", "cell2").distinct()
     two = two.select(F.col("cell").alias("block"), F.col("cell2").alias("part"), F.explode(F.array("cell", "cell2")).alias("cell"))
-    long = two.join(cells, "cell").select("block", "part", "node")
-    met = block.unionByName(short).unionByName(long).join(labels, "node", "left")
+    long = _meeting(two.join(cells, "cell").select("block", "part", "node"), rest, spare)
+    met = block.unionByName(short.unionByName(long).distinct()).join(labels, "node", "left")
     return met.select("block", "part", "node", F.coalesce("component", "node").alias("component"))
 
 
+def _meeting(blocks: DataFrame, rest: DataFrame, spare: int) -> DataFrame:
+    """The rows ``(block, part, node)`` whose set shares enough keys with one of another component in its block.
+
+    Only the keys of unsettled lists are fetched for this, a small part of a set.
+    """
+    marks = rest.groupBy("node").agg(
+        F.max("component").alias("component"), F.max("n").alias("n"),
+        F.collect_list("key").alias("keys"), F.collect_list("keys").alias("weights"),
+    )
+    rows = blocks.join(marks, "node").select("block", "part", "node", "component", "n", "keys", "weights")
+    rows = rows.repartition("block", "part").sortWithinPartitions("block", "part", "node")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in whole_groups(batches, 2):
+            sizes = [None if n is None else 1 + n // spare for n in group.column("n").to_pylist()] if spare else [1] * len(group)
+            keys = group.column("keys").combine_chunks()
+            weights = group.column("weights").combine_chunks().flatten().to_numpy()
+            kept = _partnered(
+                keys.flatten().to_numpy(), np.diff(keys.offsets.to_numpy()), weights, group.column("component").to_numpy(), sizes
+            )
+            if kept.any():
+                for batch in group.select(["block", "part", "node"]).filter(pa.array(kept)).to_batches():
+                    yield batch
+
+    return rows.mapInArrow(search, "block long, part long, node long")
+
+
+def _partnered(keys: np.ndarray, counts: np.ndarray, weights: np.ndarray, component: np.ndarray, least: list[int | None]) -> np.ndarray:
+    """Which sets share enough keys, by weight, with one of another component; a set of unknown size needs one."""
+    n = len(counts)
+    owner = np.repeat(np.arange(n), counts)
+    order = np.argsort(keys, kind="stable")
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[order][1:] != keys[order][:-1]
+    lists = np.empty(len(keys), np.int64)
+    lists[order] = np.cumsum(new) - 1
+    low = np.append(np.flatnonzero(new), len(keys))
+    length, posting = np.diff(low), owner[order]
+    first = np.concatenate([[0], np.cumsum(counts)])
+    need = np.array([1 if x is None else x for x in least])
+    known = np.array([x is not None for x in least])
+    kept = np.zeros(n, bool)
+    for q in range(n):
+        own = lists[first[q] : first[q + 1]]
+        at = np.repeat(low[own] - np.cumsum(length[own]) + length[own], length[own]) + np.arange(int(length[own].sum()))
+        shared = np.bincount(posting[at], weights=np.repeat(weights[first[q] : first[q + 1]], length[own]), minlength=n)
+        both = np.where(known & known[q], np.minimum(need, need[q]), 1)
+        kept[q] = ((shared >= both) & (component != component[q])).any()
+    return kept
+
+
 def _searched(blocks: DataFrame, items: DataFrame, percent: int) -> DataFrame:
     """Links ``(a, b)`` within each block of ``(block, part, node, component)``."""
     rows = blocks.join(items.select("node", "items"), "node").select("block", "part", "node", "component", "items")
