@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from itemflow.llm import textpack
 from itemflow.llm.scratch import stored
-from itemflow.llm.setlinks import NodeFilter, components, packed
+from itemflow.llm.setlinks import NodeFilter, components
 
 PERCENT, SHINGLE, BANDS, ROWS, MIN_WORDS = 80, 8, 7, 3, 5
 _SEEN = 1 << 20
@@ -42,10 +42,10 @@ def line_groups(
     lines = stored(_signed_lines(source, docs.schema[id_col].dataType, size, bands, rows, min_words), "lines")
 
     def sets(keep: NodeFilter) -> DataFrame:
-        return _kept_sets(source, size, min_words, keep)
+        return _kept_lines(source, min_words, keep)
 
     entries = lines.where("bands IS NOT NULL").select(F.explode("bands").alias("key"), "node", "n")
-    labels = components(entries, sets, percent, "lines")
+    labels = components(entries, sets, percent, "lines", unpack=lambda line: _line_set(line, size))
     joined = lines.select("id", "line_no", "node").join(labels, "node", "left")
     joined = joined.select("id", "line_no", F.coalesce("component", "node").alias("component"))
     place = F.struct("id", "line_no")
@@ -104,6 +104,11 @@ def _line_shingles(texts: textpack.Texts, hasher: textpack.Hasher, start: np.nda
     return hasher(chars[at], chars[stop]), first
 
 
+def _line_set(line: bytes, size: int) -> np.ndarray:
+    texts = textpack.Texts(np.frombuffer(line, np.uint8), np.array([0]), np.array([len(line)]), 0)
+    return textpack.signed(np.unique(_line_shingles(texts, texts.hasher(), texts.starts, texts.ends, size)[0]))
+
+
 def _signed_lines(source: DataFrame, id_type: T.DataType, size: int, bands: int, rows: int, min_words: int) -> DataFrame:
     draw = np.random.default_rng(20)
     odd = draw.integers(1 << 31, size=bands * rows, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -148,7 +153,7 @@ def _signed_lines(source: DataFrame, id_type: T.DataType, size: int, bands: int,
     return source.mapInArrow(scan, T.StructType(fields))
 
 
-def _kept_sets(source: DataFrame, size: int, min_words: int, keep: NodeFilter) -> DataFrame:
+def _kept_lines(source: DataFrame, min_words: int, keep: NodeFilter) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
         for batch in batches:
@@ -166,11 +171,10 @@ def _kept_sets(source: DataFrame, size: int, min_words: int, keep: NodeFilter) -
                             done.add(x)
                 if not some:
                     continue
-                values, first = _line_shingles(texts, hasher, start[some], end[some], size)
-                values, first = textpack.distinct(values, np.repeat(np.arange(len(some)), np.diff(first)), len(some))
-                sets = [packed(values[first[i] : first[i + 1]]) for i in range(len(some))]
+                data = texts.buf.tobytes()
+                sets = [data[a:b] for a, b in zip(start[some].tolist(), end[some].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(textpack.signed(node[some])), pa.array(sets, pa.binary())], ["node", "items"]
                 )
 
-    return source.select("text").mapInArrow(scan, "node long, items binary")
+    return source.select("text").mapInArrow(scan, "node long, items binary")  # the line itself is a sixth of its set

@@ -34,13 +34,14 @@ BLOOM_BITS = 24
 
 
 def components(
-    entries: DataFrame, sets: Callable[[NodeFilter], DataFrame], percent: int, name: str, spare: int = 0
+    entries: DataFrame, sets: Callable[[NodeFilter], DataFrame], percent: int, name: str, spare: int = 0,
+    unpack: Callable[[bytes], np.ndarray] | None = None,
 ) -> DataFrame:
     """``(node, component)`` of the sets that link with another one.
 
     ``entries``: ``(key, node, n)``, the set's size as ``n``. With ``spare``, two sets that link share
     ``1 + n div spare`` keys or more, ``n`` being the smaller one's size, else at least one. ``sets(keep)`` gives ``(node, items)`` of all nodes
-    that ``keep`` lets through, items as ``packed`` makes them; a node may come more than once.
+    that ``keep`` lets through, items as ``unpack`` reads them (else as ``packed`` makes them); a node may come more than once.
     Two sets link when ``100 * intersection >= percent * union``.
     """
     hubs = entries.groupBy("key").agg(F.min("node").alias("hub"))
@@ -70,7 +71,7 @@ def components(
     )
     centres = dealt.select("block", "part", F.col("block").alias("node"))
     first = dealt.unionByName(centres).distinct().withColumn("component", F.col("node"))
-    links = stored(_searched(first, items, percent), f"{name}-links")
+    links = stored(_searched(first, items, percent, unpack or unpacked), f"{name}-links")
 
     forget_shuffles(members)
     labels = connected(links, f"{name}-components")
@@ -78,7 +79,7 @@ def components(
     rest = _unsettled(rest, name, least)
     if rest.isEmpty():
         return labels
-    more = _searched(_between(rest, dealt, labels, spare, name), items, percent)
+    more = _searched(_between(rest, dealt, labels, spare, name), items, percent, unpack or unpacked)
     return connected(links.unionByName(stored(more, f"{name}-links")), f"{name}-components")
 
 
@@ -192,7 +193,7 @@ def _partnered(keys: np.ndarray, counts: np.ndarray, weights: np.ndarray, compon
     return kept
 
 
-def _searched(blocks: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+def _searched(blocks: DataFrame, items: DataFrame, percent: int, unpack: Callable[[bytes], np.ndarray]) -> DataFrame:
     """Links ``(a, b)`` within each block of ``(block, part, node, component)``."""
     rows = blocks.join(items.select("node", "items"), "node").select("block", "part", "node", "component", "items")
     rows = rows.repartition("block", "part").sortWithinPartitions("block", "part", "node")
@@ -203,7 +204,7 @@ def _searched(blocks: DataFrame, items: DataFrame, percent: int) -> DataFrame:
             group = group.take(np.flatnonzero(np.append(True, nodes[1:] != nodes[:-1])))
             nodes, comps = group.column("node").to_pylist(), group.column("component").to_pylist()
             if len(nodes) > 1:
-                sets = [unpacked(x.as_buffer()) for x in group.column("items")]
+                sets = [unpack(x.as_py()) for x in group.column("items")]
                 found = linked(sets, comps, percent)
                 if found:
                     yield pa.RecordBatch.from_pydict(
