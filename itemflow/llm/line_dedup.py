@@ -1,6 +1,7 @@
 """Lines that nearly repeat: MinHash over character shingles, exact check, one line of each group stays.
 
-Signatures and bands come from one scan; a task sends each different line once. Bands that
+Lines with the same text are one node, however short. Signatures and bands come from the same scan; a task
+sends each different line once. Bands that
 several lines share go to ``setlinks``, which checks exact Jaccard similarity and joins the links.
 With 7 bands of 3 rows a pair of similarity 0.8 meets in a band with probability 0.993, one of
 0.9 with 0.9999, one of 0.2 with 0.05.
@@ -22,27 +23,30 @@ from itemflow.llm.scratch import stored
 from itemflow.llm.setlinks import NodeFilter, components
 
 PERCENT, SHINGLE, BANDS, ROWS, MIN_WORDS = 80, 8, 7, 3, 5
+#: A line of fewer words is compared by similarity if it has so many characters: in a shorter one any changed character goes below 0.8.
+MIN_CHARS = 16
 _SEEN = 1 << 20
 
 
 def line_groups(
     docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, *, bands: int = BANDS, rows: int = ROWS,
-    min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text",
+    min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    r"""``(id, line_no, component, stays)`` of every line with at least ``min_words`` words.
+    r"""``(id, line_no, component, stays)`` of every line with a word.
 
     Lines are the parts between ``\n``, counted from 0; they are compared without white space at their
     ends and with A-Z lower-cased, as sets of ``size`` characters, a shorter line as one shingle.
-    Lines of similarity ``percent`` or more are linked; of all lines that links reach the first, by id
-    and line number, stays. Shorter lines, null texts and rows without id have no rows here. Rows
+    Lines of similarity ``percent`` or more are linked; those with fewer than ``min_words`` words and fewer than
+    ``min_chars`` characters only if they are equal. Of all lines that links reach the first, by id
+    and line number, stays. Lines without words, null texts and rows without id have no rows here. Rows
     with one id are one document: their lines stay or go together.
     """
     source = docs.where(F.col(id_col).isNotNull())
     source = source.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    lines = stored(_signed_lines(source, docs.schema[id_col].dataType, size, bands, rows, min_words), "lines")
+    lines = stored(_signed_lines(source, docs.schema[id_col].dataType, size, bands, rows, min_words, min_chars), "lines")
 
     def sets(keep: NodeFilter) -> DataFrame:
-        return _kept_lines(source, min_words, keep)
+        return _kept_lines(source, min_words, min_chars, keep)
 
     entries = lines.where("bands IS NOT NULL").select(F.explode("bands").alias("key"), "node", "n")
     labels = components(entries, sets, percent, "lines", unpack=lambda line: _line_set(line, size))
@@ -83,14 +87,17 @@ def _without(texts: pd.Series, gone: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
-def _long_lines(texts: textpack.Texts, min_words: int) -> tuple[textpack.Texts, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Lower-cased texts; text, number, start and end of every line with enough words, without space at its ends."""
+def _worded_lines(texts: textpack.Texts, min_words: int, min_chars: int) -> tuple[textpack.Texts, *tuple[np.ndarray, ...]]:
+    """Lower-cased texts; of every line with a word its text, number, start and end, without space at its ends, and whether it is long."""
     texts = texts.lowered()
     lines, words = texts.lines(), texts.runs(textpack.NOT_SPACE)
     low, high = np.searchsorted(words.start, lines.start), np.searchsorted(words.start, lines.end)
-    some = np.flatnonzero(high - low >= max(min_words, 1))
+    some = np.flatnonzero(high > low)
     number = np.arange(len(lines)) - lines.first[lines.text]
-    return texts, lines.text[some], number[some], words.start[low[some]], words.end[high[some] - 1]
+    start, end = words.start[low[some]], words.end[high[some] - 1]
+    chars = np.concatenate([[0], np.cumsum((texts.buf & 0xC0) != 0x80)])
+    long = ((high - low)[some] >= min_words) | (chars[end] - chars[start] >= min_chars)
+    return texts, lines.text[some], number[some], start, end, long
 
 
 def _line_shingles(texts: textpack.Texts, hasher: textpack.Hasher, start: np.ndarray, end: np.ndarray, size: int):
@@ -109,7 +116,7 @@ def _line_set(line: bytes, size: int) -> np.ndarray:
     return textpack.signed(np.unique(_line_shingles(texts, texts.hasher(), texts.starts, texts.ends, size)[0]))
 
 
-def _signed_lines(source: DataFrame, id_type: T.DataType, size: int, bands: int, rows: int, min_words: int) -> DataFrame:
+def _signed_lines(source: DataFrame, id_type: T.DataType, size: int, bands: int, rows: int, min_words: int, min_chars: int) -> DataFrame:
     draw = np.random.default_rng(20)
     odd = draw.integers(1 << 31, size=bands * rows, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
     flip = draw.integers(1 << 32, size=bands * rows, dtype=np.uint32)
@@ -118,14 +125,14 @@ def _signed_lines(source: DataFrame, id_type: T.DataType, size: int, bands: int,
         done: set[int] = set()
         for batch in batches:
             for texts in textpack.pieces(batch.column(1)):
-                texts, text, number, start, end = _long_lines(texts, min_words)
+                texts, text, number, start, end, long = _worded_lines(texts, min_words, min_chars)
                 if not len(text):
                     continue
                 hasher = texts.hasher()
                 node = textpack.signed(hasher(start, end))
                 new = np.zeros(len(node), bool)
-                for i, x in enumerate(node.tolist()):
-                    if x not in done:
+                for i in np.flatnonzero(long).tolist():
+                    if (x := int(node[i])) not in done:
                         new[i] = True
                         if len(done) < _SEEN:
                             done.add(x)
@@ -153,12 +160,13 @@ def _signed_lines(source: DataFrame, id_type: T.DataType, size: int, bands: int,
     return source.mapInArrow(scan, T.StructType(fields))
 
 
-def _kept_lines(source: DataFrame, min_words: int, keep: NodeFilter) -> DataFrame:
+def _kept_lines(source: DataFrame, min_words: int, min_chars: int, keep: NodeFilter) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
         for batch in batches:
             for texts in textpack.pieces(batch.column(0)):
-                texts, _, _, start, end = _long_lines(texts, min_words)
+                texts, _, _, start, end, long = _worded_lines(texts, min_words, min_chars)
+                start, end = start[long], end[long]
                 if not len(start):
                     continue
                 hasher = texts.hasher()

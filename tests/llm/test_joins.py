@@ -176,3 +176,13 @@ def test_line_dedup_keeps_columns_and_rows_without_id(spark):
 
 def test_line_groups_of_no_rows(spark):
     assert line_groups(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_short_lines_go_when_they_repeat(docs):
+    """Equal lines of any length, and near ones of scripts without spaces."""
+    han = "".join(chr(0x4E00 + k * 37 % 5000) for k in range(60))
+    texts = ["All rights reserved.\n\nYes", "own\nall RIGHTS reserved. \n\n yes", han, han[:-1] + "x", "Yes!", "all rights reserved"]
+    rows = {r.doc_id: (r.lines_removed, r.text) for r in dedup_lines(docs(*texts)).collect()}
+    assert rows == {
+        0: (0, texts[0]), 1: (2, "own\n"), 2: (0, han), 3: (1, ""), 4: (0, "Yes!"), 5: (1, ""),
+    }
