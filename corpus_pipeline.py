@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from itemflow.llm.decontaminate import remove_spans
 from itemflow.llm.jaccard_join import jaccard_components
-from itemflow.llm.line_dedup import dedup_lines
-from itemflow.llm.line_quality import clean_documents
+from itemflow.llm.line_dedup import dedup_documents
+from itemflow.llm.line_quality import MIN_WORDS, clean_documents
 from itemflow.llm.queries import encoded_digest, tokenizer_path
 from itemflow.llm.scratch import stored
 from itemflow.llm.sp_encode import encode_documents
@@ -27,9 +27,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that nearly repeat an earlier one go; so do documents of which no word is left."""
-    left = dedup_lines(docs).where(r"lines_removed = 0 OR rlike(text, '[^\\x20\\x09-\\x0D]')")
-    return left.select(*[f"`{c}`" for c in docs.columns])
+    """Lines that repeat an earlier one go; so do documents of which a fragment is left, by the quality rules' least words."""
+    return dedup_documents(docs, MIN_WORDS).select(*[f"`{c}`" for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -41,6 +41,16 @@ def line_groups(
     and line number, stays. Lines without words, null texts and rows without id have no rows here. Rows
     with one id are one document: their lines stay or go together.
     """
+    how = dict(bands=bands, rows=rows, min_words=min_words, min_chars=min_chars, id_col=id_col, text_col=text_col)
+    joined = _joined_lines(docs, percent, size, **how)
+    return _first_stays(joined).select("id", "line_no", "component", "stays")
+
+
+def _joined_lines(
+    docs: DataFrame, percent: int, size: int, *, bands: int = BANDS, rows: int = ROWS,
+    min_words: int = MIN_WORDS, min_chars: int = MIN_CHARS, id_col: str, text_col: str,
+) -> DataFrame:
+    """``(id, line_no, words, long, component)`` of every line with a word."""
     source = docs.where(F.col(id_col).isNotNull())
     source = source.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     lines = stored(_signed_lines(source, docs.schema[id_col].dataType, size, bands, rows, min_words, min_chars), "lines")
@@ -50,11 +60,15 @@ def line_groups(
 
     entries = lines.where("bands IS NOT NULL").select(F.explode("bands").alias("key"), "node", "n")
     labels = components(entries, sets, percent, "lines", unpack=lambda line: _line_set(line, size))
-    joined = lines.select("id", "line_no", "node").join(labels, "node", "left")
-    joined = joined.select("id", "line_no", F.coalesce("component", "node").alias("component"))
+    joined = lines.select("id", "line_no", "words", "long", "node").join(labels, "node", "left")
+    return joined.select("id", "line_no", "words", "long", F.coalesce("component", "node").alias("component"))
+
+
+def _first_stays(joined: DataFrame) -> DataFrame:
+    """``joined`` with ``stays``: whether a line is the first of its component."""
     place = F.struct("id", "line_no")
     first = joined.groupBy("component").agg(F.min(place).alias("first"))
-    return joined.join(first, "component").select("id", "line_no", "component", (place == F.col("first")).alias("stays"))
+    return joined.join(first, "component").withColumn("stays", place == F.col("first")).drop("first")
 
 
 def dedup_lines(
@@ -66,7 +80,34 @@ def dedup_lines(
     that loses all is empty. Columns keep their names and order; a column of ``docs`` that
     is called ``lines_removed`` is replaced.
     """
-    groups = line_groups(docs, percent, size, id_col=id_col, text_col=text_col, **how)
+    return _without_lines(docs, line_groups(docs, percent, size, id_col=id_col, text_col=text_col, **how), id_col, text_col)
+
+
+def dedup_documents(
+    docs: DataFrame, min_left: int, percent: int = PERCENT, size: int = SHINGLE, *, id_col: str = "doc_id", text_col: str = "text", **how
+) -> DataFrame:
+    """``dedup_lines`` without the documents of which it leaves a fragment.
+
+    A document that loses lines is a fragment if fewer than ``min_left`` words stay, or if less than half of its words
+    do and no line among them is long enough to be compared by similarity. A line that would have stayed in a fragment
+    stays in the next document that has it and is none.
+    """
+    joined = stored(_joined_lines(docs, percent, size, id_col=id_col, text_col=text_col, **how), "line-components")
+    left = _first_stays(joined).groupBy("id").agg(
+        F.count_if(~F.col("stays")).alias("lost"), F.sum("words").alias("had"),
+        F.sum(F.when(F.col("stays"), F.col("words")).otherwise(0)).alias("words"),
+        F.max(F.col("stays") & F.col("long")).alias("long"),
+    )
+    fragments = left.where(f"lost > 0 AND (words < {min_left} OR 2 * words < had AND NOT long)").select("id")
+    fragments = stored(fragments, "line-fragments")
+    groups = _first_stays(joined.join(fragments, "id", "left_anti"))
+    fragments = fragments.withColumnRenamed("id", "_id")
+    kept = docs.join(fragments, F.col(id_col) == F.col("_id"), "left_anti")
+    return _without_lines(kept, groups, id_col, text_col)
+
+
+def _without_lines(docs: DataFrame, groups: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` without the lines of ``groups`` that do not stay."""
     gone = groups.where("NOT stays").groupBy("id").agg(F.collect_set("line_no").alias("_gone"))
     gone = gone.withColumnRenamed("id", "_id")
     joined = docs.drop("lines_removed").join(gone, F.col(id_col) == F.col("_id"), "left").drop("_id")
@@ -88,7 +129,7 @@ def _without(texts: pd.Series, gone: pd.Series) -> pd.Series:
 
 
 def _worded_lines(texts: textpack.Texts, min_words: int, min_chars: int) -> tuple[textpack.Texts, *tuple[np.ndarray, ...]]:
-    """Lower-cased texts; of every line with a word its text, number, start and end, without space at its ends, and whether it is long."""
+    """Lower-cased texts; of every line with a word its text, number, start and end, without space at its ends, words, and whether it is long."""
     texts = texts.lowered()
     lines, words = texts.lines(), texts.runs(textpack.NOT_SPACE)
     low, high = np.searchsorted(words.start, lines.start), np.searchsorted(words.start, lines.end)
@@ -96,8 +137,9 @@ def _worded_lines(texts: textpack.Texts, min_words: int, min_chars: int) -> tupl
     number = np.arange(len(lines)) - lines.first[lines.text]
     start, end = words.start[low[some]], words.end[high[some] - 1]
     chars = np.concatenate([[0], np.cumsum((texts.buf & 0xC0) != 0x80)])
-    long = ((high - low)[some] >= min_words) | (chars[end] - chars[start] >= min_chars)
-    return texts, lines.text[some], number[some], start, end, long
+    count = (high - low)[some]
+    long = (count >= min_words) | (chars[end] - chars[start] >= min_chars)
+    return texts, lines.text[some], number[some], start, end, count, long
 
 
 def _line_shingles(texts: textpack.Texts, hasher: textpack.Hasher, start: np.ndarray, end: np.ndarray, size: int):
@@ -125,7 +167,7 @@ def _signed_lines(source: DataFrame, id_type: T.DataType, size: int, bands: int,
         done: set[int] = set()
         for batch in batches:
             for texts in textpack.pieces(batch.column(1)):
-                texts, text, number, start, end, long = _worded_lines(texts, min_words, min_chars)
+                texts, text, number, start, end, count, long = _worded_lines(texts, min_words, min_chars)
                 if not len(text):
                     continue
                 hasher = texts.hasher()
@@ -150,11 +192,13 @@ def _signed_lines(source: DataFrame, id_type: T.DataType, size: int, bands: int,
                 lists = pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()), mask=pa.array(~new))
                 length = pa.array((end - start).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(text + texts.row)), pa.array(number.astype(np.int32)), pa.array(node), length, lists],
-                    ["id", "line_no", "node", "n", "bands"],
+                    [batch.column(0).take(pa.array(text + texts.row)), pa.array(number.astype(np.int32)), pa.array(count.astype(np.int32)),
+                     pa.array(long), pa.array(node), length, lists],
+                    ["id", "line_no", "words", "long", "node", "n", "bands"],
                 )
 
     fields = [T.StructField("id", id_type), T.StructField("line_no", T.IntegerType())]
+    fields += [T.StructField("words", T.IntegerType()), T.StructField("long", T.BooleanType())]
     fields += [T.StructField("node", T.LongType()), T.StructField("n", T.IntegerType())]
     fields += [T.StructField("bands", T.ArrayType(T.LongType()))]
     return source.mapInArrow(scan, T.StructType(fields))
@@ -165,7 +209,7 @@ def _kept_lines(source: DataFrame, min_words: int, min_chars: int, keep: NodeFil
         done: set[int] = set()
         for batch in batches:
             for texts in textpack.pieces(batch.column(0)):
-                texts, _, _, start, end, long = _worded_lines(texts, min_words, min_chars)
+                texts, _, _, start, end, _, long = _worded_lines(texts, min_words, min_chars)
                 start, end = start[long], end[long]
                 if not len(start):
                     continue

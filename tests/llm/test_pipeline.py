@@ -53,3 +53,18 @@ def test_stages_keep_the_columns_of_documents(spark, sf_dir):
 def test_every_operator_is_registered():
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in __spark_entry__.queries()
+
+
+def test_copies_with_short_lines_leave_no_fragment(spark):
+    """Neither an exact copy nor near ones whose short lines differ go on; a line that such a one had first stays elsewhere."""
+    line = lambda s, n: " ".join(f"{s}{k * 7919 % 1000:03d}" for k in range(n)) + "."
+    short = lambda s, n: "\n".join(f"{s}{k} {k}." for k in range(n))
+    texts = [
+        line("a", 60) + "\nHaanth.", line("a", 60) + "\nHaanth.", line("a", 60) + "\nGol.",
+        line("a", 60) + "\n" + line("b", 20), line("c", 60) + "\n" + line("b", 20),
+        line("d", 200), line("d", 200) + "\n" + short("e", 40), short("f", 60) + "\nGol.",
+        line("c", 60) + "\n" + line("g", 55), line("h", 20),
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = dict(corpus_pipeline.line_dedup(spark, docs, "").collect())
+    assert got == {0: texts[0], 4: texts[4], 5: texts[5], 7: texts[7], 8: line("g", 55), 9: texts[9]}
