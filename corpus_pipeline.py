@@ -32,8 +32,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of 0.9 or more of their 3-word shingles join, the one with the smallest id stays."""
-    found = jaccard_components(docs.select("doc_id", "text"))
+    """Of documents that links of 0.8 or more of their 5-word shingles join, the one with the smallest id stays."""
+    found = jaccard_components(docs.select("doc_id", "text"), percent=80, size=5)
     return docs.join(found.where("component_id < doc_id").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
 
 

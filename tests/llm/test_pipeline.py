@@ -1,9 +1,10 @@
 """The pipeline: every stage against the operators' brute-force versions, and whole texts end to end."""
 
 import hashlib
+import random
 
 import sentencepiece
-from test_joins import jaccard_brute, line_brute
+from test_joins import components, jaccard_brute, line_brute
 
 import __spark_entry__
 import corpus_pipeline
@@ -68,3 +69,23 @@ def test_copies_with_short_lines_leave_no_fragment(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = dict(corpus_pipeline.line_dedup(spark, docs, "").collect())
     assert got == {0: texts[0], 4: texts[4], 5: texts[5], 7: texts[7], 8: line("g", 55), 9: texts[9]}
+
+
+def test_near_duplicates_are_those_of_five_words_and_four_fifths(spark):
+    """Against brute force, with edits that lie apart (0.8 to 0.84 at five words is under 0.9 at three) and together."""
+    draw = random.Random(6)
+    texts = []
+    for edits in [0, 1, 2, 3, 4, 5, 6, 8] * 3:
+        base = [f"w{draw.randrange(10**6)}" for _ in range(200)]
+        copy = list(base)
+        at = [k * 23 + 9 for k in range(edits)] if len(texts) % 4 else range(50, 50 + 3 * edits)
+        for k in at:
+            copy[k] = f"x{draw.randrange(10**6)}"
+        texts += [" ".join(base), " ".join(copy)]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    found = components(links, range(len(sets)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
+    assert got == [i for i in found if found[i] == i]
+    assert got != [i for i, (_, least) in jaccard_brute(texts).items() if i == least]
