@@ -55,4 +55,31 @@ items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_merkle_manifest": f"""
+WITH RECURSIVE f AS (SELECT doc_id, lang, row_number() OVER () AS row, [doc_id::VARCHAR, source, lang, n_chars::VARCHAR] AS f, text,
+  list_reduce(list_prepend(4294967295, [ord(c)::BIGINT FOR c IN string_split(doc_id::VARCHAR, '')]),
+    lambda h, c: list_reduce([xor(h, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda b, z: xor(b // 2, 3988292384 * (b % 2)))) AS crc FROM documents),
+l AS (SELECT doc_id, lang, row, sha256(fields || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+  CASE WHEN xor(crc, 4294967295) % 3 = 0 THEN sha256(fields || coalesce(strlen(text) || ':' || translate(text, {_AZ}), '-')) END AS tampered
+  FROM (SELECT *, array_to_string([coalesce(strlen(v) || ':' || v, '-') FOR v IN f], '') AS fields FROM f)),
+p AS (SELECT *, coalesce('=' || lang, '-') AS g, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, row) - 1 AS i FROM l),
+t AS (SELECT g, 0 AS level, i, leaf AS h, count(*) OVER (PARTITION BY g) AS n FROM p
+  UNION ALL
+  SELECT g, level + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 7) // 8 FROM t WHERE n > 1 GROUP BY g, level, i // 8),
+s AS (SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n FROM t WHERE n = 1),
+u AS (SELECT 0 AS level, i, subroot AS h, n FROM s
+  UNION ALL
+  SELECT level + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (any_value(n) + 7) // 8 FROM u WHERE n > 1 GROUP BY level, i // 8),
+tn AS (SELECT *, string_agg(h, '') OVER (PARTITION BY g, level, i // 8 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS l,
+  string_agg(h, '') OVER (PARTITION BY g, level, i // 8 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS r FROM t WHERE n > 1),
+un AS (SELECT *, string_agg(h, '') OVER (PARTITION BY level, i // 8 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS l,
+  string_agg(h, '') OVER (PARTITION BY level, i // 8 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS r FROM u WHERE n > 1),
+w AS (SELECT p.row, level, coalesce(l, '') AS l, coalesce(r, '') AS r FROM p, tn WHERE tn.g = p.g AND tn.i = p.i // (8 ** level)::BIGINT
+  UNION ALL SELECT p.row, 1000 + level, coalesce(l, ''), coalesce(r, '') FROM p JOIN s USING (g), un WHERE un.i = s.i // (8 ** level)::BIGINT),
+v AS (SELECT row, list({{'l': l, 'r': r}} ORDER BY level) AS path FROM w GROUP BY row),
+a AS (SELECT p.doc_id, p.leaf, s.subroot, (SELECT h FROM u WHERE n = 1) AS root, coalesce(v.path, []) AS path, coalesce(tampered, leaf) AS claimed
+  FROM p JOIN s USING (g) LEFT JOIN v USING (row)),
+b AS (SELECT *, sha256(array_to_string([x.l || x.r FOR x IN path], '')) AS proof_sha256,
+  list_reduce(list_prepend({{'l': claimed, 'r': ''}}, path), lambda h, x: {{'l': sha256(x.l || h.l || x.r), 'r': ''}}).l AS folded_root FROM a)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM b""",
 }

@@ -13,6 +13,7 @@ from itemflow.llm.jaccard_join import jaccard_components
 from itemflow.llm.language_id import identify, learn_languages
 from itemflow.llm.line_dedup import dedup_lines
 from itemflow.llm.line_quality import clean_lines
+from itemflow.llm.merkle import build_manifest, folded, leaf_hash, proof_hash, proofs
 from itemflow.llm.sharding import balanced_shards
 from itemflow.llm.sp_encode import encode_documents
 from itemflow.llm.token_counts import count_documents
@@ -126,4 +127,16 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_line_quality, op3_decontamination, op4_language_id, op5_sentencepiece, op6_line_dedup, op7_token_counts, op8_jaccard_join, op9_toxicity, op10_url_rules)}
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    changed = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, F.lit(False))
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    leaves = docs.select("doc_id", "lang", leaf_hash(*fields).alias("leaf"), F.when(changed, leaf_hash(*fields[:4], lowered)).alias("tampered"))
+    found = proofs(build_manifest(leaves)).select("doc_id", "leaf", "manifest.*", F.coalesce("tampered", "leaf").alias("claimed"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", proof_hash(F.col("path")).alias("proof_sha256"), folded(F.col("claimed"), F.col("path")).alias("folded_root")
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_line_quality, op3_decontamination, op4_language_id, op5_sentencepiece, op6_line_dedup, op7_token_counts, op8_jaccard_join, op9_toxicity, op10_url_rules, op11_merkle_manifest)}
