@@ -67,7 +67,7 @@ def build_manifest(
     packed = rows.select(
         group_name(F.col(f"`{group}`")).alias("_group"), F.col(f"`{key}`").alias("_key"), F.col(f"`{leaf}`").alias("_leaf"), F.struct(*own).alias("_row")
     )
-    blocks, tops = _trees(_numbered(packed), fan, levels)
+    blocks, tops = _trees(_numbered(stored(packed, "manifest-rows")), fan, levels)
     above = tops.select(F.lit("").alias("_group"), F.col("_group").alias("_key"), "_leaf", F.struct("_group").alias("_row"))
     upper, last = _trees(_numbered(above), fan, levels)
     start = last.select("_group", F.struct(F.col("_leaf").alias("root")).alias("_end"), F.expr("CAST(array() AS array<struct<l string, r string>>)").alias("_path"))

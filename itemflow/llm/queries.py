@@ -14,9 +14,11 @@ from itemflow.llm.language_id import identify, learn_languages
 from itemflow.llm.line_dedup import dedup_lines
 from itemflow.llm.line_quality import clean_lines
 from itemflow.llm.merkle import build_manifest, folded, leaf_hash, proof_hash, proofs
+from itemflow.llm.scratch import scratch_path
 from itemflow.llm.sharding import balanced_shards
 from itemflow.llm.sp_encode import encode_documents
 from itemflow.llm.token_counts import count_documents
+from itemflow.llm.token_files import read_token_files, write_token_files
 from itemflow.llm.toxicity import learn_toxicity, score_toxicity
 from itemflow.llm.url_rules import judge_urls
 
@@ -139,4 +141,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_line_quality, op3_decontamination, op4_language_id, op5_sentencepiece, op6_line_dedup, op7_token_counts, op8_jaccard_join, op9_toxicity, op10_url_rules, op11_merkle_manifest)}
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    write_token_files(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), path)
+    return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_line_quality, op3_decontamination, op4_language_id, op5_sentencepiece, op6_line_dedup, op7_token_counts, op8_jaccard_join, op9_toxicity, op10_url_rules, op11_merkle_manifest, op12_token_files)}
