@@ -17,6 +17,7 @@ from itemflow.llm.merkle import build_manifest, folded, leaf_hash, proof_hash, p
 from itemflow.llm.scratch import scratch_path
 from itemflow.llm.sharding import balanced_shards
 from itemflow.llm.sp_encode import encode_documents
+from itemflow.llm.token_align import align_documents
 from itemflow.llm.token_counts import count_documents
 from itemflow.llm.token_files import read_token_files, write_token_files
 from itemflow.llm.toxicity import learn_toxicity, score_toxicity
@@ -147,4 +148,10 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_line_quality, op3_decontamination, op4_language_id, op5_sentencepiece, op6_line_dedup, op7_token_counts, op8_jaccard_join, op9_toxicity, op10_url_rules, op11_merkle_manifest, op12_token_files)}
+def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    aligned = align_documents(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    return aligned.documents().select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_line_quality, op3_decontamination, op4_language_id, op5_sentencepiece, op6_line_dedup, op7_token_counts, op8_jaccard_join, op9_toxicity, op10_url_rules, op11_merkle_manifest, op12_token_files, op13_token_align)}
