@@ -30,7 +30,7 @@ SHARD = 1 << 19
 #: A pair is frequent if it is there so many times.
 LEAST = 16
 #: A round takes pairs down to this share of the most frequent one.
-SHARE = 8
+SHARE = 32
 #: Every so many symbols their position is stored.
 MARK = 256
 MAGIC = b"RPG1"
@@ -119,10 +119,12 @@ def compress(ids: np.ndarray, least: int = LEAST) -> Grammar:
     their order does not matter. Of a run of equal symbols every second pair is taken.
     """
     ids = np.asarray(ids, np.uint32)
-    there = np.zeros(int(ids.max()) + 1 if len(ids) else 0, bool)
-    there[ids] = True
-    terminals = np.flatnonzero(there).astype(np.uint32)
-    seq = (np.cumsum(there, dtype=np.int64) - 1)[ids]
+    if len(ids) and int(ids.max()) < 1 << 22:
+        there = np.zeros(int(ids.max()) + 1, bool)
+        there[ids] = True
+        terminals, seq = np.flatnonzero(there).astype(np.uint32), (np.cumsum(there, dtype=np.int64) - 1)[ids]
+    else:
+        terminals, seq = np.unique(ids, return_inverse=True)
     n = len(terminals)
     length = np.ones(n, np.int64)
     left, right, rounds = [], [], []
@@ -133,7 +135,7 @@ def compress(ids: np.ndarray, least: int = LEAST) -> Grammar:
         full = np.bincount(slot, minlength=1 << _BITS)  # at least as many as any pair in the slot
         limit = max(least, min(limit, int(full.max()) // SHARE))
         while True:
-            at = np.flatnonzero(full[slot] >= limit)
+            at = np.flatnonzero((full >= limit)[slot])
             pairs, counts = np.unique(keys[at], return_counts=True)
             often = counts >= limit
             if often.any() or limit == least:
@@ -210,23 +212,43 @@ class WordEncoder:
         self.by_word = _drops_space(made) and not any(set(t["content"]) & set(" \t\n\v\f\r") for t in made["added_tokens"])
         self.known: dict[bytes, bytes] = {}
         self.size = 0
+        self.final = np.zeros(self.library.get_vocab_size(), bool)
+        if self.by_word:
+            suffix = made["model"]["end_of_word_suffix"]
+            self.final[[i for t, i in made["model"]["vocab"].items() if t.endswith(suffix)]] = True
         self.sign = self.library.encode(SIGN.decode(), add_special_tokens=False).ids
 
     def _encode(self, texts: list[bytes]) -> list[bytes]:
         made = self.library.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
         return [np.array(e.ids, np.uint32).tobytes() for e in made]
 
-    def _encode_words(self, words: list[bytes]) -> list[bytes]:
-        """Many words in one text, a sign between them that is always a word of its own; words with that sign alone."""
-        out: dict[int, bytes] = {}
-        plain = [k for k, w in enumerate(words) if SIGN not in w]
-        if len(plain) < len(words):
-            odd = [k for k, w in enumerate(words) if SIGN in w]
-            out = dict(zip(odd, self._encode([words[k] for k in odd]), strict=True))
-        between = b" " + SIGN + b" "
-        groups = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
-        texts = [(between.join(words[k] for k in g)).decode("utf-8", "replace") for g in groups]
-        sign = self.sign
+    def _encode_words(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of different words, many in one text.
+
+        Words of ASCII letters are one word of the model each, so the tokens that end words tell them apart. Between
+        others stands a sign that is always a word of its own; words that hold this sign are encoded alone.
+        """
+        letters, others = [], []
+        for w in words:
+            (letters if w.isalpha() and w.isascii() else others).append(w)
+        out: dict[bytes, bytes] = {}
+        groups = [letters[i : i + TOGETHER] for i in range(0, len(letters), TOGETHER)]
+        texts = [b" ".join(g).decode() for g in groups]
+        for group, made in zip(groups, self.library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(made.ids, np.uint32)
+            data = ids.tobytes()
+            ends = ((np.flatnonzero(self.final[ids]) + 1) * 4).tolist()
+            out.update(zip(group, [data[a:b] for a, b in zip([0, *ends], ends)], strict=True))
+        odd = [w for w in others if SIGN in w]
+        out.update(zip(odd, self._encode(odd), strict=True))
+        out.update(self._encode_apart([w for w in others if SIGN not in w]))
+        return out
+
+    def _encode_apart(self, words: list[bytes]) -> dict[bytes, bytes]:
+        out: dict[bytes, bytes] = {}
+        between, sign = b" " + SIGN + b" ", self.sign
+        groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        texts = [between.join(g).decode("utf-8", "replace") for g in groups]
         for group, made in zip(groups, self.library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
             ids = np.array(made.ids, np.uint32)
             here = np.ones(max(len(ids) - len(sign) + 1, 0), bool)
@@ -236,7 +258,7 @@ class WordEncoder:
             data = ids.tobytes()
             begins, ends = [0, *((at + len(sign)) * 4).tolist()], [*(at * 4).tolist(), len(data)]
             out.update(zip(group, [data[i:j] for i, j in zip(begins, ends, strict=True)], strict=True))
-        return [out[k] for k in range(len(words))]
+        return out
 
     def __call__(self, texts: textpack.Texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text's start."""
@@ -244,14 +266,15 @@ class WordEncoder:
         if not self.by_word:
             made = self._encode([data[a:b] for a, b in zip(texts.starts.tolist(), texts.ends.tolist(), strict=True)])
             return np.frombuffer(b"".join(made), np.uint32), np.cumsum([0, *(len(m) // 4 for m in made)])
-        words = texts.runs(textpack.NOT_SPACE)
+        texts, words = _words(texts)
+        data = texts.buf.tobytes()
         _, where, which = np.unique(texts.hasher()(words.start, words.end), return_index=True, return_inverse=True)
         parts = [data[a:b] for a, b in zip(words.start[where].tolist(), words.end[where].tolist(), strict=True)]
         if self.size > REMEMBERED:
             self.known.clear()
             self.size = 0
         new = [p for p in parts if p not in self.known]
-        own = dict(zip(new, self._encode_words(new), strict=True))
+        own = self._encode_words(new)
         self.known.update(own)
         self.size += sum(map(len, new))
         made = [self.known[p] for p in parts]
@@ -263,6 +286,38 @@ class WordEncoder:
         return ids, np.concatenate([[0], np.cumsum(counts)])[words.first]
 
 
+#: Letters, digits and other signs, of ASCII; white space and what is cut by other rules are 0.
+_KIND = np.zeros(256, np.uint8)
+_KIND[0x21:0x7F] = 3
+_KIND[0x30:0x3A] = 2
+_KIND[0x61:0x7B] = 1
+_WHOLE = np.ones(256, bool)
+_WHOLE[0:0x80] = False
+_WHOLE[[*b"'<"]] = True
+
+
+def _words(texts: textpack.Texts) -> tuple[textpack.Texts, textpack.Spans]:
+    """The words, those of plain ASCII in lower case and cut into letters, digits and signs.
+
+    Words with other characters, with an apostrophe (some endings belong to it) or with a sign that may begin a special string stay whole.
+    """
+    words = texts.runs(textpack.NOT_SPACE)
+    before = np.concatenate([[0], np.cumsum(_WHOLE[texts.buf], dtype=np.int32)])
+    plain = before[words.end] == before[words.start]
+    own = np.zeros(len(texts.buf), bool)
+    own[textpack.NOT_SPACE[texts.buf]] = np.repeat(plain, words.end - words.start)
+    buf = np.where(own, textpack.LOWER[texts.buf], texts.buf)
+    kind = _KIND[buf]
+    edge = np.zeros(len(buf), bool)
+    edge[1:] = (kind[1:] != kind[:-1]) & own[1:] & own[:-1]
+    edge[words.start] = True
+    start = np.flatnonzero(edge)
+    word = np.searchsorted(words.start, start, side="right") - 1
+    end = np.minimum(np.append(start[1:], len(buf)), words.end[word]) if len(start) else start
+    lowered = textpack.Texts(buf, texts.starts, texts.ends, texts.row)
+    return lowered, textpack.Spans(start, end, lowered.index(start))
+
+
 def _drops_space(spec: dict) -> bool:
     """Whether white space is dropped from texts before tokens are looked for, and nothing reaches over it."""
     try:
@@ -271,7 +326,7 @@ def _drops_space(spec: dict) -> bool:
         #: Fixed value: the pattern of words, none of which holds white space.
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
         dropped = first["type"] == "Split" and first["behavior"] == "Removed" and first["invert"] and first["pattern"]["Regex"] == pattern
-        return dropped and set(kinds) <= {"NFC", "Replace", "Lowercase"} and not spec["post_processor"]
+        return dropped and set(kinds) <= {"NFC", "Replace", "Lowercase"} and not spec["post_processor"] and bool(spec["model"]["end_of_word_suffix"])
     except (KeyError, TypeError, IndexError):
         return False
 
@@ -310,7 +365,7 @@ def write_token_files(
 
         held = 0
         for batch in batches:
-            for texts in textpack.pieces(batch.column(1)):
+            for texts in textpack.pieces(batch.column(1), 2 * textpack.PIECE):
                 made, first = encoder(texts)
                 for k in range(len(texts)):
                     own = np.concatenate([made[first[k] : first[k + 1]], tail])
@@ -342,10 +397,10 @@ def read_token_files(spark: SparkSession, path: str, key: str = "doc_id") -> Dat
     """
     table = spark.read.parquet(path)
     kind = table.schema["keys"].dataType.elementType
-    #: One row for each task that wrote.
+    #: One row of two numbers for each task that wrote, so it may be broadcast.
     parts = table.groupBy("part").agg(F.sum("n_ids").alias("_n"))
     parts = parts.select("part", F.expr("sum(_n) OVER (ORDER BY part) - _n").alias("_shift"))
-    rows = table.join(parts, "part").select((F.col("before") + F.col("_shift")).alias("_first"), "keys", "ends", "payload")
+    rows = table.join(F.broadcast(parts), "part").select((F.col("before") + F.col("_shift")).alias("_first"), "keys", "ends", "payload")
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
