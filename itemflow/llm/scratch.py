@@ -43,3 +43,15 @@ def shared(spark: SparkSession, value: object) -> Callable[[], object]:
     """Broadcast a value of bounded size, its class included; tasks call what is returned to get it."""
     packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
     return lambda: pickle.loads(packed.value)
+
+
+def once_per_worker(spark: SparkSession, make: Callable[..., object], *args: object) -> Callable[[], object]:
+    """Broadcast what ``make`` needs; each Python worker calls it once and keeps what it made for its later tasks."""
+    held = spark.sparkContext.broadcast([args])
+
+    def get() -> object:
+        if len(held.value) == 1:
+            held.value.append(make(*held.value[0]))
+        return held.value[1]
+
+    return get

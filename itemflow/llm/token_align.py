@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from itemflow.llm import textpack
-from itemflow.llm.scratch import shared, stored
+from itemflow.llm.scratch import once_per_worker, stored
 from itemflow.llm.token_files import spread
 
 #: A block is closed once its texts have so many bytes; a longer text is a block of its own.
@@ -272,11 +272,11 @@ def align_documents(
     with open(byte_file, encoding="utf-8") as f:
         spec = f.read()
     with open(piece_file, "rb") as f:
-        files = shared(docs.sparkSession, (spec, f.read()))
+        made = once_per_worker(docs.sparkSession, Pair, spec, f.read())
     kind = docs.schema[key].dataType
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = Pair(*files())
+        pair = made()
         number = TaskContext.get().partitionId() << 33
         block = Block()
         for batch in batches:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from itemflow.llm import textpack
-from itemflow.llm.scratch import shared
+from itemflow.llm.scratch import once_per_worker
 
 #: A shard is closed once it has so many ids; a longer document is a shard of its own.
 SHARD = 1 << 19
@@ -341,12 +341,12 @@ def write_token_files(
     not read. An empty table makes an empty one. A key with most of all rows is dealt over as many shards as it fills.
     """
     with open(tokenizer_file, encoding="utf-8") as f:
-        spec = shared(docs.sparkSession, f.read())
+        own_encoder = once_per_worker(docs.sparkSession, WordEncoder, f.read())
     tail = np.array([] if end_id is None else [end_id], np.uint32)
     kind = docs.schema[key].dataType
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(spec())
+        encoder = own_encoder()
         part, before, keys, ids = TaskContext.get().partitionId(), 0, [], []
 
         def close() -> pa.RecordBatch:
