@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from itemflow.functions.deep import encode_deep
 from itemflow.functions.expr import (
     NO_VALUE,
     VARIANT_MAP,
@@ -16,6 +17,7 @@ from itemflow.functions.expr import (
     has_null,
     lit,
     name,
+    once,
 )
 from itemflow.functions.numbers import plain_double
 from itemflow.functions.wire import DEFAULT_DEPTH
@@ -64,15 +66,24 @@ def encode_map(fields: str, depth: int = DEFAULT_DEPTH) -> str:
     return f"transform_values({fields}, {fn(lambda _, v: encode_value(v, depth), 2)})"
 
 
-def encode_documents(df: DataFrame, doc: str = "doc", depth: int = DEFAULT_DEPTH) -> DataFrame:
-    """Add ``line``: the export line of a document, NULL if a value cannot be encoded."""
+def encode_documents(df: DataFrame, doc: str = "doc", depth: int = DEFAULT_DEPTH, deep: bool = True) -> DataFrame:
+    """Add ``line``: the export line of a document, NULL if a value in it has no tag.
+
+    Documents that nest deeper than ``depth`` take the Arrow path, if ``deep`` allows it; all others pass it as NULLs.
+    """
     line = bind(
         encode_map(get(name(doc), VARIANT_MAP), depth),
         lambda m: case(
             (f"not {has_null(f'map_values({m})')}", f"to_json(named_struct('Item', {m}))")
         ),
     )
-    return df.withColumn("line", F.expr(line))
+    rows = df.withColumn("line", once(line))
+    if not deep:
+        return rows
+    rest = F.when(F.col("line").isNull() & F.col(name(doc)).isNotNull(), F.col(name(doc)))
+    rows = rows.withColumn("_deep", F.try_variant_get(encode_deep(rest), "$.M", "variant"))
+    deep_line = F.when(F.col("_deep").isNotNull(), F.to_json(F.struct(F.col("_deep").alias("Item"))))
+    return rows.withColumn("line", once(F.coalesce("line", deep_line))).drop("_deep")
 
 
 def encode_column(value: str, dtype: T.DataType) -> str:
@@ -119,6 +130,46 @@ def encode_struct(df: DataFrame, columns: list[str] | None = None) -> Column:
     return F.expr(f"named_struct({', '.join(fields)})")
 
 
+def _lost(value: str, dtype: T.DataType) -> str | None:
+    """Whether a VARIANT somewhere in a typed value has no attribute value; None if there can be none."""
+    if isinstance(dtype, T.VariantType):
+        return f"({value} is not null and {encode_value(value)} is null)"
+    if isinstance(dtype, T.ArrayType | T.MapType):
+        inner = dtype.elementType if isinstance(dtype, T.ArrayType) else dtype.valueType
+        if _lost("v", inner) is None:
+            return None
+        values = value if isinstance(dtype, T.ArrayType) else f"map_values({value})"
+        return f"coalesce(exists({values}, {fn(lambda v: _lost(v, inner))}), false)"
+    if isinstance(dtype, T.StructType):
+        found = [x for x in (_lost(f"{value}.{name(f.name)}", f.dataType) for f in dtype) if x]
+        return f"({' or '.join(found)})" if found else None
+    return None
+
+
 def encode_columns(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Typed rows as export lines: one STRING column ``value``, ready for ``write.text``."""
-    return df.select(F.to_json(F.struct(encode_struct(df, columns).alias("Item"))).alias("value"))
+    """Typed rows as export lines: one STRING column ``value``, ready for ``write.text``.
+
+    VARIANT columns are encoded at any depth. A row with a value that has no tag is NULL as a whole, never
+    a line without it.
+    """
+    chosen = columns or df.columns
+    rows = df.select(*[F.col(name(c)) for c in chosen])
+    lost = []
+    for c in chosen:
+        dtype = df.schema[c].dataType
+        if isinstance(dtype, T.VariantType):
+            native, deep = f"_native {c}", f"_deep {c}"
+            rows = rows.withColumn(native, once(encode_value(name(c))))
+            rows = rows.withColumn(deep, encode_deep(F.when(F.col(name(native)).isNull(), F.col(name(c)))))
+            lost.append(f"({name(c)} is not null and {name(native)} is null and {name(deep)} is null)")
+        elif (found := _lost(name(c), dtype)) is not None:
+            lost.append(found)
+    fields = []
+    for c in chosen:
+        own = isinstance(df.schema[c].dataType, T.VariantType)
+        value = f"coalesce({name(f'_native {c}')}, {name(f'_deep {c}')})" if own else encode_column(name(c), df.schema[c].dataType)
+        fields.append(f"{lit(c)}, {value}")
+    line = f"to_json(named_struct('Item', named_struct({', '.join(fields)})))"
+    if lost:
+        line = case((f"not ({' or '.join(lost)})", line))
+    return rows.select(F.expr(line).alias("value"))

@@ -60,8 +60,11 @@ def decode_value(
         # Bytes that are no UTF-8 become the replacement character, text that is no Base64 fails its row.
         return text if binary == "base64" else f"make_valid_utf8(cast(try_to_binary({text}, 'base64') as string))"
 
+    tags = " + ".join(f"int({{av}}.`{t}` is not null)" for t in ("S", "N", "BOOL", "NULL", "B", "SS", "NS", "BS", "L", "M"))
+
     def level(av: str, depth: int) -> str:
         branches = [
+            (f"{tags.format(av=av)} > 1", NO_VALUE),
             (f"{av}.S is not null", variant(f"{av}.S")),
             (f"{av}.N is not null", numeric(f"{av}.N")),
         ]

@@ -21,6 +21,7 @@ from itemflow.plans.pair import Mapping
 from itemflow.sources.items import typed_items
 
 GOOD, BAD = "good", "quarantine"
+UNQUOTED = r'"(S|N|B)"\s*:\s*[^"\s]'
 
 
 def _failing(fields: str) -> str:
@@ -46,6 +47,10 @@ def decode_items(
         "wide_numbers": mapping.wide_numbers,
     }
 
+    # The JSON reader turns any value into text where text is asked for. Lines in which the body of a text tag does not
+    # start with a quote are left to the strict decoder.
+    trusted = ~F.col("raw").rlike(UNQUOTED) if mapping.deep else F.lit(True)
+
     # ``item`` is used once, so its parser runs inside this one expression and neither the
     # wire form nor the partly decoded map is ever written out as a row.
     def decoded(wire: str) -> str:
@@ -54,7 +59,8 @@ def decode_items(
                 case((is_complete(wire, native), native)),
                 lambda attrs: (
                     f"struct({attrs} as attrs, "
-                    f"{case((f'{attrs} is null', _failing(native)))} as failed)"
+                    f"{case((f'{attrs} is null', _failing(native)))} as failed, "
+                    f"map_keys({native}) as names)"
                 ),
             )
 
@@ -62,16 +68,19 @@ def decode_items(
         return case((f"{wire} is not null", native))
 
     passed = [F.col(c) for c in items.columns if c != item]
-    rows = items.select(*passed, F.expr(bind(name(item), decoded)).alias("_decoded")).select(
+    rows = items.select(*passed, F.expr(bind(name(item), decoded)).alias("_decoded"), trusted.alias("_trusted")).select(
         *passed,
-        F.col("_decoded.attrs").alias("attrs"),
-        F.when(F.col("_decoded").isNull(), "*").otherwise(F.col("_decoded.failed")).alias("failed"),
+        F.when(F.col("_trusted"), F.col("_decoded.attrs")).alias("attrs"),
+        F.when(F.col("_decoded").isNull(), "*").when(F.col("_trusted"), F.col("_decoded.failed")).otherwise("?").alias("failed"),
+        F.col("_decoded.names").alias("_names"),
     )
     if not mapping.deep:
-        return rows
+        return rows.drop("_names")
     leftover = F.when(F.col("failed") != "*", F.col("raw"))
-    rows = rows.withColumn("_deep", decode_deep(leftover, path, **options))
-    return rows.withColumn("attrs", F.coalesce("attrs", "_deep")).drop("_deep")
+    deep, still_failed = decode_deep(leftover, F.col("_names"), path, **options)
+    rows = rows.withColumns({"_deep": deep, "_still": still_failed})
+    rows = rows.withColumn("failed", F.when(F.col("_deep").isNull(), F.coalesce("_still", "failed")))
+    return rows.withColumn("attrs", F.coalesce("attrs", "_deep")).drop("_deep", "_still", "_names")
 
 
 def _key_value(attrs: str, mapping: Mapping) -> str:

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from itemflow.operators.route import DELETE
 
 STATE = ("key", "seq_key", "op", "approx_ts", "doc")
+#: With the run that wrote a row, how many commits its writer had seen, and whether it is a change rather than a copy.
+RUN_STATE = (*STATE, "run", "epoch", "from_log")
+#: What is left of a run's newest change to a key that another run has written since: its place in the run's order.
+SHADOW = "SHADOW"
 
 
 def latest_per_key(ops: DataFrame) -> DataFrame:
@@ -22,7 +28,52 @@ def latest_per_key(ops: DataFrame) -> DataFrame:
 
 
 def live(rows: DataFrame) -> DataFrame:
-    return rows.filter(F.col("op") != DELETE)
+    return rows.filter(~F.col("op").isin(DELETE, SHADOW))
+
+
+def _latest_of_run(rows: DataFrame) -> DataFrame:
+    payload = F.struct(*[c for c in RUN_STATE if c not in ("key", "run")])
+    winner = rows.groupBy("key", "run").agg(F.max_by(payload, F.struct("seq_key", "epoch")).alias("w"))
+    return winner.select(*[F.col(f"w.{c}").alias(c) if c not in ("key", "run") else F.col(c) for c in RUN_STATE])
+
+
+def _written() -> Column:
+    """When a run last wrote a key, to compare runs."""
+    return F.struct("epoch", "from_log", "approx_ts", "run")
+
+
+def latest_of_runs(rows: DataFrame) -> DataFrame:
+    """The state of each key that several runs have written: of the newest operation of each run the one written last.
+
+    Both steps combine on the map side.
+    """
+    payload = F.struct(*[c for c in STATE if c != "key"])
+    winner = _latest_of_run(rows).groupBy("key").agg(F.max_by(payload, _written()).alias("w"))
+    return winner.select("key", *[F.col(f"w.{c}").alias(c) for c in STATE if c != "key"])
+
+
+def fold_runs(rows: DataFrame, one_run: bool, purge_before: dt.datetime | None = None) -> DataFrame:
+    """Rows of ``RUN_STATE`` that give every later reader the same states as ``rows``: a compaction.
+
+    One row for each key, and a shadow for each other run whose log wrote it, so that a late older record of that run
+    still loses. Keys whose state is a tombstone older than ``purge_before`` go.
+    """
+    latest = _latest_of_run(rows)
+    old = F.lit(False) if purge_before is None else F.coalesce((F.col("op") == DELETE) & (F.col("approx_ts") < F.lit(purge_before)), F.lit(False))
+    if one_run:
+        return latest.filter(~old)
+    own = Window.partitionBy("key")
+    ranked = latest.withColumn("_first", F.max(_written()).over(own) == _written())
+    ranked = ranked.withColumn("_gone", F.max(F.col("_first") & old).over(own))
+    kept = ranked.filter(~F.col("_gone") & (F.col("_first") | (F.col("from_log") == 1)))
+    return kept.select(
+        *[
+            F.when(F.col("_first"), F.col("doc")).alias(c) if c == "doc"
+            else F.when(F.col("_first"), F.col("op")).otherwise(SHADOW).alias(c) if c == "op"
+            else F.col(c)
+            for c in RUN_STATE
+        ]
+    )
 
 
 def merge_latest(base: DataFrame, log: DataFrame) -> DataFrame:

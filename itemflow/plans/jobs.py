@@ -31,7 +31,7 @@ class JobError(RuntimeError):
 
 
 def open_pair(spark: SparkSession, pair: Pair, settings: RunSettings) -> tuple[DocTable, Ledger]:
-    return DocTable(spark, pair.target, settings.buckets), Ledger(spark, f"{pair.target}/_ledger")
+    return DocTable(spark, pair.target, settings.buckets, pair.mapping.cluster), Ledger(spark, f"{pair.target}/_ledger")
 
 
 def new_run_id(mode: str) -> str:
@@ -87,7 +87,8 @@ def migrate(
     The source is cut into segments of whole files. Each is its own Spark job that
     overwrites its own directory, and gets a ledger row after its commit; ``resume``
     continues the last unfinished copy and skips the segments that have one. The copy becomes
-    visible when the last segment is done.
+    visible when the last segment is done, on top of what the target holds already: documents of
+    its keys are replaced, all others stay.
     """
     size = _settings(pair, settings)
     table, ledger = open_pair(spark, pair, size)
@@ -113,8 +114,7 @@ def migrate(
     _, errors = _run_all(spark, todo, size.parallel_readers)
     if errors:
         raise JobError("migration", errors)
-    version = table.version()
-    if version is None or version["base"] != run_id:
+    if not table.has_base(run_id):
         _publish(table, pair, run_id)
     return run_id
 

@@ -36,21 +36,26 @@ def file_segment(file_path: Column, segments: int) -> Column:
 def parse_items(
     lines: DataFrame, depth: int = DEFAULT_DEPTH, columns: tuple[str, ...] | None = None
 ) -> DataFrame:
-    """Add ``item MAP<STRING, attribute value>``; NULL for a line that is no item.
+    """Add ``item MAP<STRING, attribute value>``; NULL for a line that is not one item and nothing else.
 
     With ``columns`` the JSON reader skips every other attribute.
     """
     if columns is None:
-        parsed = F.from_json("raw", f"struct<Item: {av_map_type(depth)}>")
-        return lines.withColumn("item", parsed["Item"])
+        return lines.withColumn("item", F.expr(_only_item(av_map_type(depth))))
     fields = ", ".join(f"`{c}` {av_type(depth)}" for c in columns)
-    narrow = lines.withColumn("_item", F.from_json("raw", f"struct<Item: struct<{fields}>>")["Item"])
+    narrow = lines.withColumn("_item", F.expr(_only_item(f"struct<{fields}>")))
     entries = [F.lit(c) for c in columns], [F.col("_item")[c] for c in columns]
     as_map = F.map_from_arrays(F.array(*entries[0]), F.array(*entries[1]))
     present = F.map_filter(as_map, lambda _, v: v.isNotNull())
     return narrow.withColumn("item", F.when(F.col("_item").isNotNull(), present)).drop("_item")
 
 
+def _only_item(ddl: str) -> str:
+    """The item of a line. The reader stops after one value, so the line is read as the one element of a list."""
+    read = f"from_json(concat('[', raw, ']'), {lit(f'array<struct<Item: {ddl}>>')})"
+    return bind(read, lambda r: case((f"size({r}) = 1", f"{r}[0].Item")))
+
+
 def filter_items(items: DataFrame, scan: Scan) -> DataFrame:
     """Keep the items that satisfy ``scan.where``; a missing attribute is NULL in it.
 
@@ -118,7 +123,7 @@ def typed_items(lines: DataFrame, schema: str | T.StructType) -> DataFrame:
 
         return case((f"{wire} is not null", bind(f"struct({', '.join(values)})", checked)))
 
-    item = f"from_json(raw, {lit(f'struct<Item: struct<{inner}>>')}).Item"
+    item = _only_item(f"struct<{inner}>")
     rows = lines.select(*lines.columns, once(bind(item, decoded)).alias("_typed"))
     return rows.select(
         *lines.columns,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from itemflow.functions.encode import encode_documents
@@ -18,7 +18,7 @@ from itemflow.plans.report import scan_counts
 from itemflow.session import work_folder
 from itemflow.sinks.export import write_items
 from itemflow.sources.items import filter_items, parse_items, scan_items
-from queries.inputs import field, lines_of, micros, order_columns, order_lines, table
+from queries.inputs import field, lines_of, micros, order_columns, order_lines, staged, table
 
 ORDERS = Mapping(key_source="orderKey", naming="snake_case", transforms=(("order_date", "datetime"),))
 ORDER_SCHEMA = (
@@ -98,6 +98,83 @@ def decode_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nested_lines(spark: SparkSession, sf_dir: str, leaf: Column, *others: Column | str) -> DataFrame:
+    """One item for each order: ``v`` holds a leaf below 0 to 6 levels of maps; then other attributes, as text."""
+    levels = (F.col("o_orderkey") % 7).cast("int")
+    raw = F.concat(
+        F.lit('{"Item":{"id":{"N":"'), F.col("o_orderkey"), F.lit('"},"v":'), F.repeat(F.lit('{"M":{"k":'), levels),
+        leaf, F.repeat(F.lit("}}"), levels), *others, F.lit("}}"),
+    )
+    return table(spark, sf_dir, "orders").select(raw.alias("raw"))
+
+
+def _levels(value: Column) -> Column:
+    return (F.length(value) - F.length(F.replace(value, F.lit("k"), F.lit("")))).cast("bigint")
+
+
+def number_leaf() -> Column:
+    return F.concat(F.lit('{"N":"'), F.col("o_custkey"), F.lit('"}'))
+
+
+def project_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scan of two attributes, however deep they nest: no other one is in the documents."""
+    secret = F.concat(F.lit(',"secret":{"S":"'), F.col("o_orderpriority"), F.lit('"}'))
+    path = staged(spark, nested_lines(spark, sf_dir, number_leaf(), secret), "secret-items")
+    docs = to_documents(scan_items(spark, path, Scan(columns=("id", "v"))), Mapping(key_source="id"))
+    value = F.to_json(field("v", "variant"))
+    return docs.select(
+        field("_id", "bigint").alias("_id"), "status", F.size(F.try_variant_get("doc", "$", VARIANT_MAP)).cast("bigint").alias("fields"),
+        F.regexp_extract(value, "([0-9]+)", 1).cast("bigint").alias("leaf"), _levels(value).alias("levels"),
+    )
+
+
+def decode_both_ways(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number texts of all kinds: by themselves, beside a deeply nested value, and nested in it."""
+    texts = ("'-7'", "'1.5e2'", "'NaN'", "'-Infinity'", "'1e400'", "'92233720368547758070'", "' 5 '", "'0x1p4'")
+    text = F.element_at(F.array(*[F.expr(t) for t in texts]), (F.col("o_orderkey") % 8 + 1).cast("int"))
+    number = F.concat(F.lit('{"N":"'), text, F.lit('"}'))
+    orders = table(spark, sf_dir, "orders")
+    item = F.concat(F.lit('{"Item":{"id":{"N":"'), F.col("o_orderkey"), F.lit('"},"n":'), number)
+    alone = orders.select(F.concat(item, F.lit("}}")).alias("raw"))
+    beside = orders.select(F.concat(item, F.lit(',"v":'), F.lit('{"L":[' * 6), number, F.lit("]}" * 6), F.lit("}}")).alias("raw"))
+
+    def decoded(lines: DataFrame, path: str, name: str) -> DataFrame:
+        docs = to_documents(parse_items(lines), Mapping(key_source="id"))
+        value = field(path, "variant")
+        return docs.select(
+            field("_id", "bigint").alias("_id"), F.lit(name).alias("place"), F.schema_of_variant(value).alias("kind"), F.to_json(value).alias("value")
+        )
+
+    deepest = "v" + "[0]" * 6
+    return decoded(alone, "n", "alone").unionByName(decoded(beside, "n", "beside")).unionByName(decoded(beside, deepest, "inside"))
+
+
+def round_trip_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents nested 0 to 6 levels deep to items and back, with nothing declared."""
+    leaf = F.concat(F.lit('{"L":['), number_leaf(), F.lit(',{"S":"'), F.col("o_orderpriority"), F.lit('"},{"NULL":true}]}'))
+    docs = to_documents(parse_items(nested_lines(spark, sf_dir, leaf)), Mapping(key_source="id"))
+    lines = encode_documents(docs.select("doc")).select(F.col("line").alias("raw"))
+    again = to_documents(parse_items(lines), Mapping(key_source="_id"))
+    value = F.to_json(field("v", "variant"))
+    inner = F.from_json(F.regexp_extract(value, r"(\[.*\])", 1), "array<string>")
+    return again.select(
+        field("_id", "bigint").alias("_id"), "status", inner[0].cast("bigint").alias("number"), inner[1].alias("text"),
+        F.size(inner).cast("bigint").alias("elements"), _levels(value).alias("levels"),
+    )
+
+
+def poison_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with something behind the item, and items of which one attribute is wrong beside a deep, good one."""
+    kinds = (
+        '{"S":"fine"}', '{"S":"a","N":"1"}', '{"S":{"x":1}}', '{"L":{"x":1}}', '{"S":"fine"}', '{"S":"fine"}', '{"N":[5]}', '{"BS":"eA=="}'
+    )
+    kind = F.col("o_orderkey") % 8
+    bad = F.element_at(F.array(*[F.lit(k) for k in kinds]), (kind + 1).cast("int"))
+    lines = nested_lines(spark, sf_dir, number_leaf(), F.lit(',"bad":'), bad, F.when(kind == 4, "}} junk").when(kind == 5, '}} {"Item":{').otherwise(""))
+    rows = to_documents(parse_items(lines), Mapping(key_source="id"))
+    return rows.groupBy("status", "field", "reason").agg(F.count(F.lit(1)).alias("records"), F.count("raw").alias("with_raw"))
+
+
 def snake_case_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     name = F.concat(F.col("p_type"), F.lit("_"), F.col("p_brand"), F.initcap("p_name"))
@@ -342,6 +419,10 @@ def state_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "migrate_orders": migrate_orders,
     "migrate_orders_typed": migrate_orders_typed,
+    "project_deep": project_deep,
+    "decode_both_ways": decode_both_ways,
+    "round_trip_deep": round_trip_deep,
+    "poison_items": poison_items,
     "migrate_documents": migrate_documents,
     "embedding_items": embedding_items,
     "decode_guard": decode_guard,

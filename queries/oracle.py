@@ -33,6 +33,22 @@ SELECT o_orderkey AS id,
        CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey END AS leaf,
        CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey % 6 END AS levels
 FROM orders""",
+    "project_deep": """
+SELECT o_orderkey AS _id, 'good' AS status, CAST(2 AS BIGINT) AS fields, o_custkey AS leaf, o_orderkey % 7 AS levels FROM orders""",
+    "decode_both_ways": """
+SELECT o_orderkey AS _id, place,
+       CASE o_orderkey % 8 WHEN 0 THEN 'BIGINT' WHEN 4 THEN 'STRING' WHEN 6 THEN 'STRING' ELSE 'DOUBLE' END AS kind,
+       ['-7', '150.0', '"NaN"', '"-Infinity"', '"1e400"', '9.223372036854776E19', '" 5 "', '16.0'][o_orderkey % 8 + 1] AS value
+FROM orders, (SELECT unnest(['alone', 'beside', 'inside']) AS place)""",
+    "round_trip_deep": """
+SELECT o_orderkey AS _id, 'good' AS status, o_custkey AS number, o_orderpriority AS text, CAST(3 AS BIGINT) AS elements,
+       o_orderkey % 7 AS levels FROM orders""",
+    "poison_items": """
+SELECT CASE WHEN k = 0 THEN 'good' ELSE 'quarantine' END AS status,
+       CASE WHEN k IN (4, 5) THEN '*' WHEN k > 0 THEN 'bad' END AS field,
+       CASE WHEN k IN (4, 5) THEN 'malformed record' WHEN k > 0 THEN 'value cannot be decoded' END AS reason,
+       count(*) AS records, count(*) FILTER (k > 0) AS with_raw
+FROM (SELECT o_orderkey % 8 AS k FROM orders) GROUP BY ALL""",
     "snake_case": f"""
 SELECT p_partkey, {SNAKE.format('n')} AS name FROM (
   SELECT p_partkey, p_type || '_' || p_brand ||
@@ -136,7 +152,7 @@ SELECT 'n:' || user_id AS key, count(*) AS deletes FROM events WHERE event_type
 SELECT CASE event_type WHEN 'error' THEN 'DELETE' ELSE 'UPSERT' END AS op,
        CASE WHEN event_id % 11 = 0 THEN 'quarantine' ELSE 'good' END AS status,
        CASE WHEN event_id % 11 = 0 THEN 'sequence number missing or not a number' END AS reason,
-       count(*) AS records, count_if(event_id % 11 <> 0 AND event_id % 13 = 0) AS untimed
+       count(*) AS records, count_if(event_id % 11 <> 0 AND event_id % 13 = 0)::BIGINT AS untimed
 FROM events GROUP BY ALL""",
     "unmapped_apply": f"""
 SELECT 'k:{{"user_id":' || user_id || '}}' AS key, user_id, event_id, event_type, value FROM ({LATEST})""",
@@ -180,6 +196,15 @@ SELECT CASE WHEN o_orderkey % 13 = 0 THEN '*' ELSE 'order_date' END AS field,
        count(*) AS records
 FROM orders WHERE o_orderkey % 13 = 0 OR o_orderkey % 11 = 0 GROUP BY ALL""",
     "compacted_table": LATEST,
+    "two_pairs_one_target": """
+SELECT o_orderkey AS _id, o_custkey AS cust_key, coalesce(c_mktsegment, o_orderstatus) AS order_status,
+       o_totalprice AS total_price, o_orderpriority AS order_priority, epoch_ms(o_orderdate) AS order_ms
+FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_acctbal < 0""",
+    "migrate_after_live": f"""
+SELECT user_id, event_id, event_type, value, props FROM ({LATEST}) WHERE user_id NOT IN (SELECT c_custkey FROM customer)
+UNION ALL SELECT c_custkey, NULL, 'restored', c_acctbal, c_name FROM customer""",
+    "table_lookup": f"""
+SELECT user_id, event_id, event_type, value, props FROM ({LATEST}) WHERE user_id IN (SELECT c_custkey FROM customer)""",
     "stream_apply": LATEST,
     "live_bootstrap": LATEST,
 }

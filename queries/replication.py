@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from queries.inputs import (
     event_changes,
     field,
     lines_of,
+    order_columns,
     order_lines,
     staged,
     table,
@@ -217,6 +219,46 @@ def compacted_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_state(target.current())
 
 
+def two_pairs_one_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second pair copies into the same collection: its orders replace those of their keys, the others stay."""
+    first = order_pair(spark, sf_dir, "accumulated")
+    migrate(spark, first)
+    poor = table(spark, sf_dir, "customer").filter("c_acctbal < 0").select(F.col("c_custkey").alias("custKey"), F.col("c_mktsegment").alias("segment"))
+    changed = order_columns(spark, sf_dir).join(poor, "custKey").withColumn("orderStatus", F.col("segment")).drop("segment")
+    source = staged(spark, lines_of(changed), "more-items", 4)
+    migrate(spark, replace(first, name="more", source=source))
+    return flat_orders(open_pair(spark, first, RunSettings())[0].current())
+
+
+def migrate_after_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes are followed, then a copy of customers as users goes on top; the table is folded in between."""
+    pair = Pair(
+        name="users", source=staged(spark, lines_of(spark.createDataFrame([], "userId bigint")), "no-items"),
+        target_root=work_folder(spark, "users"), collection="users", mapping=USERS,
+        changes=staged(spark, event_changes(spark, sf_dir), "users-changes", 4),
+    )
+    replicate(spark, pair, trigger=STOP_WHEN_READ, start=dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)).awaitTermination()
+    target = open_pair(spark, pair, RunSettings())[0]
+    target.compact()
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("userId"), F.lit("restored").alias("eventType"), F.col("c_acctbal").alias("value"), F.col("c_name").alias("props")
+    )
+    migrate(spark, replace(pair, name="customers", source=staged(spark, lines_of(customers), "customer-items", 4)))
+    return user_state(target.current())
+
+
+def table_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of all customers' numbers, looked up in a table of users whose log is folded by bucket twice."""
+    ops = change_operations(event_changes(spark, sf_dir), USERS).withColumn("n", F.col("seq_key").cast("bigint") % 3)
+    target = document_table(spark, "looked-up")
+    for batch, n in enumerate((2, 0, 1)):
+        target.append_batch(ops.filter(F.col("n") == n).drop("n"), batch)
+        if batch < 2:
+            target.compact()
+    keys = table(spark, sf_dir, "customer").select(F.concat(F.lit("n:"), F.col("c_custkey").cast("string")).alias("key"))
+    return user_state(target.lookup(keys))
+
+
 def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream over files that arrive out of order, stopped and restarted on the way."""
     events = table(spark, sf_dir, "events")
@@ -269,6 +311,9 @@ QUERIES = {
     "dry_run": dry_run_report,
     "table_quarantine": table_quarantine,
     "compacted_table": compacted_table,
+    "two_pairs_one_target": two_pairs_one_target,
+    "migrate_after_live": migrate_after_live,
+    "table_lookup": table_lookup,
     "stream_apply": stream_apply,
     "live_bootstrap": live_bootstrap,
 }
