@@ -1,8 +1,8 @@
 """Alignment of two tokenisers over the same texts, by windows between space-marked tokens.
 
 Both tokenise a whole text. Where a token of each ends at one byte and the next of each starts with a space, a
-window begins; windows are short and come again and again, so each different pair of id tuples is aligned once
-in a block of documents and remembered. A document is its list of windows, and all it is asked for is a sum over
+window begins; windows are short and come again and again, so each different pair of id tuples (by a 64-bit hash of
+both) is aligned once in a block of documents and remembered. A document is its list of windows, and all it is asked for is a sum over
 them. Which ids go together most often is counted over documents: blocks send each of their different id
 pairs once, with how many of their documents hold it, and get the corpus' counts back by joins on 64-bit
 numbers; texts and tokens stay where they are.
@@ -15,6 +15,7 @@ import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -67,6 +68,9 @@ class Pair:
         by_id = {i: bytes(letters[c] for c in t) if set(t) <= letters.keys() else t.encode() for i, t in by_id.items()}
         self.a = Tokens([by_id.get(i, b"") for i in range(max(by_id, default=-1) + 1)])
         self.b = Tokens([self._piece(i) for i in range(self.second.get_piece_size())])
+        texts = [str(i).encode() for i in range(max(len(self.a.size), len(self.b.size)))]
+        width = np.array([len(t) for t in texts], np.int64)
+        self.digits = np.frombuffer(b"".join(texts), np.uint8), np.cumsum(width) - width, width
 
     def _piece(self, i: int) -> bytes:
         piece = self.second.id_to_piece(i)
@@ -85,127 +89,175 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Block:
-    """Windows and id pairs of some documents, numbered as they come."""
-
-    def __init__(self) -> None:
-        self.known: dict[tuple[bytes, bytes], int] = {}
-        self.groups: list[str] = []
-        self.sizes: list[tuple[int, int, int, int]] = []
-        self.pairs: dict[int, int] = {}
-        self.of: list[int] = []
-        self.times: list[int] = []
-        self.first = [0]
-        self.docs: list[tuple] = []
-        self.windows: list[np.ndarray] = []
+    """Windows and their linked id pairs, for some documents; windows are numbered as they come."""
+
+    def __init__(self, pair: Pair, keep_groups: bool) -> None:
+        self.pair, self.keep = pair, keep_groups
+        #: Known windows by the hash of their id tuples, ascending, with their numbers.
+        self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        #: Of each window in order: how many different pairs, which (a * ids of b + b), how often.
+        self.counts: list[np.ndarray] = []
+        self.codes: list[np.ndarray] = []
+        self.times: list[np.ndarray] = []
         self.keys: list[pa.Array] = []
+        self.docs: list[np.ndarray] = []
+        self.digests: list[str] = []
+        self.texts: list[str | None] = []
+        self.windows: list[np.ndarray] = []
         self.bytes = 0
 
-    def window(self, a: list[int], b: list[int], ends_a: list[int], ends_b: list[int]) -> int:
-        """Align one window: groups end where tokens of both end."""
-        i = j = links = groups = 0
-        text, found = [], {}
-        both = set(ends_a).intersection(ends_b)
-        while i < len(a):
-            k, m = i, j
-            while ends_a[k] not in both:
-                k += 1
-            while ends_b[m] not in both:
-                m += 1
-            own_a, own_b = a[i : k + 1], b[j : m + 1]
-            text.append(",".join(map(str, own_a)) + "|" + ",".join(map(str, own_b)))
-            links += len(own_a) * len(own_b)
-            groups += 1
-            if len(own_a) * len(own_b) <= SMALL:
-                for x in own_a:
-                    for y in own_b:
-                        found[x << 32 | y] = found.get(x << 32 | y, 0) + 1
-            else:
-                ys = [y.tolist() for y in np.unique(own_b, return_counts=True)]
-                for x, n in zip(*(x.tolist() for x in np.unique(own_a, return_counts=True)), strict=True):
-                    for y, times in zip(*ys, strict=True):
-                        found[x << 32 | y] = found.get(x << 32 | y, 0) + n * times
-            i, j = k + 1, m + 1
-        self.groups.append(";".join(text))
-        self.sizes.append((len(a), len(b), groups, links))
-        self.of.extend(self.pairs.setdefault(p, len(self.pairs)) for p in found)
-        self.times.extend(found.values())
-        self.first.append(len(self.of))
-        return len(self.groups) - 1
-
-    def add(self, pair: Pair, keys: pa.Array, texts: list[str]) -> None:
+    def add(self, keys: pa.Array, texts: list[str]) -> None:
         """Tokenise and align some documents."""
+        pair = self.pair
         ids_a, ids_b = pair.encode(texts)
         data = [(" " + t).encode() if t else b"" for t in texts]
         for k, body in enumerate(data):
-            if not body or pair.a.bytes(np.array(ids_a[k], np.int64)).tobytes() != body or pair.b.bytes(np.array(ids_b[k], np.int64)).tobytes() != body:
-                ids_a[k], ids_b[k], data[k] = [], [], b""
+            if not body:
+                ids_a[k], ids_b[k] = [], []
+        a, b = _flat(ids_a), _flat(ids_b)
+        whole = np.frombuffer(b"".join(data), np.uint8)
+        sizes = np.array([len(d) for d in data], np.int64)
+        n_a, n_b = (np.array([len(i) for i in ids], np.int64) for ids in (ids_a, ids_b))
+        same = all((_sums(t.size[x], n) == sizes).all() and (t.bytes(x) == whole).all() for t, x, n in ((pair.a, a, n_a), (pair.b, b, n_b)))
+        if not same:
+            keep = [pair.a.bytes(_flat([x])).tobytes() == d == pair.b.bytes(_flat([y])).tobytes() for x, y, d in zip(ids_a, ids_b, data, strict=True)]
+            a, b = (_flat([i for i, k in zip(ids, keep, strict=True) if k]) for ids in (ids_a, ids_b))
+            sizes, n_a, n_b = sizes * keep, n_a * keep, n_b * keep
         self.keys.append(keys)
-        self.bytes += sum(map(len, data))
-        a, b = (np.array([i for one in ids for i in one], np.int64) for ids in (ids_a, ids_b))
-        n = sum(map(len, data))
+        self.bytes += len(whole)
+        self._align(a, b, sizes, n_a, n_b)
+
+    def _align(self, a: np.ndarray, b: np.ndarray, sizes: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> None:
+        """Cut the tokens of some documents, joined, into groups and windows."""
+        pair, n = self.pair, int(sizes.sum())
         ends_a, ends_b = np.cumsum(pair.a.size[a]), np.cumsum(pair.b.size[b])
-        shared_end, marked, begins = np.zeros(n + 1, np.uint8), np.zeros(n + 1, np.uint8), np.zeros(n + 1, bool)
-        shared_end[ends_a] = 1
-        shared_end[ends_b] += 1
         start_a, start_b = ends_a - pair.a.size[a], ends_b - pair.b.size[b]
+        both, marked = np.zeros(n + 1, np.uint8), np.zeros(n + 1, np.uint8)
+        both[ends_a] = 1
+        both[ends_b] += 1
+        both = both == 2
         marked[start_a[pair.a.spaced[a]]] = 1
         marked[start_b[pair.b.spaced[b]]] += 1
-        begins[:] = (shared_end == 2) & (marked == 2)
-        at_doc = np.cumsum([0, *map(len, data)])
-        begins[at_doc[:-1][np.diff(at_doc) > 0]] = True
+        doc_at = np.cumsum(sizes) - sizes
+        begins = both & (marked == 2)
+        begins[doc_at[sizes > 0]] = True
         at = np.flatnonzero(begins[:n])
-        from_a, from_b = np.append(np.searchsorted(start_a, at), len(a)), np.append(np.searchsorted(start_b, at), len(b))
-        which = self._numbers(a, b, from_a, from_b, ends_a, ends_b)
-        bounds = np.searchsorted(at, at_doc)
-        for k in range(len(texts)):
-            own = which[bounds[k] : bounds[k + 1]]
-            self.windows.append(own.astype(np.uint32))
-            digest = hashlib.sha256(";".join(map(self.groups.__getitem__, own.tolist())).encode()).hexdigest() if len(own) else ""
-            self.docs.append((len(ids_a[k]), len(ids_b[k]), digest))
-
-    def _numbers(self, a, b, from_a, from_b, ends_a, ends_b) -> np.ndarray:
-        """The number of each window; new ones are aligned."""
-        low_a, high_a, low_b, high_b = from_a[:-1], from_a[1:], from_b[:-1], from_b[1:]
-        if not len(low_a):
+        group_at = np.cumsum(both)  # groups that end up to each byte
+        in_a, in_b = (np.bincount(group_at[s], minlength=int(group_at[-1])) for s in (start_a, start_b))
+        first_group = np.append(group_at[at], group_at[-1])
+        low_a, low_b = (np.append(np.searchsorted(s, at), len(t)) for s, t in ((start_a, a), (start_b, b)))
+        which = self._known(a, b, low_a, low_b, in_a, in_b, first_group)
+        per_doc = np.diff(np.append(np.searchsorted(at, doc_at), len(at)))
+        groups_of = np.diff(np.append(group_at[doc_at], group_at[-1]))
+        self.docs.append(np.stack([n_a, n_b, groups_of, _sums(in_a * in_b, groups_of), per_doc]))
+        self.windows.append(which.astype(np.uint32))
+        self._write_groups(a, b, in_a, in_b, groups_of)
+
+    def _known(self, a, b, low_a, low_b, in_a, in_b, first_group) -> np.ndarray:
+        """The number of each window; those that are new are aligned, each different one once."""
+        if len(low_a) < 2:
             return np.zeros(0, np.int64)
-        hashes = textpack.mix(textpack.Hasher(a)(low_a, high_a)) + textpack.Hasher(b)(low_b, high_b)
-        _, where, which = np.unique(hashes, return_index=True, return_inverse=True)
-        a32, b32 = a.astype(np.int32), b.astype(np.int32)
-        numbers = []
-        for i, j, k, m in zip(low_a[where].tolist(), high_a[where].tolist(), low_b[where].tolist(), high_b[where].tolist(), strict=True):
-            own = a32[i:j].tobytes(), b32[k:m].tobytes()
-            number = self.known.get(own)
-            if number is None:
-                number = self.known[own] = self.window(a[i:j].tolist(), b[k:m].tolist(), ends_a[i:j].tolist(), ends_b[k:m].tolist())
-            numbers.append(number)
-        return np.array(numbers, np.int64)[which]
-
-    def row(self, block: int, keep_groups: bool) -> pa.RecordBatch:
+        hashes = textpack.mix(textpack.Hasher(a)(low_a[:-1], low_a[1:])) + textpack.Hasher(b)(low_b[:-1], low_b[1:])
+        found, where, which = np.unique(hashes, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hashes, found)
+        old = np.zeros(len(found), bool)
+        inside = at < len(self.hashes)
+        old[inside] = self.hashes[at[inside]] == found[inside]
+        numbers = np.empty(len(found), np.int64)
+        numbers[old] = self.numbers[at[old]]
+        new = ~old
+        numbers[new] = len(self.hashes) + np.arange(int(new.sum()))
+        self.hashes = np.insert(self.hashes, at[new], found[new])
+        self.numbers = np.insert(self.numbers, at[new], numbers[new])
+        self._link(a, b, in_a, in_b, first_group[where[new]], first_group[where[new] + 1])
+        return numbers[which]
+
+    def _link(self, a, b, in_a, in_b, first: np.ndarray, last: np.ndarray) -> None:
+        """The different id pairs of some windows, given by their groups, and how often each is linked."""
+        group, window = spread(first, last - first), np.repeat(np.arange(len(first)), last - first)
+        at_a, at_b = (np.cumsum(x) - x for x in (in_a, in_b))
+        wide, links = len(self.pair.b.size), in_a[group] * in_b[group]
+        small = np.flatnonzero(links <= SMALL)
+        g, n = group[small], links[small]
+        step = spread(np.zeros(len(n), np.int64), n)
+        own = np.repeat(in_b[g], n)
+        codes = a[np.repeat(at_a[g], n) + step // own] * wide + b[np.repeat(at_b[g], n) + step % own]
+        found, times = [np.repeat(window[small], n)], [np.ones(len(codes), np.int64)]
+        codes = [codes]
+        for k in np.flatnonzero(links > SMALL).tolist():  # by different ids, not one by one
+            i, j = group[k], window[k]
+            xs, nx = np.unique(a[at_a[i] : at_a[i] + in_a[i]], return_counts=True)
+            ys, ny = np.unique(b[at_b[i] : at_b[i] + in_b[i]], return_counts=True)
+            codes.append((xs[:, None] * wide + ys).ravel())
+            times.append((nx[:, None] * ny).ravel())
+            found.append(np.full(len(codes[-1]), j))
+        window, codes, times = np.concatenate(found), np.concatenate(codes), np.concatenate(times)
+        order = np.lexsort((codes, window))
+        window, codes, times = window[order], codes[order], times[order]
+        new = np.ones(len(codes), bool)
+        new[1:] = (window[1:] != window[:-1]) | (codes[1:] != codes[:-1])
+        begin = np.flatnonzero(new)
+        self.counts.append(np.bincount(window[begin], minlength=len(first)))
+        self.codes.append(codes[begin])
+        self.times.append(np.add.reduceat(times, begin) if len(begin) else times)
+
+    def _write_groups(self, a, b, in_a, in_b, groups_of) -> None:
+        """Digests of the documents' groups as text: ``a1,a2|b1;a3|b2``."""
+        size = in_a + in_b
+        start = np.cumsum(size) - size
+        total = len(a) + len(b)
+        ids, between = np.empty(total, np.int64), np.full(total, ord(","), np.uint8)
+        ids[spread(start, in_a)] = a
+        ids[spread(start + in_a, in_b)] = b
+        between[start + in_a - 1] = ord("|")
+        between[start + size - 1] = ord(";")
+        digits, first, width = self.pair.digits
+        wide = width[ids] + 1
+        end = np.cumsum(wide)
+        text = np.empty(int(end[-1]) if total else 0, np.uint8)
+        text[spread(end - wide, width[ids])] = digits[spread(first[ids], width[ids])]
+        text[end - 1] = between
+        ends = np.concatenate([[0], end])[np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(groups_of)])]].tolist()
+        whole = text.tobytes()
+        for low, high in zip(ends, ends[1:]):
+            own = whole[low : max(high - 1, low)]
+            self.digests.append(hashlib.sha256(own).hexdigest() if own else "")
+            self.texts.append(own.decode() if self.keep else None)
+
+    def row(self, block: int) -> pa.RecordBatch:
         """All of the block in one row."""
-        first, of = np.array(self.first, np.int64), np.array(self.of, np.int64)
-        counts = np.array([len(w) for w in self.windows], np.int64)
+        none = np.zeros(0, np.int64)
+        docs, counts = np.concatenate(self.docs, axis=1), np.concatenate([none, *self.counts])
         windows = np.concatenate([np.zeros(0, np.uint32), *self.windows])
-        sizes = np.array(self.sizes, np.int64).reshape(-1, 4)
-        sums = [_sums(sizes[windows, c], counts) for c in (2, 3)]
+        pairs, of = np.unique(np.concatenate([none, *self.codes]), return_inverse=True)
+        wide = len(self.pair.b.size)
         lists = [
-            pa.concat_arrays(self.keys), pa.array([d[0] for d in self.docs], pa.int64()), pa.array([d[1] for d in self.docs], pa.int64()),
-            pa.array(sums[0]), pa.array(sums[1]), pa.array([d[2] for d in self.docs], pa.string()),
-            pa.array([";".join(map(self.groups.__getitem__, w.tolist())) if keep_groups else None for w in self.windows], pa.string()),
-            pa.array(counts), pa.array(list(self.pairs), pa.int64()), pa.array(self._holders(windows, counts, first, of)),
+            pa.concat_arrays(self.keys), *[pa.array(docs[c]) for c in range(4)], pa.array(self.digests, pa.string()), pa.array(self.texts, pa.string()),
+            pa.array(docs[4]), pa.array((pairs // wide) << 32 | pairs % wide), pa.array(_holders(windows, docs[4], counts, of, len(pairs))),
         ]
         cells = [pa.array([block], pa.int64()), *[pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]]
-        packed = [windows, np.diff(first), of, np.array(self.times, np.int64)]
+        packed = [windows, counts, of, np.concatenate([none, *self.times])]
         cells += [pa.array([p.astype("<u4").tobytes()], pa.binary()) for p in packed]
         return pa.RecordBatch.from_arrays(cells, COLUMNS)
 
-    def _holders(self, windows: np.ndarray, counts: np.ndarray, first: np.ndarray, of: np.ndarray) -> np.ndarray:
-        """How many documents hold each pair."""
-        n = max(len(self.groups), 1)
-        own = np.unique(np.repeat(np.arange(len(counts)), counts) * n + windows)
-        doc, window = own // n, own % n
-        many = np.diff(first)[window]
-        held = np.unique(np.repeat(doc, many) * max(len(self.pairs), 1) + of[spread(first[window], many)])
-        return np.bincount(held % max(len(self.pairs), 1), minlength=len(self.pairs))
+
+def _flat(lists: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), np.int64, sum(map(len, lists)))
+
+
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
+def _holders(windows: np.ndarray, per_doc: np.ndarray, counts: np.ndarray, of: np.ndarray, n_pairs: int) -> np.ndarray:
+    """How many documents hold each pair."""
+    n, first = max(len(counts), 1), np.cumsum(counts) - counts
+    own = _distinct(np.repeat(np.arange(len(per_doc)), per_doc) * n + windows)
+    doc, window = own // n, own % n
+    many = counts[window]
+    held = _distinct(np.repeat(doc, many) * max(n_pairs, 1) + of[spread(first[window], many)])
+    return np.bincount(held % max(n_pairs, 1), minlength=n_pairs)
 
 
 def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -278,16 +330,16 @@ def align_documents(
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = made()
         number = TaskContext.get().partitionId() << 33
-        block = Block()
+        block = Block(pair, keep_groups)
         for batch in batches:
             column = batch.column(1)
             for texts in textpack.pieces(column):
                 if block.bytes and block.bytes + len(texts.buf) > block_bytes:
-                    yield block.row(number, keep_groups)
-                    number, block = number + 1, Block()
-                block.add(pair, batch.column(0)[texts.rows], [t or "" for t in column[texts.rows].to_pylist()])
+                    yield block.row(number)
+                    number, block = number + 1, Block(pair, keep_groups)
+                block.add(batch.column(0)[texts.rows], [t or "" for t in column[texts.rows].to_pylist()])
         if block.docs:
-            yield block.row(number, keep_groups)
+            yield block.row(number)
 
     long, whole = T.LongType(), T.ArrayType(T.LongType())
     kinds = [long, T.ArrayType(kind), *[whole] * 4, *[T.ArrayType(T.StringType())] * 2, *[whole] * 3, *[T.BinaryType()] * 4]
