@@ -101,6 +101,29 @@ def comparable(doc: Column) -> Column:
     return F.to_json(doc)
 
 
+EFFECTS = ("inserted", "upserted", "modified", "unchanged", "deleted", "not_found")
+
+
+def effect_counts(keys: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """One row of result counts for the written ``keys``, from the hashes of their documents before and after.
+
+    ``unchanged`` documents are as they were, ``not_found`` are keys without a document on both sides; documents
+    without a key of their own (``u:``) are ``inserted``.
+    """
+    old = before.select("key", F.col("doc_hash").alias("_old"), F.lit(True).alias("_was"))
+    new = after.select("key", F.col("doc_hash").alias("_new"), F.lit(True).alias("_is"))
+    joined = keys.join(old, "key", "left").join(new, "key", "left")
+    effect = (
+        F.when(F.col("key").startswith("u:"), "inserted")
+        .when(F.col("_is") & F.col("_was").isNull(), "upserted")
+        .when(F.col("_is") & (F.col("_old") != F.col("_new")), "modified")
+        .when(F.col("_is"), "unchanged")
+        .when(F.col("_was"), "deleted")
+        .otherwise("not_found")
+    )
+    return joined.select(effect.alias("effect")).agg(*[F.count_if(F.col("effect") == n).alias(n) for n in EFFECTS])
+
+
 def write_counts(before: DataFrame, ops: DataFrame) -> DataFrame:
     """One row of result counts for ``ops`` applied to the live documents ``before``.
 
@@ -126,8 +149,7 @@ def write_counts(before: DataFrame, ops: DataFrame) -> DataFrame:
     effects = joined.select(effect.alias("effect")).unionByName(
         ops.filter(keyless).select(F.lit("inserted").alias("effect"))
     )
-    names = ("inserted", "upserted", "modified", "unchanged", "deleted", "not_found")
-    return effects.agg(*[F.count_if(F.col("effect") == n).alias(n) for n in names])
+    return effects.agg(*[F.count_if(F.col("effect") == n).alias(n) for n in EFFECTS])
 
 
 def key_collisions(rows: DataFrame) -> DataFrame:

@@ -70,10 +70,13 @@ def documents(
     return to_documents(items, pair.mapping)
 
 
-def _publish(table: DocTable, pair: Pair, run_id: str) -> None:
+def _publish(table: DocTable, pair: Pair, run_id: str, ledger: Ledger, mode: str, size: RunSettings) -> None:
+    before = table.snapshot()
     table.commit_version(
         run_id, run_id, one_row_per_key=pair.mapping.unique_keys, cluster=pair.mapping.cluster
     )
+    if size.result_counts:
+        ledger.published(run_id, pair.name, mode, table.copy_effects(run_id, before))
 
 
 def migrate(
@@ -115,15 +118,17 @@ def migrate(
     if errors:
         raise JobError("migration", errors)
     if not table.has_base(run_id):
-        _publish(table, pair, run_id)
+        _publish(table, pair, run_id, ledger, "migrate", size)
     return run_id
 
 
 def bootstrap(spark: SparkSession, pair: Pair, run_id: str, settings: RunSettings | None = None) -> None:
     """One full copy without progress rows, made visible when complete."""
-    table, _ = open_pair(spark, pair, _settings(pair, settings))
+    size = _settings(pair, settings)
+    table, ledger = open_pair(spark, pair, size)
     table.write_base(documents(spark, pair), run_id, cluster=pair.mapping.cluster)
-    _publish(table, pair, run_id)
+    if not table.has_base(run_id):
+        _publish(table, pair, run_id, ledger, "live", size)
 
 
 def replicate(
@@ -160,7 +165,7 @@ def replicate(
         ledger.append(f"{run_id}/bootstrap", run_id=run_id, table=pair.name, mode="live",
                       event="bootstrap", bootstrap_done=True)
     return follow(spark, pair.changes, table, ledger, pair.mapping, run_id, pair.name, begin,
-                  trigger, size.max_files_per_trigger, strict)
+                  trigger, size.max_files_per_trigger, strict, size.result_counts)
 
 
 def migrate_all(

@@ -11,12 +11,20 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from itemflow.operators.latest import EFFECTS
+
 SCHEMA = (
     "run_id string, table string, mode string, event string, segment int, segments int, "
     "batch_id bigint, processed bigint, quarantined bigint, completed boolean, "
     "start_ts timestamp, high_water timestamp, stream_id string, bootstrap_done boolean, "
+    "read bigint, older bigint, untimed bigint, skipped bigint, "
+    "inserted bigint, upserted bigint, modified bigint, unchanged bigint, deleted bigint, not_found bigint, "
     "updated timestamp"
 )
+#: What a stream read and what of it made no operation: before the start time, without a time, of no kind to apply.
+DROPS = ("read", "older", "untimed", "skipped")
+#: Columns that add up over the batches of a stream.
+SUMS = ("processed", "quarantined", *DROPS, *EFFECTS)
 COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
 
 
@@ -77,11 +85,12 @@ class Ledger:
     def batch_done(self, run_id: str, table: str, batch_id: int, counts: DataFrame) -> None:
         """Progress of a stream up to a batch: running counts and the highest change time.
 
-        ``counts``: one row (processed, quarantined, high_water) of the batch. Two slots take
+        ``counts``: one row (processed, quarantined, high_water, and of ``SUMS`` what is known) of the batch. Two slots take
         turns, each computed from the other, so the ledger of a stream stays two rows and a
         replayed batch is counted once.
         """
-        sums = ["processed", "quarantined"]
+        sums = list(SUMS)
+        counts = counts.select("*", *[F.lit(None).cast("bigint").alias(c) for c in sums if c not in counts.columns])
         try:
             before = self.spark.read.schema(SCHEMA).parquet(f"{self.root}/{run_id}/slot={(batch_id + 1) % 2}")
             before = before.filter(F.col("batch_id") < batch_id).select(*sums, "high_water")
@@ -103,6 +112,20 @@ class Ledger:
         )
         self.append_rows(f"{run_id}/slot={batch_id % 2}", row)
 
+    def published(self, run_id: str, table: str, mode: str, counts: DataFrame) -> None:
+        """Result counts of a copy that has become visible: one row of ``EFFECTS``."""
+        row = counts.select(
+            *EFFECTS, F.lit(run_id).alias("run_id"), F.lit(table).alias("table"), F.lit(mode).alias("mode"),
+            F.lit("published").alias("event"), F.current_timestamp().alias("updated"),
+        )
+        self.append_rows(f"{run_id}/published", row)
+
+    def results(self, table: str) -> DataFrame:
+        """Per run what its copy and its stream did to the table, and what the stream left out: ``DROPS`` and ``EFFECTS``."""
+        rows = self.table(table).filter(F.col("event").isin("batch", "published"))
+        newest = rows.groupBy("run_id", "event").agg(F.max_by(F.struct(*DROPS, *EFFECTS), F.coalesce("batch_id", F.lit(-1))).alias("n"))
+        return newest.groupBy("run_id").agg(*[F.coalesce(F.sum(f"n.{c}"), F.lit(0)).alias(c) for c in (*DROPS, *EFFECTS)])
+
     def delete(self, table: str) -> None:
         """Forget a table's progress: later reads start after this row."""
         now = dt.datetime.now(dt.timezone.utc)

@@ -93,6 +93,8 @@ class RunSettings:
     max_concurrent_pairs: int = 1
     max_files_per_trigger: int = 1000
     buckets: int = 64
+    #: Report what copies and batches do to the documents of their keys; costs a scan of keys and hashes each.
+    result_counts: bool = False
 
     def override(self, other: RunSettings | dict | None) -> RunSettings:
         if other is None:

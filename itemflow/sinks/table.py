@@ -27,13 +27,13 @@ from pyspark.sql import functions as F
 
 from itemflow.functions.keys import bucket_of
 from itemflow.operators.convert import BAD, GOOD
-from itemflow.operators.latest import RUN_STATE, STATE, fold_runs, latest_of_runs, latest_per_key, live, merge_latest
+from itemflow.operators.latest import RUN_STATE, STATE, comparable, effect_counts, fold_runs, latest_of_runs, latest_per_key, live, merge_latest
 from itemflow.operators.route import DELETE, UPSERT
 from itemflow.sinks.manifest import COMPACTION, COPY, DEFAULT_RUN, Manifest, commit, existing, remove, utc
 
 ROW = (
     "key string, seq_key string, op string, approx_ts timestamp, doc variant, "
-    "raw string, field string, reason string, run string, epoch bigint, from_log int, status string"
+    "raw string, field string, reason string, run string, epoch bigint, from_log int, doc_hash bigint, status string"
 )
 COLUMNS = [c.split()[0] for c in ROW.split(", ")]
 ANY_BUCKET = -1
@@ -118,6 +118,21 @@ class Snapshot:
         """Latest operation per key, tombstones included."""
         return self.latest(self.bases(), self.logs())
 
+    def digests(self, keys: DataFrame, before: tuple[str, int] | None = None) -> DataFrame:
+        """``(key, doc_hash)`` of the documents that some keys have: of each row its key, place and hash are read, nothing else.
+
+        ``before`` leaves out a run's batches from one on. In a clustered table only the keys' buckets are read.
+        """
+        buckets = None
+        if self.table.clustered:
+            buckets = [r[0] for r in keys.select(bucket_of(F.col("key"), self.manifest.buckets)).distinct().collect()]
+        base, log = self.bases(buckets), self.logs(buckets)
+        if log is not None and before is not None:
+            log = log.filter((F.col("run") != before[0]) | (F.col("batch_id") < before[1]))
+        parts = [r if r is None else r.withColumn("doc", F.col("doc_hash").cast("variant")).join(keys, "key", "left_semi") for r in (base, log)]
+        found = live(self.latest(*parts))
+        return found.select("key", F.try_variant_get("doc", "$", "bigint").alias("doc_hash"))
+
     def latest(self, base: DataFrame | None, log: DataFrame | None, wanted: Column | None = None) -> DataFrame:
         """The same of some rows of the bases and the log; ``wanted`` may look at keys only."""
 
@@ -154,7 +169,8 @@ class DocTable:
                 filled.append(F.coalesce(F.col(name), F.concat(F.lit("u:"), F.uuid())).alias(name))
             else:
                 filled.append(F.col(name))
-        return rows.select(*filled)
+        # Short enough to compare whole states by, without reading a document.
+        return rows.select(*filled).withColumn("doc_hash", F.xxhash64(comparable(F.col("doc"))))
 
     def _write(self, rows: DataFrame, path: str, cluster: bool, buckets: int) -> None:
         """Replace the whole directory, whatever the session's overwrite mode.
@@ -215,6 +231,18 @@ class DocTable:
         self._write(rows, path, self.clustered, manifest.buckets)
         return path
 
+    def batch_effects(self, batch_id: int, run_id: str = DEFAULT_RUN) -> DataFrame:
+        """One row of result counts of a batch that has been appended: what it did to the table's documents, by key."""
+        snapshot = self.snapshot()
+        rows = self._read(f"{self.root}/log/{run_id}/batch_id={batch_id}").filter(F.col("status") == GOOD)
+        keys = rows.select("key").distinct()
+        return effect_counts(keys, snapshot.digests(keys, before=(run_id, batch_id)), snapshot.digests(keys))
+
+    def copy_effects(self, base: str, before: Snapshot) -> DataFrame:
+        """The same of a copy that has been made visible, against the table as it was."""
+        keys = self._read(self.base_path(base)).filter(F.col("status") == GOOD).select("key").distinct()
+        return effect_counts(keys, before.digests(keys), self.snapshot().digests(keys))
+
     def delete(
         self, keys: DataFrame, batch_id: int, seq_key: Column | str, run_id: str = DEFAULT_RUN
     ) -> str:

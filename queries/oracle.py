@@ -207,4 +207,10 @@ UNION ALL SELECT c_custkey, NULL, 'restored', c_acctbal, c_name FROM customer"""
 SELECT user_id, event_id, event_type, value, props FROM ({LATEST}) WHERE user_id IN (SELECT c_custkey FROM customer)""",
     "stream_apply": LATEST,
     "live_bootstrap": LATEST,
+    "live_drop_counts": f"""
+SELECT count(*) AS read, count(*) FILTER (event_id % 9 <> 0 AND ts < {START}) AS older,
+       count(*) FILTER (event_id % 9 = 0) AS untimed,
+       count(*) FILTER (event_id % 9 <> 0 AND ts >= {START} AND event_id % 7 = 0) AS skipped
+FROM events""",
 }
+ORACLE["stream_counts"] = ORACLE["bulk_counts"]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from itemflow.operators.convert import good
-from itemflow.operators.latest import latest_per_key, live, write_counts
+from itemflow.operators.latest import EFFECTS, latest_per_key, live, write_counts
 from itemflow.operators.route import operation_counts, to_operations
 from itemflow.plans.jobs import dry_run, migrate, open_pair, replicate, status
 from itemflow.plans.ledger import Ledger
@@ -272,6 +272,36 @@ def stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_state(target.current())
 
 
+def live_drop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream leaves out, told by its ledger: every ninth record has no time, every seventh is of an unknown kind."""
+    raw = event_changes(spark, sf_dir)
+    seq = F.regexp_extract("raw", '"SequenceNumber":"([0-9]+)"', 1).cast("bigint")
+    damaged = (
+        F.when(seq % 9 == 0, F.replace("raw", F.lit("ApproximateCreationDateTime"), F.lit("Unknown")))
+        .when(seq % 7 == 0, F.regexp_replace("raw", '"eventName":"[A-Z]+"', '"eventName":"OTHER"'))
+        .otherwise(F.col("raw"))
+    )
+    folder = staged(spark, raw.select(damaged.alias("raw")), "dropping-changes", 6)
+    target, ledger = document_table(spark, "dropping"), Ledger(spark, work_folder(spark, "ledger"))
+    follow(spark, folder, target, ledger, USERS, "main", "users", START_TIME, STOP_WHEN_READ, max_files=2).awaitTermination()
+    return ledger.results("users").select("read", "older", "untimed", "skipped")
+
+
+def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a batch of a stream does to the documents that earlier batches left, told by its ledger."""
+    events = table(spark, sf_dir, "events")
+    folder = work_folder(spark, "changes")
+    target, ledger = document_table(spark, "counted"), Ledger(spark, work_folder(spark, "ledger"))
+    for late in (False, True):
+        part = events.filter((F.col("ts") >= F.lit(START).cast("timestamp_ntz")) == F.lit(late))
+        change_lines(part).write.text(f"{folder}/late={late}")
+        follow(
+            spark, folder, target, ledger, USERS, "main", "users", None, STOP_WHEN_READ, max_files=1000, result_counts=late
+        ).awaitTermination()
+        target.compact()
+    return ledger.results("users").select(*EFFECTS)
+
+
 def live_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copy the state at the start time, then follow the log from there."""
     events = table(spark, sf_dir, "events")
@@ -316,4 +346,6 @@ QUERIES = {
     "table_lookup": table_lookup,
     "stream_apply": stream_apply,
     "live_bootstrap": live_bootstrap,
+    "live_drop_counts": live_drop_counts,
+    "stream_counts": stream_counts,
 }
