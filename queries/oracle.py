@@ -213,4 +213,19 @@ SELECT count(*) AS read, count(*) FILTER (event_id % 9 <> 0 AND ts < {START}) AS
        count(*) FILTER (event_id % 9 <> 0 AND ts >= {START} AND event_id % 7 = 0) AS skipped
 FROM events""",
 }
+ORACLE["replicate_from"] = f"""
+SELECT position, event_id, CASE event_type WHEN 'error' THEN 'DELETE' ELSE 'UPSERT' END AS op FROM (
+  SELECT *, row_number() OVER (PARTITION BY position, user_id ORDER BY event_id DESC) AS rn
+  FROM events JOIN (SELECT unnest(['at', 'after', 'time', 'newest']) AS position)
+    ON CASE position WHEN 'at' THEN event_id >= 777 WHEN 'after' THEN event_id > 777 WHEN 'time' THEN ts >= {START} ELSE false END)
+WHERE rn = 1"""
+ORACLE["trimmed_log"] = """
+SELECT 'shard-' || user_id % 4 AS shard_id, count(*) AS records, min(event_id) AS first_seq, max(event_id) AS last_seq, true AS files_gone
+FROM events WHERE event_id % 4 = 2 GROUP BY 1"""
+ORACLE["shard_lineage"] = """
+WITH RECURSIVE u AS (SELECT DISTINCT user_id AS u FROM events),
+e AS (SELECT u AS child, u // 2 AS parent FROM u WHERE u > 1 UNION SELECT u, u // 3 FROM u WHERE u % 3 = 0),
+k AS (SELECT child, parent FROM e SEMI JOIN u ON u.u = e.parent),
+g AS (SELECT u AS shard, 0 AS depth FROM u UNION SELECT k.child, depth + 1 FROM g JOIN k ON k.parent = g.shard WHERE k.child <> k.parent)
+SELECT 's' || shard AS shard_id, CAST(max(depth) AS BIGINT) AS generation FROM g WHERE shard <> 0 GROUP BY 1"""
 ORACLE["stream_counts"] = ORACLE["bulk_counts"]

@@ -15,7 +15,8 @@ from itemflow.plans.jobs import dry_run, migrate, open_pair, replicate, status
 from itemflow.plans.ledger import Ledger
 from itemflow.plans.pair import Mapping, Pair, RunSettings
 from itemflow.session import work_folder
-from itemflow.sources.changes import from_sequence, list_shards, parse_changes, since, since_counts
+from itemflow.sinks.manifest import remove
+from itemflow.sources.changes import changes_from, from_sequence, list_shards, parse_changes, seek_index, shard_order, since, since_counts, trimmed_records
 from itemflow.streaming.live import change_operations, follow
 from queries.batch import ORDERS, bad_dates, flat_orders
 from queries.inputs import (
@@ -287,6 +288,46 @@ def live_drop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.results("users").select("read", "older", "untimed", "skipped")
 
 
+def replicate_from(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest change of each user, from four start positions of one indexed log."""
+    events = table(spark, sf_dir, "events").repartitionByRange(8, "event_id")
+    folder = work_folder(spark, "sought")
+    change_lines(events).write.text(folder)
+    index = seek_index(spark, folder)
+    parts = {
+        "at": changes_from(spark, index, at="777"), "after": changes_from(spark, index, after="777"),
+        "time": changes_from(spark, index, start=START_TIME), "newest": changes_from(spark, index, newest=True),
+    }
+    found = None
+    for name, changes in parts.items():
+        state = latest_per_key(good(to_operations(changes, USERS)))
+        one = state.select(F.lit(name).alias("position"), F.col("seq_key").cast("bigint").alias("event_id"), "op")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+def trimmed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of an indexed log is taken away before it is read: which shards lack how many records, and from where to where."""
+    events = table(spark, sf_dir, "events")
+    folder = work_folder(spark, "trimmed")
+    for n in range(4):
+        change_lines(events.filter(F.col("event_id") % 4 == n)).write.text(f"{folder}/part={n}")
+    index = work_folder(spark, "seek-index")
+    seek_index(spark, folder).write.parquet(index)
+    remove(spark, [f"{folder}/part=2"])
+    lost = trimmed_records(spark, folder, spark.read.parquet(index))
+    ends = [F.col(c).cast("bigint").alias(c.replace("_key", "")) for c in ("first_seq_key", "last_seq_key")]
+    return lost.select("shard_id", "records", *ends, (F.col("files") > 0).alias("files_gone"))
+
+
+def shard_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users as shards: each is split from the one of half its number, and every third is merged from two."""
+    users = table(spark, sf_dir, "events").select(F.col("user_id").alias("u")).distinct()
+    half = users.select(F.concat(F.lit("s"), F.col("u")).alias("shard_id"), F.when(F.col("u") > 1, F.concat(F.lit("s"), F.expr("u DIV 2"))).alias("parent_id"))
+    merged = users.filter("u % 3 = 0").select(F.concat(F.lit("s"), F.col("u")).alias("shard_id"), F.concat(F.lit("s"), F.expr("u DIV 3")).alias("parent_id"))
+    return shard_order(half.unionByName(merged))
+
+
 def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a batch of a stream does to the documents that earlier batches left, told by its ledger."""
     events = table(spark, sf_dir, "events")
@@ -348,4 +389,7 @@ QUERIES = {
     "live_bootstrap": live_bootstrap,
     "live_drop_counts": live_drop_counts,
     "stream_counts": stream_counts,
+    "replicate_from": replicate_from,
+    "shard_lineage": shard_lineage,
+    "trimmed_log": trimmed_log,
 }

@@ -5,12 +5,13 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from test_replication import ops_frame, state
+from test_replication import T0, ops_frame, record, state, write_lines
 
 from itemflow import DocTable
 from itemflow.functions.keys import bucket_of
 from itemflow.session import work_folder
-from itemflow.sinks.manifest import existing
+from itemflow.sinks.manifest import existing, remove
+from itemflow.sources.changes import changes_from, seek_index, shard_order, trimmed_records
 
 LATER = dt.datetime(2999, 1, 1, tzinfo=dt.timezone.utc)
 
@@ -155,8 +156,6 @@ def test_a_batch_still_being_written_stays_in_the_log(spark):
     table = new_table(spark)
     table.append_batch(ops_frame(spark, [("UPSERT", "s:a", 1, 1)]), 0)
     open_batch = table.append_batch(ops_frame(spark, [("UPSERT", "s:b", 2, 2)]), 1)
-    from itemflow.sinks.manifest import remove
-
     remove(spark, [f"{open_batch}/_SUCCESS"])
     table.append_batch(ops_frame(spark, [("UPSERT", "s:c", 3, 3)]), 2)
     table.compact()
@@ -188,3 +187,44 @@ def test_keys_are_found_by_bloom_filters_of_the_files(spark):
         plain = f.read()
     assert metadata.serialized_size < len(plain) and b"key" in plain
     assert table.lookup(["s:none"]).collect() == []
+
+
+def test_a_log_is_read_from_a_position_without_opening_what_lies_before(spark):
+    folder = work_folder(spark, "log")
+    for n in range(4):
+        write_lines(spark, f"{folder}/f{n}", [record("INSERT", 10 * n + i, f"u{i}", i, ts=10 * n + i) for i in range(10)])
+    seek_index(spark, folder).write.parquet(f"{folder}-index")
+    index = spark.read.parquet(f"{folder}-index")
+    assert [r.records for r in index.orderBy("first_seq_key").collect()] == [10] * 4
+    remove(spark, [f"{folder}/f0", f"{folder}/f1"])
+
+    def seen(**position):
+        return sorted(int(r.seq) for r in changes_from(spark, index, **position).collect())
+
+    assert seen(at="25") == [*range(25, 40)] and seen(after="29") == [*range(30, 40)] and seen(newest=True) == []
+    assert seen(start=T0 + dt.timedelta(seconds=33)) == [*range(33, 40)] and seen(after="99") == []
+    write_lines(spark, f"{folder}/f4", [record("INSERT", 40, "u", 1, ts=40)])
+    grown = seek_index(spark, folder, index)
+    assert grown.count() == 5 and sorted(int(r.seq) for r in changes_from(spark, grown, after="38").collect()) == [39, 40]
+    lost = trimmed_records(spark, folder, index, applied="9").collect()
+    assert [(r.files, r.records, int(r.first_seq_key), int(r.last_seq_key)) for r in lost] == [(1, 10, 10, 19)]
+
+
+def test_shards_come_after_all_their_parents(spark):
+    rows = [("a", None), ("b", "a"), ("c", "a"), ("d", "b"), ("d", "c"), ("d", "x"), ("e", "d"), ("e", "a"), ("l", "l"), ("m", "l")]
+    got = shard_order(spark.createDataFrame(rows, "shard_id string, parent_id string")).collect()
+    assert {r.shard_id: r.generation for r in got} == {"a": 0, "b": 1, "c": 1, "d": 2, "e": 3}
+
+
+def test_result_counts_of_copies_and_batches(spark):
+    table = new_table(spark)
+    copy(table, spark, "p1", {"s:a": 1, "s:b": 2, "s:c": 3})
+    before = table.snapshot()
+    copy(table, spark, "p2", {"s:a": 1, "s:b": 9, "s:n": 4})
+    counts = table.copy_effects("p2", before).first().asDict()
+    assert counts == {"inserted": 0, "upserted": 1, "modified": 1, "unchanged": 1, "deleted": 0, "not_found": 0}
+    ops = [("DELETE", "s:a", 1, 0), ("DELETE", "s:q", 2, 0), ("UPSERT", "s:c", 3, 7), ("UPSERT", None, 4, 7)]
+    for _ in range(2):  # a replay counts the same
+        table.append_batch(ops_frame(spark, ops), 0, "p2")
+        counts = table.batch_effects(0, "p2").first().asDict()
+        assert counts == {"inserted": 1, "upserted": 0, "modified": 1, "unchanged": 0, "deleted": 1, "not_found": 1}
