@@ -206,8 +206,18 @@ def typed_documents(lines: DataFrame, schema: str | T.StructType, mapping: Mappi
 
 
 def _renamed(value: Column, dtype: T.DataType, naming: str) -> Column:
-    if naming == "preserve" or not isinstance(dtype, T.StructType):
+    """A typed value with the names of its structs and maps renamed, at any depth of its schema."""
+    if naming == "preserve" or not _has_names(dtype):
         return value
+    if isinstance(dtype, T.ArrayType):
+        return F.transform(value, lambda v: _renamed(v, dtype.elementType, naming))
+    if isinstance(dtype, T.MapType):
+        inner = F.transform_values(value, lambda _, v: _renamed(v, dtype.valueType, naming))
+        # Of names that meet the last in source order stays, as in documents.
+        pairs = F.array_sort(F.map_entries(inner), lambda a, b: F.when(a["key"] < b["key"], -1).otherwise(1))
+        named = F.transform(pairs, lambda e: F.struct(_name_of(e["key"], naming).alias("key"), e["value"].alias("value")))
+        last = F.filter(named, lambda e, i: ~F.exists(F.slice(named, i + 2, F.size(named)), lambda later: later["key"] == e["key"]))
+        return F.when(value.isNotNull(), F.map_from_entries(last))
     fields = [
         _renamed(value[f.name], f.dataType, naming).alias(rename_text(f.name, naming))
         for f in dtype.fields
@@ -215,6 +225,21 @@ def _renamed(value: Column, dtype: T.DataType, naming: str) -> Column:
     return F.when(value.isNotNull(), F.struct(*fields))
 
 
+def _has_names(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _has_names(dtype.elementType)
+    return isinstance(dtype, (T.StructType, T.MapType))
+
+
+def _name_of(key: Column, naming: str) -> Column:
+    """The rule of ``functions/naming`` as a Column over a map's keys."""
+    if naming == "snake_case":
+        return F.lower(F.regexp_replace(key, r"(?s)(?<=.)([A-Z])", "_$1"))
+    parts = F.split(key, "_", -1)
+    raised = F.transform(F.slice(parts, 2, F.size(parts)), lambda p: F.concat(F.upper(F.left(p, F.lit(1))), F.substr(p, F.lit(2))))
+    return F.concat(parts[0], F.array_join(raised, ""))
+
+
 def good(rows: DataFrame) -> DataFrame:
     return rows.filter(F.col("status") == GOOD).drop("status", "raw", "field", "reason")
 

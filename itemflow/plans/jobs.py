@@ -59,6 +59,19 @@ def _run_all(
     return results, errors
 
 
+def _in_pool(spark: SparkSession, name: str, task: Callable[[], object]) -> Callable[[], object]:
+    """Jobs of a pair in a scheduler pool of its own: under ``spark.scheduler.mode=FAIR`` a large pair does not hold up small ones."""
+
+    def run() -> object:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        try:
+            return task()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    return run
+
+
 def documents(
     spark: SparkSession, pair: Pair, segments: int | None = None, segment: int | None = None
 ) -> DataFrame:
@@ -178,7 +191,7 @@ def migrate_all(
     """Migrate several pairs at once; every pair runs, then all failures are raised together."""
     chosen = select_pairs(check_pairs(pairs), names)
     size = settings or RunSettings()
-    tasks = {p.name: (lambda p=p: migrate(spark, p, resume, settings)) for p in chosen}
+    tasks = {p.name: _in_pool(spark, p.name, lambda p=p: migrate(spark, p, resume, settings)) for p in chosen}
     results, errors = _run_all(spark, tasks, size.max_concurrent_pairs)
     if errors:
         raise JobError("migration of pairs", errors)
@@ -196,7 +209,7 @@ def replicate_all(
     """Start several live pairs; a pair that fails to start leaves the others running."""
     chosen = select_pairs(check_pairs(pairs), names)
     size = settings or RunSettings()
-    tasks = {p.name: (lambda p=p: replicate(spark, p, trigger, settings, start)) for p in chosen}
+    tasks = {p.name: _in_pool(spark, p.name, lambda p=p: replicate(spark, p, trigger, settings, start)) for p in chosen}
     return _run_all(spark, tasks, size.max_concurrent_pairs)
 
 

@@ -54,6 +54,19 @@ def migrate_orders_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def typed_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed columns with names to change inside arrays, maps and structs of them."""
+    inner = F.struct(F.col("o_custkey").alias("custKey"), F.array(F.struct(F.col("o_orderpriority").alias("orderPriority"))).alias("someTags"))
+    source = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("orderKey"), F.array(inner, inner).alias("orderLines"),
+        F.create_map(F.lit("firstOne"), inner, F.lit("first_one"), inner, F.lit("zLast"), inner).alias("byName"),
+    )
+    element = "struct<custKey: bigint, someTags: array<struct<orderPriority: string>>>"
+    schema = f"orderKey bigint, orderLines array<{element}>, byName map<string, {element}>"
+    docs = typed_documents(lines_of(source), schema, Mapping(key_source="orderKey", naming="snake_case"))
+    return docs.select("_id", F.to_json("order_lines").alias("order_lines"), F.to_json("by_name").alias("by_name"), "misfits")
+
+
 def migrate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts through encode, decode and mapping."""
     source = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
@@ -419,6 +432,7 @@ def state_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "migrate_orders": migrate_orders,
     "migrate_orders_typed": migrate_orders_typed,
+    "typed_nested": typed_nested,
     "project_deep": project_deep,
     "decode_both_ways": decode_both_ways,
     "round_trip_deep": round_trip_deep,

@@ -33,6 +33,10 @@ SELECT o_orderkey AS id,
        CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey END AS leaf,
        CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey % 6 END AS levels
 FROM orders""",
+    "typed_nested": """
+SELECT o_orderkey AS _id, '[' || x || ',' || x || ']' AS order_lines,
+       '{"first_one":' || x || ',"z_last":' || x || '}' AS by_name, '' AS misfits
+FROM (SELECT o_orderkey, '{"cust_key":' || o_custkey || ',"some_tags":[{"order_priority":"' || o_orderpriority || '"}]}' AS x FROM orders)""",
     "project_deep": """
 SELECT o_orderkey AS _id, 'good' AS status, CAST(2 AS BIGINT) AS fields, o_custkey AS leaf, o_orderkey % 7 AS levels FROM orders""",
     "decode_both_ways": """
@@ -184,6 +188,10 @@ SELECT 'status' AS pair, 'migrate' AS mode, count(*) AS processed,
        count(*) FILTER (o_orderkey % 13 <> 0 AND o_orderkey % 11 <> 0) AS documents,
        CAST(100 AS DOUBLE) AS percent, false AS stream_enabled
 FROM orders""",
+    "many_pairs": """
+SELECT 'orders' AS pair, count(*) AS processed, count(*) AS documents, CAST(NULL AS VARCHAR) AS source_error, false AS failed FROM orders
+UNION ALL SELECT 'customers', count(*), count(*), NULL, false FROM customer
+UNION ALL SELECT 'lost', 0, 0, 'not found', true""",
     "dry_run": """
 SELECT 'dry' AS pair, 'source' AS "check", true AS ok,
        count(*) FILTER (o_orderkey % 13 <> 0 AND o_orderkey % 11 <> 0) || ' documents, ' ||

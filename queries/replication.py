@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from itemflow.operators.convert import good
 from itemflow.operators.latest import EFFECTS, latest_per_key, live, write_counts
 from itemflow.operators.route import operation_counts, to_operations
-from itemflow.plans.jobs import dry_run, migrate, open_pair, replicate, status
+from itemflow.plans.jobs import JobError, dry_run, migrate, migrate_all, open_pair, replicate, status
 from itemflow.plans.ledger import Ledger
 from itemflow.plans.pair import Mapping, Pair, RunSettings
 from itemflow.session import work_folder
@@ -198,6 +198,20 @@ def pair_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def many_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three pairs at once, one without a source: the others are copied, and all failures are told together."""
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("orderKey"), F.col("c_name").alias("name"))
+    pairs = [order_pair(spark, sf_dir, "orders"), order_pair(spark, sf_dir, "customers", lines_of(customers))]
+    pairs.append(replace(pairs[0], name="lost", source=work_folder(spark, "nowhere"), target_root=work_folder(spark, "lost")))
+    failed: list[str] = []
+    try:
+        migrate_all(spark, pairs, settings=RunSettings(max_concurrent_pairs=3))
+    except JobError as error:
+        failed = list(error.errors)
+    rows = status(spark, pairs).select("pair", "processed", "documents", "source_error")
+    return rows.withColumn("failed", F.col("pair").isin(failed))
+
+
 def dry_run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dry_run(spark, [order_pair(spark, sf_dir, "dry", bad_dates(spark, sf_dir))])
 
@@ -379,6 +393,7 @@ QUERIES = {
     "resume_segments": resume_segments,
     "scan_segments": scan_segments,
     "pair_status": pair_status,
+    "many_pairs": many_pairs,
     "dry_run": dry_run_report,
     "table_quarantine": table_quarantine,
     "compacted_table": compacted_table,
