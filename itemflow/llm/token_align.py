@@ -237,10 +237,20 @@ class Block:
         ]
         cells = [pa.array([block], pa.int64()), *[pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]]
         packed = [windows, counts, of, np.concatenate([none, *self.times])]
-        cells += [pa.array([p.astype("<u4").tobytes()], pa.binary()) for p in packed]
+        cells += [pa.array([_packed(p)], pa.binary()) for p in packed]
         return pa.RecordBatch.from_arrays(cells, COLUMNS)
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers in as many bytes each as the largest needs, 1, 2 or 4; the first byte tells."""
+    width = next(w for w in (1, 2, 4) if not len(values) or int(values.max()) < 1 << 8 * w)
+    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+
+
 def _flat(lists: list[list[int]]) -> np.ndarray:
     return np.fromiter(chain.from_iterable(lists), np.int64, sum(map(len, lists)))
 
@@ -293,8 +303,7 @@ class Alignment:
             at = counts.column("at").to_numpy()
             documents, best = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
             documents[at], best[at] = counts.column("documents").to_numpy(), counts.column("best").to_numpy(zero_copy_only=False)
-            unpacked = [np.frombuffer(row[c].as_py(), "<u4").astype(np.int64) for c in COLUMNS[-4:]]
-            windows, window_pairs, of, times = unpacked
+            windows, window_pairs, of, times = (_unpacked(row[c].as_py()) for c in COLUMNS[-4:])
             n_windows = np.asarray(row["n_windows"].values)
             sums = [_sums(_sums(times * v[of], window_pairs)[windows], n_windows) for v in (best, documents)]
             plain = [row[c].values for c in ("keys", "n_a", "n_b", "n_groups", "n_links")]
@@ -333,7 +342,7 @@ def align_documents(
         block = Block(pair, keep_groups)
         for batch in batches:
             column = batch.column(1)
-            for texts in textpack.pieces(column):
+            for texts in textpack.pieces(column, textpack.PIECE // 2):
                 if block.bytes and block.bytes + len(texts.buf) > block_bytes:
                     yield block.row(number)
                     number, block = number + 1, Block(pair, keep_groups)

@@ -53,7 +53,20 @@ def test_stages_keep_the_columns_of_documents(spark, sf_dir):
 
 def test_every_operator_is_registered():
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in __spark_entry__.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in __spark_entry__.queries()
+
+
+#: Tests of the queries that SQL cannot express: brute force, the libraries, round trips or held-out accuracy.
+TESTED_BY = {
+    "op1_sharding": "test_models.py", "op4_language_id": "test_models.py", "op9_toxicity": "test_models.py", "op10_url_rules": "test_models.py",
+    "op5_sentencepiece": "test_texts.py", "op7_token_counts": "test_texts.py", "op6_line_dedup": "test_joins.py", "op8_jaccard_join": "test_joins.py",
+    "op12_token_files": "test_tokens_manifest.py", "op13_token_align": "test_tokens_manifest.py", "pipeline": "test_pipeline.py",
+}
+
+
+def test_every_query_has_sql_or_a_test_of_its_own():
+    own = {n for n in __spark_entry__.queries() if n.startswith("op") or n == "pipeline"} - set(__spark_entry__.oracle_sql())
+    assert own == set(TESTED_BY)
 
 
 def test_copies_with_short_lines_leave_no_fragment(spark):

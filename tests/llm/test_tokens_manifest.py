@@ -20,7 +20,7 @@ from itemflow.llm.token_files import Grammar, compress, read_token_files, write_
 ODD = [
     None, "", " ", "a", "a", "\n\n x  y\tz ", "don't STOP 123 4① ①", "é İx Σς ﬁ", "<|endoftext|> a<|endoftext|>b <s> </s>",
     "日本語のテキスト。", "▁x ▁▁", "\x00\x01 ‍😀👩‍👩‍👧", "ab" * 30_000, "word " * 20_000, "  　x", "aaaa " * 50,
-]
+]
 
 
 def sha(text):
