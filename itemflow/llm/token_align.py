@@ -68,9 +68,12 @@ class Pair:
         by_id = {i: bytes(letters[c] for c in t) if set(t) <= letters.keys() else t.encode() for i, t in by_id.items()}
         self.a = Tokens([by_id.get(i, b"") for i in range(max(by_id, default=-1) + 1)])
         self.b = Tokens([self._piece(i) for i in range(self.second.get_piece_size())])
+        #: Ids in decimal: a row of digits for each, room for a sign behind them, and which of a row counts.
         texts = [str(i).encode() for i in range(max(len(self.a.size), len(self.b.size)))]
-        width = np.array([len(t) for t in texts], np.int64)
-        self.digits = np.frombuffer(b"".join(texts), np.uint8), np.cumsum(width) - width, width
+        most = max(map(len, texts), default=0) + 1
+        self.width = np.array([len(t) for t in texts], np.int64)
+        self.digits = np.frombuffer(b"".join(t.ljust(most) for t in texts), np.uint8).reshape(-1, most)
+        self.written = np.arange(most) <= self.width[:, None]
 
     def _piece(self, i: int) -> bytes:
         piece = self.second.id_to_piece(i)
@@ -211,12 +214,11 @@ class Block:
         ids[spread(start + in_a, in_b)] = b
         between[start + in_a - 1] = ord("|")
         between[start + size - 1] = ord(";")
-        digits, first, width = self.pair.digits
-        wide = width[ids] + 1
-        end = np.cumsum(wide)
-        text = np.empty(int(end[-1]) if total else 0, np.uint8)
-        text[spread(end - wide, width[ids])] = digits[spread(first[ids], width[ids])]
-        text[end - 1] = between
+        width = self.pair.width[ids]
+        rows = self.pair.digits[ids]
+        rows[np.arange(total), width] = between
+        text = rows[self.pair.written[ids]]
+        end = np.cumsum(width + 1)
         ends = np.concatenate([[0], end])[np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(groups_of)])]].tolist()
         whole = text.tobytes()
         for low, high in zip(ends, ends[1:]):
