@@ -49,8 +49,8 @@ def jaccard_components(
     def sets(keep: NodeFilter) -> DataFrame:
         return _kept_sets(source, order, size, keep)
 
-    entries = rare.select(F.explode("items").alias("key"), "node", "n")
-    labels = components(entries, sets, percent, "jaccard", SPARE)
+    entries = rare.select(F.explode("items").alias("key"), "node")
+    labels = components(entries, rare.select("node", "n"), sets, percent, "jaccard", SPARE)
     known = seen.where("counts IS NULL")
     known = known.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = known.groupBy("component").agg(F.min("id").alias("component_id")).where("component IS NOT NULL")

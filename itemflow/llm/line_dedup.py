@@ -1,7 +1,7 @@
 """Lines that nearly repeat: MinHash over character shingles, exact check, one line of each group stays.
 
-Lines with the same text are one node, however short. Signatures and bands come from the same scan; a task
-sends each different line once. Bands that
+Lines with the same text are one node. Signatures and bands come from the same scan; a task
+signs each different line once, unless it is shorter than a shingle: such lines are the same or share nothing. Bands that
 several lines share go to ``setlinks``, which checks exact Jaccard similarity and joins the links.
 With 7 bands of 3 rows a pair of similarity 0.8 meets in a band with probability 0.993, one of
 0.9 with 0.9999, one of 0.2 with 0.05.
@@ -23,7 +23,7 @@ from itemflow.llm.scratch import stored
 from itemflow.llm.setlinks import NodeFilter, components
 
 PERCENT, SHINGLE, BANDS, ROWS, MIN_WORDS = 80, 8, 7, 3, 5
-#: A line of fewer words is compared by similarity if it has so many characters: in a shorter one any changed character goes below 0.8.
+#: A line of so many words or characters is long: what documents keep of short lines alone is a fragment.
 MIN_CHARS = 16
 _SEEN = 1 << 20
 
@@ -36,8 +36,7 @@ def line_groups(
 
     Lines are the parts between ``\n``, counted from 0; they are compared without white space at their
     ends and with A-Z lower-cased, as sets of ``size`` characters, a shorter line as one shingle.
-    Lines of similarity ``percent`` or more are linked; those with fewer than ``min_words`` words and fewer than
-    ``min_chars`` characters only if they are equal. Of all lines that links reach the first, by id
+    Lines of similarity ``percent`` or more are linked, short ones too. Of all lines that links reach the first, by id
     and line number, stays. Lines without words, null texts and rows without id have no rows here. Rows
     with one id are one document: their lines stay or go together.
     """
@@ -56,10 +55,11 @@ def _joined_lines(
     lines = stored(_signed_lines(source, docs.schema[id_col].dataType, size, bands, rows, min_words, min_chars), "lines")
 
     def sets(keep: NodeFilter) -> DataFrame:
-        return _kept_lines(source, min_words, min_chars, keep)
+        return _kept_lines(source, size, keep)
 
-    entries = lines.where("bands IS NOT NULL").select(F.explode("bands").alias("key"), "node", "n")
-    labels = components(entries, sets, percent, "lines", unpack=lambda line: _line_set(line, size))
+    signed = lines.where("bands IS NOT NULL")
+    entries = signed.select(F.explode("bands").alias("key"), "node")
+    labels = components(entries, signed.select("node", "n"), sets, percent, "lines", unpack=lambda column: _line_sets(column, size))
     joined = lines.select("id", "line_no", "words", "long", "node").join(labels, "node", "left")
     return joined.select("id", "line_no", "words", "long", F.coalesce("component", "node").alias("component"))
 
@@ -89,7 +89,7 @@ def dedup_documents(
     """``dedup_lines`` without the documents of which it leaves a fragment.
 
     A document that loses lines is a fragment if fewer than ``min_left`` words stay, or if less than half of its words
-    do and no line among them is long enough to be compared by similarity. A line that would have stayed in a fragment
+    do and no line among them has ``min_words`` words or ``min_chars`` characters. A line that would have stayed in a fragment
     stays in the next document that has it and is none.
     """
     joined = stored(_joined_lines(docs, percent, size, id_col=id_col, text_col=text_col, **how), "line-components")
@@ -128,8 +128,8 @@ def _without(texts: pd.Series, gone: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
-def _worded_lines(texts: textpack.Texts, min_words: int, min_chars: int) -> tuple[textpack.Texts, *tuple[np.ndarray, ...]]:
-    """Lower-cased texts; of every line with a word its text, number, start and end, without space at its ends, words, and whether it is long."""
+def _worded_lines(texts: textpack.Texts) -> tuple[textpack.Texts, *tuple[np.ndarray, ...]]:
+    """Lower-cased texts; of every line with a word its text, number, start and end, without space at its ends, words and characters."""
     texts = texts.lowered()
     lines, words = texts.lines(), texts.runs(textpack.NOT_SPACE)
     low, high = np.searchsorted(words.start, lines.start), np.searchsorted(words.start, lines.end)
@@ -137,9 +137,7 @@ def _worded_lines(texts: textpack.Texts, min_words: int, min_chars: int) -> tupl
     number = np.arange(len(lines)) - lines.first[lines.text]
     start, end = words.start[low[some]], words.end[high[some] - 1]
     chars = np.concatenate([[0], np.cumsum((texts.buf & 0xC0) != 0x80)])
-    count = (high - low)[some]
-    long = (count >= min_words) | (chars[end] - chars[start] >= min_chars)
-    return texts, lines.text[some], number[some], start, end, count, long
+    return texts, lines.text[some], number[some], start, end, (high - low)[some], chars[end] - chars[start]
 
 
 def _line_shingles(texts: textpack.Texts, hasher: textpack.Hasher, start: np.ndarray, end: np.ndarray, size: int):
@@ -153,9 +151,24 @@ def _line_shingles(texts: textpack.Texts, hasher: textpack.Hasher, start: np.nda
     return hasher(chars[at], chars[stop]), first
 
 
-def _line_set(line: bytes, size: int) -> np.ndarray:
-    texts = textpack.Texts(np.frombuffer(line, np.uint8), np.array([0]), np.array([len(line)]), 0)
-    return textpack.signed(np.unique(_line_shingles(texts, texts.hasher(), texts.starts, texts.ends, size)[0]))
+def _line_sets(lines: pa.Array, size: int) -> list[np.ndarray]:
+    """The shingle sets of a column of lines."""
+    sets: list[np.ndarray] = []
+    for texts in textpack.pieces(lines):
+        values, first = _line_shingles(texts, texts.hasher(), texts.starts, texts.ends, size)
+        values, first = textpack.distinct(values, np.repeat(np.arange(len(texts)), np.diff(first)), len(texts))
+        sets += np.split(textpack.signed(values), first[1:-1])
+    return sets
+
+
+def _set_sizes(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """How many different values each line has, told apart by as many bits as fit beside the line's number."""
+    n = len(first) - 1
+    bits = np.uint64(n.bit_length())
+    tagged = (np.repeat(np.arange(n, dtype=np.uint64), np.diff(first)) << (np.uint64(64) - bits)) | (values >> bits)
+    tagged.sort()
+    new = np.append(True, tagged[1:] != tagged[:-1])
+    return np.add.reduceat(new, first[:-1]).astype(np.int32)
 
 
 def _signed_lines(source: DataFrame, id_type: T.DataType, size: int, bands: int, rows: int, min_words: int, min_chars: int) -> DataFrame:
@@ -167,20 +180,21 @@ def _signed_lines(source: DataFrame, id_type: T.DataType, size: int, bands: int,
         done: set[int] = set()
         for batch in batches:
             for texts in textpack.pieces(batch.column(1)):
-                texts, text, number, start, end, count, long = _worded_lines(texts, min_words, min_chars)
+                texts, text, number, start, end, count, chars = _worded_lines(texts)
                 if not len(text):
                     continue
                 hasher = texts.hasher()
                 node = textpack.signed(hasher(start, end))
                 new = np.zeros(len(node), bool)
-                for i in np.flatnonzero(long).tolist():
+                for i in np.flatnonzero(chars >= size).tolist():
                     if (x := int(node[i])) not in done:
                         new[i] = True
                         if len(done) < _SEEN:
                             done.add(x)
-                keys = np.zeros((len(node), bands), np.int64)
+                keys, length = np.zeros((len(node), bands), np.int64), np.ones(len(node), np.int32)
                 if new.any():
                     values, first = _line_shingles(texts, hasher, start[new], end[new], size)
+                    length[new] = _set_sizes(values, first)
                     values = (values >> np.uint64(32)).astype(np.uint32)
                     least = [np.minimum.reduceat((values ^ flip[k]) * odd[k], first[:-1]).astype(np.uint64) for k in range(bands * rows)]
                     for b in range(bands):
@@ -190,10 +204,10 @@ def _signed_lines(source: DataFrame, id_type: T.DataType, size: int, bands: int,
                         keys[new, b] = textpack.signed(key)
                 offsets = pa.array(np.arange(len(node) + 1) * bands, pa.int32())
                 lists = pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()), mask=pa.array(~new))
-                length = pa.array((end - start).astype(np.int32))
+                long = (count >= min_words) | (chars >= min_chars)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(text + texts.row)), pa.array(number.astype(np.int32)), pa.array(count.astype(np.int32)),
-                     pa.array(long), pa.array(node), length, lists],
+                     pa.array(long), pa.array(node), pa.array(length), lists],
                     ["id", "line_no", "words", "long", "node", "n", "bands"],
                 )
 
@@ -204,13 +218,13 @@ def _signed_lines(source: DataFrame, id_type: T.DataType, size: int, bands: int,
     return source.mapInArrow(scan, T.StructType(fields))
 
 
-def _kept_lines(source: DataFrame, min_words: int, min_chars: int, keep: NodeFilter) -> DataFrame:
+def _kept_lines(source: DataFrame, size: int, keep: NodeFilter) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
         for batch in batches:
             for texts in textpack.pieces(batch.column(0)):
-                texts, _, _, start, end, _, long = _worded_lines(texts, min_words, min_chars)
-                start, end = start[long], end[long]
+                texts, _, _, start, end, _, chars = _worded_lines(texts)
+                start, end = start[chars >= size], end[chars >= size]
                 if not len(start):
                     continue
                 hasher = texts.hasher()

@@ -3,7 +3,7 @@
 A candidate list is all sets that share one key. No list is turned into all of its pairs: sets
 first meet in blocks around the smallest set of their lists, which joins nearly all that belongs
 together; only lists that then still hold several components are searched again, in blocks of
-bounded size, between their components. Every pair that shares a key and is not yet known to be
+bounded size, between their components. Every pair that shares enough keys and is not yet known to be
 connected is looked at, so the components are those of all links.
 """
 
@@ -16,7 +16,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from itemflow.llm.connect import connected
@@ -34,44 +34,39 @@ BLOOM_BITS = 24
 
 
 def components(
-    entries: DataFrame, sets: Callable[[NodeFilter], DataFrame], percent: int, name: str, spare: int = 0,
-    unpack: Callable[[bytes], np.ndarray] | None = None,
+    entries: DataFrame, sizes: DataFrame, sets: Callable[[NodeFilter], DataFrame], percent: int, name: str, spare: int = 0,
+    unpack: Callable[[pa.Array], list[np.ndarray]] | None = None,
 ) -> DataFrame:
     """``(node, component)`` of the sets that link with another one.
 
-    ``entries``: ``(key, node, n)``, the set's size as ``n``. With ``spare``, two sets that link share
-    ``1 + n div spare`` keys or more, ``n`` being the smaller one's size, else at least one. ``sets(keep)`` gives ``(node, items)`` of all nodes
-    that ``keep`` lets through, items as ``unpack`` reads them (else as ``packed`` makes them); a node may come more than once.
+    ``entries``: ``(key, node)``; ``sizes``: ``(node, n)``, the number of a set's items. Either may repeat rows. With ``spare``,
+    keys are the ``n - ceil(percent n / 100) + 1 + n div spare`` first items of each set in one order of all items, so that
+    two sets that link share ``enough`` of them; else they share at least one key. ``sets(keep)`` gives ``(node, items)`` of all nodes
+    that ``keep`` lets through, items as ``unpack`` reads a column of them (else as ``packed`` makes them); a node may come more than once.
     Two sets link when ``100 * intersection >= percent * union``.
     """
+    unpack = unpack or (lambda column: [unpacked(x.as_py()) for x in column])
     hubs = entries.groupBy("key").agg(F.min("node").alias("hub"))
-    others = entries.join(hubs, "key").where("node <> hub").select("key", "node", "n", "hub")
-    # with each set its hub, whose size stands in its entries under other hubs
-    both = F.array(F.struct("node", "n"), F.struct(F.col("hub").alias("node"), F.expr("CAST(NULL AS INT)").alias("n")))
-    shared = others.select("key", F.explode(both).alias("one")).select("key", "one.node", "one.n")
-    shared = stored(shared.groupBy("key", "node").agg(F.max("n").alias("n")), f"{name}-shared")
-    sizes = shared.groupBy("node").agg(F.max("n").alias("n"), F.count("*").alias("keys"))
+    others = entries.join(hubs, "key").where("node <> hub").select("key", "node", "hub")
+    shared = others.select("key", F.explode(F.array("node", "hub")).alias("node")).distinct()
+    shared = stored(shared, f"{name}-shared")
     least = f"1 + ((n * {percent} + 99) div 100) div {spare}" if spare else "1"
-    able = sizes.where(f"n IS NOT NULL AND keys >= {least}").select("node", "n")
-    able = able.unionByName(sizes.where("n IS NULL").select("node", "n"))
-    members = shared.drop("n").join(able, "node")
+    able = shared.groupBy("node").agg(F.count("*").alias("keys"))
+    able = able.join(sizes.groupBy("node").agg(F.max("n").cast("long").alias("n")), "node")
+    members = shared.join(able.where(f"keys >= {least}").select("node", "n"), "node")
     hubs = members.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub <> top")
     members = stored(members.join(hubs.select("key", "hub"), "key"), f"{name}-members")
 
     forget_shuffles(members)
     nodes = members.groupBy("node").agg(F.min("hub").alias("hub"), F.max("n").alias("n"))
     items = stored(sets(NodeFilter.of(nodes.select("node"))), f"{name}-sets")
-    spread = nodes.groupBy("hub").agg(F.count("*").alias("count"), F.sum("n").alias("weight"))
-    spread = spread.select(
-        "hub", F.greatest(F.expr(f"ceil(count / {SETS})"), F.expr(f"ceil(coalesce(weight, 0) / {ITEMS})")).alias("parts")
-    )
-    dealt = nodes.select("node", "hub").join(spread, "hub")
-    dealt = stored(
-        dealt.select(F.col("hub").alias("block"), F.expr("pmod(xxhash64(node), parts)").alias("part"), "node"), f"{name}-cells"
-    )
+    spread = nodes.groupBy("hub").agg(F.count("*").alias("count"), F.sum("n").alias("weight")).select("hub", _parts().alias("parts"))
+    dealt = nodes.join(spread, "hub")
+    dealt = dealt.select(F.col("hub").alias("block"), F.expr("pmod(xxhash64(node), parts)").alias("part"), "node")
+    dealt = stored(dealt, f"{name}-cells")
     centres = dealt.select("block", "part", F.col("block").alias("node"))
     first = dealt.unionByName(centres).distinct().withColumn("component", F.col("node"))
-    links = stored(_searched(first, items, percent, unpack or unpacked), f"{name}-links")
+    links = stored(_searched(first, items, percent, unpack), f"{name}-links")
 
     forget_shuffles(members)
     labels = connected(links, f"{name}-components")
@@ -79,10 +74,15 @@ def components(
     rest = _unsettled(rest, name, least)
     if rest.isEmpty():
         return labels
-    more = _searched(_between(rest, dealt, labels, spare, name), items, percent, unpack or unpacked)
+    more = _searched(_between(rest, labels, percent, spare, name), items, percent, unpack)
     return connected(links.unionByName(stored(more, f"{name}-links")), f"{name}-components")
 
 
+def _parts() -> Column:
+    """Into how many cells of bounded size so many sets go."""
+    return F.greatest(F.expr(f"ceil(count / {SETS})"), F.expr(f"ceil(weight / {ITEMS})"))
+
+
 def _unsettled(rest: DataFrame, name: str, least: str) -> DataFrame:
     """The lists that hold more than one component, of lists with the same sets one; ``keys`` is how many it stands for.
 
@@ -95,72 +95,84 @@ def _unsettled(rest: DataFrame, name: str, least: str) -> DataFrame:
     once = lists.where("low <> high").groupBy("size", "x", "y")
     once = once.agg(F.min("key").alias("key"), F.count("*").alias("keys")).drop("x", "y")
     found = stored(rest.join(once, "key"), f"{name}-unsettled")
-    able = found.groupBy("node").agg(F.max("n").alias("n"), F.sum("keys").alias("keys"))
-    able = able.where(f"n IS NULL OR keys >= {least}").select("node")
+    able = found.groupBy("node").agg(F.max("n").alias("n"), F.sum("keys").alias("keys")).where(f"keys >= {least}").select("node")
     return stored(found.join(able, "node"), f"{name}-unsettled")
 
 
-def _between(rest: DataFrame, dealt: DataFrame, labels: DataFrame, spare: int, name: str) -> DataFrame:
-    """What is searched again: families of sets that could link, each as one block if it is small enough.
+def _enough(percent: int, spare: int) -> str:
+    """SQL: whether sets of ``n`` and ``m`` items that share ``keys`` keys could link; see ``enough``."""
+    fits = f"100 * least(n, m) >= {percent} * greatest(n, m)"
+    if not spare:
+        return fits
+    left = [f"(({x} * {percent} + 99) div 100 - 1 - {x} div {spare})" for x in "nm"]
+    both = f"((n + m) * {percent} + {99 + percent}) div {100 + percent}"
+    return f"{fits} AND keys >= {both} - greatest(0, {left[0]}, {left[1]})"
 
-    In short lists pairs that share enough keys could link; of a long list all sets could, so its first stands for it.
-    In a larger family two cells that hold such a pair or meet in a long list are searched, without the
-    sets that share too little with any other there. A cell is one block of the first search, so it needs no
-    search of its own; a pair that also meets in a long list is found there.
+
+def enough(n: np.ndarray, m: int, shared: np.ndarray, percent: int, spare: int) -> np.ndarray:
+    """Whether sets of ``n`` items that share so many keys with one of ``m`` could link with it.
+
+    Sizes must fit. Of the set whose last key comes first in the order of items, all common items that are no
+    common keys come after its keys, so there are at most as many as it has items that are no keys.
+    """
+    fits = (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (shared > 0)
+    if not spare:
+        return fits
+    left = [(x * percent + 99) // 100 - 1 - x // spare for x in (n, m)]
+    both = ((n + m) * percent + 99 + percent) // (100 + percent)
+    return fits & (shared >= both - np.maximum(0, np.maximum(*left)))
+
+
+def _between(rest: DataFrame, labels: DataFrame, percent: int, spare: int, name: str) -> DataFrame:
+    """What is searched again, as blocks of sets that could still link.
+
+    Pairs that meet in short lists and share enough keys make families: one that is small enough is a block, in
+    a larger one every set is a block with its partners. A long list is a block, or pairs of its cells.
     """
     short, long = rest.where(f"size <= {SHORT}"), rest.where(f"size > {SHORT}")
     ahead = short.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
-    pairs = short.join(ahead, "key").where("node < b AND component <> other").groupBy(F.col("node").alias("a"), "b")
-    smaller = F.expr("if(n IS NULL OR m IS NULL, NULL, least(n, m))")
-    pairs = pairs.agg(F.sum("keys").alias("keys"), F.max(smaller).alias("n"))
-    pairs = pairs.where(f"n IS NULL OR keys >= 1 + n div {spare}" if spare else "keys >= 1").select("a", "b")
-    pairs = stored(pairs, f"{name}-pairs")
-    firsts = long.groupBy("key").agg(F.min("node").alias("a"))
-    stars = long.join(firsts, "key").select("a", F.col("node").alias("b"))
-    family = connected(pairs.unionByName(stars), f"{name}-families").withColumnRenamed("component", "family")
-    sizes = rest.groupBy("node").agg(F.max("n").alias("n")).join(family, "node")
+    fits = f"100 * least(n, m) >= {percent} * greatest(n, m)"
+    pairs = short.join(ahead, "key").where(f"node < b AND component <> other AND {fits}").groupBy(F.col("node").alias("a"), "b")
+    pairs = pairs.agg(F.sum("keys").alias("keys"), F.max("n").alias("n"), F.max("m").alias("m")).where(_enough(percent, spare))
+    pairs = stored(pairs.select("a", "b", "n", "m"), f"{name}-pairs")
+    family = connected(pairs.select("a", "b"), f"{name}-families").withColumnRenamed("component", "family")
+    sizes = pairs.select(F.explode(F.expr("array(struct(a AS node, n), struct(b AS node, m AS n))")).alias("x"))
+    sizes = sizes.groupBy("x.node").agg(F.max("x.n").alias("n")).join(family, "node")
     whole = sizes.groupBy("family").agg(F.count("*").alias("count"), F.sum("n").alias("weight"))
-    fits = f"count <= {SETS} AND coalesce(weight, 0) <= {ITEMS}"
-    block = family.join(whole.where(fits).select("family"), "family")
-    block = block.select(F.col("family").alias("block"), F.lit(0).cast("long").alias("part"), "node")
-    large = family.join(whole.where(f"NOT ({fits})").select("family"), "family").select("node")
-
-    cells = dealt.select("node", F.xxhash64("block", "part").alias("cell")).join(large, "node", "left_semi")
-    cells = stored(cells, f"{name}-large")
-    pairs = pairs.join(cells.select(F.col("node").alias("a"), "cell"), "a")
-    pairs = pairs.join(cells.select(F.col("node").alias("b"), F.col("cell").alias("cell2")), "b").where("cell <> cell2")
-    ends = F.explode(F.array("a", "b")).alias("node")
-    short = pairs.select(F.least("cell", "cell2").alias("block"), F.greatest("cell", "cell2").alias("part"), ends)
-    met = long.join(cells, "node").groupBy("key", "cell")
-    met = met.agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    ahead = met.select("key", F.col("cell").alias("cell2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
-    one = (F.col("low") == F.col("high")) & (F.col("low") == F.col("low2")) & (F.col("low") == F.col("high2"))
-    two = met.join(ahead, "key").where((F.col("cell") < F.col("cell2")) & ~one).select("cell", "cell2").distinct()
-    two = two.select(F.col("cell").alias("block"), F.col("cell2").alias("part"), F.explode(F.array("cell", "cell2")).alias("cell"))
-    long = _meeting(two.join(cells, "cell").select("block", "part", "node"), rest, spare)
-    met = block.unionByName(short.unionByName(long).distinct()).join(labels, "node", "left")
+    whole = stored(family.join(whole.select("family", (_parts() == 1).alias("whole")), "family"), f"{name}-family")
+    block = whole.where("whole").select(F.col("family").alias("block"), F.lit(0).cast("long").alias("part"), "node")
+
+    split = pairs.join(whole.where("NOT whole").select(F.col("node").alias("a")), "a")
+    parts = split.groupBy("a").agg(F.count("*").alias("count"), F.sum("m").alias("weight")).select("a", _parts().alias("parts"))
+    split = split.join(parts, "a").select(F.col("a").alias("block"), F.expr("pmod(xxhash64(b), parts)").alias("part"), "a", "b")
+    split = split.select("block", "part", F.explode(F.array("a", "b")).alias("node")).distinct()
+    met = block.unionByName(split).unionByName(_meeting(long, rest, percent, spare)).join(labels, "node", "left")
     return met.select("block", "part", "node", F.coalesce("component", "node").alias("component"))
 
 
-def _meeting(blocks: DataFrame, rest: DataFrame, spare: int) -> DataFrame:
-    """The rows ``(block, part, node)`` whose set shares enough keys with one of another component in its block.
+def _meeting(long: DataFrame, rest: DataFrame, percent: int, spare: int) -> DataFrame:
+    """The rows ``(block, part, node)`` of long lists whose set shares enough keys with one of another component.
 
-    Only the keys of unsettled lists are fetched for this, a small part of a set.
+    Only the keys of unsettled lists are fetched for this, a small part of a set. Two sets are looked at in the first long list they share.
     """
-    marks = rest.groupBy("node").agg(
-        F.max("component").alias("component"), F.max("n").alias("n"),
-        F.collect_list("key").alias("keys"), F.collect_list("keys").alias("weights"),
+    lists = long.groupBy("key").agg(F.count("*").alias("count"), F.sum("n").alias("weight")).select("key", _parts().alias("parts"))
+    rows = long.select("key", "node").join(lists, "key").withColumn("own", F.expr("pmod(xxhash64(node), parts)"))
+    rows = rows.withColumn("other", F.explode(F.expr("sequence(0L, CAST(parts AS LONG) - 1)")))
+    rows = rows.select(F.col("key").alias("block"), F.expr("least(own, other) * parts + greatest(own, other)").alias("part"), "node")
+    weight = F.when(F.col("size") > SHORT, -F.col("keys")).otherwise(F.col("keys"))  # below zero: that of a long list
+    marks = rest.join(long.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
+        F.max("component").alias("component"), F.max("n").alias("n"), F.collect_list(F.struct("key", weight.cast("int").alias("weight"))).alias("keys")
     )
-    rows = blocks.join(marks, "node").select("block", "part", "node", "component", "n", "keys", "weights")
-    rows = rows.repartition("block", "part").sortWithinPartitions("block", "part", "node")
+    rows = rows.join(marks, "node").select("block", "part", "node", "component", "n", "keys")
+    rows = rows.repartition("block", "part").sortWithinPartitions("block", "part")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in whole_groups(batches, 2):
-            sizes = [None if n is None else 1 + n // spare for n in group.column("n").to_pylist()] if spare else [1] * len(group)
             keys = group.column("keys").combine_chunks()
-            weights = group.column("weights").combine_chunks().flatten().to_numpy()
+            pairs = keys.flatten()
             kept = _partnered(
-                keys.flatten().to_numpy(), np.diff(keys.offsets.to_numpy()), weights, group.column("component").to_numpy(), sizes
+                pairs.field("key").to_numpy(), np.diff(keys.offsets.to_numpy()), pairs.field("weight").to_numpy(),
+                group.column("component").to_numpy(), group.column("n").to_numpy(), group.column("block")[0].as_py(), percent, spare,
             )
             if kept.any():
                 for batch in group.select(["block", "part", "node"]).filter(pa.array(kept)).to_batches():
@@ -169,8 +181,10 @@ def _meeting(blocks: DataFrame, rest: DataFrame, spare: int) -> DataFrame:
     return rows.mapInArrow(search, "block long, part long, node long")
 
 
-def _partnered(keys: np.ndarray, counts: np.ndarray, weights: np.ndarray, component: np.ndarray, least: list[int | None]) -> np.ndarray:
-    """Which sets share enough keys, by weight, with one of another component; a set of unknown size needs one."""
+def _partnered(
+    keys: np.ndarray, counts: np.ndarray, weights: np.ndarray, component: np.ndarray, sizes: np.ndarray, block: int, percent: int, spare: int
+) -> np.ndarray:
+    """Which sets share enough keys with one of another component, and no long list before ``block``."""
     n = len(counts)
     owner = np.repeat(np.arange(n), counts)
     order = np.argsort(keys, kind="stable")
@@ -181,19 +195,30 @@ def _partnered(keys: np.ndarray, counts: np.ndarray, weights: np.ndarray, compon
     low = np.append(np.flatnonzero(new), len(keys))
     length, posting = np.diff(low), owner[order]
     first = np.concatenate([[0], np.cumsum(counts)])
-    need = np.array([1 if x is None else x for x in least])
-    known = np.array([x is not None for x in least])
+    before, weights = (weights < 0) & (keys < block), np.abs(weights)
     kept = np.zeros(n, bool)
     for q in range(n):
-        own = lists[first[q] : first[q + 1]]
-        at = np.repeat(low[own] - np.cumsum(length[own]) + length[own], length[own]) + np.arange(int(length[own].sum()))
-        shared = np.bincount(posting[at], weights=np.repeat(weights[first[q] : first[q + 1]], length[own]), minlength=n)
-        both = np.where(known & known[q], np.minimum(need, need[q]), 1)
-        kept[q] = ((shared >= both) & (component != component[q])).any()
+        if kept[q]:
+            continue
+        at = slice(first[q], first[q + 1])
+        shared = _weighed(posting, low, length, lists[at], weights[at], n)
+        some = enough(sizes, int(sizes[q]), shared, percent, spare) & (component != component[q])
+        if some.any() and before[at].any():
+            own = lists[at][before[at]]
+            some &= _weighed(posting, low, length, own, np.ones(len(own)), n) == 0
+        if some.any():
+            kept[q] = True
+            kept |= some
     return kept
 
 
-def _searched(blocks: DataFrame, items: DataFrame, percent: int, unpack: Callable[[bytes], np.ndarray]) -> DataFrame:
+def _weighed(posting: np.ndarray, low: np.ndarray, length: np.ndarray, own: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
+    """The weight of those lists that each set is in."""
+    at = np.repeat(low[own] - np.cumsum(length[own]) + length[own], length[own]) + np.arange(int(length[own].sum()))
+    return np.bincount(posting[at], weights=np.repeat(weights, length[own]), minlength=n)
+
+
+def _searched(blocks: DataFrame, items: DataFrame, percent: int, unpack: Callable[[pa.Array], list[np.ndarray]]) -> DataFrame:
     """Links ``(a, b)`` within each block of ``(block, part, node, component)``."""
     rows = blocks.join(items.select("node", "items"), "node").select("block", "part", "node", "component", "items")
     rows = rows.repartition("block", "part").sortWithinPartitions("block", "part", "node")
@@ -201,15 +226,15 @@ def _searched(blocks: DataFrame, items: DataFrame, percent: int, unpack: Callabl
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in whole_groups(batches, 2):
             nodes = group.column("node").to_numpy()
+            if nodes[0] == nodes[-1]:
+                continue
             group = group.take(np.flatnonzero(np.append(True, nodes[1:] != nodes[:-1])))
             nodes, comps = group.column("node").to_pylist(), group.column("component").to_pylist()
-            if len(nodes) > 1:
-                sets = [unpack(x.as_py()) for x in group.column("items")]
-                found = linked(sets, comps, percent)
-                if found:
-                    yield pa.RecordBatch.from_pydict(
-                        {"a": pa.array([nodes[i] for i, _ in found], pa.int64()), "b": pa.array([nodes[j] for _, j in found], pa.int64())}
-                    )
+            found = linked(unpack(group.column("items").combine_chunks()), comps, percent)
+            if found:
+                yield pa.RecordBatch.from_pydict(
+                    {"a": pa.array([nodes[i] for i, _ in found], pa.int64()), "b": pa.array([nodes[j] for _, j in found], pa.int64())}
+                )
 
     return rows.mapInArrow(search, "a long, b long")
 

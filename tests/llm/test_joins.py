@@ -131,7 +131,7 @@ def test_components_of_no_pairs(spark):
 def line_brute(texts):
     """The line numbers that go, by exact similarity of all lines."""
     lines = [(d, n, x.encode().translate(LOWER).decode().strip(" \t\x0b\x0c\r")) for d, t in enumerate(texts) if t for n, x in enumerate(t.split("\n"))]
-    lines = [(d, n, x) for d, n, x in lines if len(x.encode().split()) >= 5]
+    lines = [(d, n, x) for d, n, x in lines if x]
     sets = [{x[i : i + 8] for i in range(max(1, len(x) - 7))} for _, _, x in lines]
     links = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
     found = components(links, range(len(lines)))
@@ -186,3 +186,24 @@ def test_short_lines_go_when_they_repeat(docs):
     assert rows == {
         0: (0, texts[0]), 1: (2, "own\n"), 2: (0, han), 3: (1, ""), 4: (0, "Yes!"), 5: (1, ""),
     }
+
+
+def test_short_lines_of_enough_similarity_go(docs):
+    """Few characters more at an end, and a repeated stretch that adds no shingle."""
+    pairs = [("Contact us now", "Contact us now."), ("read all of it", "read all of it!"), ("a" * 12, "a" * 15), ("ten chars1", "no ten chars1")]
+    texts = [x for pair in pairs for x in pair]
+    rows = dedup_lines(docs(*texts)).orderBy("doc_id").collect()
+    assert [r.lines_removed for r in rows] == [0, 1, 0, 1, 0, 1, 0, 0]
+
+
+def test_pairs_that_cannot_link_are_told_by_their_keys():
+    """``enough`` holds for every pair that links, whatever the sizes."""
+    draw = np.random.default_rng(8)
+    for _ in range(300):
+        base = np.unique(draw.integers(0, 5000, draw.integers(1, 400)))
+        a, b = (np.unique(np.append(base[draw.random(len(base)) < draw.choice([0.9, 0.97, 1])], draw.integers(0, 5000, draw.integers(0, 9)))) for _ in "ab")
+        if not len(a) or not len(b) or 100 * len(np.intersect1d(a, b)) < 90 * len(np.union1d(a, b)):
+            continue
+        first = [x[: len(x) + (-90 * len(x) // 100) + 1 + len(x) // 32] for x in (a, b)]
+        shared = np.array([len(np.intersect1d(*first))])
+        assert setlinks.enough(np.array([len(a)]), len(b), shared, 90, 32).all()
