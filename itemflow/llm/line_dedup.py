@@ -20,12 +20,14 @@ from pyspark.sql import types as T
 
 from itemflow.llm import textpack
 from itemflow.llm.scratch import stored
-from itemflow.llm.setlinks import NodeFilter, components
+from itemflow.llm.setlinks import NodeFilter, components, linked
 
 PERCENT, SHINGLE, BANDS, ROWS, MIN_WORDS = 80, 8, 7, 3, 5
 #: A line of so many words or characters is long: what documents keep of short lines alone is a fragment.
 MIN_CHARS = 16
 _SEEN = 1 << 20
+#: Lines of a block that are compared at once, and cells of their table of shingles.
+_FEW, _CELLS = 96, 1 << 22
 
 
 def line_groups(
@@ -59,7 +61,7 @@ def _joined_lines(
 
     signed = lines.where("bands IS NOT NULL")
     entries = signed.select(F.explode("bands").alias("key"), "node")
-    labels = components(entries, signed.select("node", "n"), sets, percent, "lines", unpack=lambda column: _line_sets(column, size))
+    labels = components(entries, signed.select("node", "n"), sets, percent, "lines", unpack=lambda column: _line_sets(column, size), search=_alike)
     joined = lines.select("id", "line_no", "words", "long", "node").join(labels, "node", "left")
     return joined.select("id", "line_no", "words", "long", F.coalesce("component", "node").alias("component"))
 
@@ -161,6 +163,25 @@ def _line_sets(lines: pa.Array, size: int) -> list[np.ndarray]:
     return sets
 
 
+def _alike(sets: list[np.ndarray], components: list[int], percent: int) -> list[tuple[int, int]]:
+    """``linked`` for lines: the overlaps of a small block are one product of its table of lines and shingles."""
+    n, sizes = len(sets), np.array([len(s) for s in sets])
+    if n > _FEW:
+        return linked(sets, components, percent)
+    item, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)[1:]
+    shared = counts > 1
+    if n * int(shared.sum()) > _CELLS:
+        return linked(sets, components, percent)
+    column = np.cumsum(shared) - 1
+    table = np.zeros((n, int(shared.sum())), np.float32)
+    some = shared[item]
+    table[np.repeat(np.arange(n), sizes)[some], column[item[some]]] = 1
+    overlap = table @ table.T  # whole numbers below 2 ** 24
+    known = np.unique(np.array(components), return_inverse=True)[1]
+    links = ((100 + percent) * overlap >= percent * (sizes[:, None] + sizes)) & (known[:, None] != known)
+    return list(zip(*(x.tolist() for x in np.nonzero(np.triu(links))), strict=True))
+
+
 def _set_sizes(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     """How many different values each line has, told apart by as many bits as fit beside the line's number."""
     n = len(first) - 1

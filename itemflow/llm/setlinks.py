@@ -31,11 +31,13 @@ MU = 8
 #: So many postings are merged by a heap; more are counted, which gives the same counts sooner.
 HEAP = 256
 BLOOM_BITS = 24
+#: Sets, their components and the least similarity to pairs of positions that join the components of all links.
+Search = Callable[[list[np.ndarray], list[int], int], list[tuple[int, int]]]
 
 
 def components(
     entries: DataFrame, sizes: DataFrame, sets: Callable[[NodeFilter], DataFrame], percent: int, name: str, spare: int = 0,
-    unpack: Callable[[pa.Array], list[np.ndarray]] | None = None,
+    unpack: Callable[[pa.Array], list[np.ndarray]] | None = None, search: Search | None = None,
 ) -> DataFrame:
     """``(node, component)`` of the sets that link with another one.
 
@@ -43,10 +45,12 @@ def components(
     keys are the ``n - ceil(percent n / 100) + 1 + n div spare`` first items of each set in one order of all items, so that
     two sets that link share ``enough`` of them; else they share at least one key. ``sets(keep)`` gives ``(node, items)`` of all nodes
     that ``keep`` lets through, items as ``unpack`` reads a column of them (else as ``packed`` makes them); a node may come more than once.
-    Two sets link when ``100 * intersection >= percent * union``.
+    Two sets link when ``100 * intersection >= percent * union``; ``search`` finds them in a block, as ``linked`` does.
     """
+    search = search or linked
     unpack = unpack or (lambda column: [unpacked(x.as_py()) for x in column])
-    hubs = entries.groupBy("key").agg(F.min("node").alias("hub"))
+    hubs = entries.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top"))
+    hubs = stored(hubs.where("hub <> top").select("key", "hub"), f"{name}-hubs")  # most keys are of one set alone
     others = entries.join(hubs, "key").where("node <> hub").select("key", "node", "hub")
     shared = others.select("key", F.explode(F.array("node", "hub")).alias("node")).distinct()
     shared = stored(shared, f"{name}-shared")
@@ -66,7 +70,7 @@ def components(
     dealt = stored(dealt, f"{name}-cells")
     centres = dealt.select("block", "part", F.col("block").alias("node"))
     first = dealt.unionByName(centres).distinct().withColumn("component", F.col("node"))
-    links = stored(_searched(first, items, percent, unpack), f"{name}-links")
+    links = stored(_searched(first, items, percent, unpack, search), f"{name}-links")
 
     forget_shuffles(members)
     labels = connected(links, f"{name}-components")
@@ -74,7 +78,7 @@ def components(
     rest = _unsettled(rest, name, least)
     if rest.isEmpty():
         return labels
-    more = _searched(_between(rest, labels, percent, spare, name), items, percent, unpack)
+    more = _searched(_between(rest, labels, percent, spare, name), items, percent, unpack, search)
     return connected(links.unionByName(stored(more, f"{name}-links")), f"{name}-components")
 
 
@@ -218,25 +222,27 @@ def _weighed(posting: np.ndarray, low: np.ndarray, length: np.ndarray, own: np.n
     return np.bincount(posting[at], weights=np.repeat(weights, length[own]), minlength=n)
 
 
-def _searched(blocks: DataFrame, items: DataFrame, percent: int, unpack: Callable[[pa.Array], list[np.ndarray]]) -> DataFrame:
+def _searched(
+    blocks: DataFrame, items: DataFrame, percent: int, unpack: Callable[[pa.Array], list[np.ndarray]], search: Search
+) -> DataFrame:
     """Links ``(a, b)`` within each block of ``(block, part, node, component)``."""
     rows = blocks.join(items.select("node", "items"), "node").select("block", "part", "node", "component", "items")
     rows = rows.repartition("block", "part").sortWithinPartitions("block", "part", "node")
 
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in whole_groups(batches, 2):
             nodes = group.column("node").to_numpy()
             if nodes[0] == nodes[-1]:
                 continue
             group = group.take(np.flatnonzero(np.append(True, nodes[1:] != nodes[:-1])))
             nodes, comps = group.column("node").to_pylist(), group.column("component").to_pylist()
-            found = linked(unpack(group.column("items").combine_chunks()), comps, percent)
+            found = search(unpack(group.column("items").combine_chunks()), comps, percent)
             if found:
                 yield pa.RecordBatch.from_pydict(
                     {"a": pa.array([nodes[i] for i, _ in found], pa.int64()), "b": pa.array([nodes[j] for _, j in found], pa.int64())}
                 )
 
-    return rows.mapInArrow(search, "a long, b long")
+    return rows.mapInArrow(run, "a long, b long")
 
 
 def packed(values: np.ndarray) -> bytes:

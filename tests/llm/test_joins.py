@@ -6,7 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from itemflow.llm import setlinks
+from itemflow.llm import line_dedup, setlinks
 from itemflow.llm.connect import connected
 from itemflow.llm.jaccard_join import jaccard_components
 from itemflow.llm.line_dedup import dedup_lines, line_groups
@@ -107,6 +107,8 @@ def test_block_search_is_that_of_brute_force():
     found = setlinks.linked(sets, list(range(80)), 90)
     assert components(found, range(80)) == components(same, range(80))
     assert all((max(p), min(p)) in same for p in found)
+    few = line_dedup._alike(sets, list(range(80)), 90)
+    assert {(max(p), min(p)) for p in few} == set(same)
 
 
 def test_packed_values_come_back():
