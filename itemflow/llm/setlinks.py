@@ -50,7 +50,7 @@ def components(
     search = search or linked
     unpack = unpack or (lambda column: [unpacked(x.as_py()) for x in column])
     hubs = entries.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top"))
-    hubs = stored(hubs.where("hub <> top").select("key", "hub"), f"{name}-hubs")  # most keys are of one set alone
+    hubs = hubs.where("hub <> top").select("key", "hub")  # most keys are of one set alone
     others = entries.join(hubs, "key").where("node <> hub").select("key", "node", "hub")
     shared = others.select("key", F.explode(F.array("node", "hub")).alias("node")).distinct()
     shared = stored(shared, f"{name}-shared")
