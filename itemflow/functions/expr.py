@@ -40,10 +40,12 @@ def fn(body: Callable[..., str], arguments: int = 1) -> str:
 def bind(value: str, body: Callable[[str], str]) -> str:
     """Evaluate ``value`` once and hand it to ``body``.
 
-    A text used twice is computed twice; a one-element ``transform`` keeps recursive
-    expressions linear in depth instead of doubling per level.
+    A text used twice is computed twice; as the start of an ``aggregate`` over nothing it keeps recursive
+    expressions linear in depth instead of doubling per level. A one-element ``transform`` would do the same, but
+    Spark copies what it returns, whole documents once per level.
     """
-    return f"transform(array({value}), {fn(body)})[0]"
+    same = fn(lambda kept, _: kept, 2)
+    return f"aggregate(array(), {value}, {same}, {fn(body)})"
 
 
 def case(*branches: tuple[str, str], default: str | None = None) -> str:

@@ -60,31 +60,36 @@ def decode_value(
         # Bytes that are no UTF-8 become the replacement character, text that is no Base64 fails its row.
         return text if binary == "base64" else f"make_valid_utf8(cast(try_to_binary({text}, 'base64') as string))"
 
-    tags = " + ".join(f"int({{av}}.`{t}` is not null)" for t in ("S", "N", "BOOL", "NULL", "B", "SS", "NS", "BS", "L", "M"))
+    alike = (("S", "N", "B"), ("BOOL", "NULL"), ("SS", "NS", "BS"), ("L",), ("M",))
+
+    # Branches are asked in turn, so a value that reaches one has none of the tags asked before.
+    def alone(av: str, asked: list[str], *tags: str) -> str:
+        groups = [[f"{av}.`{t}`" for t in group if t not in asked and t not in tags] for group in alike]
+        if "M" in tags:
+            groups.append([f"if({av}.M is not null, {av}.L, null)"])
+        return " and ".join(f"{g[0] if len(g) == 1 else f'coalesce({chr(44).join(g)})'} is null" for g in groups if g) or "true"
 
     def level(av: str, depth: int) -> str:
-        branches = [
-            (f"{tags.format(av=av)} > 1", NO_VALUE),
-            (f"{av}.S is not null", variant(f"{av}.S")),
-            (f"{av}.N is not null", numeric(f"{av}.N")),
-        ]
+        branches: list[tuple[str, str]] = []
+        asked: list[str] = []
+
+        def branch(value: str, *tags: str) -> None:
+            found = " or ".join(f"{av}.`{t}` is not null" for t in tags)
+            branches.append((found, case((alone(av, asked, *tags), value))))
+            asked.extend(tags)
+
+        branch(variant(f"{av}.S"), "S")
+        branch(numeric(f"{av}.N"), "N")
         if depth > 0:
             children = f"coalesce(map_values({av}.M), {av}.L)"
             decoded = f"transform({children}, {fn(lambda child: level(child, depth - 1))})"
-            branches.append(
-                (
-                    f"{av}.M is not null or {av}.L is not null",
-                    bind(decoded, lambda kids: _container(av, kids, naming)),
-                )
-            )
-        branches += [
-            (f"{av}.BOOL is not null", variant(f"{av}.BOOL")),
-            (f"{av}.`NULL` is not null", NULL_VARIANT),
-            (f"{av}.SS is not null", variant(f"{av}.SS")),
-            (f"{av}.NS is not null", variant(f"transform({av}.NS, {fn(numeric)})")),
-            (f"{av}.B is not null", variant(blob(f"{av}.B"))),
-            (f"{av}.BS is not null", bind(f"transform({av}.BS, {fn(blob)})", _all_or_none)),
-        ]
+            branch(bind(decoded, lambda kids: _container(av, kids, naming)), "M", "L")
+        branch(variant(f"{av}.BOOL"), "BOOL")
+        branch(NULL_VARIANT, "NULL")
+        branch(variant(f"{av}.SS"), "SS")
+        branch(variant(f"transform({av}.NS, {fn(numeric)})"), "NS")
+        branch(variant(blob(f"{av}.B")), "B")
+        branch(bind(f"transform({av}.BS, {fn(blob)})", _all_or_none), "BS")
         return case(*branches)
 
     return level(av, depth)

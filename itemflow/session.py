@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -29,13 +30,21 @@ def work_folder(spark: SparkSession, name: str) -> str:
 
 
 def spread(scan: DataFrame) -> DataFrame:
-    """A plain scan with fewer splits than the session has cores, dealt out over all of them.
+    """A plain scan whose rows lie in few splits, dealt out over all of the session's cores.
 
-    Decoding costs far more than reading, so one small or unsplittable file (gzip) must not
-    hold it to one core. A scan with enough splits, as any large one, is left alone.
+    Decoding costs far more than reading, so one small, unsplittable (gzip) or coarse file must not hold it to few
+    cores. Splits without a row count for nothing: a Parquet file is cut at any byte, but a row group is read by one of them.
+    The rows of each split are counted from the files' footers. A scan whose largest split is at most half of a core's share
+    is left alone, as any large one of many files or row groups is.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+    splits = scan.rdd.getNumPartitions()
+    if splits >= cores:
+        held = scan.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n"))
+        largest, rows = held.agg(F.max("n"), F.sum("n")).collect()[0]
+        if rows is None or largest * cores * 2 <= rows:
+            return scan
+    return scan.repartition(-(-max(splits, cores) // cores) * cores)
 
 
 def local_session(cpus: str = "*", partitions: int = 8) -> SparkSession:
