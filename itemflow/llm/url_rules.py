@@ -1,15 +1,16 @@
 """URL filtering by mined rules: token combinations that labelled URLs show to be unwanted, matched by an inverted index.
 
-Explicit rules decide first. Spark's FP-growth finds the frequent combinations of URL tokens together with the label;
-those with enough support and confidence become rules. A rule is filed under its rarest token, so a
+Explicit rules decide first. The frequent combinations of URL tokens are counted size by size over the distinct token
+sets, together with the label; those with enough support and confidence become rules. A rule is filed under its rarest token, so a
 URL meets only rules of tokens that it has, and is checked for the others there.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
+from functools import reduce
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,9 +19,6 @@ from itemflow.llm.scratch import stored
 MIN_SUPPORT, MIN_CONFIDENCE, MAX_TOKENS = 0.001, 0.9, 4
 #: A rule needs so many blocked rows, however small the table: fewer are no evidence.
 MIN_ROWS = 5
-#: Rules are mined from so many tokens of a row, those most often blocked; they are matched against all tokens.
-MINED_TOKENS = 12
-BLOCK = "=block"
 _AZ = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -69,18 +67,37 @@ def url_tokens(host: Column, path: Column, url: Column) -> Column:
     return F.array_distinct(tokens)
 
 
-def _telling(rows: DataFrame, least: float, total: int) -> DataFrame:
-    """``(tokens, blocked)`` with the ``MINED_TOKENS`` tokens of each row that are most often blocked, of those frequent enough for a rule.
+def _combinations(rows: DataFrame, least: int, max_tokens: int) -> Iterator[DataFrame]:
+    """``(tokens, n, bad)`` of all combinations of 1, 2, ... ``max_tokens`` tokens that ``least`` blocked rows hold, one stored table per size.
 
-    FP-growth enumerates subsets, so a row's tokens must be bounded; equal token sets are cut once.
+    ``rows (tokens, blocked)``; all tokens of all rows count, equal token sets once with their numbers of rows. A combination is
+    made of a smaller one in the same row, and only of such as ``least`` blocked rows hold too. One that is always blocked is not
+    extended: nothing is surer than it.
     """
-    marked = rows.withColumn("_set", F.xxhash64("tokens"))
-    each = marked.select(F.explode("tokens").alias("token"), F.col("blocked").cast("int").alias("bad"))
-    worth = each.groupBy("token").agg(F.count("*").alias("n"), F.avg("bad").alias("sure")).where(F.col("n") >= least * total)
-    sets = marked.groupBy("_set").agg(F.first("tokens").alias("tokens")).select("_set", F.explode("tokens").alias("token"))
-    best = F.slice(F.sort_array(F.collect_list(F.struct("sure", "n", "token")), asc=False), 1, MINED_TOKENS)
-    cut = sets.join(worth, "token").groupBy("_set").agg(F.transform(best, lambda x: x["token"]).alias("kept"))
-    return marked.join(cut, "_set", "left").select(F.coalesce("kept", F.array().cast("array<string>")).alias("tokens"), "blocked")
+    sets = rows.groupBy(F.array_sort(F.array_distinct("tokens")).alias("tokens")).agg(F.count("*").alias("n"), F.count_if("blocked").alias("bad"))
+    sets = stored(sets.withColumn("set", F.monotonically_increasing_id()), "url-sets")
+
+    def frequent(held: DataFrame) -> DataFrame:
+        counts = held.groupBy("items").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).where(F.col("bad") >= least)
+        return stored(counts.withColumnRenamed("items", "tokens"), "url-combinations")
+
+    single = sets.select("set", "n", "bad", F.explode("tokens").alias("token"))
+    found = frequent(single.select(F.array("token").alias("items"), "n", "bad"))
+    yield found
+    open_tokens = found.where("bad < n").select(F.col("tokens")[0].alias("token"))
+    kept = single.join(open_tokens, "token").groupBy("set", "n", "bad").agg(F.array_sort(F.collect_list("token")).alias("rest"))
+    held = stored(kept.select("n", "bad", F.array().cast("array<string>").alias("items"), "rest"), "url-open-tokens")
+    for size in range(1, max_tokens + 1):
+        # each token behind the last one of the combination, with the tokens behind it
+        held = held.select("n", "bad", "items", "rest", F.posexplode("rest").alias("at", "token"))
+        held = held.select("n", "bad", F.concat("items", F.array("token")).alias("items"), F.slice("rest", F.col("at") + 2, F.size("rest")).alias("rest"))
+        if size == 1:
+            continue
+        found = frequent(held)
+        if found.isEmpty():
+            return
+        yield found
+        held = held.join(found.where("bad < n").select(F.col("tokens").alias("items")), "items", "left_semi")
 
 
 def mined_rules(
@@ -90,21 +107,19 @@ def mined_rules(
     """``(tokens, confidence, support)`` of ``labelled (tokens, blocked)``.
 
     A rule has at most ``max_tokens`` tokens, at least ``min_support`` of all rows, ``min_rows`` of them and ``min_confidence`` of the rows
-    with its tokens are blocked, and no rule of fewer tokens, all among its own, is as sure. Of rows with more than
-    ``MINED_TOKENS`` frequent tokens those count that are most often blocked. A null
+    with its tokens are blocked, and no rule of fewer tokens, all among its own, is as sure. All tokens of all rows
+    count, however many a row has. A null
     label counts as not blocked. Rows without tokens take no part; no blocked row gives no rules.
     """
     empty = "tokens array<string>, confidence double, support double"
     rows = labelled.where(F.size("tokens") > 0).select("tokens", F.coalesce("blocked", F.lit(False)).alias("blocked"))
     if rows.where("blocked").isEmpty():
         return labelled.sparkSession.createDataFrame([], empty)
-    # the label is one more token of its row
     total = rows.count()
-    min_support = min(1.0, max(min_support, min_rows / total))
-    items = _telling(rows, min_support, total).select(F.concat("tokens", F.when(F.col("blocked"), F.array(F.lit(BLOCK))).otherwise(F.array())).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
-    found = model.associationRules.where((F.element_at("consequent", 1) == BLOCK) & (F.size("antecedent") <= max_tokens))
-    found = stored(found.select(F.array_sort("antecedent").alias("tokens"), "confidence", "support"), "url-rules")
+    least = math.ceil(min(1.0, max(min_support, min_rows / total)) * total)
+    found = reduce(DataFrame.unionByName, _combinations(rows, least, max_tokens))
+    found = found.select("tokens", (F.col("bad") / F.col("n")).alias("confidence"), (F.col("bad") / F.lit(total)).alias("support"))
+    found = stored(found.where(F.col("confidence") >= min_confidence), "url-rules")
     # every smaller antecedent of a rule, by name
     parts = found.select("tokens", "confidence", F.explode("tokens").alias("gone"))
     parts = parts.select("tokens", "confidence", F.array_remove("tokens", F.col("gone")).alias("part"))
