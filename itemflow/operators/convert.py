@@ -77,7 +77,7 @@ def decode_items(
     if not mapping.deep:
         return rows.drop("_names")
     leftover = F.when(F.col("failed") != "*", F.col("raw"))
-    deep, still_failed = decode_deep(leftover, F.col("_names"), path, **options)
+    deep, still_failed = decode_deep(leftover, F.when(leftover.isNotNull(), F.col("_names")), path, **options)
     rows = rows.withColumns({"_deep": deep, "_still": still_failed})
     rows = rows.withColumn("failed", F.when(F.col("_deep").isNull(), F.coalesce("_still", "failed")))
     return rows.withColumn("attrs", F.coalesce("attrs", "_deep")).drop("_deep", "_still", "_names")
