@@ -21,7 +21,10 @@ from itemflow.llm import textpack
 from itemflow.llm.scratch import stored
 from itemflow.llm.setlinks import NodeFilter, components, packed
 
-SKETCH_BITS = 16
+#: Cells of the sketch. With fewer, frequent shingles of larger inputs drown in the number of rare ones in their cell.
+SKETCH_BITS = 20
+#: Cells that are summed up together.
+_CHUNK = 1 << 14
 #: ``c`` is one and an item more for each so many of the set.
 SPARE = 32
 _LOW = np.uint64(8)
@@ -49,8 +52,8 @@ def jaccard_components(
     def sets(keep: NodeFilter) -> DataFrame:
         return _kept_sets(source, order, size, keep)
 
-    entries = rare.select(F.explode("items").alias("key"), "node")
-    labels = components(entries, rare.select("node", "n"), sets, percent, "jaccard", SPARE)
+    entries = rare.select(F.explode("items").alias("key"), "node", "n")
+    labels = components(entries, sets, percent, "jaccard", SPARE)
     known = seen.where("counts IS NULL")
     known = known.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = known.groupBy("component").agg(F.min("id").alias("component_id")).where("component IS NOT NULL")
@@ -66,47 +69,67 @@ def _hashed(texts: textpack.Texts, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _scan_sets(source: DataFrame, id_type: T.DataType, size: int, bits: int) -> DataFrame:
-    """Each row's set size and set hash; at a task's end how often each sketch cell was hit."""
+    """Each row's set size and set hash; at a task's end how often each sketch cell was hit, up to 255 times."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(1 << bits, np.int64)
+        cells = np.zeros(1 << bits, np.int32)
         kind = None
         for batch in batches:
             kind = batch.schema.field(0).type
             for texts in textpack.pieces(batch.column(1)):
                 values, text = _hashed(texts, size)
                 values, first = textpack.distinct(values, text, len(texts))
-                cells += np.bincount(values & np.uint64((1 << bits) - 1), minlength=1 << bits)
+                np.add.at(cells, (values & np.uint64((1 << bits) - 1)).astype(np.int64), np.int32(1))
                 sizes = np.diff(first)
                 node = textpack.signed(textpack.set_hash(values, first))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[texts.rows], pa.array(sizes), pa.array(node, mask=sizes == 0), pa.nulls(len(texts), pa.list_(pa.int64()))],
+                    [batch.column(0)[texts.rows], pa.array(sizes), pa.array(node, mask=sizes == 0), pa.nulls(len(texts), pa.binary())],
                     ["id", "n_shingles", "node", "counts"],
                 )
         if kind is not None:
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(1, kind), pa.array([0], pa.int64()), pa.nulls(1, pa.int64()), pa.array([cells], pa.list_(pa.int64()))],
+                [pa.nulls(1, kind), pa.array([0], pa.int64()), pa.nulls(1, pa.int64()), pa.array([np.minimum(cells, 255).astype(np.uint8).tobytes()], pa.binary())],
                 ["id", "n_shingles", "node", "counts"],
             )
 
     fields = [T.StructField("id", id_type), T.StructField("n_shingles", T.LongType())]
-    fields += [T.StructField("node", T.LongType()), T.StructField("counts", T.ArrayType(T.LongType()))]
+    fields += [T.StructField("node", T.LongType()), T.StructField("counts", T.BinaryType())]
     return source.mapInArrow(scan, T.StructType(fields))
 
 
 def _frequency_levels(seen: DataFrame, bits: int) -> np.ndarray:
-    """Steps of a quarter power of two of each cell's count. ``2 ** bits`` rows reach the driver, whatever the input."""
-    cells = seen.where("counts IS NOT NULL").select(F.posexplode("counts").alias("cell", "n")).where("n > 0")
-    rows = cells.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    levels = np.zeros(1 << bits, np.uint64)
-    levels[rows.column(0).to_numpy()] = np.minimum(4 * np.log2(rows.column(1).to_numpy()) + 1, 126)
-    return levels
+    """Steps of a quarter power of two of each cell's count. A byte for each of ``2 ** bits`` cells reaches the driver, whatever the input."""
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = None
+        for batch in batches:
+            for counts in batch.column(0):
+                counts = np.frombuffer(counts.as_buffer(), np.uint8)
+                cells = counts.astype(np.int64) if cells is None else cells + counts
+        if cells is not None:
+            chunks = [cells[k : k + _CHUNK].tobytes() for k in range(0, len(cells), _CHUNK)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(chunks)), pa.int32()), pa.array(chunks, pa.binary())], ["chunk", "counts"])
+
+    def levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, counts in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                cells[chunk] = np.frombuffer(counts.as_buffer(), np.int64) + cells.get(chunk, 0)
+        found = [np.minimum(4 * np.log2(np.maximum(n, 1)) + (n > 0), 126).astype(np.uint8).tobytes() for n in cells.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(cells), pa.int32()), pa.array(found, pa.binary())], ["chunk", "levels"])
+
+    chunks = seen.where("counts IS NOT NULL").select("counts").mapInArrow(summed, "chunk int, counts binary")
+    rows = chunks.repartition("chunk").mapInArrow(levels, "chunk int, levels binary").toArrow()
+    found = np.zeros(1 << bits, np.uint8)
+    for chunk, data in zip(*rows.to_pydict().values(), strict=True):
+        found[chunk * _CHUNK : (chunk + 1) * _CHUNK] = np.frombuffer(data, np.uint8)
+    return found
 
 
 def _ordered(texts: textpack.Texts, order: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles as 63-bit values that sort from rare to frequent."""
     values, text = _hashed(texts, size)
-    values = (order[values & np.uint64(len(order) - 1)] << np.uint64(56)) | (values >> _LOW)
+    values = (order[values & np.uint64(len(order) - 1)].astype(np.uint64) << np.uint64(56)) | (values >> _LOW)
     return textpack.distinct(values, text, len(texts))
 
 

@@ -10,11 +10,12 @@ With 7 bands of 3 rows a pair of similarity 0.8 meets in a band with probability
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,8 +27,12 @@ PERCENT, SHINGLE, BANDS, ROWS, MIN_WORDS = 80, 8, 7, 3, 5
 #: A line of so many words or characters is long: what documents keep of short lines alone is a fragment.
 MIN_CHARS = 16
 _SEEN = 1 << 20
-#: Lines of a block that are compared at once, and cells of their table of shingles.
-_FEW, _CELLS = 96, 1 << 22
+#: Bytes of text that are signed at once: their hashes stay in a core's cache.
+_PIECE = 1 << 17
+#: Lines of a block that are compared at once, and cells of their table of shingles; of so many lines all links are returned.
+_FEW, _CELLS, _ALL = 1 << 11, 1 << 23, 96
+#: Bits for the place of a line in a small block and for the blocks that are compared at once, and lines of so many blocks at least.
+_MEMBERS, _BLOCKS, _SMALL = 4, 12, 1 << 12
 
 
 def line_groups(
@@ -54,23 +59,24 @@ def _joined_lines(
     """``(id, line_no, words, long, component)`` of every line with a word."""
     source = docs.where(F.col(id_col).isNotNull())
     source = source.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    lines = stored(_signed_lines(source, docs.schema[id_col].dataType, size, bands, rows, min_words, min_chars), "lines")
+    signed = _signed_lines(source, docs.schema[id_col].dataType, size, bands, rows, min_words, min_chars)
+    lines = stored(signed, "lines", plain=_bands(bands))
 
     def sets(keep: NodeFilter) -> DataFrame:
         return _kept_lines(source, size, keep)
 
-    signed = lines.where("bands IS NOT NULL")
-    entries = signed.select(F.explode("bands").alias("key"), "node")
-    labels = components(entries, signed.select("node", "n"), sets, percent, "lines", unpack=lambda column: _line_sets(column, size), search=_alike)
+    def search(items: pa.Array, first: np.ndarray, components: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        return _linked_lines(items, first, components, percent, size)
+
+    entries = lines.where("band0 IS NOT NULL").select(F.explode(F.array(*_bands(bands))).alias("key"), "node", "n")
+    labels = components(entries, sets, percent, "lines", search=search)
     joined = lines.select("id", "line_no", "words", "long", "node").join(labels, "node", "left")
     return joined.select("id", "line_no", "words", "long", F.coalesce("component", "node").alias("component"))
 
 
 def _first_stays(joined: DataFrame) -> DataFrame:
     """``joined`` with ``stays``: whether a line is the first of its component."""
-    place = F.struct("id", "line_no")
-    first = joined.groupBy("component").agg(F.min(place).alias("first"))
-    return joined.join(first, "component").withColumn("stays", place == F.col("first")).drop("first")
+    return joined.withColumn("stays", F.rank().over(Window.partitionBy("component").orderBy("id", "line_no")) == 1)
 
 
 def dedup_lines(
@@ -142,6 +148,27 @@ def _worded_lines(texts: textpack.Texts) -> tuple[textpack.Texts, *tuple[np.ndar
     return texts, lines.text[some], number[some], start, end, (high - low)[some], chars[end] - chars[start]
 
 
+def _trimmed(texts: textpack.Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every line with a word, without white space at its ends."""
+    lines = texts.lines()
+    start, end = lines.start, lines.end
+    for _ in range(16):
+        start, end = start[start < end], end[start < end]
+        left, right = textpack.SPACE[texts.buf[start]], textpack.SPACE[texts.buf[end - 1]]
+        if not (left.any() or right.any()):
+            return start, end
+        start, end = start + left, end - (right & (end - start > left))
+    return _worded_lines(texts)[3:5]  # some have more of it
+
+
+def _windows(texts: textpack.Texts, hasher: textpack.Hasher, start: np.ndarray, end: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of every ``size`` characters from the first of these lines on, none being shorter; where those of each line begin and end."""
+    chars = np.append(np.flatnonzero((texts.buf & 0xC0) != 0x80), len(texts.buf))
+    bounds = np.stack([np.searchsorted(chars, start), np.searchsorted(chars, end) - size + 1], axis=1).ravel()
+    values = hasher.neighbours(chars[bounds[0] :], size)
+    return np.append(values, np.uint64(0)), bounds - bounds[0]
+
+
 def _line_shingles(texts: textpack.Texts, hasher: textpack.Hasher, start: np.ndarray, end: np.ndarray, size: int):
     """Hashes of every ``size`` characters of each line, and the index of each line's first."""
     chars = np.append(np.flatnonzero((texts.buf & 0xC0) != 0x80), len(texts.buf))
@@ -149,47 +176,129 @@ def _line_shingles(texts: textpack.Texts, hasher: textpack.Hasher, start: np.nda
     counts = np.maximum(high - low - size + 1, 1)
     first = np.concatenate([[0], np.cumsum(counts)])
     at = np.arange(first[-1]) + np.repeat(low - first[:-1], counts)
-    stop = np.minimum(at + size, np.repeat(high, counts))
-    return hasher(chars[at], chars[stop]), first
-
-
-def _line_sets(lines: pa.Array, size: int) -> list[np.ndarray]:
-    """The shingle sets of a column of lines."""
-    sets: list[np.ndarray] = []
-    for texts in textpack.pieces(lines):
-        values, first = _line_shingles(texts, texts.hasher(), texts.starts, texts.ends, size)
-        values, first = textpack.distinct(values, np.repeat(np.arange(len(texts)), np.diff(first)), len(texts))
-        sets += np.split(textpack.signed(values), first[1:-1])
-    return sets
+    values = np.append(hasher.neighbours(chars, size), np.zeros(size, np.uint64))[at]
+    short = np.flatnonzero(high - low < size)
+    values[first[short]] = hasher(chars[low[short]], chars[high[short]])
+    return values, first
+
+
+def _linked_lines(
+    items: pa.Array, first: np.ndarray, components: np.ndarray, percent: int, size: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The links within blocks of lines: small blocks are compared many at a time, others one by one."""
+    offsets = np.frombuffer(items.buffers()[1], np.int32)[items.offset :]
+    found, at = [np.zeros((2, 0), np.int64)], 0
+    while at < len(first) - 1:
+        to = np.searchsorted(offsets[first], offsets[first[at]] + textpack.PIECE, side="right") - 1
+        to = max(at + 1, min(int(to), int(np.searchsorted(first, first[at] + 2 * _SMALL, side="right")) - 1))
+        low, high = int(first[at]), int(first[to])
+        (texts,) = textpack.pieces(items[low:high], 1 << 62)
+        values, begin = _line_shingles(texts, texts.hasher(), texts.starts, texts.ends, size)
+        some, counts = first[at : to + 1] - low, np.diff(first[at : to + 1])
+        pairs = [_small_blocks(values, begin, some[:-1], counts, percent)]
+        for k in np.flatnonzero(counts > 1 << _MEMBERS).tolist():
+            a, b = int(some[k]), int(some[k + 1])
+            sets = [textpack.signed(values[x:y]) for x, y in pairwise(begin[a : b + 1].tolist())]
+            pairs.append(a + np.array(_alike(sets, components[low + a : low + b].tolist(), percent), np.int64).reshape(-1, 2).T)
+        found += [low + x for x in pairs]
+        at = to
+    a, b = np.concatenate(found, axis=1)
+    known = components[a] == components[b]
+    return a[~known], b[~known]
+
+
+def _small_blocks(values: np.ndarray, begin: np.ndarray, first: np.ndarray, counts: np.ndarray, percent: int) -> np.ndarray:
+    """All links of the blocks of 2 to 16 lines: one sort by block, shingle and line puts what lines share side by side.
+
+    A block's number and a line's place in it take 16 bits of a shingle's hash; 48 bits tell shingles of a block apart.
+    """
+    blocks = np.flatnonzero((counts > 1) & (counts <= 1 << _MEMBERS))
+    first, counts = first[blocks], counts[blocks]
+    if not len(blocks):
+        return np.zeros((2, 0), np.int64)
+    block = np.repeat(np.arange(len(blocks)), counts)
+    place = np.arange(len(block)) - np.repeat(np.cumsum(counts) - counts, counts)
+    row = first[block] + place
+    length = begin[row + 1] - begin[row]
+    at = np.arange(int(length.sum())) + np.repeat(begin[row] - np.cumsum(length) + length, length)
+    low, mine = np.uint64(_MEMBERS), (block.astype(np.uint64) << np.uint64(64 - _BLOCKS)) | place.astype(np.uint64)
+    tags = ((values[at] >> np.uint64(_BLOCKS + _MEMBERS)) << low) | np.repeat(mine, length)
+    tags.sort()
+    tags = tags[np.append(True, tags[1:] != tags[:-1])]
+    shingle, place = tags >> low, (tags & np.uint64((1 << _MEMBERS) - 1)).astype(np.int64)
+    block = (tags >> np.uint64(64 - _BLOCKS)).astype(np.int64)
+    sizes = np.bincount(first[block] + place, minlength=len(begin))
+    base = np.concatenate([[0], np.cumsum(counts * counts)])
+    met, apart = [], 1
+    same = np.flatnonzero(shingle[1:] == shingle[:-1])
+    while len(same):
+        met.append(base[block[same]] + place[same] * counts[block[same]] + place[same + apart])
+        apart += 1
+        same = same[: np.searchsorted(same, len(shingle) - apart)]
+        same = same[shingle[same] == shingle[same + apart]]
+    if not met:
+        return np.zeros((2, 0), np.int64)
+    overlap = np.bincount(np.concatenate(met))
+    pair = np.flatnonzero(overlap)
+    block = np.searchsorted(base, pair, side="right") - 1
+    a, b = first[block] + np.divmod(pair - base[block], counts[block])
+    links = (100 + percent) * overlap[pair] >= percent * (sizes[a] + sizes[b])
+    return np.stack([a[links], b[links]])
 
 
 def _alike(sets: list[np.ndarray], components: list[int], percent: int) -> list[tuple[int, int]]:
-    """``linked`` for lines: the overlaps of a small block are one product of its table of lines and shingles."""
-    n, sizes = len(sets), np.array([len(s) for s in sets])
-    if n > _FEW:
-        return linked(sets, components, percent)
-    item, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)[1:]
-    shared = counts > 1
-    if n * int(shared.sum()) > _CELLS:
-        return linked(sets, components, percent)
-    column = np.cumsum(shared) - 1
+    """``linked`` for lines, in whose values some may repeat: the overlaps are one product of the table of lines and shared shingles."""
+    n = len(sets)
+    bits = np.uint64(n.bit_length())
+    tags = np.concatenate(sets).view(np.uint64) >> bits << bits
+    tags |= np.repeat(np.arange(n, dtype=np.uint64), [len(s) for s in sets])
+    tags.sort()
+    tags = tags[np.append(True, tags[1:] != tags[:-1])]
+    row = (tags & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    tags >>= bits
+    item, sizes = np.cumsum(np.append(False, tags[1:] != tags[:-1])), np.bincount(row, minlength=n)
+    shared = np.bincount(item) > 1
+    if n > _FEW or n * int(shared.sum()) > _CELLS:
+        return linked([np.unique(s) for s in sets], components, percent)
+    column, some = np.cumsum(shared) - 1, shared[item]
     table = np.zeros((n, int(shared.sum())), np.float32)
-    some = shared[item]
-    table[np.repeat(np.arange(n), sizes)[some], column[item[some]]] = 1
+    table[row[some], column[item[some]]] = 1
     overlap = table @ table.T  # whole numbers below 2 ** 24
     known = np.unique(np.array(components), return_inverse=True)[1]
     links = ((100 + percent) * overlap >= percent * (sizes[:, None] + sizes)) & (known[:, None] != known)
+    if n > _ALL:
+        return _joining(links)
     return list(zip(*(x.tolist() for x in np.nonzero(np.triu(links))), strict=True))
 
 
-def _set_sizes(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+def _joining(links: np.ndarray) -> list[tuple[int, int]]:
+    """Of a symmetric table of links those that join the same lines, fewer than there are lines."""
+    found, left = [], links.any(axis=1)
+    for root in np.flatnonzero(left).tolist():
+        todo = [root] if left[root] else []
+        left[root] = False
+        while todo:
+            q = todo.pop()
+            some = np.flatnonzero(links[q] & left).tolist()
+            left[some] = False
+            found += [(q, d) for d in some]
+            todo += some
+    return found
+
+
+def _set_sizes(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """How many different values each line has, told apart by as many bits as fit beside the line's number."""
-    n = len(first) - 1
+    n = len(bounds)
     bits = np.uint64(n.bit_length())
-    tagged = (np.repeat(np.arange(n, dtype=np.uint64), np.diff(first)) << (np.uint64(64) - bits)) | (values >> bits)
+    tagged = np.repeat(np.arange(n, dtype=np.uint64) << (np.uint64(64) - bits), np.diff(bounds, append=len(values)))
+    tagged |= values >> bits
     tagged.sort()
     new = np.append(True, tagged[1:] != tagged[:-1])
-    return np.add.reduceat(new, first[:-1]).astype(np.int32)
+    return np.add.reduceat(new, bounds)[::2].astype(np.int32)
+
+
+def _bands(bands: int) -> list[str]:
+    return [f"band{b}" for b in range(bands)]
 
 
 def _signed_lines(source: DataFrame, id_type: T.DataType, size: int, bands: int, rows: int, min_words: int, min_chars: int) -> DataFrame:
@@ -200,7 +309,7 @@ def _signed_lines(source: DataFrame, id_type: T.DataType, size: int, bands: int,
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
         for batch in batches:
-            for texts in textpack.pieces(batch.column(1)):
+            for texts in textpack.pieces(batch.column(1), _PIECE):
                 texts, text, number, start, end, count, chars = _worded_lines(texts)
                 if not len(text):
                     continue
@@ -214,28 +323,30 @@ def _signed_lines(source: DataFrame, id_type: T.DataType, size: int, bands: int,
                             done.add(x)
                 keys, length = np.zeros((len(node), bands), np.int64), np.ones(len(node), np.int32)
                 if new.any():
-                    values, first = _line_shingles(texts, hasher, start[new], end[new], size)
-                    length[new] = _set_sizes(values, first)
+                    values, bounds = _windows(texts, hasher, start[new], end[new], size)
+                    length[new] = _set_sizes(values, bounds)
                     values = (values >> np.uint64(32)).astype(np.uint32)
-                    least = [np.minimum.reduceat((values ^ flip[k]) * odd[k], first[:-1]).astype(np.uint64) for k in range(bands * rows)]
+                    least, drawn = [], np.empty_like(values)
+                    for k in range(bands * rows):
+                        np.multiply(np.bitwise_xor(values, flip[k], out=drawn), odd[k], out=drawn)
+                        least.append(np.minimum.reduceat(drawn, bounds)[::2].astype(np.uint64))
                     for b in range(bands):
                         key = np.full(int(new.sum()), b + 1, np.uint64)
                         for k in range(b * rows, (b + 1) * rows):
                             key = textpack.mix(key ^ least[k])
                         keys[new, b] = textpack.signed(key)
-                offsets = pa.array(np.arange(len(node) + 1) * bands, pa.int32())
-                lists = pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()), mask=pa.array(~new))
+                drawn_keys = [pa.array(np.ascontiguousarray(keys[:, b]), mask=~new) for b in range(bands)]
                 long = (count >= min_words) | (chars >= min_chars)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(text + texts.row)), pa.array(number.astype(np.int32)), pa.array(count.astype(np.int32)),
-                     pa.array(long), pa.array(node), pa.array(length), lists],
-                    ["id", "line_no", "words", "long", "node", "n", "bands"],
+                     pa.array(long), pa.array(node), pa.array(length), *drawn_keys],
+                    ["id", "line_no", "words", "long", "node", "n", *_bands(bands)],
                 )
 
     fields = [T.StructField("id", id_type), T.StructField("line_no", T.IntegerType())]
     fields += [T.StructField("words", T.IntegerType()), T.StructField("long", T.BooleanType())]
     fields += [T.StructField("node", T.LongType()), T.StructField("n", T.IntegerType())]
-    fields += [T.StructField("bands", T.ArrayType(T.LongType()))]
+    fields += [T.StructField(b, T.LongType()) for b in _bands(bands)]
     return source.mapInArrow(scan, T.StructType(fields))
 
 
@@ -243,13 +354,10 @@ def _kept_lines(source: DataFrame, size: int, keep: NodeFilter) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
         for batch in batches:
-            for texts in textpack.pieces(batch.column(0)):
-                texts, _, _, start, end, _, chars = _worded_lines(texts)
-                start, end = start[chars >= size], end[chars >= size]
-                if not len(start):
-                    continue
-                hasher = texts.hasher()
-                node = hasher(start, end)
+            for texts in textpack.pieces(batch.column(0), _PIECE):
+                texts = texts.lowered()
+                start, end = _trimmed(texts)
+                node = texts.hasher()(start, end)
                 some = []
                 for i in np.flatnonzero(keep.mask(node)).tolist():
                     if (x := int(node[i])) not in done:

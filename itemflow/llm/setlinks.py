@@ -12,7 +12,7 @@ from __future__ import annotations
 import heapq
 import math
 from collections.abc import Callable, Iterator
-from itertools import groupby
+from itertools import groupby, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -31,38 +31,31 @@ MU = 8
 #: So many postings are merged by a heap; more are counted, which gives the same counts sooner.
 HEAP = 256
 BLOOM_BITS = 24
-#: Sets, their components and the least similarity to pairs of positions that join the components of all links.
-Search = Callable[[list[np.ndarray], list[int], int], list[tuple[int, int]]]
+#: The items of the sets of some blocks, where each block begins and the last ends, the sets' components and the least similarity
+#: to pairs of positions that join, in each block, the components of all links.
+Search = Callable[[pa.Array, np.ndarray, np.ndarray, int], tuple[np.ndarray, np.ndarray]]
 
 
 def components(
-    entries: DataFrame, sizes: DataFrame, sets: Callable[[NodeFilter], DataFrame], percent: int, name: str, spare: int = 0,
-    unpack: Callable[[pa.Array], list[np.ndarray]] | None = None, search: Search | None = None,
+    entries: DataFrame, sets: Callable[[NodeFilter], DataFrame], percent: int, name: str, spare: int = 0, search: Search | None = None
 ) -> DataFrame:
     """``(node, component)`` of the sets that link with another one.
 
-    ``entries``: ``(key, node)``; ``sizes``: ``(node, n)``, the number of a set's items. Either may repeat rows. With ``spare``,
+    ``entries``: ``(key, node, n)``, ``n`` being the number of a set's items; rows may repeat. With ``spare``,
     keys are the ``n - ceil(percent n / 100) + 1 + n div spare`` first items of each set in one order of all items, so that
     two sets that link share ``enough`` of them; else they share at least one key. ``sets(keep)`` gives ``(node, items)`` of all nodes
-    that ``keep`` lets through, items as ``unpack`` reads a column of them (else as ``packed`` makes them); a node may come more than once.
-    Two sets link when ``100 * intersection >= percent * union``; ``search`` finds them in a block, as ``linked`` does.
+    that ``keep`` lets through, items as ``search`` reads a column of them (else as ``packed`` makes them); a node may come more than once.
+    Two sets link when ``100 * intersection >= percent * union``; ``search`` finds them in some blocks, as ``linked`` does in one.
     """
-    search = search or linked
-    unpack = unpack or (lambda column: [unpacked(x.as_py()) for x in column])
-    hubs = entries.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top"))
-    hubs = hubs.where("hub <> top").select("key", "hub")  # most keys are of one set alone
-    others = entries.join(hubs, "key").where("node <> hub").select("key", "node", "hub")
-    shared = others.select("key", F.explode(F.array("node", "hub")).alias("node")).distinct()
-    shared = stored(shared, f"{name}-shared")
-    least = f"1 + ((n * {percent} + 99) div 100) div {spare}" if spare else "1"
-    able = shared.groupBy("node").agg(F.count("*").alias("keys"))
-    able = able.join(sizes.groupBy("node").agg(F.max("n").cast("long").alias("n")), "node")
-    members = shared.join(able.where(f"keys >= {least}").select("node", "n"), "node")
-    hubs = members.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub <> top")
-    members = stored(members.join(hubs.select("key", "hub"), "key"), f"{name}-members")
+    search = search or _block_by_block
+    members, least = _shared_lists(entries), f"1 + ((n * {percent} + 99) div 100) div {spare}" if spare else "1"
+    if spare:
+        able = members.groupBy("node").agg(F.max("n").alias("n"), F.collect_list("key").alias("keys")).where(f"size(keys) >= {least}")
+        members = _shared_lists(able.select(F.explode("keys").alias("key"), "node", "n"))
+    members = stored(members, f"{name}-members")
 
     forget_shuffles(members)
-    nodes = members.groupBy("node").agg(F.min("hub").alias("hub"), F.max("n").alias("n"))
+    nodes = stored(members.groupBy("node").agg(F.min("hub").alias("hub"), F.max("n").alias("n")), f"{name}-nodes")
     items = stored(sets(NodeFilter.of(nodes.select("node"))), f"{name}-sets")
     spread = nodes.groupBy("hub").agg(F.count("*").alias("count"), F.sum("n").alias("weight")).select("hub", _parts().alias("parts"))
     dealt = nodes.join(spread, "hub")
@@ -70,7 +63,7 @@ def components(
     dealt = stored(dealt, f"{name}-cells")
     centres = dealt.select("block", "part", F.col("block").alias("node"))
     first = dealt.unionByName(centres).distinct().withColumn("component", F.col("node"))
-    links = stored(_searched(first, items, percent, unpack, search), f"{name}-links")
+    links = stored(_searched(first, items, percent, search), f"{name}-links")
 
     forget_shuffles(members)
     labels = connected(links, f"{name}-components")
@@ -78,10 +71,39 @@ def components(
     rest = _unsettled(rest, name, least)
     if rest.isEmpty():
         return labels
-    more = _searched(_between(rest, labels, percent, spare, name), items, percent, unpack, search)
+    more = _searched(_between(rest, labels, percent, spare, name), items, percent, search)
     return connected(links.unionByName(stored(more, f"{name}-links")), f"{name}-components")
 
 
+def _shared_lists(entries: DataFrame) -> DataFrame:
+    """``(key, node, n, hub)`` of the keys of several nodes, each node once; ``hub`` is the key's smallest.
+
+    One shuffle and sort of the entries, whatever their number: most keys are of one set alone and go where they were sorted.
+    A list is read row by row, however long it is.
+    """
+    rows = entries.select("key", "node", F.col("n").cast("long").alias("n")).repartition("key").sortWithinPartitions("key", "node")
+
+    def several(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub, last, shown = [np.zeros(0, np.int64)] * 3, np.zeros(0, np.int64), False  # of the open list: first row, last node, whether it is out
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, node, n = (np.concatenate([h, batch.column(k).to_numpy()]) for k, h in enumerate(hub))
+            before = np.append(node[:1], node[:-1])
+            before[1 : 1 + len(last)] = last
+            new = np.append(True, key[1:] != key[:-1])
+            begin = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
+            other = np.flatnonzero((node != node[begin]) & (node != before))
+            hubs = np.unique(begin[other])
+            at = np.sort(np.concatenate([hubs[hubs > 0] if shown else hubs, other]))
+            shown = (shown and begin[-1] == 0) or begin[-1] in hubs
+            hub, last = [x[begin[-1:]] for x in (key, node, n)], node[-1:]
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key[at], node[at], n[at], node[begin[at]])], ["key", "node", "n", "hub"])
+
+    return rows.mapInArrow(several, "key long, node long, n long, hub long")
+
+
 def _parts() -> Column:
     """Into how many cells of bounded size so many sets go."""
     return F.greatest(F.expr(f"ceil(count / {SETS})"), F.expr(f"ceil(weight / {ITEMS})"))
@@ -222,29 +244,36 @@ def _weighed(posting: np.ndarray, low: np.ndarray, length: np.ndarray, own: np.n
     return np.bincount(posting[at], weights=np.repeat(weights, length[own]), minlength=n)
 
 
-def _searched(
-    blocks: DataFrame, items: DataFrame, percent: int, unpack: Callable[[pa.Array], list[np.ndarray]], search: Search
-) -> DataFrame:
+def _searched(blocks: DataFrame, items: DataFrame, percent: int, search: Search) -> DataFrame:
     """Links ``(a, b)`` within each block of ``(block, part, node, component)``."""
     rows = blocks.join(items.select("node", "items"), "node").select("block", "part", "node", "component", "items")
     rows = rows.repartition("block", "part").sortWithinPartitions("block", "part", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in whole_groups(batches, 2):
-            nodes = group.column("node").to_numpy()
-            if nodes[0] == nodes[-1]:
-                continue
-            group = group.take(np.flatnonzero(np.append(True, nodes[1:] != nodes[:-1])))
-            nodes, comps = group.column("node").to_pylist(), group.column("component").to_pylist()
-            found = search(unpack(group.column("items").combine_chunks()), comps, percent)
-            if found:
-                yield pa.RecordBatch.from_pydict(
-                    {"a": pa.array([nodes[i] for i, _ in found], pa.int64()), "b": pa.array([nodes[j] for _, j in found], pa.int64())}
-                )
+        for table in whole_groups(batches, 2, together=True):
+            block, part, node = (table.column(k).to_numpy() for k in range(3))
+            new = np.append(True, (block[1:] != block[:-1]) | (part[1:] != part[:-1]))
+            kept = np.flatnonzero(new | np.append(True, node[1:] != node[:-1]))
+            node, comps = node[kept], table.column("component").to_numpy()[kept]
+            first = np.append(np.flatnonzero(new[kept]), len(kept))
+            items = table.column("items").take(pa.array(kept)).combine_chunks()
+            a, b = search(items, first, comps, percent)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], ["a", "b"])
 
     return rows.mapInArrow(run, "a long, b long")
 
 
+def _block_by_block(items: pa.Array, first: np.ndarray, components: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """``linked`` in each block, of ``packed`` sets."""
+    found = []
+    for low, high in pairwise(first.tolist()):
+        if high - low > 1:
+            sets = [unpacked(x.as_py()) for x in items[low:high]]
+            found += [(low + i, low + j) for i, j in linked(sets, components[low:high].tolist(), percent)]
+    return tuple(np.array(found, np.int64).reshape(-1, 2).T)
+
+
 def packed(values: np.ndarray) -> bytes:
     """The low six bytes of each 64-bit hash: most of what is shuffled are these."""
     return np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
@@ -256,8 +285,8 @@ def unpacked(data: bytes) -> np.ndarray:
     return out.reshape(-1).view(np.int64)
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """Cut sorted batches into the groups of their first columns; one group is held at a time."""
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int, together: bool = False) -> Iterator[pa.Table]:
+    """Cut sorted batches into the groups of their first columns; one group is held at a time, or ``together`` those that end in a batch."""
     held: list[pa.RecordBatch] = []
     last = None
     for batch in batches:
@@ -267,10 +296,11 @@ def whole_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Ta
         new = np.zeros(batch.num_rows, bool)
         for c in columns:
             new[1:] |= c[1:] != c[:-1]
-        begin = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+        inner = np.flatnonzero(new).tolist()
+        begin = [0, *(inner[-1:] if together else inner), batch.num_rows]
         for low, high in zip(begin, begin[1:], strict=False):
             key = tuple(c[low] for c in columns)
-            if key != last and held:
+            if key != last and held and not (together and low == 0):
                 yield pa.Table.from_batches(held)
                 held = []
             held.append(batch.slice(low, high - low))

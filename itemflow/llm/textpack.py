@@ -29,11 +29,12 @@ _S = np.uint64(33)
 
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (the finaliser of a public hash)."""
-    x = x ^ (x >> _S)
+    shifted = x >> _S
+    x = x ^ shifted
     x *= _M1
-    x ^= x >> _S
+    x ^= np.right_shift(x, _S, out=shifted)
     x *= _M2
-    x ^= x >> _S
+    x ^= np.right_shift(x, _S, out=shifted)
     return x
 
 
@@ -130,11 +131,19 @@ class Hasher:
         n = len(buf)
         powers, self.back = _powers(n + 1)
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum((buf.astype(np.uint64) + np.uint64(1)) * powers[:n], out=self.sums[1:])
+        terms = buf.astype(np.uint64)
+        terms += np.uint64(1)
+        terms *= powers[:n]
+        np.cumsum(terms, out=self.sums[1:])
 
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.sums[end] - self.sums[start]) * self.back[start])
 
+    def neighbours(self, at: np.ndarray, size: int) -> np.ndarray:
+        """Of the stretches from each place to the one that comes ``size`` places later."""
+        sums = self.sums[at]
+        return mix((sums[size:] - sums[:-size]) * self.back[at[:-size]])
+
 
 def windows(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Start and text of each window of ``size`` neighbouring spans that stays in one text."""
