@@ -55,15 +55,20 @@ def components(
     members = stored(members, f"{name}-members")
 
     forget_shuffles(members)
-    nodes = stored(members.groupBy("node").agg(F.min("hub").alias("hub"), F.max("n").alias("n")), f"{name}-nodes")
-    items = stored(sets(NodeFilter.of(nodes.select("node"))), f"{name}-sets")
+    near = members
+    if spare:  # a set meets those around a hub with which it shares enough keys itself; all other pairs are for the second search
+        near = members.where("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("keys"), F.max("n").alias("n"), F.max("m").alias("m"))
+        near = near.where(_enough(percent, spare))
+    nodes = stored(near.groupBy("node").agg(F.min("hub").alias("hub"), F.max("n").alias("n")), f"{name}-nodes")
+    items = stored(sets(NodeFilter.of(members.select("node"))), f"{name}-sets")
+    forget_shuffles(items)
     spread = nodes.groupBy("hub").agg(F.count("*").alias("count"), F.sum("n").alias("weight")).select("hub", _parts().alias("parts"))
     dealt = nodes.join(spread, "hub")
     dealt = dealt.select(F.col("hub").alias("block"), F.expr("pmod(xxhash64(node), parts)").alias("part"), "node")
     dealt = stored(dealt, f"{name}-cells")
     centres = dealt.select("block", "part", F.col("block").alias("node"))
     first = dealt.unionByName(centres).distinct().withColumn("component", F.col("node"))
-    links = stored(_searched(first, items, percent, search), f"{name}-links")
+    links = stored(_searched(first, _of_nodes(items, first) if spare else items, percent, search), f"{name}-links")
 
     forget_shuffles(members)
     labels = connected(links, f"{name}-components")
@@ -71,12 +76,30 @@ def components(
     rest = _unsettled(rest, name, least)
     if rest.isEmpty():
         return labels
-    more = _searched(_between(rest, labels, percent, spare, name), items, percent, search)
+    again = _between(rest, labels, percent, spare, name)
+    if spare:
+        again = stored(again, f"{name}-again")
+        items = _of_nodes(items, again)
+    forget_shuffles(members)
+    more = _searched(again, items, percent, search)
     return connected(links.unionByName(stored(more, f"{name}-links")), f"{name}-components")
 
 
+def _of_nodes(items: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The items of the nodes of some blocks, and few others: large sets that take no part are not shuffled."""
+    keep = NodeFilter.of(blocks.select("node"))
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = batch.filter(pa.array(keep.mask(batch.column(0).to_numpy().view(np.uint64))))
+            if kept.num_rows:
+                yield kept
+
+    return items.select("node", "items").mapInArrow(some, "node long, items binary")
+
+
 def _shared_lists(entries: DataFrame) -> DataFrame:
-    """``(key, node, n, hub)`` of the keys of several nodes, each node once; ``hub`` is the key's smallest.
+    """``(key, node, n, hub, m)`` of the keys of several nodes, each node once; ``hub`` is the key's smallest, with ``m`` items.
 
     One shuffle and sort of the entries, whatever their number: most keys are of one set alone and go where they were sorted.
     A list is read row by row, however long it is.
@@ -99,9 +122,9 @@ def _shared_lists(entries: DataFrame) -> DataFrame:
             shown = (shown and begin[-1] == 0) or begin[-1] in hubs
             hub, last = [x[begin[-1:]] for x in (key, node, n)], node[-1:]
             if len(at):
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key[at], node[at], n[at], node[begin[at]])], ["key", "node", "n", "hub"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key[at], node[at], n[at], node[begin[at]], n[begin[at]])], ["key", "node", "n", "hub", "m"])
 
-    return rows.mapInArrow(several, "key long, node long, n long, hub long")
+    return rows.mapInArrow(several, "key long, node long, n long, hub long, m long")
 
 
 def _parts() -> Column:

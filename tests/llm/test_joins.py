@@ -4,12 +4,14 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from itemflow.llm import line_dedup, setlinks
+from itemflow.llm import jaccard_join, line_dedup, setlinks
 from itemflow.llm.connect import connected
 from itemflow.llm.jaccard_join import jaccard_components
 from itemflow.llm.line_dedup import dedup_lines, line_groups
+from itemflow.llm.scratch import stored
 
 AZ = bytes(range(65, 91))
 LOWER = bytes.maketrans(AZ, AZ.lower())
@@ -209,3 +211,27 @@ def test_pairs_that_cannot_link_are_told_by_their_keys():
         first = [x[: len(x) + (-90 * len(x) // 100) + 1 + len(x) // 32] for x in (a, b)]
         shared = np.array([len(np.intersect1d(*first))])
         assert setlinks.enough(np.array([len(a)]), len(b), shared, 90, 32).all()
+
+
+def test_keys_of_several_sets_are_found_by_one_shuffle(spark):
+    rows = [(1, 5, 2), (1, 3, 2), (1, 5, 2), (2, 7, 2), (2, 7, 2), (3, 9, 2), (3, -4, 2), (3, 8, 2)]
+    lists = setlinks._shared_lists(spark.createDataFrame(rows, "key long, node long, n int"))
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    assert sorted((r.key, r.node, r.hub) for r in lists.collect()) == [(1, 3, 3), (1, 5, 3), (3, -4, -4), (3, 8, -4), (3, 9, -4)]
+
+
+def test_small_blocks_of_lines_are_compared_together(monkeypatch):
+    monkeypatch.setattr(line_dedup, "_alike", lambda *_: pytest.fail("one block by itself"))
+    lines = [b"the same line of text", b"the same line of text!", b"quite another one", b"the same line of text", b"nothing like it at all"]
+    a, b = line_dedup._linked_lines(pa.array(lines, pa.binary()), np.array([0, 3, 4, 5]), np.arange(5), 80, 8)
+    assert list(zip(a.tolist(), b.tolist(), strict=True)) == [(0, 1)]
+
+
+def test_frequent_shingles_stand_out_among_many_rare_ones(docs):
+    texts = [" ".join([f"w{i}x{k}" for k in range(150)] + [f"often{k}" for k in range(20)] * (i < 4)) for i in range(2000)]
+    source = docs(*texts).selectExpr("doc_id AS id", "text")
+    seen = stored(jaccard_join._scan_sets(source, source.schema["id"].dataType, 3, jaccard_join.SKETCH_BITS), "test-sets")
+    levels = jaccard_join._frequency_levels(seen, jaccard_join.SKETCH_BITS)
+    four = 4 * np.log2(4) + 1
+    assert (levels >= four).mean() < 0.01
