@@ -1,8 +1,8 @@
 """SentencePiece encoding that keeps, for every piece, the bytes of the original text it came from.
 
 The text is normalised by the longest prefix that the model's compiled character map knows, with the source
-of every normalised character at hand. Byte-pair merges then run on all different words of a few
-megabytes at once; a word starts where an escaped space follows another character, and around
+of every normalised character at hand. Byte-pair merges then run on all different words of half a
+megabyte at once; a word starts where an escaped space follows another character, and around
 characters that no piece has: no piece crosses these places. Models: byte-pair, byte fallback, spaces as prefixes.
 """
 
@@ -26,6 +26,8 @@ SPACE = 0x2581
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Longer words are merged one by one with a heap.
 WIDE = 32
+#: Bytes of text that are encoded at once; the arrays beside them take some seventy times as much.
+PIECE = 512 << 10
 NO_RANK = np.iinfo(np.int32).max
 
 
@@ -367,6 +369,20 @@ def encode_texts(model: PieceModel, texts: textpack.Texts, *, eos: bool = True)
     return Encoded(ids, start, stop, np.concatenate([[0], np.cumsum(counts)]))
 
 
+def _encoded(model: PieceModel, batch: pa.RecordBatch, eos: bool) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch of ids and texts, encoded and decoded, a batch for each piece of it."""
+    for texts in textpack.pieces(batch.column(1), PIECE):
+        made = encode_texts(model, texts, eos=eos)
+        cuts = list(zip(made.first[:-1].tolist(), made.first[1:].tolist(), strict=True))
+        decoded = [model.decode(made.ids[a:b]) for a, b in cuts]
+        offsets = pa.array(made.first, pa.int32())
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32))) for x in (made.ids, made.start, made.stop)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0)[texts.rows], *lists, pa.array(decoded, pa.binary()).cast(pa.string())],
+            ["_id", "ids", "starts", "stops", "decoded"],
+        )
+
+
 def encode_documents(
     docs: DataFrame, model_file: str, *, eos: bool = True, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -376,7 +392,7 @@ def encode_documents(
     the bytes ``starts[i]`` up to ``stops[i]`` of the UTF-8 text; pieces for single bytes have the span of their
     whole character, the added first space and the end id an empty one. ``decoded`` is the text of the ids.
     Null is an empty text. The model file is read on the driver and goes to the tasks, so executors
-    need no copy. Whole texts are encoded, a few megabytes at a time; other columns are not read.
+    need no copy. Whole texts are encoded, half a megabyte at a time; other columns are not read.
     """
     with open(model_file, "rb") as f:
         model = shared(docs.sparkSession, PieceModel(f.read()))
@@ -384,16 +400,7 @@ def encode_documents(
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model()
         for batch in batches:
-            for texts in textpack.pieces(batch.column(1), 2 << 20):
-                made = encode_texts(own, texts, eos=eos)
-                cuts = list(zip(made.first[:-1].tolist(), made.first[1:].tolist(), strict=True))
-                decoded = [own.decode(made.ids[a:b]) for a, b in cuts]
-                offsets = pa.array(made.first, pa.int32())
-                lists = [pa.ListArray.from_arrays(offsets, pa.array(x.astype(np.int32))) for x in (made.ids, made.start, made.stop)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[texts.rows], *lists, pa.array(decoded, pa.binary()).cast(pa.string())],
-                    ["_id", "ids", "starts", "stops", "decoded"],
-                )
+            yield from _encoded(own, batch, eos)
 
     source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
     ints = T.ArrayType(T.IntegerType())

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 import unicodedata
 
 import numpy as np
@@ -103,6 +104,20 @@ def test_encoding_is_the_library_s(docs):
         assert r.ids == ids and r.decoded == library.decode(ids)
 
 
+def test_memory_of_encoding_follows_the_piece_not_the_batch():
+    model = sp_encode.PieceModel(open(tokenizer_path("piece_bpe_32k.model"), "rb").read())
+    draw = random.Random(8)
+    words = ["".join(draw.choices("etaoinshr", k=draw.randrange(1, 9))) for _ in range(3000)]
+    texts = [" ".join(draw.choices(words, k=400)) for _ in range(1800)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["_id", "_text"])
+    assert batch.nbytes > 3 << 20
+    tracemalloc.start()
+    rows = sum(made.num_rows for made in sp_encode._encoded(model, batch, True))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == len(texts) and most < 64 << 20
+
+
 def test_spans_cover_the_text_and_hold_their_pieces(docs):
     texts = ["Hello  wörld\n日本 ﬁ", "a b"]
     model = sp_encode.PieceModel(open(tokenizer_path("piece_bpe_32k.model"), "rb").read())
