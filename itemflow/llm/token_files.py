@@ -34,11 +34,13 @@ SHARE = 32
 #: Every so many symbols their position is stored.
 MARK = 256
 MAGIC = b"RPG1"
-#: Words are remembered up to so many bytes of them.
-REMEMBERED = 8 << 20
+#: So many words are remembered, or so many bytes of them, each word in one of so many places.
+REMEMBERED, REMEMBERED_BYTES, PROBES = 1 << 20, 12 << 20, 8
+#: Bytes of text that are encoded at once.
+PIECE = 512 << 10
 #: A number sign: a word of its own wherever it stands, so words between two of them are encoded as if alone.
 SIGN, TOGETHER = "\u2460".encode(), 256
-_HASH, _BITS = np.uint64(0x9E3779B97F4A7C15), 18
+_HASH, _BITS = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77)), 18
 
 
 def spread(start: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -122,30 +124,32 @@ def compress(ids: np.ndarray, least: int = LEAST) -> Grammar:
     if len(ids) and int(ids.max()) < 1 << 22:
         there = np.zeros(int(ids.max()) + 1, bool)
         there[ids] = True
-        terminals, seq = np.flatnonzero(there).astype(np.uint32), (np.cumsum(there, dtype=np.int64) - 1)[ids]
+        terminals, seq = np.flatnonzero(there).astype(np.uint32), (np.cumsum(there, dtype=np.uint32) - np.uint32(1))[ids]
     else:
         terminals, seq = np.unique(ids, return_inverse=True)
+        seq = seq.astype(np.uint32)
     n = len(terminals)
     length = np.ones(n, np.int64)
     left, right, rounds = [], [], []
     limit = len(seq)
     while len(seq) > 1:
-        keys = (seq[:-1] << 32) | seq[1:]
-        slot = ((keys.view(np.uint64) * _HASH) >> np.uint64(64 - _BITS)).astype(np.int64)
+        slot = ((seq[:-1] * _HASH[0] + seq[1:] * _HASH[1]) >> np.uint32(32 - _BITS)).astype(np.int64)
         full = np.bincount(slot, minlength=1 << _BITS)  # at least as many as any pair in the slot
         limit = max(least, min(limit, int(full.max()) // SHARE))
         while True:
             at = np.flatnonzero((full >= limit)[slot])
-            pairs, counts = np.unique(keys[at], return_counts=True)
+            keys, counts, which = _counted(seq[at].astype(np.int64) << 32 | seq[at + 1])
             often = counts >= limit
             if often.any() or limit == least:
                 break
             limit = max(least, limit // SHARE)
         if not often.any():
             break
-        pairs = _apart(pairs[often], counts[often])
-        found = np.searchsorted(pairs, keys[at]).clip(max=len(pairs) - 1)
-        hit = pairs[found] == keys[at]
+        pairs = _apart(keys[often], counts[often])
+        number = np.full(len(keys), -1, np.int64)
+        number[np.searchsorted(keys, pairs)] = np.arange(len(pairs))
+        found = number[which]
+        hit = found >= 0
         at, found = at[hit], found[hit]
         twin = (pairs >> 32) == (pairs & 0xFFFFFFFF)
         if twin.any():
@@ -158,7 +162,7 @@ def compress(ids: np.ndarray, least: int = LEAST) -> Grammar:
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
         seq[at] = n + found
-        seq = seq[stay]
+        seq = seq[np.flatnonzero(stay)]
         n += len(pairs)
     none = np.zeros(0, np.int64)
     position = np.cumsum(length[seq]) - length[seq]
@@ -168,6 +172,21 @@ def compress(ids: np.ndarray, least: int = LEAST) -> Grammar:
     )
 
 
+def _codes(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values as they first come, and which of them each value is."""
+    made = pa.array(values).dictionary_encode()
+    return made.dictionary.to_numpy(), made.indices.to_numpy()
+
+
+def _counted(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different values, ascending, how often each is there, and which of them each value is."""
+    some, which = _codes(values)
+    order = np.argsort(some)
+    place = np.empty(len(some), np.int64)
+    place[order] = np.arange(len(some))
+    return some[order], np.bincount(which, minlength=len(some))[order], place[which]
+
+
 def _apart(pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Pairs, ascending, of which no two occurrences overlap: taken by count, each symbol on one side only."""
     side: dict[int, int] = {}
@@ -196,6 +215,75 @@ def _every_second(at: np.ndarray, found: np.ndarray, twin: np.ndarray) -> tuple[
     return at[keep], found[keep]
 
 
+class Column:
+    """An array that grows at its end."""
+
+    def __init__(self, kind: type):
+        self.data, self.n = np.empty(1 << 12, kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        n = self.n + len(values)
+        if n > len(self.data):
+            grown = np.empty(max(n, 2 * len(self.data)), self.data.dtype)
+            grown[: self.n] = self.data[: self.n]
+            self.data = grown
+        self.data[self.n : n] = values
+        self.n = n
+
+
+class Remembered:
+    """Ids of words, which are found by hash and then compared byte by byte; at most ``most`` words."""
+
+    def __init__(self, most: int):
+        self.bits = (2 * most - 1).bit_length()
+        self.hashes = np.zeros(1 << self.bits, np.uint64)  # 0: free
+        self.word = np.zeros(1 << self.bits, np.int32)
+        self.first, self.size, self.text = Column(np.int64), Column(np.int32), Column(np.uint8)
+        self.first_id, self.n_ids, self.ids = Column(np.int64), Column(np.int32), Column(np.uint32)
+
+    def __len__(self) -> int:
+        return self.size.n
+
+    def _slots(self, hashes: np.ndarray, k: int) -> np.ndarray:
+        return ((hashes >> np.uint64(64 - self.bits)).astype(np.int64) + k) & ((1 << self.bits) - 1)
+
+    def find(self, hashes: np.ndarray, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The number of each word ``buf[start:end]``, -1 if it is not here."""
+        word, left = np.full(len(hashes), -1, np.int64), np.arange(len(hashes))
+        for k in range(PROBES):
+            slot = self._slots(hashes[left], k)
+            there = self.hashes[slot]
+            same = there == hashes[left]
+            word[left[same]] = self.word[slot[same]]
+            left = left[~same & (there != 0)]
+        size = end - start
+        known = np.flatnonzero(word >= 0)
+        other = self.size.data[word[known]] != size[known]
+        word[known[other]] = -1
+        known = known[~other]
+        counts = size[known]
+        unlike = self.text.data[spread(self.first.data[word[known]], counts)] != buf[spread(start[known], counts)]
+        if unlike.any():
+            word[known[np.repeat(np.arange(len(known)), counts)[unlike]]] = -1
+        return word
+
+    def add(self, hashes: np.ndarray, words: list[bytes], ids: list[bytes]) -> None:
+        """New words. One for which all its places are taken is not found again."""
+        number, left = np.arange(len(words)) + len(self), np.arange(len(words))
+        for k in range(PROBES):
+            slot = self._slots(hashes[left], k)
+            free = self.hashes[slot] == 0
+            self.hashes[slot[free]] = hashes[left[free]]
+            self.word[slot[free]] = number[left[free]]
+            placed = free & (self.word[slot] == number[left])
+            left = left[~placed]
+        for first, size, pool, made, width in ((self.first, self.size, self.text, words, 1), (self.first_id, self.n_ids, self.ids, ids, 4)):
+            sizes = np.fromiter(map(len, made), np.int64, len(made)) // width
+            first.add(np.cumsum(sizes) - sizes + pool.n)
+            size.add(sizes)
+            pool.add(np.frombuffer(b"".join(made), pool.data.dtype))
+
+
 class WordEncoder:
     """The ``tokenizers`` library over whole texts, with the ids of each different word remembered.
 
@@ -210,8 +298,7 @@ class WordEncoder:
         self.library = Tokenizer.from_str(spec)
         made = json.loads(spec)
         self.by_word = _drops_space(made) and not any(set(t["content"]) & set(" \t\n\v\f\r") for t in made["added_tokens"])
-        self.known: dict[bytes, bytes] = {}
-        self.size = 0
+        self.known = Remembered(REMEMBERED)
         self.final = np.zeros(self.library.get_vocab_size(), bool)
         if self.by_word:
             suffix = made["model"]["end_of_word_suffix"]
@@ -262,38 +349,43 @@ class WordEncoder:
 
     def __call__(self, texts: textpack.Texts) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and where each text's start."""
-        data = texts.buf.tobytes()
         if not self.by_word:
+            data = texts.buf.tobytes()
             made = self._encode([data[a:b] for a, b in zip(texts.starts.tolist(), texts.ends.tolist(), strict=True)])
             return np.frombuffer(b"".join(made), np.uint32), np.cumsum([0, *(len(m) // 4 for m in made)])
         texts, words = _words(texts)
-        data = texts.buf.tobytes()
-        _, where, which = np.unique(texts.hasher()(words.start, words.end), return_index=True, return_inverse=True)
-        parts = [data[a:b] for a, b in zip(words.start[where].tolist(), words.end[where].tolist(), strict=True)]
-        if self.size > REMEMBERED:
-            self.known.clear()
-            self.size = 0
-        new = [p for p in parts if p not in self.known]
-        own = self._encode_words(new)
-        self.known.update(own)
-        self.size += sum(map(len, new))
-        made = [self.known[p] for p in parts]
-        size = np.fromiter(map(len, made), np.int64, len(made)) // 4
-        start = np.cumsum(size) - size
-        pool = np.frombuffer(b"".join(made), np.uint32)
-        counts = size[which] if len(words) else np.zeros(0, np.int64)
-        ids = pool[spread(start[which], counts)] if len(words) else np.zeros(0, np.uint32)
+        some, which = _codes(texts.hasher()(words.start, words.end))
+        where = np.empty(len(some), np.int64)
+        where[which[::-1]] = np.arange(len(which))[::-1]  # the first of each
+        some = np.maximum(some, np.uint64(1))
+        start, end = words.start[where], words.end[where]
+        number = self.known.find(some, texts.buf, start, end)
+        new = np.flatnonzero(number < 0)
+        if len(self.known) + len(new) > REMEMBERED or self.known.text.n + int((end - start)[new].sum()) > REMEMBERED_BYTES:
+            self.known = Remembered(max(REMEMBERED, len(some)))
+            new = np.arange(len(some))
+        if len(new):
+            data = texts.buf.tobytes()
+            parts = [data[a:b] for a, b in zip(start[new].tolist(), end[new].tolist(), strict=True)]
+            own = self._encode_words(parts)
+            number[new] = np.arange(len(new)) + len(self.known)
+            self.known.add(some[new], parts, [own[p] for p in parts])
+        known = number[which]
+        counts = self.known.n_ids.data[known].astype(np.int64)
+        ids = self.known.ids.data[spread(self.known.first_id.data[known], counts)]
         return ids, np.concatenate([[0], np.cumsum(counts)])[words.first]
 
 
-#: Letters, digits and other signs, of ASCII; white space and what is cut by other rules are 0.
-_KIND = np.zeros(256, np.uint8)
+#: White space, letters, digits, other signs and control characters of ASCII; what is cut by other rules is WHOLE.
+WHOLE = 4
+_KIND = np.full(256, WHOLE, np.uint8)
+_KIND[0x00:0x80] = 5
 _KIND[0x21:0x7F] = 3
 _KIND[0x30:0x3A] = 2
-_KIND[0x61:0x7B] = 1
-_WHOLE = np.ones(256, bool)
-_WHOLE[0:0x80] = False
-_WHOLE[[*b"'<"]] = True
+_KIND[0x41:0x5B] = _KIND[0x61:0x7B] = 1
+_KIND[[*b"'<"]] = WHOLE
+_KIND[textpack.SPACE] = 0
+_KINDS, _LOWER = _KIND.tobytes(), textpack.LOWER.tobytes()
 
 
 def _words(texts: textpack.Texts) -> tuple[textpack.Texts, textpack.Spans]:
@@ -301,19 +393,28 @@ def _words(texts: textpack.Texts) -> tuple[textpack.Texts, textpack.Spans]:
 
     Words with other characters, with an apostrophe (some endings belong to it) or with a sign that may begin a special string stay whole.
     """
-    words = texts.runs(textpack.NOT_SPACE)
-    before = np.concatenate([[0], np.cumsum(_WHOLE[texts.buf], dtype=np.int32)])
-    plain = before[words.end] == before[words.start]
-    own = np.zeros(len(texts.buf), bool)
-    own[textpack.NOT_SPACE[texts.buf]] = np.repeat(plain, words.end - words.start)
-    buf = np.where(own, textpack.LOWER[texts.buf], texts.buf)
-    kind = _KIND[buf]
-    edge = np.zeros(len(buf), bool)
-    edge[1:] = (kind[1:] != kind[:-1]) & own[1:] & own[:-1]
-    edge[words.start] = True
-    start = np.flatnonzero(edge)
-    word = np.searchsorted(words.start, start, side="right") - 1
-    end = np.minimum(np.append(start[1:], len(buf)), words.end[word]) if len(start) else start
+    n, data = len(texts.buf), texts.buf.tobytes()
+    kind = np.frombuffer(data.translate(_KINDS), np.uint8)
+    head = np.zeros(n + 1, bool)
+    head[texts.starts] = True
+    edge = head.copy()
+    edge[1:n] |= kind[1:] != kind[:-1]
+    edge[n] = True
+    at = np.flatnonzero(edge)
+    kinds = kind[at[:-1]]
+    start, end, kinds = at[:-1][kinds > 0], at[1:][kinds > 0], kinds[kinds > 0]
+    begins = np.ones(len(start), bool)  # where a word does
+    begins[1:] = (start[1:] != end[:-1]) | head[start[1:]]
+    word = np.cumsum(begins) - 1
+    whole = np.zeros(len(start), bool)
+    whole[word[kinds == WHOLE]] = True
+    buf = np.frombuffer(bytearray(data.translate(_LOWER)), np.uint8)
+    if whole.any():
+        whole = whole[word]
+        same = spread(start[whole], (end - start)[whole])
+        buf[same] = texts.buf[same]
+        ends = np.append(begins[1:], True)
+        start, end = start[begins | ~whole], end[ends | ~whole]
     lowered = textpack.Texts(buf, texts.starts, texts.ends, texts.row)
     return lowered, textpack.Spans(start, end, lowered.index(start))
 
@@ -365,7 +466,7 @@ def write_token_files(
 
         held = 0
         for batch in batches:
-            for texts in textpack.pieces(batch.column(1), 2 * textpack.PIECE):
+            for texts in textpack.pieces(batch.column(1), PIECE):
                 made, first = encoder(texts)
                 for k in range(len(texts)):
                     own = np.concatenate([made[first[k] : first[k + 1]], tail])
@@ -389,11 +490,18 @@ def write_token_files(
     dealt.select("_key", "_text").mapInArrow(shards, schema).write.parquet(path)
 
 
+def _parts(ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The ids up to each end as little-endian unsigned 32-bit integers, one value after the other."""
+    offsets = np.concatenate([[0], ends]).astype(np.int64) * 4
+    made = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(ids.astype("<u4"))])
+    return made.cast(pa.binary())
+
+
 def read_token_files(spark: SparkSession, path: str, key: str = "doc_id") -> DataFrame:
     """``(<key>, start, n_tokens, ids)`` of every document in the files of ``path``.
 
     ``start`` is the number of ids of all documents before it; ``ids`` are its ids as little-endian unsigned 32-bit
-    integers. Only the symbols that cover a document are decoded for it.
+    integers. A shard is decoded at once; ``Grammar.ids`` decodes a stretch from the symbols that cover it.
     """
     table = spark.read.parquet(path)
     kind = table.schema["keys"].dataType.elementType
@@ -407,11 +515,10 @@ def read_token_files(spark: SparkSession, path: str, key: str = "doc_id") -> Dat
             for k in range(batch.num_rows):
                 keys, ends = batch.column(1)[k].values, np.asarray(batch.column(2)[k].values)
                 grammar = Grammar.from_bytes(batch.column(3)[k].as_py())
-                bodies = grammar.bodies()
                 begins = np.concatenate([[0], ends[:-1]])
-                made = [grammar.ids(a, b, bodies).astype("<u4").tobytes() for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
+                made = _parts(grammar.ids(), ends)
                 yield pa.RecordBatch.from_arrays(
-                    [keys, pa.array(begins + batch.column(0)[k].as_py()), pa.array(ends - begins), pa.array(made, pa.binary())],
+                    [keys, pa.array(begins + batch.column(0)[k].as_py()), pa.array(ends - begins), made],
                     ["_key", "start", "n_tokens", "ids"],
                 )
 

@@ -2,16 +2,18 @@
 
 import hashlib
 import random
+import sys
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from itemflow.llm import queries
+from itemflow.llm import queries, textpack, token_files
 from itemflow.llm.merkle import build_manifest, folded, leaf_hash, proof_hash, proofs
 from itemflow.llm.queries import tokenizer_path
 from itemflow.llm.token_align import align_documents
@@ -135,6 +137,61 @@ def test_token_files_come_back_in_key_order(spark, tmp_path, shard):
     assert all(r.n_tokens * 4 == len(r.ids) for r in got)
 
 
+def word_encoder():
+    with open(tokenizer_path("word_bpe_49k.json"), encoding="utf-8") as f:
+        return token_files.WordEncoder(f.read())
+
+
+def encoded(encoder, texts, most):
+    out = []
+    for piece in textpack.pieces(pa.array(texts, pa.string()), most):
+        ids, first = encoder(piece)
+        out += [ids[a:b].tolist() for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+    return out
+
+
+def test_known_words_take_no_object_each(monkeypatch):
+    texts, encoder = [" ".join(f"{i:x}".translate(str.maketrans("0123456789", "ghijklmnop")) for i in range(20_000))] * 2, word_encoder()
+    spread, blocks = token_files.spread, []
+
+    def counted(start, counts):
+        blocks.append(sys.getallocatedblocks())
+        return spread(start, counts)
+
+    once = encoded(encoder, texts[:1], 1 << 20)
+    monkeypatch.setattr(token_files, "spread", counted)
+    before = sys.getallocatedblocks()
+    piece = next(textpack.pieces(pa.array(texts[1:]), 1 << 20))
+    ids = encoder(piece)[0]
+    assert ids.tolist() == once[0] and max(blocks) - before < 5_000
+
+
+@pytest.mark.parametrize("words, size", [(3, 1 << 20), (1 << 20, 40), (1 << 20, 1 << 20)])
+@pytest.mark.parametrize("most", [1, 300, 1 << 20])
+def test_words_are_the_library_s_when_few_are_remembered(monkeypatch, words, size, most):
+    monkeypatch.setattr(token_files, "REMEMBERED", words)
+    monkeypatch.setattr(token_files, "REMEMBERED_BYTES", size)
+    draw = random.Random(5)
+    texts = [t or "" for t in ODD if len(t or "") < 1000]
+    texts += ["".join(draw.choices("aBc1 '<é\n.①", k=draw.randrange(40))) for _ in range(400)]
+    library = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    encoder = word_encoder()
+    for _ in range(2):
+        assert encoded(encoder, texts, most) == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_words_of_one_hash_are_told_apart():
+    known = token_files.Remembered(64)
+    buf, hashes = np.frombuffer(b"abcdabxd", np.uint8), np.full(1, 77, np.uint64)
+    at = lambda a, b: (hashes, buf, np.array([a]), np.array([b]))
+    assert known.find(*at(0, 4)).tolist() == [-1]
+    known.add(hashes, [b"abcd"], [b"\x01\0\0\0"])
+    assert [known.find(*at(*x)).tolist() for x in ((0, 4), (4, 8), (0, 3))] == [[0], [-1], [-1]]
+    many = np.full(20, 78, np.uint64)
+    known.add(many, [b"ab"] * 20, [b""] * 20)
+    assert known.find(many[:1], buf, np.array([0]), np.array([2])).tolist() != [-1] and len(known) == 21
+
+
 def test_token_files_of_an_empty_table(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string")
     write_token_files(docs, tokenizer_path("word_bpe_49k.json"), f"{tmp_path}/files")
