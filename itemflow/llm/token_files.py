@@ -376,11 +376,10 @@ class WordEncoder:
         return ids, np.concatenate([[0], np.cumsum(counts)])[words.first]
 
 
-#: White space, letters, digits, other signs and control characters of ASCII; what is cut by other rules is WHOLE.
+#: White space, letters, digits and other signs (control characters too) of ASCII; what is cut by other rules is WHOLE.
 WHOLE = 4
 _KIND = np.full(256, WHOLE, np.uint8)
-_KIND[0x00:0x80] = 5
-_KIND[0x21:0x7F] = 3
+_KIND[0x00:0x80] = 3
 _KIND[0x30:0x3A] = 2
 _KIND[0x41:0x5B] = _KIND[0x61:0x7B] = 1
 _KIND[[*b"'<"]] = WHOLE

@@ -173,7 +173,7 @@ def test_words_are_the_library_s_when_few_are_remembered(monkeypatch, words, siz
     monkeypatch.setattr(token_files, "REMEMBERED_BYTES", size)
     draw = random.Random(5)
     texts = [t or "" for t in ODD if len(t or "") < 1000]
-    texts += ["".join(draw.choices("aBc1 '<é\n.①", k=draw.randrange(40))) for _ in range(400)]
+    texts += ["".join(draw.choices("aBc1 '<é\n.①\x00\x01\x1c\x7f", k=draw.randrange(40))) for _ in range(400)]
     library = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
     encoder = word_encoder()
     for _ in range(2):
