@@ -1,8 +1,8 @@
-"""Alignment of two tokenisers over the same texts, by windows between space-marked tokens.
+"""Alignment of two tokenisers over the same texts, by words over which no token of either reaches.
 
-Both tokenise a whole text. Where a token of each ends at one byte and the next of each starts with a space, a
-window begins; windows are short and come again and again, so each different pair of id tuples (by a 64-bit hash of
-both) is aligned once in a block of documents and remembered. A document is its list of windows, and all it is asked for is a sum over
+A word is white space and what follows up to the next one; where a model has tokens that reach over that border, a
+whole text is one word. Words come again and again, so each different one (by a 64-bit hash of its bytes) is
+tokenised by both and aligned once in a block of documents and remembered, many new ones in one text. A document is its list of words, and all it is asked for is a sum over
 them. Which ids go together most often is counted over documents: blocks send each of their different id
 pairs once, with how many of their documents hold it, and get the corpus' counts back by joins on 64-bit
 numbers; texts and tokens stay where they are.
@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -26,14 +27,28 @@ from pyspark.sql import types as T
 
 from itemflow.llm import textpack
 from itemflow.llm.scratch import once_per_worker, stored
-from itemflow.llm.token_files import spread
+from itemflow.llm.token_files import Column, _counted, spread
 
 #: A block is closed once its texts have so many bytes; a longer text is a block of its own.
 BLOCK = 8 << 20
 #: Fixed value: the sign that stands for a space in pieces.
 SPACE_SIGN = "▁"
+#: Bytes of text that are cut into words at once.
+PIECE = 256 << 10
 #: Groups with more links than this are counted by different ids.
 SMALL = 64
+#: Pairs of documents with so many words are looked at together.
+HELD = 1 << 16
+#: So many new words are tokenised in one text.
+TOGETHER = 64
+#: Stands before new words, so that the first of them begins as it does in its text.
+BEFORE = b" a"
+#: What words begin with, and the last bytes of characters of two and three that Unicode counts, or once counted, as white space.
+BORDER = np.zeros(256, bool)
+BORDER[[0x0A, 0x20]] = True
+_WHITE: dict[int, list[int]] = {2: [], 3: []}
+for _c in "\x85\xa0\u1680\u180e\u2028\u2029\u202f\u205f\u3000\ufeff" + "".join(map(chr, range(0x2000, 0x200C))):
+    _WHITE[len(_c.encode())].append(int.from_bytes(_c.encode(), "big"))
 
 
 class Tokens:
@@ -74,6 +89,22 @@ class Pair:
         self.width = np.array([len(t) for t in texts], np.int64)
         self.digits = np.frombuffer(b"".join(t.ljust(most) for t in texts), np.uint8).reshape(-1, most)
         self.written = np.arange(most) <= self.width[:, None]
+        self.by_word = self._keeps_words(json.loads(spec))
+
+    def _keeps_words(self, spec: dict) -> bool:
+        """Whether a text's ids are those of its words, for both models."""
+        cut = spec["pre_tokenizer"] or {}
+        plain = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space", True)
+        plain = plain and not (spec["normalizer"] or spec["post_processor"] or spec["truncation"] or spec["padding"])
+        plain = plain and all(t["special"] for t in spec["added_tokens"])
+        pieces = [self.second.id_to_piece(i) for i in range(self.second.get_piece_size()) if not self.second.is_byte(i)]
+        over = re.compile(f"[^\\s{SPACE_SIGN}][\n {SPACE_SIGN}]")
+        probe = " a  \ufb01\u2460\xa0e\u0301\uff21\n "
+        same = self.second.normalize(probe) == (" " + probe).replace(" ", SPACE_SIGN)
+        if not (plain and same) or any(over.search(p) for p in pieces):
+            return False
+        a, b = self.encode([BEFORE[1:].decode()])
+        return self.a.bytes(_flat(a)).tobytes() == self.b.bytes(_flat(b)).tobytes() == BEFORE
 
     def _piece(self, i: int) -> bytes:
         piece = self.second.id_to_piece(i)
@@ -92,13 +123,16 @@ def _byte_letters() -> dict[int, str]:
 
 
 class Block:
-    """Windows and their linked id pairs, for some documents; windows are numbered as they come."""
+    """Words and their linked id pairs, for some documents; words are numbered as they come."""
 
     def __init__(self, pair: Pair, keep_groups: bool) -> None:
         self.pair, self.keep = pair, keep_groups
-        #: Known windows by the hash of their id tuples, ascending, with their numbers.
+        #: Known words by the hash of their bytes, ascending, with their numbers.
         self.hashes, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        #: Of each window in order: how many different pairs, which (a * ids of b + b), how often.
+        #: Of each word: whether its tokens have its bytes, how many tokens of a and b, groups and links, its groups as text.
+        self.good, self.totals = Column(bool), [Column(np.int64) for _ in range(4)]
+        self.groups: list[bytes] = []
+        #: Of each word in order: how many different pairs, which (a * ids of b + b), how often.
         self.counts: list[np.ndarray] = []
         self.codes: list[np.ndarray] = []
         self.times: list[np.ndarray] = []
@@ -109,74 +143,111 @@ class Block:
         self.windows: list[np.ndarray] = []
         self.bytes = 0
 
-    def add(self, keys: pa.Array, texts: list[str]) -> None:
-        """Tokenise and align some documents."""
-        pair = self.pair
-        ids_a, ids_b = pair.encode(texts)
-        data = [(" " + t).encode() if t else b"" for t in texts]
-        for k, body in enumerate(data):
-            if not body:
-                ids_a[k], ids_b[k] = [], []
-        a, b = _flat(ids_a), _flat(ids_b)
-        whole = np.frombuffer(b"".join(data), np.uint8)
-        sizes = np.array([len(d) for d in data], np.int64)
-        n_a, n_b = (np.array([len(i) for i in ids], np.int64) for ids in (ids_a, ids_b))
-        same = all((_sums(t.size[x], n) == sizes).all() and (t.bytes(x) == whole).all() for t, x, n in ((pair.a, a, n_a), (pair.b, b, n_b)))
-        if not same:
-            keep = [pair.a.bytes(_flat([x])).tobytes() == d == pair.b.bytes(_flat([y])).tobytes() for x, y, d in zip(ids_a, ids_b, data, strict=True)]
-            a, b = (_flat([i for i, k in zip(ids, keep, strict=True) if k]) for ids in (ids_a, ids_b))
-            sizes, n_a, n_b = sizes * keep, n_a * keep, n_b * keep
-        self.keys.append(keys)
-        self.bytes += len(whole)
-        self._align(a, b, sizes, n_a, n_b)
-
-    def _align(self, a: np.ndarray, b: np.ndarray, sizes: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> None:
-        """Cut the tokens of some documents, joined, into groups and windows."""
-        pair, n = self.pair, int(sizes.sum())
-        ends_a, ends_b = np.cumsum(pair.a.size[a]), np.cumsum(pair.b.size[b])
-        start_a, start_b = ends_a - pair.a.size[a], ends_b - pair.b.size[b]
-        both, marked = np.zeros(n + 1, np.uint8), np.zeros(n + 1, np.uint8)
-        both[ends_a] = 1
-        both[ends_b] += 1
-        both = both == 2
-        marked[start_a[pair.a.spaced[a]]] = 1
-        marked[start_b[pair.b.spaced[b]]] += 1
+    def add(self, keys: pa.Array, texts: textpack.Texts) -> None:
+        """Cut some documents into words and tokenise and align those that are new."""
+        full = texts.ends > texts.starts
+        body = np.insert(texts.buf, texts.starts[full], 32)
+        sizes = texts.ends - texts.starts + full
         doc_at = np.cumsum(sizes) - sizes
-        begins = both & (marked == 2)
-        begins[doc_at[sizes > 0]] = True
-        at = np.flatnonzero(begins[:n])
-        group_at = np.cumsum(both)  # groups that end up to each byte
-        in_a, in_b = (np.bincount(group_at[s], minlength=int(group_at[-1])) for s in (start_a, start_b))
-        first_group = np.append(group_at[at], group_at[-1])
-        low_a, low_b = (np.append(np.searchsorted(s, at), len(t)) for s, t in ((start_a, a), (start_b, b)))
-        which = self._known(a, b, low_a, low_b, in_a, in_b, first_group)
-        per_doc = np.diff(np.append(np.searchsorted(at, doc_at), len(at)))
-        groups_of = np.diff(np.append(group_at[doc_at], group_at[-1]))
-        self.docs.append(np.stack([n_a, n_b, groups_of, _sums(in_a * in_b, groups_of), per_doc]))
+        start = _word_starts(body, doc_at[full], self.pair.by_word)
+        end = np.append(start[1:], len(body))[: len(start)]
+        per_doc = np.diff(np.append(np.searchsorted(start, doc_at), len(start)))
+        which = self._known(body, start, end)
+        lost = _sums(~self.good.data[which], per_doc) > 0
+        which, per_doc = which[~np.repeat(lost, per_doc)], np.where(lost, 0, per_doc)
+        self.keys.append(keys)
+        self.bytes += len(body)
+        self.docs.append(np.stack([*(_sums(c.data[which], per_doc) for c in self.totals), per_doc]))
         self.windows.append(which.astype(np.uint32))
-        self._write_groups(a, b, in_a, in_b, groups_of)
-
-    def _known(self, a, b, low_a, low_b, in_a, in_b, first_group) -> np.ndarray:
-        """The number of each window; those that are new are aligned, each different one once."""
-        if len(low_a) < 2:
-            return np.zeros(0, np.int64)
-        hashes = textpack.mix(textpack.Hasher(a)(low_a[:-1], low_a[1:])) + textpack.Hasher(b)(low_b[:-1], low_b[1:])
-        found, where, which = np.unique(hashes, return_index=True, return_inverse=True)
+        whole, stops = which.tolist(), np.cumsum(per_doc).tolist()
+        for low, high in zip([0, *stops], stops):
+            own = b"".join(map(self.groups.__getitem__, whole[low:high]))[:-1]
+            self.digests.append(hashlib.sha256(own).hexdigest() if own else "")
+            self.texts.append(own.decode() if self.keep else None)
+
+    def _known(self, body: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The number of each word; those that are new are tokenised and aligned, each different one once."""
+        found, where, which = _first(textpack.Hasher(body)(start, end))
         at = np.searchsorted(self.hashes, found)
         old = np.zeros(len(found), bool)
         inside = at < len(self.hashes)
         old[inside] = self.hashes[at[inside]] == found[inside]
         numbers = np.empty(len(found), np.int64)
         numbers[old] = self.numbers[at[old]]
-        new = ~old
-        numbers[new] = len(self.hashes) + np.arange(int(new.sum()))
-        self.hashes = np.insert(self.hashes, at[new], found[new])
-        self.numbers = np.insert(self.numbers, at[new], numbers[new])
-        self._link(a, b, in_a, in_b, first_group[where[new]], first_group[where[new] + 1])
+        new = np.flatnonzero(~old)
+        if len(new):
+            data = body.tobytes()
+            low, high = start[where[new]], end[where[new]]
+            words = [data[i:j] for i, j in zip(low.tolist(), high.tolist(), strict=True)]
+            numbers[new] = len(self.hashes) + np.arange(len(new))
+            self.hashes = np.insert(self.hashes, at[new], found[new])
+            self.numbers = np.insert(self.numbers, at[new], numbers[new])
+            self._learn(words, _solid(body, high))
         return numbers[which]
 
+    def _learn(self, words: list[bytes], solid: np.ndarray) -> None:
+        """Number new words, in order. One whose tokens' bytes differ from it has none, and ``good`` tells.
+
+        Words that end in white space stand at the end of a text and so are tokenised alone.
+        """
+        pair = self.pair
+        some = np.flatnonzero(solid).tolist() if pair.by_word else []
+        alone = np.flatnonzero(~solid).tolist() if pair.by_word else list(range(len(words)))
+        groups = [some[i : i + TOGETHER] for i in range(0, len(some), TOGETHER)] + [[k] for k in alone]
+        before = BEFORE if pair.by_word else b""
+        bodies = [before + b"".join([words[k] for k in g]) for g in groups]
+        ids_a, ids_b, same = self._tokenised(bodies)
+        if not all(same):
+            odd = [[k] for g, s in zip(groups, same, strict=True) if not s for k in g]
+            made = self._tokenised([before + words[k] for k, in odd])
+            ids_a, ids_b = ([x for x, s in zip(ids, same, strict=True) if s] + y for ids, y in zip((ids_a, ids_b), made, strict=False))
+            groups = [g for g, s in zip(groups, same, strict=True) if s] + odd
+            same = [True] * (len(groups) - len(odd)) + made[2]
+        kept = [(g, x, y) for g, x, y, s in zip(groups, ids_a, ids_b, same, strict=True) if s]
+        order = np.array([k for g, _, _ in kept for k in ([-1, *g] if before else g)], np.int64)
+        size = np.array([len(words[k]) if k >= 0 else len(before) for k in order.tolist()], np.int64)
+        self._align(len(words), order, size, _flat([x for _, x, _ in kept]), _flat([y for _, _, y in kept]))
+
+    def _tokenised(self, bodies: list[bytes]) -> tuple[list, list, list[bool]]:
+        """Ids of both for texts, given with the space before each, and whether both have the bytes of the text."""
+        pair = self.pair
+        ids_a, ids_b = pair.encode([b[1:].decode("utf-8", "replace") for b in bodies])
+        same = np.ones(len(bodies), bool)
+        whole, sizes = np.frombuffer(b"".join(bodies), np.uint8), np.array([len(b) for b in bodies], np.int64)
+        for made, tokens in ((ids_a, pair.a), (ids_b, pair.b)):
+            flat, n = _flat(made), np.array([len(i) for i in made], np.int64)
+            if (_sums(tokens.size[flat], n) == sizes).all():
+                same &= _sums(tokens.bytes(flat) != whole, sizes) == 0
+            else:
+                same &= [tokens.bytes(_flat([i])).tobytes() == b for i, b in zip(made, bodies, strict=True)]
+        return ids_a, ids_b, same.tolist()
+
+    def _align(self, count: int, order: np.ndarray, size: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+        """Groups and links of ``count`` new words, of which those of ``order`` stand in the tokens, joined; -1 is no word."""
+        pair, n, at = self.pair, int(size.sum()), np.cumsum(size) - size
+        ends_a, ends_b = np.cumsum(pair.a.size[a]), np.cumsum(pair.b.size[b])
+        start_a, start_b = ends_a - pair.a.size[a], ends_b - pair.b.size[b]
+        both = np.zeros(n + 1, np.uint8)
+        both[ends_a] = 1
+        both[ends_b] += 1
+        group_at = np.cumsum(both == 2)  # groups that end up to each byte
+        in_a, in_b = (np.bincount(group_at[s], minlength=int(group_at[-1])) for s in (start_a, start_b))
+        first_group = group_at[np.append(at, n)]
+        of = np.full(count, -1, np.int64)  # where each word stands
+        there = order >= 0
+        of[order[there]] = np.flatnonzero(there)
+        good = of >= 0
+        low, high = (np.where(good, first_group[of + k], 0) for k in (0, 1))
+        groups_of = high - low
+        group = spread(low, groups_of)
+        self.good.add(good)
+        for total, of_group in zip(self.totals, (in_a, in_b, np.ones(len(in_a), np.int64), in_a * in_b), strict=True):
+            total.add(_sums(of_group[group], groups_of))
+        self._write_groups(a, b, in_a, in_b, group, groups_of)
+        self._link(a, b, in_a, in_b, low, high)
+
     def _link(self, a, b, in_a, in_b, first: np.ndarray, last: np.ndarray) -> None:
-        """The different id pairs of some windows, given by their groups, and how often each is linked."""
+        """The different id pairs of some words, given by their groups, and how often each is linked."""
         group, window = spread(first, last - first), np.repeat(np.arange(len(first)), last - first)
         at_a, at_b = (np.cumsum(x) - x for x in (in_a, in_b))
         wide, links = len(self.pair.b.size), in_a[group] * in_b[group]
@@ -201,37 +272,33 @@ class Block:
         new[1:] = (window[1:] != window[:-1]) | (codes[1:] != codes[:-1])
         begin = np.flatnonzero(new)
         self.counts.append(np.bincount(window[begin], minlength=len(first)))
-        self.codes.append(codes[begin])
-        self.times.append(np.add.reduceat(times, begin) if len(begin) else times)
-
-    def _write_groups(self, a, b, in_a, in_b, groups_of) -> None:
-        """Digests of the documents' groups as text: ``a1,a2|b1;a3|b2``."""
-        size = in_a + in_b
-        start = np.cumsum(size) - size
-        total = len(a) + len(b)
+        self.codes.append(_narrow(codes[begin]))
+        self.times.append(_narrow(np.add.reduceat(times, begin) if len(begin) else times))
+
+    def _write_groups(self, a, b, in_a, in_b, group: np.ndarray, groups_of: np.ndarray) -> None:
+        """Each word's groups as text, ``a1,a2|b1;a3|b2;``."""
+        at_a, at_b = (np.cumsum(x) - x for x in (in_a, in_b))
+        n_a, n_b = in_a[group], in_b[group]
+        size = n_a + n_b
+        start, total = np.cumsum(size) - size, int(size.sum())
         ids, between = np.empty(total, np.int64), np.full(total, ord(","), np.uint8)
-        ids[spread(start, in_a)] = a
-        ids[spread(start + in_a, in_b)] = b
-        between[start + in_a - 1] = ord("|")
+        ids[spread(start, n_a)] = a[spread(at_a[group], n_a)]
+        ids[spread(start + n_a, n_b)] = b[spread(at_b[group], n_b)]
+        between[start + n_a - 1] = ord("|")
         between[start + size - 1] = ord(";")
         width = self.pair.width[ids]
         rows = self.pair.digits[ids]
         rows[np.arange(total), width] = between
-        text = rows[self.pair.written[ids]]
-        end = np.cumsum(width + 1)
-        ends = np.concatenate([[0], end])[np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(groups_of)])]].tolist()
-        whole = text.tobytes()
-        for low, high in zip(ends, ends[1:]):
-            own = whole[low : max(high - 1, low)]
-            self.digests.append(hashlib.sha256(own).hexdigest() if own else "")
-            self.texts.append(own.decode() if self.keep else None)
+        whole, end = rows[self.pair.written[ids]].tobytes(), np.cumsum(width + 1)
+        ends = np.concatenate([[0], end])[np.concatenate([[0], np.cumsum(size)])[np.cumsum(groups_of)]].tolist()
+        self.groups += [whole[low:high] for low, high in zip([0, *ends], ends)]
 
     def row(self, block: int) -> pa.RecordBatch:
         """All of the block in one row."""
         none = np.zeros(0, np.int64)
         docs, counts = np.concatenate(self.docs, axis=1), np.concatenate([none, *self.counts])
         windows = np.concatenate([np.zeros(0, np.uint32), *self.windows])
-        pairs, of = np.unique(np.concatenate([none, *self.codes]), return_inverse=True)
+        pairs, of = _counted(np.concatenate([none, *self.codes]))[::2]
         wide = len(self.pair.b.size)
         lists = [
             pa.concat_arrays(self.keys), *[pa.array(docs[c]) for c in range(4)], pa.array(self.digests, pa.string()), pa.array(self.texts, pa.string()),
@@ -243,6 +310,11 @@ class Block:
         return pa.RecordBatch.from_arrays(cells, COLUMNS)
 
 
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """The same numbers in as few bytes each as the largest needs."""
+    return values.astype(np.min_scalar_type(int(values.max(initial=0))))
+
+
 def _packed(values: np.ndarray) -> bytes:
     """Numbers in as many bytes each as the largest needs, 1, 2 or 4; the first byte tells."""
     width = next(w for w in (1, 2, 4) if not len(values) or int(values.max()) < 1 << 8 * w)
@@ -253,6 +325,36 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
 
 
+def _solid(body: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether what ends at each place is a character, and none that may count as white space."""
+    last = body[at - 1]
+    solid, high = last > 0x20, np.flatnonzero(last >= 0x80)
+    place = at[high]
+    two = body[place - 2].astype(np.int64) << 8 | body[place - 1]
+    three = body[np.maximum(place - 3, 0)].astype(np.int64) << 16 | two
+    solid[high[np.isin(two, _WHITE[2]) | np.isin(three, _WHITE[3])]] = False
+    return solid
+
+
+def _word_starts(body: np.ndarray, doc_at: np.ndarray, by_word: bool) -> np.ndarray:
+    """Where words begin: each text, and each white space behind a character that is none."""
+    head = np.zeros(len(body), bool)
+    head[doc_at] = True
+    if by_word:
+        border = BORDER[body]
+        at = np.flatnonzero(border[1:] & ~border[:-1]) + 1
+        head[at[_solid(body, at)]] = True
+    return np.flatnonzero(head)
+
+
+def _first(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different values, ascending, where each is first, and which of them each value is."""
+    found, which = _counted(values)[::2]
+    where = np.empty(len(found), np.int64)
+    where[which[::-1]] = np.arange(len(which))[::-1]
+    return found, where, which
+
+
 def _flat(lists: list[list[int]]) -> np.ndarray:
     return np.fromiter(chain.from_iterable(lists), np.int64, sum(map(len, lists)))
 
@@ -263,13 +365,19 @@ def _distinct(values: np.ndarray) -> np.ndarray:
 
 
 def _holders(windows: np.ndarray, per_doc: np.ndarray, counts: np.ndarray, of: np.ndarray, n_pairs: int) -> np.ndarray:
-    """How many documents hold each pair."""
-    n, first = max(len(counts), 1), np.cumsum(counts) - counts
-    own = _distinct(np.repeat(np.arange(len(per_doc)), per_doc) * n + windows)
-    doc, window = own // n, own % n
-    many = counts[window]
-    held = _distinct(np.repeat(doc, many) * max(n_pairs, 1) + of[spread(first[window], many)])
-    return np.bincount(held % max(n_pairs, 1), minlength=n_pairs)
+    """How many documents hold each pair; some documents with at least so many words at a time, as their pairs are many."""
+    n, wide, first, out = max(len(counts), 1), max(n_pairs, 1), np.cumsum(counts) - counts, np.zeros(n_pairs, np.int64)
+    stops, at, begin = np.cumsum(per_doc), 0, 0
+    while at < len(per_doc):
+        to = min(int(np.searchsorted(stops, begin + HELD)) + 1, len(per_doc))
+        end = int(stops[to - 1])
+        own = _distinct(np.repeat(np.arange(to - at), per_doc[at:to]) * n + windows[begin:end])
+        doc, window = own // n, own % n
+        many = counts[window]
+        held = _distinct(np.repeat(doc, many) * wide + of[spread(first[window], many)])
+        out += np.bincount(held % wide, minlength=n_pairs)
+        at, begin = to, end
+    return out
 
 
 def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -344,11 +452,11 @@ def align_documents(
         block = Block(pair, keep_groups)
         for batch in batches:
             column = batch.column(1)
-            for texts in textpack.pieces(column, textpack.PIECE // 2):
+            for texts in textpack.pieces(column, PIECE):
                 if block.bytes and block.bytes + len(texts.buf) > block_bytes:
                     yield block.row(number)
                     number, block = number + 1, Block(pair, keep_groups)
-                block.add(batch.column(0)[texts.rows], [t or "" for t in column[texts.rows].to_pylist()])
+                block.add(batch.column(0)[texts.rows], texts)
         if block.docs:
             yield block.row(number)
 

@@ -13,10 +13,10 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from itemflow.llm import queries, textpack, token_files
+from itemflow.llm import queries, textpack, token_align, token_files
 from itemflow.llm.merkle import build_manifest, folded, leaf_hash, proof_hash, proofs
 from itemflow.llm.queries import tokenizer_path
-from itemflow.llm.token_align import align_documents
+from itemflow.llm.token_align import Block, Pair, align_documents
 from itemflow.llm.token_files import Grammar, compress, read_token_files, write_token_files
 
 ODD = [
@@ -274,6 +274,56 @@ def test_alignment_of_odd_texts(spark, docs, block):
     assert made.pairs.where("best").groupBy("a").count().where("count < 1").isEmpty()
 
 
+def align_pair():
+    with open(tokenizer_path("byte_bpe_50k.json"), encoding="utf-8") as f, open(tokenizer_path("piece_bpe_32k.model"), "rb") as g:
+        return Pair(f.read(), g.read())
+
+
+def test_a_word_is_tokenised_once_in_a_block(monkeypatch):
+    pair, given = align_pair(), []
+    texts = [" ".join(f"w{i % 50}." for i in range(k, k + 400)) + "\nend" for k in range(30)]
+    encode = pair.encode
+    monkeypatch.setattr(pair, "encode", lambda some: given.extend(some) or encode(some))
+    block = Block(pair, True)
+    for piece in textpack.pieces(pa.array(texts), 50_000):
+        block.add(pa.array(range(len(piece))), piece)
+    assert sum(map(len, given)) < 1000
+    assert [*zip(*np.concatenate(block.docs, 1)[:4].tolist(), block.texts, strict=True)] == [(*w[:4], w[6]) for w in align_brute(texts)]
+
+
+@pytest.mark.parametrize("by_word", [True, False])
+def test_words_are_cut_where_no_token_reaches_over(by_word):
+    draw = random.Random(3)
+    white = [" ", " ", "\n", "\t", "\r", "\x1c", "\x85", "\xa0", "\u180e", "\u200b", "\u2028", "\u3000", "\ufeff", "\x00", "\v"]
+    others = ["a", "the", "The", ".", "'s", "12", "é", "日本", "<unk>", "▁", "{", ";", "”", "’", "</s>", "<0x0A>", "\u0308"]
+    texts = ["".join(draw.choice(white if draw.random() < 0.5 else others) for _ in range(draw.randrange(1, 14))) for _ in range(3000)]
+    pair = align_pair()
+    assert pair.by_word
+    pair.by_word = by_word
+    block = Block(pair, True)
+    for piece in textpack.pieces(pa.array(texts), 5_000):
+        block.add(pa.array(range(len(piece))), piece)
+    got = [*zip(*np.concatenate(block.docs, 1)[:4].tolist(), block.texts, strict=True)]
+    assert [t for t, g, w in zip(texts, got, align_brute(texts), strict=True) if g != (*w[:4], w[6])] == []
+
+
+@pytest.mark.parametrize("most", [1, 7, 1 << 16])
+def test_documents_that_hold_a_pair_are_counted_some_at_a_time(monkeypatch, most):
+    monkeypatch.setattr(token_align, "HELD", most)
+    draw = np.random.default_rng(1)
+    counts, per_doc = draw.integers(0, 5, 30), draw.integers(0, 6, 200)
+    of, words = draw.integers(0, 40, counts.sum()), draw.integers(0, 30, per_doc.sum())
+    first, at = np.cumsum(counts) - counts, np.cumsum(per_doc) - per_doc
+    want = Counter(p for i, n in zip(at, per_doc) for p in {int(x) for w in words[i : i + n] for x in of[first[w] : first[w] + counts[w]]})
+    assert token_align._holders(words, per_doc, counts, of, 40).tolist() == [want[p] for p in range(40)]
+
+
+def test_texts_that_are_no_characters_have_no_tokens(spark):
+    rows = spark.sql("SELECT id AS doc_id, CASE id WHEN 0 THEN cast(x'61ff2062' AS string) ELSE 'a b' END AS text FROM range(2)")
+    made = align_documents(rows, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    assert {r.doc_id: r.n_a for r in made.documents().collect()} == {0: 0, 1: 2}
+
+
 def test_alignment_of_the_table(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
     want = {r.doc_id: (*w[:6], sha(w[6]) if w[0] else "") for r, w in zip(rows, align_brute([r.text for r in rows]), strict=True)}
