@@ -293,10 +293,14 @@ class WordEncoder:
 
     def __init__(self, spec: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has the cores
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_str(spec)
         made = json.loads(spec)
+        #: The same model behind words that are letters in lower case already; ASCII stands for itself among its bytes.
+        self.ascii, self.letters = Tokenizer(self.library.model), Tokenizer(self.library.model)
+        self.ascii.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([self.ascii.pre_tokenizer, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.by_word = _drops_space(made) and not any(set(t["content"]) & set(" \t\n\v\f\r") for t in made["added_tokens"])
         self.known = Remembered(REMEMBERED)
         self.final = np.zeros(self.library.get_vocab_size(), bool)
@@ -304,28 +308,38 @@ class WordEncoder:
             suffix = made["model"]["end_of_word_suffix"]
             self.final[[i for t, i in made["model"]["vocab"].items() if t.endswith(suffix)]] = True
         self.sign = self.library.encode(SIGN.decode(), add_special_tokens=False).ids
+        self.lower = self._two_byte_letters() if self.by_word else np.zeros(1 << 11, np.int64)
 
     def _encode(self, texts: list[bytes]) -> list[bytes]:
         made = self.library.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
         return [np.array(e.ids, np.uint32).tobytes() for e in made]
 
-    def _encode_words(self, words: list[bytes]) -> dict[bytes, bytes]:
+    def _two_byte_letters(self) -> np.ndarray:
+        """By code point, the letter in lower case of each letter of two bytes for which the library has one of two bytes; else 0."""
+        lower = np.zeros(1 << 11, np.int64)
+        for i in range(0x80, 1 << 11):
+            made = self.library.normalizer.normalize_str(f"a{chr(i)}a")
+            if len(made) == 3 and 0x80 <= ord(made[1]) < 1 << 11 and len(self.library.pre_tokenizer.pre_tokenize_str(made)) == 1:
+                lower[i] = ord(made[1])
+        return lower
+
+    def _encode_words(self, words: list[bytes], letters: list[bool]) -> dict[bytes, bytes]:
         """Ids of different words, many in one text.
 
-        Words of ASCII letters are one word of the model each, so the tokens that end words tell them apart. Between
+        Words of letters are in lower case and one word of the model each, so the tokens that end words tell them apart. Between
         others stands a sign that is always a word of its own; words that hold this sign are encoded alone.
         """
-        letters, others = [], []
-        for w in words:
-            (letters if w.isalpha() and w.isascii() else others).append(w)
         out: dict[bytes, bytes] = {}
-        groups = [letters[i : i + TOGETHER] for i in range(0, len(letters), TOGETHER)]
-        texts = [b" ".join(g).decode() for g in groups]
-        for group, made in zip(groups, self.library.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            ids = np.array(made.ids, np.uint32)
-            data = ids.tobytes()
-            ends = ((np.flatnonzero(self.final[ids]) + 1) * 4).tolist()
-            out.update(zip(group, [data[a:b] for a, b in zip([0, *ends], ends)], strict=True))
+        plain = [w for w, own in zip(words, letters, strict=True) if own]
+        ascii_, wide = [w for w in plain if w.isascii()], [w for w in plain if not w.isascii()]
+        for library, some in ((self.ascii, ascii_), (self.letters, wide)):
+            groups = [some[i : i + TOGETHER] for i in range(0, len(some), TOGETHER)]
+            made = library.encode_batch_fast([b" ".join(g).decode() for g in groups], add_special_tokens=False)
+            parts = [np.array(m.ids, np.uint32) for m in made]
+            ids = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+            data, ends = ids.tobytes(), ((np.flatnonzero(self.final[ids]) + 1) * 4).tolist()
+            out.update(zip(some, [data[a:b] for a, b in zip([0, *ends], ends)], strict=True))
+        others = [w for w, own in zip(words, letters, strict=True) if not own]
         odd = [w for w in others if SIGN in w]
         out.update(zip(odd, self._encode(odd), strict=True))
         out.update(self._encode_apart([w for w in others if SIGN not in w]))
@@ -353,7 +367,7 @@ class WordEncoder:
             data = texts.buf.tobytes()
             made = self._encode([data[a:b] for a, b in zip(texts.starts.tolist(), texts.ends.tolist(), strict=True)])
             return np.frombuffer(b"".join(made), np.uint32), np.cumsum([0, *(len(m) // 4 for m in made)])
-        texts, words = _words(texts)
+        texts, words, letters = _words(texts, self.lower)
         some, which = _codes(texts.hasher()(words.start, words.end))
         where = np.empty(len(some), np.int64)
         where[which[::-1]] = np.arange(len(which))[::-1]  # the first of each
@@ -367,7 +381,7 @@ class WordEncoder:
         if len(new):
             data = texts.buf.tobytes()
             parts = [data[a:b] for a, b in zip(start[new].tolist(), end[new].tolist(), strict=True)]
-            own = self._encode_words(parts)
+            own = self._encode_words(parts, letters[where[new]].tolist())
             number[new] = np.arange(len(new)) + len(self.known)
             self.known.add(some[new], parts, [own[p] for p in parts])
         known = number[which]
@@ -387,15 +401,24 @@ _KIND[textpack.SPACE] = 0
 _KINDS, _LOWER = _KIND.tobytes(), textpack.LOWER.tobytes()
 
 
-def _words(texts: textpack.Texts) -> tuple[textpack.Texts, textpack.Spans]:
-    """The words, those of plain ASCII in lower case and cut into letters, digits and signs.
+def _words(texts: textpack.Texts, lower: np.ndarray) -> tuple[textpack.Texts, textpack.Spans, np.ndarray]:
+    """The words, plain ones in lower case and cut into letters, digits and signs; and which are letters.
 
-    Words with other characters, with an apostrophe (some endings belong to it) or with a sign that may begin a special string stay whole.
+    Plain is ASCII and what ``lower`` gives for letters of two bytes. Words with other characters, with an apostrophe
+    (some endings belong to it) or with a sign that may begin a special string stay whole.
     """
     n, data = len(texts.buf), texts.buf.tobytes()
-    kind = np.frombuffer(data.translate(_KINDS), np.uint8)
+    kind = np.frombuffer(bytearray(data.translate(_KINDS)), np.uint8)
+    low = np.frombuffer(bytearray(data.translate(_LOWER)), np.uint8)
     head = np.zeros(n + 1, bool)
     head[texts.starts] = True
+    two = np.flatnonzero((texts.buf >= 0xC2) & (texts.buf < 0xE0))
+    two = two[~head[two + 1] & (two < n - 1)]
+    two = two[(texts.buf[two + 1] & 0xC0) == 0x80]
+    to = lower[(texts.buf[two].astype(np.int64) & 0x1F) << 6 | texts.buf[two + 1] & 0x3F]
+    two, to = two[to > 0], to[to > 0]
+    kind[two] = kind[two + 1] = 1
+    low[two], low[two + 1] = 0xC0 | to >> 6, 0x80 | to & 0x3F
     edge = head.copy()
     edge[1:n] |= kind[1:] != kind[:-1]
     edge[n] = True
@@ -407,15 +430,16 @@ def _words(texts: textpack.Texts) -> tuple[textpack.Texts, textpack.Spans]:
     word = np.cumsum(begins) - 1
     whole = np.zeros(len(start), bool)
     whole[word[kinds == WHOLE]] = True
-    buf = np.frombuffer(bytearray(data.translate(_LOWER)), np.uint8)
+    letters = kinds == 1
     if whole.any():
         whole = whole[word]
         same = spread(start[whole], (end - start)[whole])
-        buf[same] = texts.buf[same]
+        low[same] = texts.buf[same]
         ends = np.append(begins[1:], True)
+        letters = (letters & ~whole)[begins | ~whole]
         start, end = start[begins | ~whole], end[ends | ~whole]
-    lowered = textpack.Texts(buf, texts.starts, texts.ends, texts.row)
-    return lowered, textpack.Spans(start, end, lowered.index(start))
+    lowered = textpack.Texts(low, texts.starts, texts.ends, texts.row)
+    return lowered, textpack.Spans(start, end, lowered.index(start)), letters
 
 
 def _drops_space(spec: dict) -> bool:

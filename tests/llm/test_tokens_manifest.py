@@ -180,6 +180,41 @@ def test_words_are_the_library_s_when_few_are_remembered(monkeypatch, words, siz
         assert encoded(encoder, texts, most) == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_letters_of_two_bytes_are_the_library_s():
+    library, encoder = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json")), word_encoder()
+    texts = [t for i in range(0x80, 1 << 11) for t in (chr(i), f"a{chr(i)}B{chr(i)} {chr(i)}.", f"1{chr(i)}\u0301{chr(i)}'s {chr(i)}\u0308x")]
+    draw = random.Random(2)
+    texts += ["".join(chr(draw.choice([*range(0x20, 0x7F), *range(0xC0, 0x180), *range(0x300, 0x380), 0x3A3, 0x4E00])) for _ in range(12)) for _ in range(2000)]
+    for most in (1, 2000):
+        assert encoded(encoder, texts, most) == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_words_of_letters_are_normalised_and_cut_before(monkeypatch):
+    encoder = word_encoder()
+    words = ["Été", "naïve", "ÜBER", "слово", "Λόγος"]
+    texts = ["\n".join(w + sign for w in words for sign in ("", ".", ",", "!", ";", ")"))]
+    want = [encoder.library.encode(t, add_special_tokens=False).ids for t in texts]
+    given, library = [], encoder.library
+
+    class Watched:
+        def encode_batch_fast(self, some, **more):
+            given.extend(some)
+            return library.encode_batch_fast(some, **more)
+
+    monkeypatch.setattr(encoder, "library", Watched())
+    assert encoded(encoder, texts, 1 << 20) == want
+    assert len(encoder.known) == 10 and not any(c.isalpha() for t in given for c in t)
+
+
+def test_words_that_are_no_characters_stay_whole():
+    encoder = word_encoder()
+    texts = [b"\xc3", b"\xc3a\xa9", b"a\xc3", b"\xa9b", b"\xc3\xa9 \xc3", b"\xc1\xa9"]
+    column = pa.Array.from_buffers(pa.string(), len(texts), pa.array(texts, pa.binary()).buffers())
+    ids, first = encoder(next(textpack.pieces(column, 1 << 20)))
+    want = [encoder.library.encode(t.decode("utf-8", "replace"), add_special_tokens=False).ids for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(first[:-1], first[1:])] == want
+
+
 def test_words_of_one_hash_are_told_apart():
     known = token_files.Remembered(64)
     buf, hashes = np.frombuffer(b"abcdabxd", np.uint8), np.full(1, 77, np.uint64)
