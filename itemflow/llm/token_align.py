@@ -30,7 +30,7 @@ from itemflow.llm.scratch import once_per_worker, stored
 from itemflow.llm.token_files import Column, _counted, spread
 
 #: A block is closed once its texts have so many bytes; a longer text is a block of its own.
-BLOCK = 8 << 20
+BLOCK = 4 << 20
 #: Fixed value: the sign that stands for a space in pieces.
 SPACE_SIGN = "▁"
 #: Bytes of text that are cut into words at once.
@@ -322,7 +322,7 @@ def _packed(values: np.ndarray) -> bytes:
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+    return np.frombuffer(data, f"<u{data[0]}", offset=1)
 
 
 def _solid(body: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -413,7 +413,7 @@ class Alignment:
             at = counts.column("at").to_numpy()
             documents, best = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
             documents[at], best[at] = counts.column("documents").to_numpy(), counts.column("best").to_numpy(zero_copy_only=False)
-            windows, window_pairs, of, times = (_unpacked(row[c].as_py()) for c in COLUMNS[-4:])
+            windows, window_pairs, of, times = (_unpacked(row[c].as_buffer()) for c in COLUMNS[-4:])
             n_windows = np.asarray(row["n_windows"].values)
             sums = [_sums(_sums(times * v[of], window_pairs)[windows], n_windows) for v in (best, documents)]
             plain = [row[c].values for c in ("keys", "n_a", "n_b", "n_groups", "n_links")]
