@@ -7,7 +7,7 @@ import os
 import pickle
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -25,11 +25,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str, *partition_by: str, plain: Iterable[str] = ()) -> DataFrame:
-    """Write a table and read it back: cuts the lineage, and a lost executor loses nothing of it. Values of ``plain`` columns hardly repeat."""
+def stored(df: DataFrame, name: str, *partition_by: str, plain: Iterable[str] = (), options: Mapping[str, str] | None = None) -> DataFrame:
+    """Write a table and read it back: cuts the lineage, and a lost executor loses nothing of it. Values of ``plain`` columns hardly repeat; ``options`` are the writer's."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.options(**{f"parquet.enable.dictionary#{c}": "false" for c in plain}).partitionBy(*partition_by).parquet(path)
+    df.write.options(**{f"parquet.enable.dictionary#{c}": "false" for c in plain}, **(options or {})).partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

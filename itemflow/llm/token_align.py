@@ -29,8 +29,12 @@ from itemflow.llm import textpack
 from itemflow.llm.scratch import once_per_worker, stored
 from itemflow.llm.token_files import Column, _counted, spread
 
-#: A block is closed once its texts have so many bytes; a longer text is a block of its own.
-BLOCK = 4 << 20
+#: A block is closed once its texts have so many bytes, each document so many more; a longer text is a block of its own.
+BLOCK, ROOM = 4 << 20, 64
+#: A block is kept in rows of so many bytes: Spark copies whole rows, and every buffer they pass through grows with the largest.
+PART = 64 << 10
+#: How such rows are written: pages are closed after a few of them, and groups of rows at about this size.
+SMALL_GROUPS = {"parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "8"}
 #: Fixed value: the sign that stands for a space in pieces.
 SPACE_SIGN = "▁"
 #: Bytes of text that are cut into words at once.
@@ -156,7 +160,7 @@ class Block:
         lost = _sums(~self.good.data[which], per_doc) > 0
         which, per_doc = which[~np.repeat(lost, per_doc)], np.where(lost, 0, per_doc)
         self.keys.append(keys)
-        self.bytes += len(body)
+        self.bytes += len(body) + ROOM * len(texts)
         self.docs.append(np.stack([*(_sums(c.data[which], per_doc) for c in self.totals), per_doc]))
         self.windows.append(which.astype(np.uint32))
         whole, stops = which.tolist(), np.cumsum(per_doc).tolist()
@@ -293,8 +297,8 @@ class Block:
         ends = np.concatenate([[0], end])[np.concatenate([[0], np.cumsum(size)])[np.cumsum(groups_of)]].tolist()
         self.groups += [whole[low:high] for low, high in zip([0, *ends], ends)]
 
-    def row(self, block: int) -> pa.RecordBatch:
-        """All of the block in one row."""
+    def rows(self, block: int) -> Iterator[pa.RecordBatch]:
+        """All of the block in rows of about ``PART`` bytes, each with its share of every list and of all packed bytes."""
         none = np.zeros(0, np.int64)
         docs, counts = np.concatenate(self.docs, axis=1), np.concatenate([none, *self.counts])
         windows = np.concatenate([np.zeros(0, np.uint32), *self.windows])
@@ -304,10 +308,13 @@ class Block:
             pa.concat_arrays(self.keys), *[pa.array(docs[c]) for c in range(4)], pa.array(self.digests, pa.string()), pa.array(self.texts, pa.string()),
             pa.array(docs[4]), pa.array((pairs // wide) << 32 | pairs % wide), pa.array(_holders(windows, docs[4], counts, of, len(pairs))),
         ]
-        cells = [pa.array([block], pa.int64()), *[pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]]
-        packed = [windows, counts, of, np.concatenate([none, *self.times])]
-        cells += [pa.array([_packed(p)], pa.binary()) for p in packed]
-        return pa.RecordBatch.from_arrays(cells, COLUMNS)
+        packed = [_packed(p) for p in (windows, counts, of, np.concatenate([none, *self.times]))]
+        parts = max(1, -(-(sum(x.nbytes for x in lists) + sum(map(len, packed))) // PART))
+        for k in range(parts):
+            own, data = ([x[len(x) * k // parts : len(x) * (k + 1) // parts] for x in some] for some in (lists, packed))
+            cells = [pa.array([block], pa.int64()), pa.array([k], pa.int32()), pa.array([len(pairs) * k // parts], pa.int32())]
+            cells += [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in own]
+            yield pa.RecordBatch.from_arrays([*cells, *[pa.array([d], pa.binary()) for d in data]], COLUMNS)
 
 
 def _narrow(values: np.ndarray) -> np.ndarray:
@@ -325,6 +332,13 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(data, f"<u{data[0]}", offset=1)
 
 
+def _whole(rows: pa.Table) -> dict[str, pa.Array | np.ndarray]:
+    """Lists and packed numbers of a block, from its rows in any order."""
+    rows = rows.take(pa.array(np.argsort(rows.column("part").to_numpy())))
+    lists = {c: pa.concat_arrays([x.flatten() for x in rows.column(c).chunks]) for c in LISTS if c in rows.column_names}
+    return lists | {c: _unpacked(b"".join(rows.column(c).to_pylist())) for c in PACKED}
+
+
 def _solid(body: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Whether what ends at each place is a character, and none that may count as white space."""
     last = body[at - 1]
@@ -387,15 +401,15 @@ def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return total[ends] - total[ends - counts]
 
 
-COLUMNS = [
-    "block", "keys", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "groups", "n_windows", "pairs", "holders",
-    "windows", "window_pairs", "pair_of", "pair_times",
-]
+LISTS = ["keys", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "groups", "n_windows", "pairs", "holders"]
+PACKED = ["windows", "window_pairs", "pair_of", "pair_times"]
+#: ``first``: which of the block's pairs is the first of a row.
+COLUMNS = ["block", "part", "first", *LISTS, *PACKED]
 
 
 @dataclass(frozen=True)
 class Alignment:
-    """``blocks``: one row for each block of documents. ``pairs``: (pair, a, b, documents, best), one row for each linked id pair."""
+    """``blocks``: some rows for each block of documents. ``pairs``: (pair, a, b, documents, best), one row for each linked id pair."""
 
     blocks: DataFrame
     pairs: DataFrame
@@ -405,27 +419,28 @@ class Alignment:
         """``(<key>, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256, groups)``, a row for each document."""
         blocks = self.blocks
         kind = blocks.schema["keys"].dataType.elementType
-        asked = blocks.select(F.col("block").alias("of_block"), F.posexplode("pairs").alias("at", "pair"))
+        asked = blocks.select(F.col("block").alias("of_block"), "first", F.posexplode("pairs").alias("at", "pair"))
+        asked = asked.select("of_block", (F.col("first") + F.col("at")).alias("at"), "pair")
         told = asked.join(self.pairs.select("pair", "documents", "best"), "pair").select("of_block", "at", "documents", "best")
 
         def answer(rows: pa.Table, counts: pa.Table) -> pa.Table:
-            row = {c: rows.column(c)[0] for c in rows.column_names}
+            row = _whole(rows)
             at = counts.column("at").to_numpy()
             documents, best = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
             documents[at], best[at] = counts.column("documents").to_numpy(), counts.column("best").to_numpy(zero_copy_only=False)
-            windows, window_pairs, of, times = (_unpacked(row[c].as_buffer()) for c in COLUMNS[-4:])
-            n_windows = np.asarray(row["n_windows"].values)
+            windows, window_pairs, of, times = (row[c] for c in PACKED)
+            n_windows = row["n_windows"].to_numpy()
             sums = [_sums(_sums(times * v[of], window_pairs)[windows], n_windows) for v in (best, documents)]
-            plain = [row[c].values for c in ("keys", "n_a", "n_b", "n_groups", "n_links")]
+            plain = [row[c] for c in ("keys", "n_a", "n_b", "n_groups", "n_links")]
             return pa.Table.from_arrays(
-                [*plain, *map(pa.array, sums), row["groups_sha256"].values, row["groups"].values],
+                [*plain, *map(pa.array, sums), row["groups_sha256"], row["groups"]],
                 ["_key", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256", "groups"],
             )
 
         fields = [T.StructField("_key", kind)]
         fields += [T.StructField(c, T.LongType()) for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")]
         fields += [T.StructField("groups_sha256", T.StringType()), T.StructField("groups", T.StringType())]
-        both = blocks.drop("pairs", "holders").groupBy("block").cogroup(told.groupBy("of_block"))
+        both = blocks.drop("first", "pairs", "holders").groupBy("block").cogroup(told.groupBy("of_block"))
         return both.applyInArrow(answer, T.StructType(fields)).withColumnRenamed("_key", self.key)
 
 
@@ -454,17 +469,17 @@ def align_documents(
             column = batch.column(1)
             for texts in textpack.pieces(column, PIECE):
                 if block.bytes and block.bytes + len(texts.buf) > block_bytes:
-                    yield block.row(number)
+                    yield from block.rows(number)
                     number, block = number + 1, Block(pair, keep_groups)
                 block.add(batch.column(0)[texts.rows], texts)
         if block.docs:
-            yield block.row(number)
+            yield from block.rows(number)
 
     long, whole = T.LongType(), T.ArrayType(T.LongType())
-    kinds = [long, T.ArrayType(kind), *[whole] * 4, *[T.ArrayType(T.StringType())] * 2, *[whole] * 3, *[T.BinaryType()] * 4]
+    kinds = [long, T.IntegerType(), T.IntegerType(), T.ArrayType(kind), *[whole] * 4, *[T.ArrayType(T.StringType())] * 2, *[whole] * 3, *[T.BinaryType()] * 4]
     schema = T.StructType([T.StructField(c, k) for c, k in zip(COLUMNS, kinds, strict=True)])
     source = docs.select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
-    blocks = stored(source.mapInArrow(scan, schema), "align-blocks")
+    blocks = stored(source.mapInArrow(scan, schema), "align-blocks", plain=PACKED, options=SMALL_GROUPS)
     held = blocks.select(F.inline(F.arrays_zip("pairs", "holders"))).groupBy(F.col("pairs").alias("pair")).agg(F.sum("holders").alias("documents"))
     held = stored(held.select("pair", F.shiftright("pair", 32).alias("a"), F.col("pair").bitwiseAND(0xFFFFFFFF).alias("b"), "documents"), "align-pairs")
     most = held.groupBy("a").agg(F.max("documents").alias("_most"))

@@ -353,6 +353,42 @@ def test_documents_that_hold_a_pair_are_counted_some_at_a_time(monkeypatch, most
     assert token_align._holders(words, per_doc, counts, of, 40).tolist() == [want[p] for p in range(40)]
 
 
+def test_a_block_is_kept_in_small_rows(spark):
+    """A row held a whole block, and buffers of that size added up in executors."""
+    draw = random.Random(17)
+    texts = [" ".join(f"{draw.choice('abcde')}{draw.randrange(400)}" for _ in range(1000)) for _ in range(240)]
+    rows = spark.createDataFrame([*enumerate(texts)], "doc_id INT, text STRING").coalesce(1)
+    whole, cut = (align_documents(rows, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"), block_bytes=n) for n in (4 << 20, 1 << 14))
+    size = " + ".join([*(f"length({c})" for c in ("windows", "window_pairs", "pair_of", "pair_times")), "16 * size(pairs)", "100 * size(keys)"])
+    blocks, most, total = whole.blocks.selectExpr("count(DISTINCT block)", f"max({size})", f"sum({size})").first()
+    assert blocks == 1 and total > 500_000 and most < 100_000
+    assert cut.blocks.select("block").distinct().count() > 1
+    assert {tuple(r) for r in whole.documents().collect()} == {tuple(r) for r in cut.documents().collect()}
+
+
+def test_rows_of_a_block_come_in_any_order(monkeypatch):
+    monkeypatch.setattr(token_align, "PART", 500)
+    block, texts = Block(align_pair(), True), [f"one w{i} and x{i % 7}" for i in range(300)]
+    for piece in textpack.pieces(pa.array(texts), 1000):
+        block.add(pa.array(range(piece.row, piece.row + len(piece))), piece)
+    rows = [*block.rows(3)]
+    assert len(rows) > 20 and all(r.num_rows == 1 for r in rows)
+    random.Random(2).shuffle(rows)
+    made = token_align._whole(pa.Table.from_batches(rows))
+    assert made["keys"].to_pylist() == [*range(300)] and made["groups"].to_pylist() == block.texts
+    assert made["windows"].tolist() == np.concatenate(block.windows).tolist()
+    pairs = made["pairs"].to_pylist()
+    assert pairs == sorted(set(pairs))
+    assert all(pairs[r.column("first")[0].as_py() :][: len(own)] == own for r in rows for own in r.column("pairs").to_pylist())
+
+
+def test_documents_without_much_text_close_a_block(spark):
+    rows = spark.range(50_000).selectExpr("id AS doc_id", "IF(id % 2 = 0, 'a', null) AS text").coalesce(1)
+    made = align_documents(rows, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"), block_bytes=1 << 20)
+    assert made.blocks.select("block").distinct().count() > 1
+    assert {tuple(r) for r in made.documents().groupBy("n_a", "count_sum").count().collect()} == {(0, 0, 25_000), (1, 25_000, 25_000)}
+
+
 def test_texts_that_are_no_characters_have_no_tokens(spark):
     rows = spark.sql("SELECT id AS doc_id, CASE id WHEN 0 THEN cast(x'61ff2062' AS string) ELSE 'a b' END AS text FROM range(2)")
     made = align_documents(rows, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
